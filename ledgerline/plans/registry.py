@@ -321,3 +321,315 @@ def q_revenue_chart_series(spark, sf):
     f"{dbl(hu('total_completed_cents', 'completed', 2, 2), 2)} AS revenue_per_completed_job FROM mart_jobs")))
 def q_revenue_per_completed_job(spark, sf):
     return to_wire(serving.revenue_per_completed_job(_marts(spark, sf)["mart_jobs"]))
+
+
+# ---------------------------------------------------------------------------
+# data quality (DQ-1..9)
+# ---------------------------------------------------------------------------
+
+from ledgerline.operators import metrics as M  # noqa: E402
+from ledgerline.operators import quality as Q  # noqa: E402
+from ledgerline.plans.pipeline import AS_OF, AS_OF_WARN  # noqa: E402
+
+
+def _damaged_tables(spark, sf):
+    lay = layers(spark, sf, damaged=True)
+    return Q.layer_tables(lay.raw, lay.staging, lay.marts)
+
+
+def _suite(spark, sf):
+    return Q.run_suite(_damaged_tables(spark, sf), Q.DEFAULT_SUITE)
+
+
+def _artifact_counts(spark, sf):
+    res = _suite(spark, sf)
+    return Q.status_counts(Q.artifact_statuses(res, Q.gate(res)))
+
+
+@register("dq_not_null", with_(base(()), (
+    "SELECT 'completed_at' AS \"column\", 'not_null' AS test, count(*) AS failures "
+    "FROM stg_jobs WHERE completed_at IS NULL")))
+def q_dq_not_null(spark, sf):
+    return Q.not_null(layers(spark, sf).staging["jobs"], "completed_at")
+
+
+@register("dq_unique", with_(base((), damaged=True), (
+    "SELECT 'payment_id' AS \"column\", 'unique' AS test, count(*) AS failures FROM "
+    "(SELECT payment_id FROM raw_payments WHERE payment_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")))
+def q_dq_unique(spark, sf):
+    return Q.unique(layers(spark, sf, damaged=True).raw["payments"], "payment_id")
+
+
+@register("dq_accepted_values", with_(base((), damaged=True), (
+    "SELECT 'urgency' AS \"column\", 'accepted_values' AS test, "
+    "count(DISTINCT urgency) FILTER (WHERE urgency NOT IN ('low', 'medium', 'high', 'critical')) AS failures "
+    "FROM raw_calls")))
+def q_dq_accepted_values(spark, sf):
+    from ledgerline.schemas import URGENCY_VALUES
+
+    return Q.accepted_values(layers(spark, sf, damaged=True).raw["calls"], "urgency", URGENCY_VALUES)
+
+
+_ORACLE_TABLE = {"raw.calls": "raw_calls", "raw.payments": "raw_payments", "raw.jobs": "raw_jobs"}
+_ORACLE_COLUMN = {("mart_revenue", "revenue_dollars"): "revenue_cents"}
+
+
+def _suite_sql() -> str:
+    parts = []
+    for t in Q.DEFAULT_SUITE:
+        tbl = _ORACLE_TABLE.get(t.model, t.model)
+        col = '"' + _ORACLE_COLUMN.get((t.model, t.column), t.column) + '"'
+        if t.test == "not_null":
+            f = f"(SELECT count(*) FROM {tbl} WHERE {col} IS NULL)"
+        elif t.test == "unique":
+            f = f"(SELECT count(*) FROM (SELECT {col} FROM {tbl} WHERE {col} IS NOT NULL GROUP BY 1 HAVING count(*) > 1))"
+        else:
+            vals = ", ".join(O.q(v) for v in t.values)
+            f = f"(SELECT count(DISTINCT CAST({col} AS VARCHAR)) FROM {tbl} WHERE CAST({col} AS VARCHAR) NOT IN ({vals}))"
+        parts.append(f"SELECT {O.q(t.layer)} AS layer, {O.q(t.model)} AS model, {O.q(t.column)} AS \"column\", "
+                     f"{O.q(t.test)} AS test, {f} AS failures")
+    return "suite AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def _gate_ctes() -> list[str]:
+    edges = ", ".join(f"({O.q(p)}, {O.q(c)})" for p, c in Q.LINEAGE)
+    models = ", ".join(f"({O.q(m)})" for m in Q.MODELS)
+    return [
+        _suite_sql(),
+        "failed AS (SELECT model, max(failures) > 0 AS failed FROM suite GROUP BY model)",
+        f"edges(parent, child) AS (VALUES {edges})",
+        "anc AS (SELECT parent, child FROM edges UNION SELECT a.parent, b.child FROM edges a "
+        "JOIN edges b ON a.child = b.parent)",
+        "bad AS (SELECT DISTINCT anc.child AS model FROM anc JOIN failed f ON f.model = anc.parent AND f.failed)",
+        f"models(model) AS (VALUES {models})",
+        "gate AS (SELECT m.model, CASE WHEN b.model IS NOT NULL THEN 'skip' WHEN f.failed THEN 'fail' "
+        "ELSE 'pass' END AS status FROM models m LEFT JOIN failed f ON f.model = m.model "
+        "LEFT JOIN bad b ON b.model = m.model)",
+        "art AS (SELECT CASE WHEN g.status = 'skip' THEN 'skip' WHEN s.failures > 0 THEN 'fail' ELSE 'pass' END "
+        "AS status FROM suite s LEFT JOIN gate g ON g.model = s.model)",
+        "statuses(ord, status) AS (VALUES " + ", ".join(
+            f"({i}, {O.q(s)})" for i, s in enumerate(Q.RESULT_STATUSES)) + ")",
+        "counts AS (SELECT st.status, CAST(count(art.status) AS BIGINT) AS n FROM statuses st "
+        "LEFT JOIN art ON art.status = st.status GROUP BY st.status)",
+    ]
+
+
+@register("dq_suite", with_(base(damaged=True) + [_suite_sql()], (
+    "SELECT layer, model, \"column\", test, CAST(failures AS BIGINT) AS failures, "
+    "CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM suite")))
+def q_dq_suite(spark, sf):
+    return _suite(spark, sf)
+
+
+@register("dq_gate", with_(base(damaged=True) + _gate_ctes(), "SELECT model, status FROM gate"))
+def q_dq_gate(spark, sf):
+    return Q.gate(_suite(spark, sf))
+
+
+@register("dq_status_counts", with_(base(damaged=True) + _gate_ctes(), "SELECT status, n FROM counts"))
+def q_dq_status_counts(spark, sf):
+    return _artifact_counts(spark, sf)
+
+
+def _freshness_ctes(as_of) -> list[str]:
+    a = O.ts_lit(as_of)
+    us = f"date_diff('microsecond', last_loaded, {a})"
+    h0 = f"CAST(CAST(round_even({us} / 3600000000.0, 0) AS BIGINT) AS VARCHAR)"
+    return [
+        "last AS (SELECT 0 AS ord, 'calls' AS source, max(_loaded_at) AS last_loaded FROM raw_calls UNION ALL "
+        "SELECT 1, 'payments', max(_loaded_at) FROM raw_payments UNION ALL "
+        "SELECT 2, 'jobs', max(_loaded_at) FROM raw_jobs)",
+        f"fresh AS (SELECT ord, source, last_loaded, {hu(us, '3600000000', 1)} AS age_x10, "
+        f"CASE WHEN last_loaded IS NULL THEN 'error' WHEN {us} > {48 * 3600 * 10**6} THEN 'error' "
+        f"WHEN {us} > {24 * 3600 * 10**6} THEN 'warn' ELSE 'fresh' END AS status, "
+        f"CASE WHEN last_loaded IS NULL THEN source || ': no data loaded' "
+        f"WHEN {us} > {48 * 3600 * 10**6} THEN source || ': stale (' || {h0} || 'h old, threshold is 48h)' "
+        f"WHEN {us} > {24 * 3600 * 10**6} THEN source || ': data is ' || {h0} || 'h old (warn threshold is 24h)' "
+        "END AS message FROM last)",
+        "verdict AS (SELECT NOT bool_or(status = 'error') AS fresh, bool_or(status = 'warn') AS warn, "
+        "CASE WHEN bool_or(status = 'error') THEN 'Cannot answer: data is stale. ' || "
+        "string_agg(message, '; ' ORDER BY ord) || '. Please run the pipeline before querying.' "
+        "WHEN bool_or(status = 'warn') THEN 'Note: ' || string_agg(message, '; ' ORDER BY ord) || "
+        "'. Answers reflect data as of those times.' END AS message FROM fresh)",
+    ]
+
+
+@register("freshness_status", with_(O.raw_ctes() + _freshness_ctes(AS_OF), (
+    f"SELECT source, {tsf('last_loaded')} AS last_loaded, {dbl('age_x10', 1)} AS age_hours, status, message "
+    "FROM fresh")))
+def q_freshness_status(spark, sf):
+    return to_wire(Q.freshness(layers(spark, sf).raw, AS_OF).drop("ord"))
+
+
+@register("freshness_verdict", with_(O.raw_ctes() + _freshness_ctes(AS_OF),
+                                     "SELECT fresh, warn, message FROM verdict"))
+def q_freshness_verdict(spark, sf):
+    return Q.verdict(Q.freshness(layers(spark, sf).raw, AS_OF))
+
+
+@register("gated_query", with_(base(("revenue",)) + _freshness_ctes(AS_OF_WARN), (
+    f"SELECT {b('sum(transaction_count)')} AS transaction_count, {dbl('sum(revenue_cents)', 2)} AS revenue_dollars, "
+    f"{dbl('sum(net_cents)', 2)} AS net_revenue_dollars, {_AVG_TICKET} AS avg_ticket_dollars, "
+    f"{b('sum(refund_count)')} AS refund_count, {dbl('sum(refund_cents)', 2)} AS refund_dollars, "
+    f"(SELECT message FROM verdict) AS caveat FROM mart_revenue {_REV_WHERE}")))
+def q_gated_query(spark, sf):
+    lay = layers(spark, sf)
+    v = Q.verdict(Q.freshness(lay.raw, AS_OF_WARN))
+    return Q.gated_frame(v, lambda: to_wire(serving.revenue_summary(
+        lay.marts["mart_revenue"], REVENUE_FROM, REVENUE_TO)))
+
+
+# ---------------------------------------------------------------------------
+# pipeline and request metrics (OBS-1..10)
+# ---------------------------------------------------------------------------
+
+RUN_SECONDS = 42.0
+
+
+@register("pipeline_metrics", with_(base(damaged=True) + _gate_ctes(), (
+    f"SELECT {tsf(O.ts_lit(AS_OF))} AS ts, 'pipeline_run_duration_seconds' AS metric, '' AS label, "
+    f"{RUN_SECONDS} AS value UNION ALL SELECT {tsf(O.ts_lit(AS_OF))}, 'pipeline_last_success_timestamp', '', "
+    f"CAST(epoch({O.ts_lit(AS_OF)}) AS DOUBLE) UNION ALL "
+    f"SELECT {tsf(O.ts_lit(AS_OF))}, 'pipeline_rows_loaded', 'calls', CAST(count(*) AS DOUBLE) FROM raw_calls UNION ALL "
+    f"SELECT {tsf(O.ts_lit(AS_OF))}, 'pipeline_rows_loaded', 'payments', CAST(count(*) AS DOUBLE) FROM raw_payments UNION ALL "
+    f"SELECT {tsf(O.ts_lit(AS_OF))}, 'pipeline_rows_loaded', 'jobs', CAST(count(*) AS DOUBLE) FROM raw_jobs UNION ALL "
+    f"SELECT {tsf(O.ts_lit(AS_OF))}, 'pipeline_test_results', status, CAST(n AS DOUBLE) FROM counts")))
+def q_pipeline_metrics(spark, sf):
+    lay = layers(spark, sf, damaged=True)
+    return to_wire(M.pipeline_metrics(marts.row_counts(lay.raw), _artifact_counts(spark, sf),
+                                      RUN_SECONDS, AS_OF))
+
+
+@register("metric_last_value", with_(base(()) + [
+    "samples AS (SELECT CAST(CAST(call_timestamp AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS ts, 'calls' AS label, "
+    "CAST(count(*) AS DOUBLE) AS value FROM stg_calls GROUP BY 1 UNION ALL "
+    "SELECT CAST(CAST(payment_timestamp AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY, 'payments', CAST(count(*) AS DOUBLE) "
+    "FROM stg_payments GROUP BY 1 UNION ALL "
+    "SELECT CAST(CAST(scheduled_at AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY, 'jobs', CAST(count(*) AS DOUBLE) "
+    "FROM stg_jobs GROUP BY 1)"], (
+    f"SELECT 'pipeline_rows_loaded' AS metric, label, {tsf('max(ts)')} AS ts, arg_max(value, ts) AS value "
+    "FROM samples GROUP BY label")))
+def q_metric_last_value(spark, sf):
+    return to_wire(M.last_values(M.daily_load_samples(layers(spark, sf).staging)))
+
+
+def _log(spark, sf):
+    from ledgerline.sources.tables import read_table
+
+    return M.request_log(read_table(spark, sf, "events"))
+
+
+_LOG = ("log AS (SELECT ts, '/api/' || event_type AS endpoint, CASE WHEN event_type = 'error' THEN 500 ELSE 200 END "
+        "AS status, value AS duration_ms FROM events)")
+
+
+def _win(minutes: int) -> str:
+    return f"time_bucket(INTERVAL '{minutes} minutes', ts)"
+
+
+@register("request_rate", with_([_LOG], (
+    f"SELECT {tsf(_win(1))} AS window_start, {tsf(_win(1) + ' + INTERVAL 1 MINUTE')} AS window_end, "
+    f"count(*) AS requests, count(*) / 60 AS rps FROM log GROUP BY {_win(1)}")))
+def q_request_rate(spark, sf):
+    return to_wire(M.request_rate(_log(spark, sf)))
+
+
+def _quantile_sql() -> list[str]:
+    bounds = [float(x) for x in M.LATENCY_BOUNDS_MS]
+    bidx = "CASE " + " ".join(f"WHEN duration_ms <= {x} THEN {i}" for i, x in enumerate(bounds)) + \
+        f" ELSE {len(bounds)} END"
+    his = "[" + ", ".join(str(x) for x in bounds) + ", NULL]"
+    los = "[" + ", ".join(str(x) for x in bounds) + "]"
+    sel = []
+    for q_ in M.QUANTILES:
+        rank = f"(CAST({q_} AS DOUBLE) * total)"
+        interp = f"lo + (hi - lo) * (({rank} - prev_cum) / n)"
+        sel.append(f"max(CASE WHEN prev_cum < {rank} AND cum >= {rank} THEN "
+                   f"(CASE WHEN hi IS NULL THEN {bounds[-1]} ELSE {interp} END) END) AS p{int(round(q_ * 100))}")
+    return [
+        _LOG,
+        f"bk AS (SELECT {_win(5)} AS w, {bidx} AS b, count(*) AS n FROM log GROUP BY 1, 2)",
+        "cum AS (SELECT w, b, n, sum(n) OVER (PARTITION BY w ORDER BY b ROWS UNBOUNDED PRECEDING) AS cum FROM bk)",
+        f"rows_ AS (SELECT w, n, cum, cum - n AS prev_cum, "
+        f"CASE WHEN b = 0 THEN 0.0 ELSE CAST(({los})[b] AS DOUBLE) END AS lo, "
+        f"CAST(({his})[b + 1] AS DOUBLE) AS hi, max(cum) OVER (PARTITION BY w) AS total FROM cum)",
+        f"quant AS (SELECT w, CAST(max(total) AS BIGINT) AS total, {', '.join(sel)} FROM rows_ GROUP BY w)",
+    ]
+
+
+@register("latency_quantiles", with_(_quantile_sql(), (
+    f"SELECT {tsf('w')} AS window_start, {tsf('w + INTERVAL 5 MINUTE')} AS window_end, total, p50, p95, p99 "
+    "FROM quant")))
+def q_latency_quantiles(spark, sf):
+    return to_wire(M.latency_quantiles(_log(spark, sf)))
+
+
+def _band_sql(col: str, steps) -> str:
+    expr = "'green'"
+    for thr, colour in steps:
+        expr = f"CASE WHEN {col} >= {thr} THEN '{colour}' ELSE {expr} END"
+    return f"CASE WHEN {col} IS NULL THEN NULL ELSE {expr} END"
+
+
+@register("metric_banding", with_(_quantile_sql(), (
+    f"SELECT {tsf('w')} AS window_start, {tsf('w + INTERVAL 5 MINUTE')} AS window_end, p95, "
+    f"{_band_sql('p95', M.BANDS['latency_ms'])} AS band FROM quant")))
+def q_metric_banding(spark, sf):
+    qdf = M.latency_quantiles(_log(spark, sf)).select("window_start", "window_end", "p95")
+    return to_wire(M.band(qdf, "p95", M.BANDS["latency_ms"]))
+
+
+@register("error_ratio", with_([_LOG], (
+    f"SELECT {tsf(_win(5))} AS window_start, {tsf(_win(5) + ' + INTERVAL 5 MINUTE')} AS window_end, "
+    "count(*) FILTER (WHERE regexp_matches(CAST(status AS VARCHAR), '^5..$')) AS errors, count(*) AS requests, "
+    "count(*) FILTER (WHERE regexp_matches(CAST(status AS VARCHAR), '^5..$')) / count(*) AS error_ratio "
+    f"FROM log GROUP BY {_win(5)}")))
+def q_error_ratio(spark, sf):
+    return to_wire(M.error_ratio(_log(spark, sf)))
+
+
+@register("requests_by_endpoint", with_([_LOG], (
+    f"SELECT {tsf(_win(60))} AS window_start, {tsf(_win(60) + ' + INTERVAL 1 HOUR')} AS window_end, endpoint, "
+    f"count(*) AS requests FROM log GROUP BY {_win(60)}, endpoint")))
+def q_requests_by_endpoint(spark, sf):
+    return to_wire(M.requests_by_endpoint(_log(spark, sf)))
+
+
+def _breach_sql(as_of) -> list[str]:
+    asu = int(as_of.replace(tzinfo=__import__("datetime").timezone.utc).timestamp()) * 10**6
+    g, thr, fs = 60 * 10**6, 172800 * 10**6, 300
+    return [
+        "arr AS (SELECT DISTINCT 'calls' AS pipeline, epoch_us(call_timestamp) AS u FROM stg_calls UNION "
+        "SELECT DISTINCT 'payments', epoch_us(payment_timestamp) FROM stg_payments UNION "
+        "SELECT DISTINCT 'jobs', epoch_us(scheduled_at) FROM stg_jobs)",
+        "gaps AS (SELECT pipeline, u AS a, lead(u) OVER (PARTITION BY pipeline ORDER BY u) AS b FROM arr)",
+        f"isl AS (SELECT pipeline, ((a + {thr}) // {g} + 1) * {g} AS t1, "
+        f"CASE WHEN b IS NULL THEN {asu // g * g} ELSE ((b + {g - 1}) // {g} - 1) * {g} END AS t2 FROM gaps)",
+        f"br AS (SELECT pipeline, t1, t2, (t2 - t1) // 1000000 AS held FROM isl WHERE t2 >= t1)",
+    ]
+
+
+@register("alert_freshness", with_(base(()) + _breach_sql(AS_OF), (
+    f"SELECT pipeline, {tsf('make_timestamp(t1)')} AS start, {tsf('make_timestamp(t2)')} AS \"end\", "
+    "CAST(held AS BIGINT) AS held_seconds, held >= 300 AS fired, "
+    f"CASE WHEN held >= 300 THEN {tsf('make_timestamp(t1 + 300000000)')} END AS fired_at FROM br")))
+def q_alert_freshness(spark, sf):
+    stg = layers(spark, sf).staging
+    arrivals = (stg["calls"].select(F.lit("calls").alias("pipeline"), F.col("call_timestamp").alias("t"))
+                .unionByName(stg["payments"].select(F.lit("payments").alias("pipeline"),
+                                                    F.col("payment_timestamp").alias("t")))
+                .unionByName(stg["jobs"].select(F.lit("jobs").alias("pipeline"), F.col("scheduled_at").alias("t"))))
+    return to_wire(M.freshness_breaches(arrivals, "pipeline", "t", AS_OF))
+
+
+@register("alert_test_failure", with_(base(damaged=True) + _gate_ctes(), (
+    "SELECT 'PipelineTestFailure' AS alert, status, n FROM counts WHERE status IN ('fail', 'error') AND n > 0")))
+def q_alert_test_failure(spark, sf):
+    return M.test_alerts(_artifact_counts(spark, sf))
+
+
+@register("failed_test_total", with_(base(damaged=True) + _gate_ctes(), (
+    "SELECT CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(status, '^(fail|error)$')), 0) AS BIGINT) "
+    "AS failed_tests FROM counts")))
+def q_failed_test_total(spark, sf):
+    return M.failed_tests(_artifact_counts(spark, sf))
