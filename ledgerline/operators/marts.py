@@ -138,7 +138,11 @@ def with_comments(df: DataFrame, mart: str) -> DataFrame:
 def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "marts") -> DataFrame:
     """SNK-6: full replace of ``database.name`` as a catalog table (parquet)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    # explicit location under the warehouse: a re-run replaces the files even
+    # when the catalog entry is gone (e.g. a fresh metastore)
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     (with_comments(df, name).write.mode("overwrite").format("parquet")
+     .option("path", f"{root}/{database}.db/{name}")
      .option("comment", MART_DESCRIPTIONS.get(name, "")).saveAsTable(f"{database}.{name}"))
     return spark.table(f"{database}.{name}")
 

@@ -300,6 +300,7 @@ class Result:
     message: str | None = None
     caveat: str | None = None
     sql: str | None = None
+    row_count: int | None = None
 
 
 def gated(verdict_df: DataFrame, build) -> Result:

@@ -633,3 +633,264 @@ def q_alert_test_failure(spark, sf):
     "AS failed_tests FROM counts")))
 def q_failed_test_total(spark, sf):
     return M.failed_tests(_artifact_counts(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# guarded ad-hoc SELECT (SQL-1..5)
+# ---------------------------------------------------------------------------
+
+from ledgerline.operators import guard as G  # noqa: E402
+
+
+def _statements(spark, sf):
+    from ledgerline.sources.tables import read_table
+
+    return G.statements_from_events(read_table(spark, sf, "events"))
+
+
+def _re(p: str) -> str:
+    return O.q(p)
+
+
+_STMT = ("stmt AS (SELECT event_id AS statement_id, ts, CASE event_type "
+         "WHEN 'purchase' THEN 'SELECT * FROM marts.mart_revenue LIMIT ' || "
+         "CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) * 5 AS VARCHAR) "
+         "WHEN 'signup' THEN 'SELECT count(*) FROM raw.calls' WHEN 'error' THEN 'DROP TABLE marts.mart_revenue' "
+         "WHEN 'click' THEN '/* c */ SELECT * FROM marts.mart_jobs' ELSE 'SELECT 1; SELECT 2' END AS sql FROM events)")
+
+_ALLOWED = "[" + ", ".join(O.q(t) for t in G.ALLOWED_TABLES) + "]"
+_VET = [
+    _STMT,
+    "s1 AS (SELECT *, regexp_replace(coalesce(sql, ''), '^\\s+|\\s+$', '', 'g') AS stripped FROM stmt)",
+    f"s2 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(stripped, {_re(G.RE_BLOCK_COMMENT)}, ' ', 'g'), "
+    f"{_re(G.RE_LINE_COMMENT)}, ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS nc FROM s1)",
+    f"s3 AS (SELECT *, upper(regexp_extract(nc, {_re(G.RE_FORBIDDEN)}, 1)) AS kw, "
+    f"list_filter(regexp_extract_all(nc, {_re(G.RE_TABLE_REF)}, 1), "
+    f"lambda x: NOT list_contains({_ALLOWED}, lower(x)))[1] AS bad_ref FROM s2)",
+    "vetted AS (SELECT statement_id, ts, sql, CASE WHEN stripped = '' THEN 'Empty query' "
+    "WHEN NOT starts_with(upper(nc), 'SELECT') THEN 'Only SELECT queries are allowed' "
+    "WHEN contains(stripped, ';') THEN 'Multi-statement queries are not allowed' "
+    "WHEN kw <> '' THEN 'Forbidden keyword: ' || kw "
+    f"WHEN regexp_matches(stripped, {_re(G.RE_SCHEMA)}) THEN {O.q(G.MSG_SCHEMA)} "
+    "WHEN bad_ref IS NOT NULL THEN 'Table not allowed: ' || bad_ref || '. Only marts tables are accessible.' "
+    "ELSE '' END AS reason FROM s3)",
+]
+
+
+@register("vet_statements", with_(_VET, "SELECT statement_id, reason, reason = '' AS ok FROM vetted"))
+def q_vet_statements(spark, sf):
+    return G.vet(_statements(spark, sf), "sql").select("statement_id", "reason", "ok")
+
+
+_CAP = (f"CASE WHEN regexp_extract(sql, {_re(G.RE_LIMIT)}, 1) = '' THEN "
+        "regexp_replace(regexp_replace(sql, '\\s+$', ''), ';+$', '') || ' LIMIT 100' "
+        f"WHEN length(regexp_extract(sql, {_re(G.RE_LIMIT)}, 1)) > 38 OR "
+        f"TRY_CAST(regexp_extract(sql, {_re(G.RE_LIMIT)}, 1) AS DECIMAL(38,0)) > 100 "
+        f"THEN regexp_replace(sql, {_re(G.RE_FIRST_LIMIT)}, '\\1100') ELSE sql END")
+
+
+@register("cap_limits", with_([_STMT], f"SELECT statement_id, {_CAP} AS capped_sql FROM stmt"))
+def q_cap_limits(spark, sf):
+    return G.cap(_statements(spark, sf), "sql").select("statement_id", "capped_sql")
+
+
+def _published(spark, sf, database="marts"):
+    from ledgerline.operators.marts import write_mart
+
+    return {name: write_mart(spark, df, name, database) for name, df in _marts(spark, sf).items()}
+
+
+GUARDED_SQL = ("SELECT service_description, sum(revenue_dollars) AS revenue, sum(transaction_count) AS transactions "
+               "FROM marts.mart_revenue GROUP BY service_description ORDER BY revenue DESC")
+
+
+@register("guarded_query", with_(base(("revenue",)), (
+    f"SELECT service_description, {dbl('sum(revenue_cents)', 2)} AS revenue, "
+    f"{b('sum(transaction_count)')} AS transactions FROM mart_revenue GROUP BY service_description "
+    "ORDER BY sum(revenue_cents) DESC LIMIT 100")))
+def q_guarded_query(spark, sf):
+    _published(spark, sf)
+    r = G.guarded_query(spark, GUARDED_SQL)
+    if r.error:
+        raise RuntimeError(f"{r.error}: {r.message}")
+    return to_wire(r.data)
+
+
+@register("describe_marts")
+def q_describe_marts(spark, sf):
+    return G.describe_marts(spark, _marts(spark, sf))
+
+
+@register("audit_log")
+def q_audit_log(spark, sf):
+    from ledgerline.session import scratch_path
+
+    vetted = G.cap(G.vet(_statements(spark, sf), "sql"), "sql")
+    path = scratch_path(spark, "audit")
+    G.append_audit(G.audit_lines(vetted), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+# ---------------------------------------------------------------------------
+# lake, raw load and materialisation (SRC-1..4, SNK-1..6)
+# ---------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from ledgerline.schemas import CALL_COLUMNS, JOB_COLUMNS, PAYMENT_COLUMNS, SOURCES, extract_schema  # noqa: E402
+from ledgerline.sources import lake as L  # noqa: E402
+from ledgerline.sources.tables import damaged_extracts, extracts  # noqa: E402
+
+RUN_1 = _dt.datetime(2024, 1, 30, 6, 0, 0)
+RUN_2 = _dt.datetime(2024, 1, 31, 6, 0, 0)
+
+_CALL_COLS = ", ".join(f'"{c}"' for c in CALL_COLUMNS)
+
+
+def _lake_root(spark):
+    from ledgerline.session import scratch_path
+
+    return scratch_path(spark, "lake")
+
+
+@register("lake_write_overwrite", with_(O.raw_ctes(), f"SELECT {_CALL_COLS} FROM raw_calls"))
+def q_lake_write_overwrite(spark, sf):
+    root = _lake_root(spark)
+    L.write_lake(damaged_extracts(spark, sf)["calls"], root, "calls", RUN_1)
+    L.write_lake(extracts(spark, sf)["calls"], root, "calls", RUN_2)  # replaces run 1
+    return L.read_lake(spark, root, "calls", extract_schema(CALL_COLUMNS))
+
+
+def _calls_extract_sql(damaged: bool) -> str:
+    return f"{O._calls_select(damaged)} FROM ev"
+
+
+@register("lake_write_append", with_([O.EV], (
+    f"{_calls_extract_sql(True)} UNION ALL {_calls_extract_sql(False)}")))
+def q_lake_write_append(spark, sf):
+    root = _lake_root(spark)
+    L.write_lake(damaged_extracts(spark, sf)["calls"], root, "calls", RUN_1, append=True)
+    L.write_lake(extracts(spark, sf)["calls"], root, "calls", RUN_2, append=True)
+    return L.read_lake(spark, root, "calls", extract_schema(CALL_COLUMNS))
+
+
+@register("lake_read_all", with_(O.raw_ctes(), (
+    f"SELECT {', '.join(f'{chr(34)}{c}{chr(34)}' for c in PAYMENT_COLUMNS)} FROM raw_payments")))
+def q_lake_read_all(spark, sf):
+    root = _lake_root(spark)
+    L.write_lake(extracts(spark, sf)["payments"], root, "payments", RUN_1)
+    return L.read_lake(spark, root, "payments", extract_schema(PAYMENT_COLUMNS))
+
+
+@register("lake_read_latest", with_(O.raw_ctes(), f"SELECT {_CALL_COLS} FROM raw_calls"))
+def q_lake_read_latest(spark, sf):
+    root = _lake_root(spark)
+    L.write_lake(damaged_extracts(spark, sf)["calls"], root, "calls", RUN_1, append=True)
+    L.write_lake(extracts(spark, sf)["calls"], root, "calls", RUN_2, append=True)
+    return L.read_lake(spark, root, "calls", extract_schema(CALL_COLUMNS), latest=True)
+
+
+@register("empty_source", with_(O.raw_ctes(), (
+    "SELECT 'calls' AS source, count(*) AS \"rows\" FROM raw_calls UNION ALL "
+    "SELECT 'payments', count(*) FROM raw_payments UNION ALL SELECT 'jobs', 0")))
+def q_empty_source(spark, sf):
+    root = _lake_root(spark)
+    ex = extracts(spark, sf)
+    for name in ("calls", "payments"):  # jobs never landed
+        L.write_lake(ex[name], root, name, RUN_1)
+    frames = {name: L.read_lake(spark, root, name, extract_schema(cols), latest=(name == "jobs"))
+              for name, cols in SOURCES.items()}
+    return marts.row_counts(frames)
+
+
+@register("jobs_documents", with_(O.raw_ctes(), (
+    "SELECT job_id, related_call_id, status, service_category, CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS value, "
+    "technician, scheduled_at, nullif(completed_at, '') AS completed_at FROM raw_jobs")))
+def q_jobs_documents(spark, sf):
+    from ledgerline.sources.documents import export_documents, read_documents
+
+    path = _lake_root(spark) + "/jobs_export"
+    export_documents(extracts(spark, sf)["jobs"], path)
+    return to_wire(read_documents(spark, path))
+
+
+def _raw_path(spark, name):
+    return _lake_root(spark) + f"/warehouse/raw/{name}"
+
+
+@register("raw_load", with_(O.raw_ctes(), f"SELECT {_CALL_COLS}, {tsf('_loaded_at')} AS _loaded_at FROM raw_calls"))
+def q_raw_load(spark, sf):
+    from ledgerline.operators.raw import load_raw, read_raw
+    from ledgerline.plans.pipeline import LOADED_AT
+
+    root = _lake_root(spark)
+    L.write_lake(extracts(spark, sf)["calls"], root, "calls", RUN_2)
+    landed = L.read_lake(spark, root, "calls", extract_schema(CALL_COLUMNS))
+    path = root + "/warehouse/raw/calls"
+    load_raw(landed, CALL_COLUMNS, LOADED_AT["calls"], path)
+    return to_wire(read_raw(spark, CALL_COLUMNS, path))
+
+
+@register("raw_schema", with_(O.raw_ctes(), (
+    f"SELECT {', '.join(f'{chr(34)}{c}{chr(34)}' for c in JOB_COLUMNS)}, {tsf('_loaded_at')} AS _loaded_at "
+    "FROM raw_jobs")))
+def q_raw_schema(spark, sf):
+    from ledgerline.operators.raw import read_raw, to_raw
+    from ledgerline.plans.pipeline import LOADED_AT
+
+    path = _lake_root(spark) + "/warehouse/raw/jobs"
+    to_raw(extracts(spark, sf)["jobs"], JOB_COLUMNS, LOADED_AT["jobs"]).write.mode("overwrite").parquet(path)
+    return to_wire(read_raw(spark, JOB_COLUMNS, path))  # read with the all-text raw schema
+
+
+@register("staging_views", ORACLE["stg_payments"])
+def q_staging_views(spark, sf):
+    from ledgerline.operators.staging import register_staging
+
+    register_staging(spark, layers(spark, sf).raw)
+    return to_wire(spark.table("stg_payments"))
+
+
+@register("mart_tables", ORACLE["mart_jobs"])
+def q_mart_tables(spark, sf):
+    _published(spark, sf)
+    return to_wire(spark.table("marts.mart_jobs"))
+
+
+# ---------------------------------------------------------------------------
+# streaming (STR-1, STR-2)
+# ---------------------------------------------------------------------------
+
+
+@register("request_rate_stream", with_([_LOG], (
+    f"SELECT {tsf(_win(1))} AS window_start, {tsf(_win(1) + ' + INTERVAL 1 MINUTE')} AS window_end, "
+    "count(*) AS requests, count(*) / 60 AS rps, "
+    "count(*) FILTER (WHERE status = 500) AS errors, "
+    "count(*) FILTER (WHERE status = 500) / count(*) AS error_ratio "
+    f"FROM log GROUP BY {_win(1)} HAVING {_win(1)} + INTERVAL 1 MINUTE <= "
+    "(SELECT max(ts) FROM log) - INTERVAL 5 MINUTE")))
+def q_request_rate_stream(spark, sf):
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming.requests import run_request_rate
+
+    base_ = scratch_path(spark, "stream")
+    run_request_rate(spark, f"{sf.rstrip('/')}/events.parquet", base_ + "/out", base_ + "/checkpoint")
+    return to_wire(spark.read.parquet(base_ + "/out"))
+
+
+@register("lake_ingest_stream", with_(O.raw_ctes(), (
+    f"SELECT {_CALL_COLS}, {tsf('_loaded_at')} AS _loaded_at FROM raw_calls UNION ALL "
+    f"SELECT {_CALL_COLS}, {tsf('_loaded_at')} AS _loaded_at FROM raw_calls")))
+def q_lake_ingest_stream(spark, sf):
+    from ledgerline.plans.pipeline import LOADED_AT
+    from ledgerline.streaming.ingest import ingest_stream
+
+    root = _lake_root(spark)
+    out, ck = root + "/warehouse/raw/calls", root + "/checkpoints/calls"
+    calls = extracts(spark, sf)["calls"]
+    # two runs land one after the other; each stream run ingests only new files
+    L.write_lake(calls, root, "calls", RUN_1, append=True)
+    ingest_stream(spark, root, "calls", CALL_COLUMNS, out, ck, LOADED_AT["calls"])
+    L.write_lake(calls, root, "calls", RUN_2, append=True)
+    ingest_stream(spark, root, "calls", CALL_COLUMNS, out, ck, LOADED_AT["calls"])
+    return to_wire(spark.read.parquet(out))
