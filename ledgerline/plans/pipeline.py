@@ -46,9 +46,27 @@ def raw_tables(spark: SparkSession, sf_dir: str, loaded_at: dict | None = None,
     return {name: to_raw(ex[name], cols, loaded_at[name]) for name, cols in SOURCES.items()}
 
 
+def materialize(spark: SparkSession, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write each raw table as parquet under the shared scratch folder and
+    read it back: cuts the lineage, so tables read by several jobs are
+    computed once (and later reads prune columns)."""
+    from ledgerline.session import scratch_path
+
+    base_ = scratch_path(spark, "raw")
+    out = {}
+    for name, df in raw.items():
+        df.write.mode("overwrite").parquet(f"{base_}/{name}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{base_}/{name}")
+    return out
+
+
 def layers(spark: SparkSession, sf_dir: str, loaded_at: dict | None = None,
-           damaged: bool = False) -> Layers:
+           damaged: bool = False, materialized: bool = False) -> Layers:
+    """Raw -> staging -> marts. ``materialized`` stores the raw tables first
+    (as the batch pipeline does) instead of deriving every layer lazily."""
     raw = raw_tables(spark, sf_dir, loaded_at, damaged)
+    if materialized:
+        raw = materialize(spark, raw)
     stg = staging(raw)
     return Layers(raw=raw, staging=stg, marts=build_marts(stg))
 
