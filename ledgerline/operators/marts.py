@@ -2,7 +2,10 @@
 
 Every mart is a single grouped aggregate over its staging input with
 conditional counts folded into one pass; averages and percentages are
-rounded exactly (see ``functions.numeric``).
+rounded exactly (see ``functions.numeric``). Marts are tables, so they carry
+no row order (a global sort would add a sampling job and a range shuffle to
+every reader); the ordered views are the serving queries and
+``ordered_mart``.
 """
 
 from __future__ import annotations
@@ -65,12 +68,12 @@ def mart_call_funnel(calls: DataFrame, jobs: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_completed"), F.lit(0)).alias("completed_jobs"),
         F.coalesce(F.sum("n_cancelled"), F.lit(0)).alias("cancelled_jobs"),
     )
-    return _with_rates(daily).orderBy("call_date")
+    return _with_rates(daily)
 
 
 def funnel_from_parts(daily_with_jobs: DataFrame) -> DataFrame:
     """AGG-2 from AGG-1 joined with JON-1 through JON-2 (reference shape)."""
-    return _with_rates(daily_with_jobs).orderBy("call_date")
+    return _with_rates(daily_with_jobs)
 
 
 def mart_revenue(payments: DataFrame) -> DataFrame:
@@ -91,7 +94,7 @@ def mart_revenue(payments: DataFrame) -> DataFrame:
         "payment_date", "service_description", "payment_method", "transaction_count",
         "revenue_dollars", "avg_ticket_dollars", "refund_count", "refund_dollars",
         (F.col("revenue_dollars") - F.col("refund_dollars")).alias("net_revenue_dollars"),
-    ).orderBy("payment_date", "service_description")
+    )
 
 
 def mart_jobs(jobs: DataFrame) -> DataFrame:
@@ -107,7 +110,7 @@ def mart_jobs(jobs: DataFrame) -> DataFrame:
         pct(completed, F.count(F.lit(1))).alias("completion_rate_pct"),
         avg_half_up(F.sum(done_value), F.count(done_value), 2, scale=2).alias("avg_completed_value"),
         F.sum(done_value).alias("total_completed_value"),
-    ).orderBy(F.col("total_completed_value").desc_nulls_first())
+    )
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -120,6 +123,18 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+MART_ORDER = {
+    "mart_call_funnel": [("call_date", "asc")],
+    "mart_revenue": [("payment_date", "asc"), ("service_description", "asc")],
+    "mart_jobs": [("total_completed_value", "desc_nulls_first")],
+}
+
+
+def ordered_mart(df: DataFrame, name: str) -> DataFrame:
+    """The mart in its documented order (NULLs first on a descending sort)."""
+    return df.orderBy(*[getattr(F.col(c), how)() for c, how in MART_ORDER[name]])
+
+
 def build_marts(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "mart_call_funnel": mart_call_funnel(stg["calls"], stg["jobs"]),

@@ -78,7 +78,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_ts: dt.datetim
     ``root`` must be a shared folder (object store or distributed FS).
     Returns the per-source row counts and the test results DataFrame.
     """
-    from ledgerline.operators.quality import DEFAULT_SUITE, gate, run_suite
+    from ledgerline.operators.quality import DEFAULT_SUITE, gate, layer_tables, run_suite
     from ledgerline.sources.lake import read_lake, write_lake
     from ledgerline.schemas import extract_schema
 
@@ -94,9 +94,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_ts: dt.datetim
         raw[name] = read_raw(spark, cols, path)
     stg = register_staging(spark, raw)
     marts = build_marts(stg)
-    tables = {**{f"raw.{k}": v for k, v in raw.items()},
-              **{f"staging.{k}": v for k, v in stg.items()}, **marts}
-    results = run_suite(tables, DEFAULT_SUITE)
+    tables = layer_tables(raw, stg, marts)
+    # one row per declared test: evaluate once, reuse for the gate and the caller
+    results = run_suite(tables, DEFAULT_SUITE).checkpoint(eager=True)
     status = {r["model"]: r["status"] for r in gate(results).collect()}
     written = {}
     for name, df in marts.items():

@@ -100,17 +100,17 @@ def q_funnel_with_jobs(spark, sf):
 
 @register("mart_call_funnel", with_(base(("funnel",)), f"SELECT {O.FUNNEL_WIRE} FROM mart_call_funnel"))
 def q_mart_call_funnel(spark, sf):
-    return to_wire(_marts(spark, sf)["mart_call_funnel"])
+    return to_wire(marts.ordered_mart(_marts(spark, sf)["mart_call_funnel"], "mart_call_funnel"))
 
 
 @register("mart_revenue", with_(base(("revenue",)), f"SELECT {O.REVENUE_WIRE} FROM mart_revenue"))
 def q_mart_revenue(spark, sf):
-    return to_wire(_marts(spark, sf)["mart_revenue"])
+    return to_wire(marts.ordered_mart(_marts(spark, sf)["mart_revenue"], "mart_revenue"))
 
 
 @register("mart_jobs", with_(base(("jobs",)), f"SELECT {O.JOBS_WIRE} FROM mart_jobs"))
 def q_mart_jobs(spark, sf):
-    return to_wire(_marts(spark, sf)["mart_jobs"])
+    return to_wire(marts.ordered_mart(_marts(spark, sf)["mart_jobs"], "mart_jobs"))
 
 
 @register("pipeline_rows", with_(base(()), (
