@@ -20,6 +20,20 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Settings meant for a large cluster reading ~100 TB: start wide and let AQE
+# coalesce shuffle partitions to ~256 MB, split files at 256 MB, split skewed
+# join partitions, keep broadcasts under a measured size.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "ledgerline", extra: dict | None = None) -> SparkSession:
