@@ -12,6 +12,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.timeutil import ntz_lit
+
 # Request-duration histogram bucket upper bounds (ms); +Inf last.
 LATENCY_BOUNDS_MS = [0, 5, 10, 25, 50, 75, 100, 250, 500, 750, 1000, 2500, 5000, 7500, 10000]
 QUANTILES = [0.5, 0.95, 0.99]
@@ -40,7 +42,7 @@ def pipeline_metrics(rows: DataFrame, statuses: DataFrame, duration_seconds: flo
 
     ``rows``: (source, rows) from AGG-5; ``statuses``: (status, n) from DQ-6.
     """
-    t = F.lit(ts).cast("timestamp_ntz")
+    t = ntz_lit(ts)
     spark = rows.sparkSession
     scalars = spark.createDataFrame(
         [("pipeline_run_duration_seconds", "", float(duration_seconds)),
@@ -123,7 +125,8 @@ def freshness_breaches(arrivals: DataFrame, key: str, ts: str, as_of: dt.datetim
     if threshold_seconds < 86400:
         raise ValueError("day buckets need threshold >= 1 day")
     a = arrivals.select(key, F.col(ts).cast("timestamp_ntz").alias("t")).where(F.col("t").isNotNull())
-    a = a.select(key, F.expr("unix_micros(to_timestamp(t))").alias("u"))
+    # epoch micros of the wall-clock value (no session time zone involved)
+    a = a.select(key, F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', t)").alias("u"))
     div = lambda x, y: F.call_function("div", x, F.lit(y))  # noqa: E731  exact integer division
     days = a.groupBy(key, div(F.col("u"), 86_400_000_000).alias("day")).agg(
         F.min("u").alias("first_u"), F.max("u").alias("last_u"))
@@ -142,7 +145,7 @@ def freshness_breaches(arrivals: DataFrame, key: str, ts: str, as_of: dt.datetim
           .otherwise(F.lit(as_of_u // g * g))
     isl = gaps.select(key, t1.alias("t1"), t2.alias("t2")).where(F.col("t2") >= F.col("t1"))
     held = div(F.col("t2") - F.col("t1"), 1_000_000)
-    to_ts = lambda c: F.expr(f"CAST(timestamp_micros({c}) AS TIMESTAMP_NTZ)")
+    to_ts = lambda c: F.expr(f"timestampadd(MICROSECOND, {c}, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
     return isl.select(
         key, to_ts("t1").alias("start"), to_ts("t2").alias("end"), held.alias("held_seconds"),
         (held >= for_seconds).alias("fired"),
