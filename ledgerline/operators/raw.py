@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from ledgerline.functions.timeutil import ntz_lit
 from ledgerline.schemas import LOADED_AT, raw_schema
 
+
 def _loaded_at_col(loaded_at) -> Column:
     if isinstance(loaded_at, Column):
         return loaded_at.cast("timestamp_ntz")
     return ntz_lit(loaded_at)
 
+
 def to_raw(df: DataFrame, columns: list[str], loaded_at) -> DataFrame:
     """Project onto the raw layout: every listed column as text, absent or
     NULL values as ``''`` (raw text is never NULL), plus ``_loaded_at``."""
@@ -24,6 +26,7 @@ def to_raw(df: DataFrame, columns: list[str], loaded_at) -> DataFrame:
     ]
     return df.select(*cols, _loaded_at_col(loaded_at).alias(LOADED_AT))
 
+
 def load_raw(df: DataFrame, columns: list[str], loaded_at, path: str) -> int:
     """Full replace of a raw table stored as parquet at ``path``; returns the
     number of rows loaded (read back from the written table)."""
@@ -31,5 +34,6 @@ def load_raw(df: DataFrame, columns: list[str], loaded_at, path: str) -> int:
     out.write.mode("overwrite").parquet(path)
     return out.sparkSession.read.schema(raw_schema(columns)).parquet(path).count()
 
+
 def read_raw(spark, columns: list[str], path: str) -> DataFrame:
     return spark.read.schema(raw_schema(columns)).parquet(path)
