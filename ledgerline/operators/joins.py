@@ -60,20 +60,26 @@ def call_job_mismatches(calls: DataFrame, jobs: DataFrame) -> DataFrame:
 
     One row per reason with its count: booked calls without a job, jobs whose
     call is absent or not booked, calls with more than one job.
-    """
-    booked = calls.where(F.col("outcome") == "booked").select("call_id")
-    job_keys = jobs.where(F.col("related_call_id").isNotNull()).select("related_call_id")
-    per_call = job_keys.groupBy("related_call_id").agg(F.count(F.lit(1)).alias("n"))
-
-    booked_without_job = booked.join(
-        per_call, booked.call_id == per_call.related_call_id, "left_anti")
-    orphan_jobs = jobs.join(booked, jobs.related_call_id == booked.call_id, "left_anti")
-    multi = per_call.where(F.col("n") > 1)
 
-    def one(reason: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("failures")).select(
+    Both sides are first reduced to one row per key with its multiplicity
+    (map-side partial aggregates), so the anti joins see distinct keys only
+    and a key holding a third of the rows is collapsed before the shuffle.
+    """
+    booked = (calls.where(F.col("outcome") == "booked").groupBy("call_id")
+              .agg(F.count(F.lit(1)).alias("n_calls")))
+    # NULL related ids form their own group; they never match a call
+    per_call = jobs.groupBy("related_call_id").agg(F.count(F.lit(1)).alias("n"))
+    keyed = per_call.where(F.col("related_call_id").isNotNull())
+
+    booked_without_job = booked.join(keyed, booked.call_id == keyed.related_call_id, "left_anti")
+    orphan_jobs = per_call.join(booked, per_call.related_call_id == booked.call_id, "left_anti")
+    multi = keyed.where(F.col("n") > 1)
+
+    def total(reason: str, df: DataFrame, col: str | None) -> DataFrame:
+        v = F.sum(col) if col else F.count(F.lit(1))
+        return df.agg(F.coalesce(v, F.lit(0)).cast("bigint").alias("failures")).select(
             F.lit(reason).alias("reason"), "failures")
 
-    return (one("booked_call_without_job", booked_without_job)
-            .unionByName(one("job_without_booked_call", orphan_jobs))
-            .unionByName(one("call_with_several_jobs", multi)))
+    return (total("booked_call_without_job", booked_without_job, "n_calls")
+            .unionByName(total("job_without_booked_call", orphan_jobs, "n"))
+            .unionByName(total("call_with_several_jobs", multi, None)))
