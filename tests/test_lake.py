@@ -67,4 +67,10 @@ def test_run_pipeline_end_to_end(spark):
     assert failing == {("raw.payments", "payment_id", "unique")}
     assert out["status"]["stg_payments"] == "skip" and out["status"]["mart_revenue"] == "skip"
     assert set(out["marts"]) == {"mart_call_funnel", "mart_jobs"}
+    assert out["status"]["mart_call_funnel"] == "pass"
     assert spark.table("pipe.mart_call_funnel").count() == 30
+    from ledgerline.operators import serving
+    from ledgerline.plans.pipeline import published_marts
+
+    funnel = published_marts(spark, "pipe")["mart_call_funnel"]
+    assert serving.call_funnel_summary(funnel).first().total_calls == 1000
