@@ -118,7 +118,9 @@ def published_marts(spark: SparkSession, database: str = "marts") -> dict[str, D
     """Read path: the marts written by ``run_pipeline`` as catalog tables.
 
     Serving functions take mart DataFrames, so they run unchanged on these
-    (each mart is built once per run and read by every serving query).
+    (each mart is built once per run and read by every serving query). A mart
+    the gate skipped in the first run is absent.
     """
-    return {name: spark.table(f"{database}.{name}")
-            for name in ("mart_call_funnel", "mart_revenue", "mart_jobs")}
+    names = ("mart_call_funnel", "mart_revenue", "mart_jobs")
+    return {n: spark.table(f"{database}.{n}") for n in names
+            if spark.catalog.tableExists(f"{database}.{n}")}
