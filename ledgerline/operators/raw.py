@@ -27,13 +27,24 @@ def to_raw(df: DataFrame, columns: list[str], loaded_at) -> DataFrame:
     return df.select(*cols, _loaded_at_col(loaded_at).alias(LOADED_AT))
 
 
-def load_raw(df: DataFrame, columns: list[str], loaded_at, path: str) -> int:
+def load_raw(df: DataFrame, columns: list[str], loaded_at, path: str, skip_empty: bool = True) -> int:
     """Full replace of a raw table stored as parquet at ``path``; returns the
-    number of rows loaded (read back from the written table)."""
+    number of rows loaded (read back from the written table).
+
+    An empty extract loads nothing and leaves the previous raw table as is
+    (``isEmpty`` stops at the first row).
+    """
+    if skip_empty and df.isEmpty():
+        return 0
     out = to_raw(df, columns, loaded_at)
     out.write.mode("overwrite").parquet(path)
     return out.sparkSession.read.schema(raw_schema(columns)).parquet(path).count()
 
 
 def read_raw(spark, columns: list[str], path: str) -> DataFrame:
+    """The raw table at ``path``; zero rows (typed) if it was never loaded."""
+    from ledgerline.sources.lake import path_exists
+
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], raw_schema(columns))
     return spark.read.schema(raw_schema(columns)).parquet(path)

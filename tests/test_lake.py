@@ -74,3 +74,15 @@ def test_run_pipeline_end_to_end(spark):
 
     funnel = published_marts(spark, "pipe")["mart_call_funnel"]
     assert serving.call_funnel_summary(funnel).first().total_calls == 1000
+
+
+def test_empty_extract_keeps_previous_raw_table(spark):
+    from ledgerline.operators.raw import load_raw, read_raw
+
+    cols = ["id", "amount", "note"]
+    path = scratch_path(spark, "raw") + "/widgets"
+    assert read_raw(spark, cols, path).count() == 0  # never loaded
+    assert load_raw(_rows(spark, [("1", "10", "a")]), cols, dt.datetime(2024, 1, 1), path) == 1
+    assert load_raw(_rows(spark, []), cols, dt.datetime(2024, 1, 2), path) == 0
+    got = read_raw(spark, cols, path).collect()
+    assert [(r.id, r._loaded_at) for r in got] == [("1", dt.datetime(2024, 1, 1))]
