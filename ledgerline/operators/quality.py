@@ -94,8 +94,14 @@ def layer_tables(raw: dict[str, DataFrame], stg: dict[str, DataFrame],
     return out
 
 
-def _pair(tid: int, t: DataTest) -> Column:
-    c = F.col(f"`{t.column}`")
+def _pair(tid: int, t: DataTest, cols: dict[str, Column] | None = None,
+          keep: Column | None = None) -> Column:
+    """(test id, value) for one row; NULL value = nothing to report.
+
+    ``cols``/``keep`` evaluate a view inline: the tested column is the view's
+    expression and rows outside the view's condition report nothing.
+    """
+    c = cols[t.column] if cols is not None else F.col(f"`{t.column}`")
     if t.test == "not_null":
         v = F.when(c.isNull(), F.lit(""))
     elif t.test == "unique":
@@ -105,12 +111,14 @@ def _pair(tid: int, t: DataTest) -> Column:
         v = F.when(~s.isin(list(t.values)), s)
     else:
         raise ValueError(f"unknown test {t.test}")
+    if keep is not None:
+        v = F.when(keep, v)
     return F.struct(F.lit(tid).alias("tid"), v.alias("v"))
 
 
-def _value_counts(df: DataFrame, tests: list[tuple[int, DataTest]]) -> DataFrame:
-    pairs = df.select(F.explode(F.array(*[_pair(i, t) for i, t in tests])).alias("p"))
-    return (pairs.select("p.tid", "p.v").where(F.col("v").isNotNull())
+def _value_counts(df: DataFrame, pairs: list[Column]) -> DataFrame:
+    exploded = df.select(F.explode(F.array(*pairs)).alias("p"))
+    return (exploded.select("p.tid", "p.v").where(F.col("v").isNotNull())
             .groupBy("tid", "v").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -120,15 +128,26 @@ def _tests_frame(spark: SparkSession, tests: list[DataTest]) -> DataFrame:
         [(i, t.layer, t.model, t.column, t.test) for i, t in enumerate(tests)], schema)
 
 
-def run_suite(tables: dict[str, DataFrame], tests: list[DataTest]) -> DataFrame:
-    """DQ-4: rows (layer, model, column, test, failures, status)."""
+def run_suite(tables: dict[str, DataFrame], tests: list[DataTest],
+              views: dict[str, tuple[str, Column, dict[str, Column]]] | None = None) -> DataFrame:
+    """DQ-4: rows (layer, model, column, test, failures, status).
+
+    ``views`` (model -> (base model, condition, columns)) lets tests on a view
+    run inside the scan of its base table: with staging defined over raw, the
+    source and staging tests of one source share a single scan and shuffle.
+    """
     spark = next(iter(tables.values())).sparkSession
-    by_model: dict[str, list[tuple[int, DataTest]]] = {}
+    views = views or {}
+    by_scan: dict[str, list[Column]] = {}
     for i, t in enumerate(tests):
-        by_model.setdefault(t.model, []).append((i, t))
+        base = views.get(t.model)
+        if base is not None and base[0] in tables:
+            by_scan.setdefault(base[0], []).append(_pair(i, t, base[2], base[1]))
+        else:
+            by_scan.setdefault(t.model, []).append(_pair(i, t))
     counts = None
-    for model, ts in by_model.items():
-        vc = _value_counts(tables[model], ts)
+    for model, pairs in by_scan.items():
+        vc = _value_counts(tables[model], pairs)
         counts = vc if counts is None else counts.unionByName(vc)
     meta = _tests_frame(spark, tests)
     kind = meta.select("tid", "test")

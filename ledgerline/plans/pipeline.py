@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.marts import build_marts, write_mart
 from ledgerline.operators.raw import load_raw, read_raw, to_raw
-from ledgerline.operators.staging import register_staging, staging
+from ledgerline.operators.staging import inline_views, register_staging, staging
 from ledgerline.schemas import SOURCES
 from ledgerline.sources.tables import damaged_extracts, extracts
 
@@ -100,7 +100,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_ts: dt.datetim
     upstream_tests = [t for t in DEFAULT_SUITE if t.layer != "marts"]
     mart_tests = [t for t in DEFAULT_SUITE if t.layer == "marts"]
     # one row per declared test: evaluated once, reused by the gate and the caller
-    upstream = run_suite(layer_tables(raw, stg, {}), upstream_tests).checkpoint(eager=True)
+    upstream = run_suite(layer_tables(raw, stg, {}), upstream_tests,
+                         views=inline_views()).checkpoint(eager=True)
     before = {r["model"]: r["status"] for r in gate(upstream).collect()}
     written = {}
     for name, df in build_marts(stg).items():

@@ -338,7 +338,10 @@ def _damaged_tables(spark, sf):
 
 
 def _suite(spark, sf):
-    return Q.run_suite(_damaged_tables(spark, sf), Q.DEFAULT_SUITE)
+    from ledgerline.operators.staging import inline_views
+
+    # staging tests run inside the raw scans (one scan per source)
+    return Q.run_suite(_damaged_tables(spark, sf), Q.DEFAULT_SUITE, views=inline_views())
 
 
 def _artifact_counts(spark, sf):
