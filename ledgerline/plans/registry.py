@@ -724,7 +724,16 @@ def q_describe_marts(spark, sf):
     return G.describe_marts(spark, _marts(spark, sf))
 
 
-@register("audit_log")
+# JSON lines as the writer emits them: keys in order, NULL members omitted
+_AUDIT_LINE = (
+    """'{"tool":"query_marts","input_sql":"' || sql || '",' || """
+    """CASE WHEN reason = '' THEN '"executed_sql":"' || (""" + _CAP + """) || '",' """
+    """ELSE '"rejected":true,"reason":"' || reason || '",' END || """
+    """'"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '"}'"""
+)
+
+
+@register("audit_log", with_(_VET, f"SELECT {_AUDIT_LINE} AS line FROM vetted"))
 def q_audit_log(spark, sf):
     from ledgerline.session import scratch_path
 
