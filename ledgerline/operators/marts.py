@@ -135,12 +135,18 @@ def ordered_mart(df: DataFrame, name: str) -> DataFrame:
     return df.orderBy(*[getattr(F.col(c), how)() for c, how in MART_ORDER[name]])
 
 
-def build_marts(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "mart_call_funnel": mart_call_funnel(stg["calls"], stg["jobs"]),
-        "mart_revenue": mart_revenue(stg["payments"]),
-        "mart_jobs": mart_jobs(stg["jobs"]),
-    }
+MART_BUILDERS = {
+    "mart_call_funnel": lambda stg: mart_call_funnel(stg["calls"], stg["jobs"]),
+    "mart_revenue": lambda stg: mart_revenue(stg["payments"]),
+    "mart_jobs": lambda stg: mart_jobs(stg["jobs"]),
+}
+
+
+def build_marts(stg):
+    """Mart name -> DataFrame, each defined on first access."""
+    from ledgerline.plans.lazy import LazyMap
+
+    return LazyMap(MART_BUILDERS, lambda name: MART_BUILDERS[name](stg))
 
 
 def with_comments(df: DataFrame, mart: str) -> DataFrame:

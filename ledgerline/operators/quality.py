@@ -86,12 +86,14 @@ MODELS = ["raw.calls", "raw.payments", "raw.jobs", "stg_calls", "stg_payments",
 RESULT_STATUSES = ["pass", "fail", "error", "warn", "skip"]
 
 
-def layer_tables(raw: dict[str, DataFrame], stg: dict[str, DataFrame],
-                 marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    out = {f"raw.{k}": v for k, v in raw.items()}
-    out.update({f"stg_{k}": v for k, v in stg.items()})
-    out.update(marts)
-    return out
+def layer_tables(raw, stg, marts):
+    """Model name -> table over all layers (tables defined on first access)."""
+    from ledgerline.plans.lazy import LazyMap
+
+    where = {f"raw.{k}": (raw, k) for k in raw}
+    where.update({f"stg_{k}": (stg, k) for k in stg})
+    where.update({k: (marts, k) for k in marts})
+    return LazyMap(where, lambda m: where[m][0][where[m][1]])
 
 
 def _pair(tid: int, t: DataTest, cols: dict[str, Column] | None = None,

@@ -91,8 +91,11 @@ def inline_views() -> dict[str, tuple[str, Column, dict[str, Column]]]:
 STAGING_MODELS = {"calls": stg_calls, "payments": stg_payments, "jobs": stg_jobs}
 
 
-def staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: STAGING_MODELS[name](df) for name, df in raw.items()}
+def staging(raw):
+    """Source name -> staging DataFrame (defined on first access)."""
+    from ledgerline.plans.lazy import LazyMap
+
+    return LazyMap(raw, lambda name: STAGING_MODELS[name](raw[name]))
 
 
 def register_staging(spark: SparkSession, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -10,6 +10,7 @@ materialisation cuts the lineage for the next stage.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.operators.marts import build_marts, write_mart
 from ledgerline.operators.raw import load_raw, read_raw, to_raw
 from ledgerline.operators.staging import inline_views, register_staging, staging
+from ledgerline.plans.lazy import LazyMap
 from ledgerline.schemas import SOURCES
 from ledgerline.sources.tables import damaged_extracts, extracts
 
@@ -34,16 +36,19 @@ AS_OF_WARN = dt.datetime(2024, 1, 31, 20, 0, 0)
 
 @dataclass
 class Layers:
-    raw: dict[str, DataFrame]
-    staging: dict[str, DataFrame]
-    marts: dict[str, DataFrame] = field(default_factory=dict)
+    """Raw, staging and mart tables of one input; mappings whose DataFrames
+    are defined on first access (a query only builds what it reads)."""
+    raw: Mapping[str, DataFrame]
+    staging: Mapping[str, DataFrame]
+    marts: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str, loaded_at: dict | None = None,
-               damaged: bool = False) -> dict[str, DataFrame]:
+               damaged: bool = False):
+    """Source name -> raw DataFrame (defined on first access)."""
     loaded_at = loaded_at or LOADED_AT
     ex = damaged_extracts(spark, sf_dir) if damaged else extracts(spark, sf_dir)
-    return {name: to_raw(ex[name], cols, loaded_at[name]) for name, cols in SOURCES.items()}
+    return LazyMap(SOURCES, lambda name: to_raw(ex[name], SOURCES[name], loaded_at[name]))
 
 
 def materialize(spark: SparkSession, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -104,9 +109,10 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_ts: dt.datetim
                          views=inline_views()).checkpoint(eager=True)
     before = {r["model"]: r["status"] for r in gate(upstream).collect()}
     written = {}
-    for name, df in build_marts(stg).items():
+    marts = build_marts(stg)
+    for name in marts:
         if before.get(name, "pass") != "skip":
-            written[name] = write_mart(spark, df, name, database)
+            written[name] = write_mart(spark, marts[name], name, database)
     results = upstream
     tested = [t for t in mart_tests if t.model in written]
     if tested:

@@ -4,6 +4,7 @@ inventory key, each next to its DuckDB oracle statement when SQL can express it.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from ledgerline.operators import joins, marts, serving
 from ledgerline.operators.filters import between_dates, where_category
 from ledgerline.plans import oracle as O
 from ledgerline.plans.oracle import b, base, d, dbl, hu, tsf, with_
-from ledgerline.plans.pipeline import layers
+from ledgerline.plans.pipeline import layers as build_layers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,6 +30,22 @@ def register(key: str, oracle: str | None = None):
     return deco
 
 
+_DEFINITIONS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
+def layers(spark, sf, damaged=False):
+    """Layer definitions of one input, shared by the queries of a session.
+
+    Only the DataFrame definitions are shared (building them is driver work);
+    every query still reads and computes everything from the tables.
+    """
+    per = _DEFINITIONS.setdefault(spark, {})
+    key = (sf.rstrip("/"), damaged)
+    if key not in per:
+        per[key] = build_layers(spark, sf, damaged=damaged)
+    return per[key]
+
+
 def _marts(spark, sf):
     return layers(spark, sf).marts
 

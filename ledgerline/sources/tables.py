@@ -123,12 +123,14 @@ def jobs_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _jobs_from(orders, ev)
 
 
-def extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "calls": calls_extract(spark, sf_dir),
-        "payments": payments_extract(spark, sf_dir),
-        "jobs": jobs_extract(spark, sf_dir),
-    }
+EXTRACTS = {"calls": calls_extract, "payments": payments_extract, "jobs": jobs_extract}
+
+
+def extracts(spark: SparkSession, sf_dir: str):
+    """Source name -> extract DataFrame, each defined on first access."""
+    from ledgerline.plans.lazy import LazyMap
+
+    return LazyMap(EXTRACTS, lambda name: EXTRACTS[name](spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -136,18 +138,35 @@ def extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # data-quality and consistency operators something to find.
 # ---------------------------------------------------------------------------
 
-def damaged_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def damaged_calls_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _calls_from(call_events(spark, sf_dir), damaged=True)
+
+
+def damaged_payments_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # payments plus a second copy of every first line item (duplicate ids)
+    li = read_table(spark, sf_dir, "lineitem")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return payments_from_lines(li.unionByName(li.where(F.col("l_linenumber") == 1)), part)
+
+
+def damaged_jobs_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # booked calls lacking a job (event_id % 7 = 0) plus jobs of calls that
+    # were not booked
     ev = call_events(spark, sf_dir)
-    calls = _calls_from(ev, damaged=True)
     orders = read_table(spark, sf_dir, "orders")
     booked = ev.where((F.col("event_type") == "purchase") & (F.col("event_id") % 7 != 0))
     not_booked = ev.where((F.col("event_type") == "view") & (F.col("event_id") % 40 == 0))
-    jobs = _jobs_from(orders, booked).unionByName(_jobs_from(orders, not_booked))
-    # payments plus a second copy of every first line item (duplicate ids)
-    li = read_table(spark, sf_dir, "lineitem")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    pay = payments_from_lines(li.unionByName(li.where(F.col("l_linenumber") == 1)), part)
-    return {"calls": calls, "payments": pay, "jobs": jobs}
+    return _jobs_from(orders, booked).unionByName(_jobs_from(orders, not_booked))
+
+
+DAMAGED_EXTRACTS = {"calls": damaged_calls_extract, "payments": damaged_payments_extract,
+                    "jobs": damaged_jobs_extract}
+
+
+def damaged_extracts(spark: SparkSession, sf_dir: str):
+    from ledgerline.plans.lazy import LazyMap
+
+    return LazyMap(DAMAGED_EXTRACTS, lambda name: DAMAGED_EXTRACTS[name](spark, sf_dir))
 
 
 def payments_from_lines(li: DataFrame, part: DataFrame) -> DataFrame:
