@@ -23,8 +23,8 @@ REJECTED = {
     "GRANT ALL ON marts.mart_jobs TO x": G.MSG_SELECT_ONLY,
     "COPY marts.mart_jobs TO '/tmp/x'": G.MSG_SELECT_ONLY,
     "SELECT 1; DROP TABLE marts.mart_revenue": G.MSG_MULTI,
-    "SELECT * FROM raw.aria_calls": G.MSG_SCHEMA,
-    "SELECT * FROM staging.stg_aria_calls": G.MSG_SCHEMA,
+    "SELECT * FROM raw.calls": G.MSG_SCHEMA,
+    "SELECT * FROM staging.stg_calls": G.MSG_SCHEMA,
     "SELECT * FROM pg_catalog.pg_tables": G.MSG_SCHEMA,
     "SELECT * FROM information_schema.tables": G.MSG_SCHEMA,
     "/* harmless */ DROP TABLE marts.mart_revenue": G.MSG_SELECT_ONLY,
@@ -32,7 +32,7 @@ REJECTED = {
     "SELECT * FROM public.users": "Table not allowed: public.users. Only marts tables are accessible.",
     "": G.MSG_EMPTY,
     "   \n\t ": G.MSG_EMPTY,
-    "SELECT * FROM marts.mart_revenue UNION SELECT * FROM raw.aria_calls": G.MSG_SCHEMA,
+    "SELECT * FROM marts.mart_revenue UNION SELECT * FROM raw.calls": G.MSG_SCHEMA,
     "SELECT * FROM marts.mart_jobs WHERE total_jobs IN (SELECT 1 FROM staging.stg_jobs)": G.MSG_SCHEMA,
     "SELECT * FROM marts.mart_jobs WHERE 1 = 1 OR delete": "Forbidden keyword: DELETE",
 }
