@@ -36,15 +36,19 @@ CLUSTER_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "ledgerline", extra: dict | None = None) -> SparkSession:
+                app: str = "ledgerline", extra: dict | None = None,
+                cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the engine's settings.
 
-    ``master`` is only set for local runs; on a cluster the launcher decides.
+    ``master`` is only set for local runs; on a cluster the launcher decides
+    and ``cluster=True`` adds ``CLUSTER_CONF``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
