@@ -7,7 +7,6 @@ isolated session that only sees the ``marts`` database and cannot read files.
 
 from __future__ import annotations
 
-import datetime as dt
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +35,6 @@ MSG_SELECT_ONLY = "Only SELECT queries are allowed"
 MSG_MULTI = "Multi-statement queries are not allowed"
 MSG_FORBIDDEN = "Forbidden keyword: "
 MSG_SCHEMA = "Access to raw, staging, pg_catalog, and information_schema is not allowed"
-MSG_TABLE = "Table not allowed: {}. Only marts tables are accessible."
 GENERIC_ERROR = "The query could not be run. Please try again or rephrase your question."
 
 MAX_ROWS = 100
@@ -205,6 +203,3 @@ def describe_marts(spark: SparkSession, marts: dict[str, DataFrame]) -> DataFram
     return spark.createDataFrame(rows, "table string, table_description string, column string, "
                                        "type string, description string")
 
-
-def now_utc() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

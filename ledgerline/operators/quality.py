@@ -22,7 +22,6 @@ from ledgerline.schemas import (
     LOADED_AT,
     OUTCOME_VALUES,
     PAYMENT_STATUS_VALUES,
-    SOURCES,
     URGENCY_VALUES,
 )
 
