@@ -91,6 +91,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_ts: dt.datetim
     from ledgerline.schemas import extract_schema
     from ledgerline.sources.lake import read_lake, write_lake
 
+    from ledgerline.session import scratch_root
+
+    scratch_root(spark)  # checkpoint folder: the session's, or a new one when unset
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = {}
     raw = {}

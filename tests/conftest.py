@@ -17,7 +17,6 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     s = get_session("local[4]", 8, app="ledgerline-tests", extra={
         "spark.sql.warehouse.dir": f"{scratch}/warehouse",
-        "spark.checkpoint.dir": f"{scratch}/checkpoints",
         "spark.driver.memory": "4g",
     })
     yield s
