@@ -62,24 +62,29 @@ def call_job_mismatches(calls: DataFrame, jobs: DataFrame) -> DataFrame:
     call is absent or not booked, calls with more than one job.
 
     Both sides are first reduced to one row per key with its multiplicity
-    (map-side partial aggregates), so the anti joins see distinct keys only
-    and a key holding a third of the rows is collapsed before the shuffle.
+    (map-side partial aggregates), so a key holding a third of the rows is
+    collapsed before the shuffle. One full outer join of the two reduced
+    sides (both already hash-partitioned on the key, so no further exchange)
+    then answers all three questions in a single aggregate: an unmatched
+    booked key is a call without a job, an unmatched job key (including the
+    NULL group, which never matches) is a job without a booked call.
     """
     booked = (calls.where(F.col("outcome") == "booked").groupBy("call_id")
               .agg(F.count(F.lit(1)).alias("n_calls")))
-    # NULL related ids form their own group; they never match a call
     per_call = jobs.groupBy("related_call_id").agg(F.count(F.lit(1)).alias("n"))
-    keyed = per_call.where(F.col("related_call_id").isNotNull())
-
-    booked_without_job = booked.join(keyed, booked.call_id == keyed.related_call_id, "left_anti")
-    orphan_jobs = per_call.join(booked, per_call.related_call_id == booked.call_id, "left_anti")
-    multi = keyed.where(F.col("n") > 1)
-
-    def total(reason: str, df: DataFrame, col: str | None) -> DataFrame:
-        v = F.sum(col) if col else F.count(F.lit(1))
-        return df.agg(F.coalesce(v, F.lit(0)).cast("bigint").alias("failures")).select(
-            F.lit(reason).alias("reason"), "failures")
-
-    return (total("booked_call_without_job", booked_without_job, "n_calls")
-            .unionByName(total("job_without_booked_call", orphan_jobs, "n"))
-            .unionByName(total("call_with_several_jobs", multi, None)))
+    both = booked.join(per_call, booked.call_id == per_call.related_call_id, "full_outer")
+
+    no_job = F.col("related_call_id").isNull() & F.col("n").isNull()
+    no_call = F.col("call_id").isNull()
+    several = F.col("related_call_id").isNotNull() & (F.col("n") > 1)
+    zero = F.lit(0).cast("bigint")
+    totals = both.agg(
+        F.coalesce(F.sum(F.when(no_job, F.col("n_calls"))), zero).cast("bigint")
+         .alias("booked_call_without_job"),
+        F.coalesce(F.sum(F.when(no_call, F.col("n"))), zero).cast("bigint")
+         .alias("job_without_booked_call"),
+        F.count(F.when(several, 1)).cast("bigint").alias("call_with_several_jobs"),
+    )
+    return totals.unpivot(
+        [], ["booked_call_without_job", "job_without_booked_call", "call_with_several_jobs"],
+        "reason", "failures")
