@@ -42,3 +42,28 @@ def test_hot_call_id_is_counted_in_full(spark):
     assert ref == 450
     m = {r.reason: r.failures for r in joins.call_job_mismatches(calls, jobs).collect()}
     assert m["call_with_several_jobs"] == 1 and m["job_without_booked_call"] == 0  # only call "0"
+
+
+def test_consistency_matches_brute_force(spark):
+    """NULL call ids, unbooked calls and repeated booked ids, against a
+    Python count of the three reasons."""
+    t = dt.datetime(2024, 1, 1, 9)
+    outcomes = ["booked", "missed", "booked", "qualified"]
+    calls_rows = [(str(i), t, outcomes[i % 4], 10, Decimal("0.50")) for i in range(40)]
+    calls_rows += [("2", t, "booked", 10, Decimal("0.50"))]  # booked id seen twice
+    jobs_rows = [(f"j{i}", None if i % 9 == 0 else str(i % 50), "completed") for i in range(60)]
+    calls = spark.createDataFrame(
+        calls_rows, "call_id string, call_timestamp timestamp_ntz, outcome string, "
+        "duration_seconds int, sentiment_score decimal(3,2)")
+    jobs = spark.createDataFrame(jobs_rows, "job_id string, related_call_id string, job_status string")
+
+    booked = [c[0] for c in calls_rows if c[2] == "booked"]
+    job_ids = [j[1] for j in jobs_rows]
+    keyed = [j for j in job_ids if j is not None]
+    exp = {
+        "booked_call_without_job": sum(1 for c in booked if c not in keyed),
+        "job_without_booked_call": sum(1 for j in job_ids if j is None or j not in booked),
+        "call_with_several_jobs": sum(1 for j in set(keyed) if keyed.count(j) > 1),
+    }
+    got = {r.reason: r.failures for r in joins.call_job_mismatches(calls, jobs).collect()}
+    assert got == exp and all(v > 0 for v in exp.values())
