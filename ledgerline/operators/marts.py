@@ -10,6 +10,8 @@ every reader); the ordered views are the serving queries and
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,15 +159,80 @@ def with_comments(df: DataFrame, mart: str) -> DataFrame:
 
 
 def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "marts") -> DataFrame:
-    """SNK-6: full replace of ``database.name`` as a catalog table (parquet)."""
+    """SNK-6: full replace of ``database.name`` as a catalog table (parquet),
+    published by build-then-swap.
+
+    Each run writes a new version folder under the table's folder; the
+    catalog entry is pointed at it only after that write job has committed.
+    A run that fails part-way (or whose driver is lost) leaves readers on the
+    previous version instead of a dropped or half-written table. The current
+    and the previous version are kept (reads that started before the swap
+    finish on the previous one); older versions are removed.
+    """
+    import uuid
+
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    # explicit location under the warehouse: a re-run replaces the files even
-    # when the catalog entry is gone (e.g. a fresh metastore)
     root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    (with_comments(df, name).write.mode("overwrite").format("parquet")
-     .option("path", f"{root}/{database}.db/{name}")
-     .option("comment", MART_DESCRIPTIONS.get(name, "")).saveAsTable(f"{database}.{name}"))
-    return spark.table(f"{database}.{name}")
+    table_dir = f"{root}/{database}.db/{name}"
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    version = f"{table_dir}/{VERSION_PREFIX}{stamp}-{uuid.uuid4().hex[:8]}"
+    out = with_comments(df, name)
+    try:
+        out.write.mode("errorifexists").parquet(version)
+    except Exception:
+        _delete(spark, version)  # the table still points at the previous version
+        raise
+
+    full = f"{database}.{name}"
+    same_layout = spark.catalog.tableExists(full) and (
+        [(f.name, f.dataType) for f in spark.table(full).schema]
+        == [(f.name, f.dataType) for f in out.schema])
+    if same_layout:
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(full)
+    else:
+        # first run, or the mart's columns changed: a new catalog entry (the
+        # table is external, so dropping it keeps the files of older versions)
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.catalog.createTable(full, path=version, source="parquet", schema=out.schema,
+                                  description=MART_DESCRIPTIONS.get(name, ""))
+    _remove_old_versions(spark, table_dir, current=version)
+    return spark.table(full)
+
+
+VERSION_PREFIX = "version-"
+
+
+def mart_versions(spark: SparkSession, table_dir: str) -> list[str]:
+    """Version folders of a mart, oldest first (names sort by time)."""
+    from ledgerline.sources.lake import _fs
+
+    fs, p = _fs(spark, f"{table_dir}/{VERSION_PREFIX}*")
+    statuses = fs.globStatus(p)
+    return sorted(str(s.getPath()) for s in (statuses or []) if s.isDirectory())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    from ledgerline.sources.lake import _fs
+
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def _remove_old_versions(spark: SparkSession, table_dir: str, current: str) -> None:
+    """Keep the current version and the newest committed one before it
+    (``_SUCCESS`` written by the job commit); drop the rest, including folders
+    of runs that died before committing."""
+    from ledgerline.sources.lake import path_exists
+
+    cur = current.rsplit("/", 1)[-1]
+    older = [v for v in mart_versions(spark, table_dir) if v.rsplit("/", 1)[-1] != cur]
+    committed = [v for v in older if path_exists(spark, f"{v}/_SUCCESS")]
+    keep = set(committed[-1:])
+    for v in older:
+        if v not in keep:
+            _delete(spark, v)
 
 
 def mart_schema(name: str, df: DataFrame) -> T.StructType:

@@ -86,3 +86,32 @@ def test_empty_extract_keeps_previous_raw_table(spark):
     assert load_raw(_rows(spark, []), cols, dt.datetime(2024, 1, 2), path) == 0
     got = read_raw(spark, cols, path).collect()
     assert [(r.id, r._loaded_at) for r in got] == [("1", dt.datetime(2024, 1, 1))]
+
+
+def test_mart_publish_swaps_versions_and_survives_a_failed_write(spark):
+    import pytest
+
+    from ledgerline.operators.marts import mart_versions, write_mart
+
+    def jobs_mart(n):
+        return spark.range(n).select(F.lit("plumbing repair").alias("service_category"),
+                                     F.col("id").alias("total_jobs"))
+
+    for n in (1, 2, 3):
+        got = write_mart(spark, jobs_mart(n), "mart_jobs", "swap")
+        assert got.count() == n
+    table_dir = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/swap.db/mart_jobs"
+    assert len(mart_versions(spark, table_dir)) == 2  # current + previous
+    comment = spark.table("swap.mart_jobs").schema["service_category"].metadata.get("comment")
+    assert comment  # column documentation survives the swap
+
+    # the write job fails inside its tasks (ANSI cast of a per-row value):
+    # readers stay on the last version and no partial version is left behind
+    bad = spark.range(5).select(
+        F.concat(F.lit("x"), F.col("id").cast("string")).cast("int").cast("string").alias("service_category"),
+        F.col("id").alias("total_jobs"))
+    with pytest.raises(Exception):
+        write_mart(spark, bad, "mart_jobs", "swap")
+    assert spark.table("swap.mart_jobs").count() == 3
+    assert spark.newSession().table("swap.mart_jobs").count() == 3
+    assert len(mart_versions(spark, table_dir)) == 2
