@@ -47,3 +47,12 @@ def test_funnel_pre_aggregates_jobs_before_the_join(spark):
 def test_request_log_scan_is_pruned(spark):
     plan = _plan(QUERIES["request_rate"](spark, SF_SMALL))
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan  # only the window column is read
+
+
+def test_consistency_is_one_join_of_reduced_sides(spark):
+    plan = _plan(QUERIES["call_job_consistency"](spark, SF_SMALL)).split("\n\n")[0]
+    # one full outer join answers all three reasons; no anti-join branch per reason
+    assert plan.count("FullOuter") == 1 and "LeftAnti" not in plan
+    joins = [ln for ln in plan.splitlines() if "Join" in ln]
+    # the others are the inner joins that build the (damaged) jobs extract
+    assert all("FullOuter" in ln or "Inner" in ln for ln in joins)
