@@ -8,6 +8,26 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import format_reply_trees, linear_replies, read_loss, read_turns
+
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    out = format_reply_trees(linear_replies(rows))
+    out = out.withColumn("turns", read_turns(F.col("formatted"))).withColumn("loss", read_loss(F.col("formatted"), F.col("loss_spans")))
+    flat = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
+                      F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                      F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urls import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import weighted_fair_mix
 
@@ -16,6 +36,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_chat_format": op6_chat_format,
+    "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
 }
 
