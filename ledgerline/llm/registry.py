@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pieces import decode_pieces, encode_pieces
+
+    encoded = encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    encoded = encoded.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "piece_ids")
+    return decode_pieces(encoded).select(
+        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), F.xxhash64("piece_ids").alias("ids_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.sha2("decoded", 256) == F.col("text_sha256")).alias("lossless"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import format_reply_trees, linear_replies, read_loss, read_turns
 
@@ -36,6 +46,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_chat_format": op6_chat_format,
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
