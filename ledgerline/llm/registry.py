@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge_quality
+
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), trusted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pieces import decode_pieces, encode_pieces
 
@@ -46,6 +54,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_quality": op4_quality,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_chat_format": op6_chat_format,
     "op9_url_filter": op9_url_filter,
