@@ -36,27 +36,25 @@ def _runs(messages: DataFrame) -> DataFrame:
     """(tree, node, parent, head, offset): each message with the first message of its unbranched run.
 
     A message that is its parent's only child continues the parent's run. Heads
-    are found by pointer doubling: a self-join per doubling of the run length.
+    are found by pointer doubling: a self-join of the messages not yet there per
+    doubling of the run length.
     """
     nodes = messages.select("tree", "node", "parent")
     counted = nodes.groupBy("tree", "parent").agg(F.count("*").alias("n"))
     alone = counted.where("n = 1 and parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p"), F.lit(True).alias("only"))
     known = nodes.select(F.col("tree").alias("kt"), F.col("node").alias("kn"))
+    follows = F.col("only") & F.col("kn").isNotNull()
     at = (nodes.join(alone, (F.col("tree") == F.col("t")) & (F.col("parent") == F.col("p")), "left")
           .join(known, (F.col("tree") == F.col("kt")) & (F.col("parent") == F.col("kn")), "left")
-          .select("tree", "node", F.col("kn").alias("parent"),
-                  F.when(F.col("only") & F.col("kn").isNotNull(), F.col("parent")).otherwise(F.col("node")).alias("head"),
-                  F.when(F.col("only") & F.col("kn").isNotNull(), 1).otherwise(0).cast("long").alias("offset")))
+          .select("tree", "node", F.col("kn").alias("parent"), F.when(follows, F.col("parent")).otherwise(F.col("node")).alias("head"),
+                  F.when(follows, 1).otherwise(0).cast("long").alias("offset"), (~F.coalesce(follows, F.lit(False))).alias("settled")))
     at = materialise(at, "chat_runs")
-    while True:
-        up = at.where("offset > 0").select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("head").alias("h"), F.col("offset").alias("o"))
-        step = at.join(up, (F.col("tree") == F.col("t")) & (F.col("head") == F.col("n")), "left")
-        moved = F.col("n").isNotNull() & (F.col("offset") > 0)
-        step = step.select("tree", "node", "parent", F.when(moved, F.col("h")).otherwise(F.col("head")).alias("head"),
-                           F.when(moved, F.col("offset") + F.col("o")).otherwise(F.col("offset")).alias("offset"))
-        before, at = at, materialise(step, "chat_runs")
-        if at.agg(F.sum("offset")).first()[0] == before.agg(F.sum("offset")).first()[0]:
-            return at
+    while not (moving := at.where("not settled")).isEmpty():
+        ahead = at.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("head").alias("h"), F.col("offset").alias("o"), F.col("settled").alias("s"))
+        moved = (moving.join(ahead, (F.col("tree") == F.col("t")) & (F.col("head") == F.col("n")))
+                 .select("tree", "node", "parent", F.col("h").alias("head"), (F.col("offset") + F.col("o")).alias("offset"), F.col("s").alias("settled")))
+        at = at.where("settled").unionByName(materialise(moved, "chat_moved"))
+    return at.drop("settled")
 
 
 def best_branches(messages: DataFrame, branches: int | None = 1) -> DataFrame:

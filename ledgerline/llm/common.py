@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +46,9 @@ def rows_at_most(df: DataFrame, n: int) -> bool:
 def with_broadcast_if(df: DataFrame, n: int) -> DataFrame:
     """``df`` marked for broadcast when its row count is checked to be at most ``n``."""
     return F.broadcast(df) if rows_at_most(df, n) else df
+
+
+def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """``value`` (of bounded size) broadcast with its classes; the result gives it back inside a task."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)

@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .common import shipped
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # stands for a space in pieces
 #: Units up to this many symbols are merged in arrays, longer ones with an agenda of their own.
@@ -243,7 +245,7 @@ def _table(spark: SparkSession, model: str):
     """The piece table, read by Spark, so that ``model`` may lie in any store it reads, and broadcast (a vocabulary is fixed in size)."""
     path = model if "://" in model else f"file://{model}"
     proto = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-    return spark.sparkContext.broadcast(PieceTable(proto))
+    return shipped(spark, PieceTable(proto))
 
 
 def encode_pieces(docs: DataFrame, dropout: float = 0.1, seed: int = 7, streams: int = 4, model: str = MODEL) -> DataFrame:
@@ -266,7 +268,7 @@ def encode_pieces(docs: DataFrame, dropout: float = 0.1, seed: int = 7, streams:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        encoder, arrow = Encoder(shared.value, dropout, seed, streams), to_arrow_schema(schema)
+        encoder, arrow = Encoder(shared(), dropout, seed, streams), to_arrow_schema(schema)
         for whole in batches:
             for batch in _by_size(whole, "text"):
                 keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
@@ -301,7 +303,7 @@ def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        of, arrow = shared.value.bytes_of, to_arrow_schema(schema)
+        of, arrow = shared().bytes_of, to_arrow_schema(schema)
         for batch in batches:
             column = batch.column("piece_ids")
             flat, at = column.values.to_numpy(), column.offsets.to_numpy()

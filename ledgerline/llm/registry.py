@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import held_out, score_toxicity, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge_quality
 
@@ -54,6 +62,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op4_quality": op4_quality,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_chat_format": op6_chat_format,
