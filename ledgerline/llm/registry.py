@@ -16,6 +16,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, keep=["doc_id"]).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge_quality
 
@@ -63,6 +70,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_quality": op4_quality,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_chat_format": op6_chat_format,
