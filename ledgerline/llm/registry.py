@@ -55,6 +55,13 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_components
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc"), "text")
+    return jaccard_components(docs).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urls import judge_urls
 
@@ -74,6 +81,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_chat_format": op6_chat_format,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
 }
