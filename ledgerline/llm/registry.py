@@ -16,6 +16,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import nearest
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .repeats import remove_repeats
 
@@ -77,6 +84,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_nearest": op2_nearest,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality": op4_quality,
     "op5_sentencepiece": op5_sentencepiece,
