@@ -69,6 +69,15 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(docs).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licences import licence_files
+
+    # The tables have no file names: a document lies in the directory of its source and language.
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return licence_files(files)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urls import judge_urls
 
@@ -90,6 +99,7 @@ QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_chat_format": op6_chat_format,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_licence_scan": op8_licence_scan,
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
 }
