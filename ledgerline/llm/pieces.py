@@ -20,8 +20,13 @@ MARK = "▁"  # stands for a space in pieces
 ARRAY_SYMBOLS = 32
 #: Characters of texts handled at once, and cached units of a worker.
 SLICE_CHARS = 1_000_000
-CACHE_UNITS = 400_000
+CACHE_UNITS = 800_000
+#: Stretches of a text that no piece crosses: always at spaces and line ends, and between letters
+#: and other characters if the vocabulary has no piece of both.
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
+_FINE_UNIT = re.compile(r" *[^\W\d_]+| *(?:[\W\d_](?<![ \n]))+| +|\n")
+_MIXED = re.compile(r"[^\W\d_][\W\d_]|[\W\d_][^\W\d_]")
+_ODD = 1 << 19  # stand-ins for characters without a piece lie above
 _NEVER = np.iinfo(np.int32).max
 _M64 = (1 << 64) - 1
 _K1, _K2, _K3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
@@ -44,6 +49,7 @@ class PieceTable:
             self.bytes_of[i] = p.replace(MARK, " ").encode()
         for b, i in enumerate(self.byte_ids):
             self.bytes_of[i] = bytes([b])
+        self.unit = _UNIT if any(_MIXED.search(p.lstrip(MARK)) for p in ids) else _FINE_UNIT
         rank_of = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in plain}, reverse=True))}
         pairs = {}
         for p, i in ids.items():
@@ -117,21 +123,17 @@ def merge_with_agenda(symbols: list[int], table: PieceTable, key: int, limit: in
     return [x for x in ids if x >= 0]
 
 
-def _merge_rows(rows: list[list[int]], table: PieceTable, keys: np.ndarray, limit: int) -> list[np.ndarray]:
-    """The same merges for many short units at once: each round makes every unit's best merge.
+def _merge_rows(ids: np.ndarray, lengths: np.ndarray, table: PieceTable, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same merges for many short units at once, a row of symbols each: a round makes every
+    unit's best merge. Returns the pieces in the rows and their numbers.
 
     A unit's best open candidate is what its agenda would pop next, and a skipped
     one is closed when it arises, so rounds and agenda give the same pieces.
     """
-    n = len(rows)
-    lengths = np.fromiter(map(len, rows), np.int64, n)
-    width = int(lengths.max())
+    n, width = ids.shape
     cols = np.arange(width)
-    ids = np.zeros((n, width), np.int32)
-    ids[cols < lengths[:, None]] = np.fromiter((x for r in rows for x in r), np.int32, int(lengths.sum()))
-    start = np.broadcast_to(np.arange(width + 1), (n, width + 1)).copy()  # start[:, k + 1] is where symbol k ends
-    out: list[np.ndarray] = [np.empty(0, np.int32)] * n
-    which = np.arange(n)
+    start = np.broadcast_to(np.arange(width + 1, dtype=np.uint8), (n, width + 1)).copy()  # start[:, k + 1] is where symbol k ends
+    out, sizes, which, lengths = ids.copy(), lengths.copy(), np.arange(n), lengths.copy()
 
     def candidates(r, k):
         at = table.find(ids[r, k], ids[r, k + 1])
@@ -139,39 +141,38 @@ def _merge_rows(rows: list[list[int]], table: PieceTable, keys: np.ndarray, limi
             at[_skips_array(keys[which[r]], start[r, k], start[r, k + 1], start[r, k + 2], limit)] = 0
         return at
 
-    open_ = np.zeros((n, max(1, width - 1)), np.int64)
-    r, k = np.nonzero(cols[:-1] + 1 < lengths[:, None])
+    open_ = np.zeros((n, width), np.int32)
+    r, k = np.nonzero(cols[1:] < lengths[:, None])
     if len(r):
         open_[r, k] = candidates(r, k)
     while len(which):
         rank = table.ranks[open_]
         best = rank.argmin(axis=1)
-        row = np.arange(len(which))
-        live = rank[row, best] != _NEVER
-        for i in np.nonzero(~live)[0]:
-            out[which[i]] = ids[i, : lengths[i]]
+        live = rank[np.arange(len(which)), best] != _NEVER
         if not live.all():
+            done = which[~live]
+            out[done, : ids.shape[1]] = ids[~live]
+            sizes[done] = lengths[~live]
             ids, start, open_, lengths, which, best = ids[live], start[live], open_[live], lengths[live], which[live], best[live]
-        if not len(which):
-            break
+            if not len(which):
+                break
         row = np.arange(len(which))
         ids[row, best] = table.merged[open_[row, best]]
-
-        def without(m, at):  # drops column at[i] of each row i, an unused one moves in at the end
-            w = m.shape[1]
-            c = np.arange(w)
-            return np.take_along_axis(m, np.minimum(c + (c >= at[:, None]), w - 1), axis=1)
-
-        ids, start, lengths = without(ids, best + 1), without(start, best + 1), lengths - 1
-        open_ = without(open_, best)
-        open_[:, -1] = 0
+        # Each unit loses the symbol after its best merge, its border and its candidate; the tables get a column narrower.
+        w = ids.shape[1]
+        c = np.arange(w + 1)
+        gone = c != best[:, None] + 1
+        ids, start = ids[gone[:, :w]].reshape(len(row), w - 1), start[gone].reshape(len(row), w)
+        open_ = open_[c[:w] != best[:, None]].reshape(len(row), w - 1)
+        lengths -= 1
         for k in (best - 1, best):
-            r = row[(k >= 0) & (k + 1 < lengths)]
+            inside = (k >= 0) & (k + 1 < lengths)
+            r = row[inside]
             if len(r):
-                open_[r, k[r]] = candidates(r, k[r])
-        past = (best + 1 >= lengths) & (best < open_.shape[1])
+                open_[r, k[inside]] = candidates(r, k[inside])
+        past = (best + 1 >= lengths) & (best < w - 1)
         open_[row[past], best[past]] = 0
-    return out
+    return out, sizes
 
 
 class Encoder:
@@ -180,52 +181,77 @@ class Encoder:
     def __init__(self, table: PieceTable, dropout: float, seed: int, streams: int):
         self.table, self.limit, self.seed, self.streams = table, round(dropout * (1 << 31)), seed, max(1, streams if dropout else 1)
         self.cache: list[dict[str, bytes]] = [{} for _ in range(self.streams)]
+        self.of_code = np.zeros(0x110000, np.int32)  # id of each code point's piece, 0 for none
+        for ch, i in table.char_ids.items():
+            self.of_code[ord(ch)] = i
+        self.of_code[ord(" ")], self.of_code[ord(MARK)] = self.of_code[ord(MARK)], 0
 
     def stream(self, doc_key: str) -> int:
         return xxhash.xxh3_64_intdigest(doc_key.encode("utf-8", "surrogatepass"), (self.seed + 1) & _M64) % self.streams
 
+    def _symbols(self, unit: str) -> tuple[list[int], list[str]]:
+        """Symbols of one unit; characters without a piece become stand-ins that never merge."""
+        odd, symbols = [], []
+        for ch in unit:
+            i = int(self.of_code[ord(ch)])
+            if not i:
+                odd.append(ch)
+                i = _ODD + len(odd)
+            symbols.append(i)
+        return symbols, odd
+
     def _learn(self, stream: int, units: list[str]) -> None:
         """Merges units and caches their ids (4 bytes each)."""
-        table, cache, short, long_ = self.table, self.cache[stream], [], []
-        lookup = table.char_ids
-        for u in units:
-            odd = []  # characters without a piece: negative stand-ins for bytes that never merge
-            symbols = []
-            for ch in u:
-                i = lookup.get(MARK) if ch == " " else None if ch == MARK else lookup.get(ch)
-                if i is None:
-                    odd.append(ch)
-                    i = (1 << 19) + len(odd)
-                symbols.append(i)
-            (short if len(symbols) <= ARRAY_SYMBOLS else long_).append((u, symbols, odd))
-        merged = []
-        short.sort(key=lambda x: len(x[1]))
-        for k in range(0, len(short), 20_000):
-            part = short[k : k + 20_000]
-            keys = np.array([_unit_key(u, self.seed, stream) for u, _, _ in part], np.uint64)
-            merged += zip(part, _merge_rows([s for _, s, _ in part], table, keys, self.limit), strict=True)
-        merged += [((u, s, o), merge_with_agenda(s, table, _unit_key(u, self.seed, stream), self.limit)) for u, s, o in long_]
-        for (u, _, odd), ids in merged:
-            if odd:
-                ids = [x for i in ids for x in ((i,) if i < 1 << 19 else (table.byte_ids[b] for b in odd[i - (1 << 19) - 1].encode("utf-8", "surrogatepass")))]
-            cache[u] = np.asarray(ids, np.int32).tobytes()
-
-    def encode(self, text: str, doc_key: str) -> bytes:
-        """Ids of a whole text as bytes, 4 to an id, slice by slice."""
-        stream, out = self.stream(doc_key), []
-        for units in _units(text):
-            cache = self.cache[stream]
-            if sum(map(len, self.cache)) > CACHE_UNITS:
-                for c in self.cache:
-                    c.clear()
-            if new := set(units).difference(cache):
+        cache, table = self.cache[stream], self.table
+        units.sort(key=len)
+        for a in range(0, len(units), 20_000):
+            part = units[a : a + 20_000]
+            codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32)
+            symbols, size = self.of_code[codes], np.fromiter(map(len, part), np.int64, len(part))
+            known = np.minimum.reduceat(symbols, np.cumsum(size) - size) > 0
+            short = known & (size <= ARRAY_SYMBOLS)
+            if short.any():
+                ids = np.zeros((int(short.sum()), int(size[short].max())), np.int32)
+                ids[np.arange(ids.shape[1]) < size[short][:, None]] = symbols[np.repeat(short, size)]
+                names = [part[i] for i in np.flatnonzero(short)]
+                keys = np.fromiter((_unit_key(u, self.seed, stream) for u in names), np.uint64, len(names)) if self.limit else np.empty(0, np.uint64)
+                out, n = _merge_rows(ids, size[short], table, keys, self.limit)
+                flat, step = out.tobytes(), 4 * out.shape[1]
+                cache.update((u, flat[i * step : i * step + 4 * k]) for i, (u, k) in enumerate(zip(names, n.tolist(), strict=True)))
+            for i in np.flatnonzero(~short):
+                row, odd = self._symbols(part[i])
+                ids = merge_with_agenda(row, table, _unit_key(part[i], self.seed, stream), self.limit)
+                ids = [x for i in ids for x in ((i,) if i < _ODD else (table.byte_ids[b] for b in odd[i - _ODD - 1].encode("utf-8", "surrogatepass")))]
+                cache[part[i]] = np.asarray(ids, np.int32).tobytes()
+
+    def encode(self, texts: list[str | None], doc_keys: list[str]) -> list[bytes | None]:
+        """Ids of whole texts as bytes, 4 to an id. Units of all texts are merged together; very long
+        texts come in slices, several rounds long."""
+        out: list[list[bytes] | None] = [None if t is None else [] for t in texts]
+        slices = ((i, self.stream(k), units) for i, (t, k) in enumerate(zip(texts, doc_keys, strict=True)) if t for units in _units(t, self.table.unit))
+        held, size = [], 0
+        for item in slices:
+            held.append(item)
+            size += len(item[2])
+            if size >= SLICE_CHARS // 4:
+                self._flush(held, out)
+                held, size = [], 0
+        self._flush(held, out)
+        return [None if x is None else b"".join(x) for x in out]
+
+    def _flush(self, held: list[tuple[int, int, list[str]]], out: list) -> None:
+        if sum(map(len, self.cache)) > CACHE_UNITS:
+            for c in self.cache:
+                c.clear()
+        for stream, cache in enumerate(self.cache):
+            if new := set().union(*(u for _, s, u in held if s == stream)).difference(cache):
                 self._learn(stream, sorted(new))
-            out.append(b"".join(map(cache.__getitem__, units)))
-        return b"".join(out)
+        for i, stream, units in held:
+            out[i].append(b"".join(map(self.cache[stream].__getitem__, units)))
 
 
-def _units(text: str) -> Iterator[list[str]]:
-    """Units (a run of spaces and the word after it, or a line end) of a text behind a leading space,
+def _units(text: str, unit: re.Pattern) -> Iterator[list[str]]:
+    """Units (a run of spaces and what follows it, or a line end) of a text behind a leading space,
     in slices that end before a space; no merge crosses a unit."""
     text, at = " " + text if text else "", 0
     while at < len(text):
@@ -233,7 +259,7 @@ def _units(text: str) -> Iterator[list[str]]:
         if end < len(text):
             while end < len(text) and not (text[end] == " " and text[end - 1] != " "):
                 end += 1
-        yield _UNIT.findall(text, at, end) if end < len(text) else _UNIT.findall(text, at)
+        yield unit.findall(text, at, end) if end < len(text) else unit.findall(text, at)
         at = end
 
 
@@ -272,7 +298,7 @@ def encode_pieces(docs: DataFrame, dropout: float = 0.1, seed: int = 7, streams:
         for whole in batches:
             for batch in _by_size(whole, "text"):
                 keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-                ids = [None if t is None else encoder.encode(t, str(k)) for k, t in zip(keys, texts, strict=True)]
+                ids = encoder.encode(texts, list(map(str, keys)))
                 ends = np.cumsum([0, *(len(x or b"") // 4 for x in ids)]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(x for x in ids if x), np.int32))
                 nulls = pa.array([x is None for x in ids], pa.bool_())
