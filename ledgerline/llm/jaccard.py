@@ -359,3 +359,21 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     least = materialise(members.where("group is not null and doc is not null").groupBy(F.col("group").alias("l")).agg(F.min("doc").alias("least")), "jaccard_least")
     return (members.join(least, F.col("group") == F.col("l"), "left")
             .select("doc", "node", "n", F.when(F.col("doc").isNotNull(), F.coalesce("least", "doc")).alias("component")))
+
+
+def one_of_each_group(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` (doc_id, text, other columns) with one document of each group that links connect: the smallest doc_id.
+
+    Defined cases: blank and null texts link with nothing and stay; a null doc_id
+    is no document that another could stand for, so its row stays; of rows with
+    the same doc_id and text one stays; an empty table stays empty.
+    """
+    found = jaccard_components(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), percent, shingle)
+    found = found.where("doc is not null").groupBy(F.col("doc").alias("__doc"), F.col("node").alias("__node")).agg(F.min("component").alias("__component"), F.count("*").alias("__rows"))
+    found = found.groupBy("__doc").agg(F.max(F.col("__doc") == F.col("__component")).alias("__stays"), F.max("__rows").alias("__rows"))
+    found = materialise(found, "jaccard_decisions")
+    kept = docs.join(found.hint("merge"), docs["doc_id"].cast("long") == F.col("__doc"), "left").where("__doc is null or __stays")
+    if found.where("__stays and __rows > 1").isEmpty():
+        return kept.select(*[docs[f"`{c}`"] for c in docs.columns])
+    once = kept.where("coalesce(__rows, 1) = 1").select(*[docs[f"`{c}`"] for c in docs.columns])
+    return once.unionByName(kept.where("__rows > 1").select(*[docs[f"`{c}`"] for c in docs.columns]).dropDuplicates(["doc_id", "text"]))
