@@ -176,14 +176,14 @@ def licence_files(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPL
     kept = [c for c in files.columns if c not in own]
     clean = F.regexp_replace(F.regexp_replace(F.col("path"), "/+", "/"), "^/|/$", "")
     scanned = materialise(scan_texts(files.select(*[F.col(f"`{c}`") for c in kept]), templates, header, whole).withColumn("__dir", parent(clean)), "licence_scan")
-    given = scanned.where("licence_file and __dir is not null").groupBy(F.col("__dir").alias("given_by")).agg(
+    given = scanned.where("licence_file and __dir is not null").groupBy(F.col("__dir").alias("__given_by")).agg(
         F.min_by("own_licence", F.struct(-F.col("cosine"), F.col("path"), F.col("own_licence"))).alias("given"))
     given = materialise(given, "licence_given")
-    dirs = materialise(scanned.where("own_licence is null and __dir is not null").select(F.col("__dir").alias("dir")).distinct(), "licence_dirs")
-    up = dirs.select("dir", F.explode(ancestors(F.col("dir"))).alias("a")).select("dir", "a.depth", "a.directory")
-    nearest = up.join(given, F.col("directory") == F.col("given_by")).groupBy("dir").agg(
-        F.max_by(F.struct("given", "given_by"), "depth").alias("nearest"))
+    dirs = materialise(scanned.where("own_licence is null and __dir is not null").select(F.col("__dir").alias("__of")).distinct(), "licence_dirs")
+    up = dirs.select("__of", F.explode(ancestors(F.col("__of"))).alias("a")).select("__of", "a.depth", "a.directory")
+    nearest = up.join(given, F.col("directory") == F.col("__given_by")).groupBy("__of").agg(
+        F.max_by(F.struct("given", F.col("__given_by").alias("given_by")), "depth").alias("__nearest"))
     nearest = materialise(nearest, "licence_nearest")
-    out = scanned.join(nearest, (F.col("__dir") == F.col("dir")) & F.col("own_licence").isNull(), "left")
+    out = scanned.join(nearest, (F.col("__dir") == F.col("__of")) & F.col("own_licence").isNull(), "left")
     return out.select(*[F.col(f"`{c}`") for c in kept if c != "text"], "own_licence", "cosine", "licence_file",
-                      F.coalesce("own_licence", "nearest.given").alias("licence"), F.col("nearest.given_by").alias("inherited_from"))
+                      F.coalesce("own_licence", "__nearest.given").alias("licence"), F.col("__nearest.given_by").alias("inherited_from"))
