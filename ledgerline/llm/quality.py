@@ -83,7 +83,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, orders: tuple[int, ...] = (1
     counts shrink to ``buckets`` rows a task before anything is shuffled.
     """
     ids = trusted.select(F.col("doc_id").alias("__t")).where("__t is not null").distinct()
-    marked = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("__t"), "left")
+    # Merged, not broadcast: the trusted ids grow with the corpus.
+    marked = docs.select("doc_id", "text").join(ids.hint("merge"), F.col("doc_id") == F.col("__t"), "left")
     marked = marked.select(F.col("__t").isNotNull().alias("trusted"), words(F.col("text")).alias("w"))
     grams = marked.select("trusted", F.explode(ngram_buckets(F.col("w"), orders, buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count(F.when(F.col("trusted"), 1)).alias("target"))
