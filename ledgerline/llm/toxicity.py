@@ -195,6 +195,21 @@ def _witnesses(bag: list[list[str]], score) -> list[str]:
     return [t for t in tops if score(t) == worst or (worst > 0 and score(t) >= worst / 2)]
 
 
+def _excess(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
+    """Standard errors by which a token's share of toxic texts exceeds its share of clean ones."""
+    p = (toxic + clean) / (n_toxic + n_clean)
+    return (toxic / n_toxic - clean / n_clean) / np.sqrt(max(p * (1 - p), 1e-12) * (1 / n_toxic + 1 / n_clean))
+
+
+def _supported(witness: Counter, leading: list[str], odds: dict[str, float]) -> Counter:
+    """Witnesses among the leading tokens, or much like one and rarer in clean texts; all, if there are none."""
+    names = sorted(witness, key=lambda t: (-witness[t], t))
+    probe = Model(_landmark_table(leading), np.zeros(len(leading)), 0.0, 1.0, 0.0)
+    near = np.concatenate([probe.similar(names[i : i + 10_000]).max(axis=1) for i in range(0, len(names), 10_000)])
+    own = set(leading)
+    return Counter({t: witness[t] for t, x in zip(names, near, strict=True) if t in own or (x >= 0.36 and odds[t] > np.log(2.5))}) or witness
+
+
 def _inserted(token: str, rng: np.random.Generator, n: int) -> list[str]:
     """Variants of a token with a letter put in, as evasive spellings have."""
     out = []
@@ -211,38 +226,54 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: in
     a bag of tokens: each round takes the most toxic tokens of each toxic text's
     worst sentences as positive examples, and tokens of clean sentences as
     negative ones, the hardest among them always. The first round goes by how
-    much more often a token stands in toxic texts. Positive tokens are repeated
-    with inserted letters. Landmarks are the leading positive tokens and clean
+    far a token's share of toxic texts exceeds its share of clean ones. Positive tokens are repeated
+    with inserted letters. Labels may be wrong: a token has to stand
+    in clearly more toxic texts than clean ones, or be like one that does, and texts whose label the supported
+    tokens contradict are left out of the calibration. Landmarks are the leading positive tokens and clean
     tokens; weights are learnt in the Nyström feature space of the kernel.
     """
     rng = np.random.default_rng(seed)
     bags = []
-    for text in texts:
+    beside: dict[str, set] = {}  # the words before and after each token of a toxic text
+    for text, label in zip(texts, toxic, strict=True):
         text = (text or "").lower()
+        if label:
+            words = ["", *text.split(), ""]
+            for before, word, after in zip(words, words[1:], words[2:], strict=False):
+                for t in tokens(word):
+                    for w in _windows(t):
+                        beside.setdefault(w, set()).add((before, after))
         said = [sorted({w for word in s.split() for t in tokens(word) for w in _windows(t)}) for s in _SENTENCE.split(text)]
         bags.append([s for s in [*said, sorted(set(spelled_out(text)))] if s])
     y = np.asarray(toxic)
     seen = [Counter(), Counter()]
     for bag, label in zip(bags, y, strict=True):
         seen[label].update({t for s in bag for t in s})
+    # Copies of one text say the same thing once: a token counts as often as it stands between other words.
+    seen[1] = Counter({t: min(c, len(beside.get(t, "1"))) for t, c in seen[1].items()})
     n = [max(1, (y == 0).sum()), max(1, (y == 1).sum())]
     clean = sorted(seen[0])
     if not clean or not seen[1]:
         return Model(np.zeros((_SYMBOLS**3, 1), np.float32), np.zeros(1), 0.0, 1.0, 0.0 if not clean and not len(texts) else float(np.log((n[1] - 0.5) / (n[0] - 0.5 + 1e-9)) if min(n) > 1 else 0.0))
     odds = {t: np.log((c + 0.5) / n[1]) - np.log((seen[0][t] + 0.5) / n[0]) for t, c in seen[1].items()}
-    score = odds.__getitem__
+    excess = {t: _excess(c, seen[0][t], n[1], n[0]) for t, c in seen[1].items()}
+    leading = sorted(excess, key=lambda t: (-excess[t], t))
+    leading = [t for t in leading if excess[t] >= 5][:400] or leading[:20]
+    score = excess.__getitem__
     frequent = [t for t, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0]))]
     model = None
     hard: list[str] = []
     for _ in range(rounds):
         witness = Counter(t for bag, label in zip(bags, y, strict=True) if label == 1 and bag for t in _witnesses(bag, score))
+        witness = _supported(witness, leading, odds)
+        sure = {t for t in witness if odds[t] > np.log(5)}
         found = [t for t, _ in sorted(witness.items(), key=lambda x: (-x[1], x[0]))]
         marks = found[: landmarks // 2]
         marks += [t for t in dict.fromkeys([*hard[: landmarks // 4], *frequent[: landmarks // 4]]) if t not in marks][: landmarks - len(marks)]
         table = _landmark_table(marks)
         probe = Model(table, np.zeros(len(marks)), 0.0, 1.0, 0.0)
         positive = [(t, c) for t, c in witness.items()] + [(v, c / 4) for t, c in witness.items() if len(t) > 3 and c > 2 for v in _inserted(t, rng, 8)]
-        negative = list(dict.fromkeys([*hard, *frequent[:3000], *(clean[i] for i in rng.permutation(len(clean))[:6000])]))
+        negative = [t for t in dict.fromkeys([*hard, *frequent[:3000], *(clean[i] for i in rng.permutation(len(clean))[:6000])]) if t not in sure]
         names = [t for t, _ in positive] + negative
         among = probe.similar(marks).astype(float)
         values, vectors = np.linalg.eigh((among + among.T) / 2)
@@ -255,10 +286,11 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: in
         every = sorted({t for bag in bags for s in bag for t in s})
         margin = dict(zip(every, model.margins(every), strict=True))
         score = margin.__getitem__
-        hard = sorted(clean, key=lambda t: (-margin[t], t))[:1500]
-    floor = model.bias
-    of_text = np.array([max([floor, *(margin[t] for s in bag for t in s)]) for bag in bags])
-    model.slope, model.offset = _fit_sigmoid(of_text, y)
+        hard = sorted(set(clean) - sure, key=lambda t: (-margin[t], t))[:1500]
+    of_text = np.array([max([model.bias, *(margin[t] for s in bag for t in s)]) for bag in bags])
+    told = np.array([any(t in sure for s in bag for t in s) for bag in bags]) == (y == 1)
+    fair = told if (told & (y == 1)).any() and (told & (y == 0)).any() else np.ones(len(y), bool)
+    model.slope, model.offset = _fit_sigmoid(of_text[fair], y[fair])
     return model
 
 
