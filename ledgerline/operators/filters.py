@@ -7,17 +7,27 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.wire import MONTH
+
 
 def _as_date(v):
     return dt.date.fromisoformat(v) if isinstance(v, str) else v
 
 
 def between_dates(df: DataFrame, col: str, date_from=None, date_to=None) -> DataFrame:
-    """Inclusive [date_from, date_to]; empty string or None means no bound."""
-    if date_from:
-        df = df.where(F.col(col) >= F.lit(_as_date(date_from)))
-    if date_to:
-        df = df.where(F.col(col) <= F.lit(_as_date(date_to)))
+    """Inclusive [date_from, date_to]; empty string or None means no bound.
+
+    A written mart also gets the bound on its month folders, so other months are not read.
+    """
+    by_month = MONTH in df.columns
+    for bound, above in ((date_from, True), (date_to, False)):
+        if not bound:
+            continue
+        day = _as_date(bound)
+        df = df.where(F.col(col) >= F.lit(day) if above else F.col(col) <= F.lit(day))
+        if by_month:
+            month = F.lit(f"{day:%Y-%m}")
+            df = df.where(F.col(MONTH) >= month if above else F.col(MONTH) <= month)
     return df
 
 

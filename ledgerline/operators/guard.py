@@ -1,13 +1,18 @@
 """Guarded ad-hoc SELECT over the marts (SQL-1..5).
 
 Statement vetting and row capping are column expressions, so a whole table of
-submitted statements is vetted in parallel. Running a statement happens in an
-isolated session that only sees the ``marts`` database and cannot read files.
+submitted statements is vetted in parallel. Whether a statement may run is
+decided on its analysed plan: every node and expression must be of an allowed
+kind and every relation one of the published marts.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import threading
 import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,20 +44,36 @@ GENERIC_ERROR = "The query could not be run. Please try again or rephrase your q
 
 MAX_ROWS = 100
 
-# Patterns (Java regex; the same text runs in RE2 for the oracle).
+STATEMENT_SECONDS = 5
+
+# Patterns. Character classes are spelled out, so that Java and RE2
+# (the oracle) read them alike and letters and blanks of any script count.
+WORD = r"[\p{L}\p{N}_]"
+BLANK = r"[\s\p{Z}\x{85}\x{1C}-\x{1F}]"
 RE_BLOCK_COMMENT = r"(?s)/\*.*?\*/"
 RE_LINE_COMMENT = r"--[^\n]*"
-RE_FORBIDDEN = r"(?i)\b(" + "|".join(FORBIDDEN_KEYWORDS) + r")\b"
-RE_SCHEMA = r"(?i)\b(raw|staging|pg_catalog|information_schema)\s*\."
-RE_TABLE_REF = r"(?i)\b(?:FROM|JOIN)\s+(\w+\.\w+|\w+)"
-RE_LIMIT = r"(?i)\bLIMIT\s+(\d+)"
-RE_FIRST_LIMIT = r"(?is)^(.*?\bLIMIT\s+)\d+"
-# JVM escape hatches callable from a SELECT in Spark SQL.
-RE_JVM_CALL = r"(?i)\b(reflect|java_method|try_reflect)\s*\("
+RE_FORBIDDEN = r"(?i)(?:^|[^\p{L}\p{N}_])(" + "|".join(FORBIDDEN_KEYWORDS) + r")(?:$|[^\p{L}\p{N}_])"
+RE_SCHEMA = r"(?i)(?:^|[^\p{L}\p{N}_])(raw|staging|pg_catalog|information_schema)" + BLANK + r"*\."
+RE_TABLE_REF = rf"(?i)(?:^|[^\p{{L}}\p{{N}}_])(?:FROM|JOIN){BLANK}+({WORD}+\.{WORD}+|{WORD}+)"
+RE_LIMIT = rf"(?i)(?:^|[^\p{{L}}\p{{N}}_])LIMIT{BLANK}+(\d+)"
+RE_FIRST_LIMIT = rf"(?is)^((?:.*?[^\p{{L}}\p{{N}}_])?LIMIT{BLANK}+)\d+"
+
+# Plan nodes and expression packages a guarded statement may consist of.
+PLAN_NODES = frozenset({
+    "Project", "Filter", "Aggregate", "Sort", "GlobalLimit", "LocalLimit", "Limit", "Offset", "Join", "SubqueryAlias", "Distinct",
+    "Union", "Intersect", "Except", "Window", "WithCTE", "CTERelationDef", "CTERelationRef", "OneRowRelation", "LogicalRelation", "Deduplicate",
+})
+EXPRESSION_PACKAGE = "org.apache.spark.sql.catalyst.expressions."
+DENIED_EXPRESSIONS = frozenset({
+    "CallMethodViaReflection", "TryReflect", "StaticInvoke", "Invoke", "NewInstance", "ScalaUDF", "PythonUDF", "PythonUDAF", "InputFileName",
+    "InputFileBlockStart", "InputFileBlockLength", "JavaMethod", "CurrentUser", "SparkVersion", "AesDecrypt", "AesEncrypt",
+})
+# Built-in functions that are evaluated by a static call to these classes only.
+STATIC_CALLS = ("org.apache.spark.sql.catalyst.util.", "org.apache.spark.sql.catalyst.expressions.")
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, rf"^{BLANK}+|{BLANK}+$", "")
 
 
 def vet_columns(sql: Column) -> tuple[Column, Column]:
@@ -97,13 +118,17 @@ def cap(df: DataFrame, col: str, n: int = MAX_ROWS, out: str = "capped_sql") ->
 
 
 def statements_from_events(events: DataFrame) -> DataFrame:
-    """A table of submitted statements derived from the events table."""
+    """A table of submitted statements derived from the events table: by event
+    type and number, statements that pass and statements for each rejection."""
     k = F.get_json_object("props", "$.k").cast("int")
-    et = F.col("event_type")
+    et, turn = F.col("event_type"), F.col("event_id") % 4
     sql = (F.when(et == "purchase", F.concat(F.lit("SELECT * FROM marts.mart_revenue LIMIT "),
                                              (k * 5).cast("string")))
+           .when((et == "signup") & (turn == 0), F.lit(" \u00a0\n"))
            .when(et == "signup", F.lit("SELECT count(*) FROM raw.calls"))
+           .when((et == "error") & (turn == 0), F.lit("SELECT * FROM marts.mart_jobs WHERE 1 = 1 OR delete"))
            .when(et == "error", F.lit("DROP TABLE marts.mart_revenue"))
+           .when((et == "click") & (turn == 0), F.lit("SELECT * FROM mart_revenue\u00e9"))
            .when(et == "click", F.lit("/* c */ SELECT * FROM marts.mart_jobs"))
            .otherwise(F.lit("SELECT 1; SELECT 2")))
     return events.select(F.col("event_id").alias("statement_id"), F.col("ts"), sql.alias("sql"))
@@ -132,14 +157,53 @@ def append_audit(lines: DataFrame, path: str) -> None:
 # SQL-3: run one statement in an isolated session
 # ---------------------------------------------------------------------------
 
-def guarded_session(spark: SparkSession) -> SparkSession:
-    """New session: no temp views of the caller, no SQL on files."""
+def guarded_session(spark: SparkSession, database: str = "marts") -> SparkSession:
+    """New session: no temp views of the caller, no SQL on files, in the database of the marts."""
     gs = spark.newSession()
     gs.conf.set("spark.sql.runSQLOnFiles", "false")
     gs.conf.set("spark.sql.ansi.enabled", "true")
+    gs.catalog.setCurrentDatabase(database)
     return gs
 
 
+def _each(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def plan_objection(plan, database: str = "marts") -> str | None:
+    """Why an analysed plan may not run, or None. Walks nodes, expressions and subquery plans."""
+    marts = {t.split(".")[-1] for t in ALLOWED_TABLES}
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind not in PLAN_NODES:
+            return f"Not allowed in a query: {kind}"
+        if kind == "LogicalRelation":
+            table = node.catalogTable()
+            name = table.get().identifier() if table.isDefined() else None
+            if name is None or name.database().getOrElse(None) != database or name.table() not in marts:
+                return "Only marts tables are accessible."
+        todo += _each(node.children()) + _each(node.innerChildren() if kind == "WithCTE" else node.subqueries())
+        if kind == "WithCTE":
+            todo += _each(node.cteDefs())
+        expressions = _each(node.expressions())
+        while expressions:
+            e = expressions.pop()
+            full = e.getClass().getName()
+            short = full.rsplit(".", 1)[-1].rstrip("$").rsplit("$", 1)[-1]
+            if not full.startswith(EXPRESSION_PACKAGE):
+                return f"Function not allowed: {short}"
+            if short in DENIED_EXPRESSIONS and not (short in ("StaticInvoke", "Invoke") and _known_call(e, short)):
+                return f"Function not allowed: {short}"
+            expressions += _each(e.children())
+    return None
+
+
+def _known_call(e, short: str) -> bool:
+    return short == "StaticInvoke" and e.staticObject().getName().startswith(STATIC_CALLS)
+
+
 def vet_text(spark: SparkSession, sql: str) -> tuple[bool, str]:
     """Vet one statement with the same column expressions (one-row frame)."""
     row = vet(spark.createDataFrame([(sql,)], "sql string"), "sql").first()
@@ -150,43 +214,65 @@ def cap_text(spark: SparkSession, sql: str, n: int = MAX_ROWS) -> str:
     return cap(spark.createDataFrame([(sql,)], "sql string"), "sql", n).first()["capped_sql"]
 
 
-def guarded_query(spark: SparkSession, sql: str, verdict: DataFrame | None = None,
-                  log: list | None = None) -> Result:
-    """Gate -> vet -> cap -> run in an isolated session -> envelope.
+def log_request(spark: SparkSession, path: str | None, tool: str, **what) -> None:
+    """One audit line of an answered or refused request (nothing without a path)."""
+    if path:
+        record = {"tool": tool, **what, "timestamp": dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")}
+        append_audit(spark.createDataFrame([(json.dumps(record),)], "line string"), path)
+
 
-    Marts must be published as catalog tables in database ``marts``; raw and
-    staging data are never catalog tables, so the new session cannot see them.
+def guarded_query(spark: SparkSession, sql: str, verdict: DataFrame | None = None,
+                  audit_path: str | None = None, seconds: float = STATEMENT_SECONDS, database: str = "marts") -> Result:
+    """Gate -> vet -> cap -> analyse -> run once in an isolated session -> envelope.
+
+    The statement runs only if its analysed plan reads nothing but the marts and
+    calls nothing but built-in expressions. Its capped answer (100 rows at most) is
+    read once, so errors of any row surface here as the generic message; a statement
+    that takes longer than ``seconds`` is cancelled. Every request is logged to
+    ``audit_path`` with its row count and time, or why it was refused or failed.
     """
     start = time.time()
+
+    def done(result: Result, **what) -> Result:
+        log_request(spark, audit_path, "query_marts", input_sql=sql, **what, duration_ms=int((time.time() - start) * 1000))
+        return result
+
     caveat = None
     if verdict is not None:
         v = verdict.first()
         if v is None or not v["fresh"]:
-            return Result(error="data_stale", message=v["message"] if v else "no verdict")
+            message = v["message"] if v else "no verdict"
+            return done(Result(error="data_stale", message=message), rejected=True, reason=message)
         caveat = v["message"] if v["warn"] else None
     ok, reason = vet_text(spark, sql)
-    if ok:
-        import re
-
-        if re.search(RE_JVM_CALL, sql):
-            ok, reason = False, "Function not allowed"
     if not ok:
-        if log is not None:
-            log.append({"tool": "query_marts", "rejected": True, "input_sql": sql, "reason": reason})
-        return Result(error="query_rejected", message=reason)
+        return done(Result(error="query_rejected", message=reason), rejected=True, reason=reason)
     capped = cap_text(spark, sql)
+    group = f"guarded-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    timer = threading.Timer(seconds, lambda: sc.cancelJobGroup(group))
     try:
-        gs = guarded_session(spark)
+        gs = guarded_session(spark, database)
+        parsed = gs._jsparkSession.sessionState().sqlParser().parsePlan(capped)
+        objection = plan_objection(gs._jsparkSession.sessionState().executePlan(parsed, _execute_mode(spark)).analyzed(), database)
+        if objection:
+            return done(Result(error="query_rejected", message=objection), rejected=True, reason=objection)
+        sc.setJobGroup(group, "guarded query", interruptOnCancel=True)
+        timer.start()
         df = gs.sql(capped).limit(MAX_ROWS)
-        n = df.count()  # bounded by MAX_ROWS; surfaces runtime errors here
-    except Exception as e:  # AnalysisException, ANSI runtime errors, ...
-        if log is not None:
-            log.append({"tool": "query_marts", "error": type(e).__name__, "sql": capped})
-        return Result(error="query_failed", message=GENERIC_ERROR)
-    if log is not None:
-        log.append({"tool": "query_marts", "input_sql": sql, "executed_sql": capped, "row_count": n,
-                    "duration_ms": int((time.time() - start) * 1000)})
-    return Result(data=df, sql=capped, caveat=caveat, row_count=n)
+        rows, schema = df.collect(), df.schema
+    except Exception as e:  # AnalysisException, ANSI runtime errors, cancelled jobs, ...
+        return done(Result(error="query_failed", message=GENERIC_ERROR), executed_sql=capped, error=f"{type(e).__name__}: {str(e)[:500]}")
+    finally:
+        timer.cancel()
+        for p in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            sc.setLocalProperty(p, None)
+    return done(Result(data=spark.createDataFrame(rows, schema), sql=capped, caveat=caveat, row_count=len(rows)), executed_sql=capped, row_count=len(rows))
+
+
+def _execute_mode(spark: SparkSession):
+    """The mode in which a plan is analysed but no command in it is run."""
+    return getattr(spark.sparkContext._jvm.org.apache.spark.sql.execution, "CommandExecutionMode$").__getattr__("MODULE$").SKIP()
 
 
 def describe_marts(spark: SparkSession, marts: dict[str, DataFrame]) -> DataFrame:

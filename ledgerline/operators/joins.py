@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Parts the blank call id is spread over.
+BLANK_PARTS = 64
+
+
 def jobs_per_call(jobs: DataFrame) -> DataFrame:
     """One row per related call: job count, completed and cancelled counts."""
     j = F.col("job_id")
@@ -26,9 +30,19 @@ def jobs_per_call(jobs: DataFrame) -> DataFrame:
 
 
 def calls_with_jobs(calls: DataFrame, jobs: DataFrame) -> DataFrame:
-    """calls LEFT JOIN jobs-per-call; each call row keeps its own job counts."""
+    """calls LEFT JOIN jobs-per-call; each call row keeps its own job counts.
+
+    Calls without an id all carry the blank one, so they may be a large part of
+    the table: the blank key is spread over ``BLANK_PARTS`` parts, and the one row
+    of jobs with a blank id is repeated for each.
+    """
     jpc = jobs_per_call(jobs)
-    return calls.join(jpc, calls.call_id == jpc.related_call_id, "left").drop("related_call_id")
+    parts = F.when(F.col("related_call_id") == "", F.sequence(F.lit(0), F.lit(BLANK_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    jpc = jpc.withColumn("_job_part", F.explode(parts))
+    spread = F.pmod(F.xxhash64(*calls.columns), F.lit(BLANK_PARTS)).cast("int")
+    keyed = calls.withColumn("_call_part", F.when(F.col("call_id") == "", spread).otherwise(F.lit(0)))
+    on = (F.col("call_id") == F.col("related_call_id")) & (F.col("_call_part") == F.col("_job_part"))
+    return keyed.join(jpc, on, "left").drop("related_call_id", "_call_part", "_job_part")
 
 
 def jobs_by_call_day(calls: DataFrame, jobs: DataFrame) -> DataFrame:

@@ -73,11 +73,6 @@ def mart_call_funnel(calls: DataFrame, jobs: DataFrame) -> DataFrame:
     return _with_rates(daily)
 
 
-def funnel_from_parts(daily_with_jobs: DataFrame) -> DataFrame:
-    """AGG-2 from AGG-1 joined with JON-1 through JON-2 (reference shape)."""
-    return _with_rates(daily_with_jobs)
-
-
 def mart_revenue(payments: DataFrame) -> DataFrame:
     """AGG-3: per (day, service, method); gross includes refunds."""
     amt = F.col("amount_dollars")
@@ -158,6 +153,26 @@ def with_comments(df: DataFrame, mart: str) -> DataFrame:
                        else F.col(c) for c in df.columns])
 
 
+#: Date column of each dated mart; its month is the folder a written mart's rows lie in.
+MART_DATES = {"mart_call_funnel": "call_date", "mart_revenue": "payment_date"}
+
+
+def write_served(df: DataFrame, name: str) -> DataFrame:
+    """Write a mart to a folder of its own below the shared folder and read it back; dated marts by month."""
+    from ledgerline.functions.wire import MONTH
+    from ledgerline.session import scratch_path
+
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "served", name)
+    schema = df.schema
+    if name in MART_DATES:
+        df = df.withColumn(MONTH, F.date_format(MART_DATES[name], "yyyy-MM"))
+        schema = df.schema
+        df.repartition(MONTH).write.partitionBy(MONTH).parquet(path)
+    else:
+        df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "marts") -> DataFrame:
     """SNK-6: full replace of ``database.name`` as a catalog table (parquet),
     published by build-then-swap.
@@ -165,9 +180,9 @@ def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "m
     Each run writes a new version folder under the table's folder; the
     catalog entry is pointed at it only after that write job has committed.
     A run that fails part-way (or whose driver is lost) leaves readers on the
-    previous version instead of a dropped or half-written table. The current
-    and the previous version are kept (reads that started before the swap
-    finish on the previous one); older versions are removed.
+    previous version instead of a dropped or half-written table. Versions
+    younger than ``RETENTION`` are kept, committed or not: reads that started
+    before the swap finish on theirs, and folders other runs are writing stay.
     """
     import uuid
 
@@ -196,11 +211,13 @@ def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "m
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         spark.catalog.createTable(full, path=version, source="parquet", schema=out.schema,
                                   description=MART_DESCRIPTIONS.get(name, ""))
-    _remove_old_versions(spark, table_dir, current=version)
+    remove_old_versions(spark, table_dir, current=version)
     return spark.table(full)
 
 
 VERSION_PREFIX = "version-"
+#: Age from which a version that is not the current one is removed; longer than any read or run.
+RETENTION = dt.timedelta(hours=24)
 
 
 def mart_versions(spark: SparkSession, table_dir: str) -> list[str]:
@@ -220,20 +237,11 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def _remove_old_versions(spark: SparkSession, table_dir: str, current: str) -> None:
-    """Keep the current version and the newest committed one before it
-    (``_SUCCESS`` written by the job commit); drop the rest, including folders
-    of runs that died before committing."""
-    from ledgerline.sources.lake import path_exists
-
-    cur = current.rsplit("/", 1)[-1]
-    older = [v for v in mart_versions(spark, table_dir) if v.rsplit("/", 1)[-1] != cur]
-    committed = [v for v in older if path_exists(spark, f"{v}/_SUCCESS")]
-    keep = set(committed[-1:])
-    for v in older:
-        if v not in keep:
+def remove_old_versions(spark: SparkSession, table_dir: str, current: str, now: dt.datetime | None = None) -> None:
+    """Drop versions started more than ``RETENTION`` ago, never the current one."""
+    now = now or dt.datetime.now(dt.timezone.utc)
+    limit = VERSION_PREFIX + (now - RETENTION).strftime("%Y%m%dT%H%M%S%f")
+    for v in mart_versions(spark, table_dir):
+        name = v.rsplit("/", 1)[-1]
+        if name < limit and name != current.rsplit("/", 1)[-1]:
             _delete(spark, v)
-
-
-def mart_schema(name: str, df: DataFrame) -> T.StructType:
-    return with_comments(df, name).schema

@@ -56,6 +56,24 @@ def pipeline_metrics(rows: DataFrame, statuses: DataFrame, duration_seconds: flo
     return scalars.unionByName(r).unionByName(s).select(t.alias("ts"), "metric", "label", "value")
 
 
+def success_samples(stg: dict[str, DataFrame]) -> DataFrame:
+    """Times of successful pipeline runs (pipeline, t), one per source and data day on which it ran.
+
+    A source runs on every second day with data, not on every fourteenth, some
+    minutes after midnight; so some gaps exceed two days by a minute or two and
+    others by days.
+    """
+    ts_col = {"calls": "call_timestamp", "payments": "payment_timestamp", "jobs": "scheduled_at"}
+    out = None
+    for name, df in stg.items():
+        days = df.select(F.datediff(F.to_date(ts_col[name]), F.lit(dt.date(1970, 1, 1))).alias("d")).distinct()
+        days = days.where((F.col("d") % 2 == 0) & (F.col("d") % 14 != 0))
+        t = F.expr("timestampadd(MINUTE, CAST(d AS BIGINT) * 1440 + d % 7, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+        p = days.select(F.lit(name).alias("pipeline"), t.alias("t"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 def daily_load_samples(stg: dict[str, DataFrame]) -> DataFrame:
     """Row-count samples of daily loads, one per source and data day
     (ts = end of the day): a sample series whose size follows the data."""
@@ -116,22 +134,23 @@ def freshness_breaches(arrivals: DataFrame, key: str, ts: str, as_of: dt.datetim
     evaluated every ``eval_seconds`` on an epoch-aligned grid up to ``as_of``.
 
     The condition can only hold between two consecutive arrivals more than
-    ``threshold`` apart (or after the last one). Gaps inside a day are < 24 h
-    <= threshold, so arrivals are first reduced map-side to (first, last) per
-    day, and only the per-day series (bounded by the calendar) is ordered.
+    ``threshold`` apart (or after the last one). Gaps inside a bucket of time no
+    longer than the threshold never breach it, so arrivals are first reduced
+    map-side to (first, last) per bucket, and only the series of buckets
+    (bounded by the calendar) is ordered. Arrivals after ``as_of`` are not known
+    yet and are left out.
     Output: one row per breach island with its first and last true
     evaluation, how long it held, and whether / when the alert fired.
     """
-    if threshold_seconds < 86400:
-        raise ValueError("day buckets need threshold >= 1 day")
     a = arrivals.select(key, F.col(ts).cast("timestamp_ntz").alias("t")).where(F.col("t").isNotNull())
     # epoch micros of the wall-clock value (no session time zone involved)
     a = a.select(key, F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', t)").alias("u"))
     div = lambda x, y: F.call_function("div", x, F.lit(y))  # noqa: E731  exact integer division
-    days = a.groupBy(key, div(F.col("u"), 86_400_000_000).alias("day")).agg(
-        F.min("u").alias("first_u"), F.max("u").alias("last_u"))
-    w = Window.partitionBy(key).orderBy("day")
     as_of_u = int(as_of.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    bucket = max(1, min(86_400, threshold_seconds)) * 1_000_000
+    days = a.where(F.col("u") <= as_of_u).groupBy(key, div(F.col("u"), bucket).alias("bucket")).agg(
+        F.min("u").alias("first_u"), F.max("u").alias("last_u"))
+    w = Window.partitionBy(key).orderBy("bucket")
     g = eval_seconds * 1_000_000
     gaps = days.select(
         key, F.col("last_u").alias("a"),
@@ -177,7 +196,8 @@ def request_log(events: DataFrame) -> DataFrame:
         F.col("ts"),
         F.concat(F.lit("/api/"), F.col("event_type")).alias("endpoint"),
         F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"),
-        F.col("value").alias("duration_ms"),
+        # a request that was cut off has no duration
+        F.when(F.col("event_id") % 40 != 0, F.col("value")).alias("duration_ms"),
     )
 
 
@@ -204,14 +224,15 @@ def latency_quantiles(log: DataFrame, bounds: list[float] | None = None,
                       qs: list[float] | None = None, size: str = "5 minutes") -> DataFrame:
     """OBS-7: quantiles per window from cumulative ``le`` buckets, linear
     interpolation inside the bucket (first bucket starts at 0; a rank in
-    +Inf returns the largest finite bound).
+    +Inf returns the largest finite bound). Requests without a duration are not
+    observations.
 
     Plan: bucket counts per (window, bucket) via a partial aggregate, then a
     cumulative sum over at most len(bounds)+1 rows per window.
     """
     bounds = [float(b) for b in (bounds or LATENCY_BOUNDS_MS)]
     qs = qs or QUANTILES
-    counts = log.groupBy(_window("ts", size).alias("w"),
+    counts = log.where(F.col("duration_ms").isNotNull()).groupBy(_window("ts", size).alias("w"),
                          _bucket_index(F.col("duration_ms"), bounds).alias("b")).agg(
         F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("w").orderBy("b")

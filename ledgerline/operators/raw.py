@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.timeutil import ntz_lit
+from ledgerline.operators.marts import VERSION_PREFIX, mart_versions, remove_old_versions
 from ledgerline.schemas import LOADED_AT, raw_schema
 
 
@@ -28,8 +32,10 @@ def to_raw(df: DataFrame, columns: list[str], loaded_at) -> DataFrame:
 
 
 def load_raw(df: DataFrame, columns: list[str], loaded_at, path: str, skip_empty: bool = True) -> int:
-    """Full replace of a raw table stored as parquet at ``path``; returns the
-    number of rows loaded (read back from the written table).
+    """Full replace of a raw table stored as parquet below ``path``; returns the
+    number of rows loaded (read back from the written table). Each load writes a
+    version folder of its own; readers take the newest committed one, so a failed
+    load leaves the previous table in place.
 
     An empty extract loads nothing and leaves the previous raw table as is
     (``isEmpty`` stops at the first row).
@@ -37,14 +43,18 @@ def load_raw(df: DataFrame, columns: list[str], loaded_at, path: str, skip_empty
     if skip_empty and df.isEmpty():
         return 0
     out = to_raw(df, columns, loaded_at)
-    out.write.mode("overwrite").parquet(path)
-    return out.sparkSession.read.schema(raw_schema(columns)).parquet(path).count()
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    version = f"{path}/{VERSION_PREFIX}{stamp}-{uuid.uuid4().hex[:8]}"
+    out.write.mode("errorifexists").parquet(version)
+    remove_old_versions(out.sparkSession, path, current=version)
+    return out.sparkSession.read.schema(raw_schema(columns)).parquet(version).count()
 
 
 def read_raw(spark, columns: list[str], path: str) -> DataFrame:
     """The raw table at ``path``; zero rows (typed) if it was never loaded."""
     from ledgerline.sources.lake import path_exists
 
-    if not path_exists(spark, path):
+    done = [v for v in mart_versions(spark, path) if path_exists(spark, f"{v}/_SUCCESS")]
+    if not done:
         return spark.createDataFrame([], raw_schema(columns))
-    return spark.read.schema(raw_schema(columns)).parquet(path)
+    return spark.read.schema(raw_schema(columns)).parquet(done[-1])

@@ -50,7 +50,7 @@ def d(col: str) -> str:
 
 
 def tsf(col: str) -> str:
-    return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
 def with_(ctes: list[str], body: str) -> str:
@@ -61,12 +61,14 @@ def with_(ctes: list[str], body: str) -> str:
 # extracts / raw
 # ---------------------------------------------------------------------------
 
-_topic = "CASE user_id % 10 " + " ".join(
-    f"WHEN {i} THEN {q(t)}" for i, t in enumerate(TOPICS[:-1])) + f" ELSE {q(TOPICS[-1])} END"
+def _topic_of(key: str) -> str:
+    return (f"CASE {key} % {len(TOPICS)} " + " ".join(f"WHEN {i} THEN {q(t)}" for i, t in enumerate(TOPICS[:-1]))
+            + f" ELSE {q(TOPICS[-1])} END")
+
 
 EV = ("ev AS (SELECT event_id, ts, user_id, event_type, value, "
       "CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, "
-      f"{_topic} AS topic FROM events)")
+      f"{_topic_of('user_id')} AS topic FROM events)")
 
 
 def _calls_select(damaged: bool) -> str:
@@ -102,10 +104,10 @@ def _payments_select() -> str:
 
 def _jobs_select() -> str:
     return (
-        "SELECT 'job_' || CAST(o_orderkey AS VARCHAR) AS job_id, "
-        "CAST(event_id AS VARCHAR) AS related_call_id, "
+        "SELECT 'job_' || CAST(o_orderkey AS VARCHAR) || suffix AS job_id, "
+        "CAST(o_orderkey AS VARCHAR) AS related_call_id, "
         f"{case_map('o_orderstatus', JOB_STATUS_BY_ORDERSTATUS)} AS status, "
-        "topic AS service_category, "
+        f"{_topic_of('o_custkey')} AS service_category, "
         "CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS value, "
         "'tech-' || CAST(o_custkey % 8 AS VARCHAR) AS technician, "
         "CAST(o_orderdate AS VARCHAR) AS scheduled_at, "
@@ -124,14 +126,14 @@ def raw_ctes(loaded_at: dict | None = None, damaged: bool = False) -> list[str]:
     calls = f"raw_calls AS (SELECT {_raw_cols(CALL_COLUMNS)}, {ts_lit(la['calls'])} AS _loaded_at FROM ({_calls_select(damaged)} FROM ev))"
     if damaged:
         lines = "(SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)"
-        booked = "(event_type = 'purchase' AND event_id % 7 <> 0) OR (event_type = 'view' AND event_id % 40 = 0)"
+        orders = "(SELECT *, '' AS suffix FROM orders UNION ALL SELECT *, '_b' FROM orders WHERE o_orderkey % 7 = 0)"
     else:
         lines = "lineitem"
-        booked = "event_type = 'purchase'"
+        orders = "(SELECT *, '' AS suffix FROM orders)"
     pays = (f"raw_payments AS (SELECT {_raw_cols(PAYMENT_COLUMNS)}, {ts_lit(la['payments'])} AS _loaded_at FROM "
             f"({_payments_select()} FROM {lines} li JOIN part ON li.l_partkey = part.p_partkey))")
     jobs = (f"raw_jobs AS (SELECT {_raw_cols(JOB_COLUMNS)}, {ts_lit(la['jobs'])} AS _loaded_at FROM "
-            f"({_jobs_select()} FROM orders JOIN ev ON o_orderkey = event_id WHERE {booked}))")
+            f"({_jobs_select()} FROM {orders} o))")
     return [EV, calls, pays, jobs]
 
 
@@ -156,53 +158,46 @@ STG = [
 ]
 
 # ---------------------------------------------------------------------------
-# marts (reference shape: daily and job aggregates joined on the date)
+# marts, written from the definitions of their columns
 # ---------------------------------------------------------------------------
 
+_OUTCOMES = ("qualified", "booked", "escalated", "missed", "resolved")
+_per_outcome = ", ".join(f"count(*) FILTER (WHERE outcome = {q(o)}) AS {o}" for o in _OUTCOMES)
+
 MART_FUNNEL = [
-    "jobs_agg AS (SELECT CAST(c.call_timestamp AS DATE) AS call_date, count(j.job_id) AS total_jobs, "
-    "count(CASE WHEN j.job_status = 'completed' THEN j.job_id END) AS completed_jobs, "
-    "count(CASE WHEN j.job_status = 'cancelled' THEN j.job_id END) AS cancelled_jobs "
-    "FROM stg_calls c LEFT JOIN stg_jobs j ON c.call_id = j.related_call_id GROUP BY 1)",
-    "daily AS (SELECT CAST(call_timestamp AS DATE) AS call_date, count(*) AS total_calls, "
-    "count(CASE WHEN outcome = 'qualified' THEN 1 END) AS qualified, "
-    "count(CASE WHEN outcome = 'booked' THEN 1 END) AS booked, "
-    "count(CASE WHEN outcome = 'escalated' THEN 1 END) AS escalated, "
-    "count(CASE WHEN outcome = 'missed' THEN 1 END) AS missed, "
-    "count(CASE WHEN outcome = 'resolved' THEN 1 END) AS resolved, "
-    "sum(duration_seconds) AS dur_sum, count(duration_seconds) AS dur_n, "
-    "sum(sentiment_x100) AS sent_sum, count(sentiment_x100) AS sent_n FROM stg_calls GROUP BY 1)",
-    "mart_call_funnel AS (SELECT d.call_date, total_calls, qualified, booked, escalated, missed, resolved, "
-    f"{hu('dur_sum', 'dur_n', 1)} AS avg_duration_x10, {hu('sent_sum', 'sent_n', 0)} AS avg_sentiment_x100, "
-    f"{hu('100 * booked', 'total_calls', 1)} AS booking_rate_x10, "
-    f"{hu('100 * escalated', 'total_calls', 1)} AS escalation_rate_x10, "
-    f"{hu('100 * missed', 'total_calls', 1)} AS miss_rate_x10, "
-    "coalesce(j.total_jobs, 0) AS total_jobs, coalesce(j.completed_jobs, 0) AS completed_jobs, "
-    "coalesce(j.cancelled_jobs, 0) AS cancelled_jobs FROM daily d LEFT JOIN jobs_agg j ON d.call_date = j.call_date)",
+    # jobs of each call, so that a call counts once however many jobs it has
+    "per_call AS (SELECT related_call_id AS cid, count(*) AS jobs, count(*) FILTER (WHERE job_status = 'completed') AS done, "
+    "count(*) FILTER (WHERE job_status = 'cancelled') AS off FROM stg_jobs GROUP BY related_call_id)",
+    "funnel_days AS (SELECT call_timestamp::DATE AS call_date, count(*) AS total_calls, "
+    f"{_per_outcome}, sum(duration_seconds) AS secs, count(duration_seconds) AS secs_n, "
+    "sum(sentiment_x100) AS mood, count(sentiment_x100) AS mood_n, "
+    "sum(jobs) AS jobs, sum(done) AS done, sum(off) AS off "
+    "FROM stg_calls LEFT JOIN per_call ON cid = call_id GROUP BY ALL)",
+    f"mart_call_funnel AS (SELECT call_date, total_calls, {', '.join(_OUTCOMES)}, "
+    f"{hu('secs', 'secs_n', 1)} AS avg_duration_x10, {hu('mood', 'mood_n', 0)} AS avg_sentiment_x100, "
+    + ", ".join(f"{hu(f'100 * {o}', 'total_calls', 1)} AS {n}_rate_x10"
+                for o, n in (("booked", "booking"), ("escalated", "escalation"), ("missed", "miss")))
+    + ", ifnull(jobs, 0)::BIGINT AS total_jobs, ifnull(done, 0)::BIGINT AS completed_jobs, "
+    "ifnull(off, 0)::BIGINT AS cancelled_jobs FROM funnel_days)",
 ]
 
 MART_REVENUE = [
-    "mart_revenue AS (SELECT CAST(payment_timestamp AS DATE) AS payment_date, service_description, payment_method, "
-    "count(*) AS transaction_count, sum(amount_cents) AS revenue_cents, "
-    f"{hu('sum(amount_cents)', 'count(amount_cents)', 2, 2)} AS avg_ticket_cents, "
-    "count(CASE WHEN status = 'refunded' THEN 1 END) AS refund_count, "
-    "coalesce(sum(CASE WHEN status = 'refunded' THEN amount_cents END), 0) AS refund_cents, "
-    "sum(amount_cents) - coalesce(sum(CASE WHEN status = 'refunded' THEN amount_cents END), 0) AS net_cents "
-    "FROM stg_payments GROUP BY 1, 2, 3)",
+    "takings AS (SELECT payment_timestamp::DATE AS payment_date, service_description, payment_method, amount_cents, "
+    "CASE status WHEN 'refunded' THEN amount_cents ELSE 0 END AS back, status = 'refunded' AS refunded FROM stg_payments)",
+    "mart_revenue AS (SELECT payment_date, service_description, payment_method, count(*) AS transaction_count, "
+    f"sum(amount_cents) AS revenue_cents, {hu('sum(amount_cents)', 'count(amount_cents)', 2, 2)} AS avg_ticket_cents, "
+    "count(*) FILTER (WHERE refunded) AS refund_count, sum(back) AS refund_cents, "
+    "sum(amount_cents - back) AS net_cents FROM takings GROUP BY ALL)",
 ]
 
-_DONE = "CASE WHEN job_status = 'completed' THEN 1 END"
-_DONE_VALUE = "CASE WHEN job_status = 'completed' THEN job_value_x100 END"
-
 MART_JOBS = [
-    "mart_jobs AS (SELECT service_category, count(*) AS total_jobs, "
-    f"count({_DONE}) AS completed, "
-    "count(CASE WHEN job_status = 'scheduled' THEN 1 END) AS scheduled, "
-    "count(CASE WHEN job_status = 'cancelled' THEN 1 END) AS cancelled, "
-    f"{hu(f'100 * count({_DONE})', 'count(*)', 1)} AS completion_rate_x10, "
-    f"{hu(f'sum({_DONE_VALUE})', f'count({_DONE_VALUE})', 2, 2)} AS avg_completed_cents, "
-    f"sum({_DONE_VALUE}) AS total_completed_cents "
-    "FROM stg_jobs GROUP BY 1)",
+    "job_sums AS (SELECT service_category, count(*) AS total_jobs, "
+    + ", ".join(f"count(*) FILTER (WHERE job_status = {q(x)}) AS {x}" for x in ("completed", "scheduled", "cancelled"))
+    + ", sum(job_value_x100) FILTER (WHERE job_status = 'completed') AS total_completed_cents, "
+    "count(job_value_x100) FILTER (WHERE job_status = 'completed') AS priced FROM stg_jobs GROUP BY service_category)",
+    "mart_jobs AS (SELECT service_category, total_jobs, completed, scheduled, cancelled, total_completed_cents, "
+    f"{hu('100 * completed', 'total_jobs', 1)} AS completion_rate_x10, "
+    f"{hu('total_completed_cents', 'priced', 2, 2)} AS avg_completed_cents FROM job_sums)",
 ]
 
 

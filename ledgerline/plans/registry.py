@@ -50,10 +50,34 @@ def _marts(spark, sf):
     return layers(spark, sf).marts
 
 
+_WRITTEN: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
+def _written(spark, sf, what, build):
+    """A table written once per session and input below the shared folder, for queries that read it."""
+    per = _WRITTEN.setdefault(spark, {})
+    key = (sf.rstrip("/"), what)
+    if key not in per:
+        per[key] = build()
+    return per[key]
+
+
+def _served(spark, sf, name):
+    """A mart as serving queries read it: the written table, dated marts in month folders."""
+    return _written(spark, sf, name, lambda: marts.write_served(_marts(spark, sf)[name], name))
+
+
+def _raw_written(spark, sf, damaged=False):
+    """Raw tables written once; counts, load times and tests read these."""
+    from ledgerline.plans.pipeline import materialize
+
+    return _written(spark, sf, ("raw", damaged), lambda: materialize(spark, layers(spark, sf, damaged).raw))
+
+
 # Parameters of the parameterised tools used by the registered queries.
 REVENUE_FROM, REVENUE_TO = "1998-01-01", "1998-12-31"
 FUNNEL_FROM, FUNNEL_TO = "2024-01-08", "2024-01-14"
-CATEGORY = "plumbing repair"
+CATEGORY = "boiler service"
 
 # ---------------------------------------------------------------------------
 # staging (PRJ-1..3)
@@ -89,7 +113,7 @@ def q_stg_jobs(spark, sf):
 
 
 @register("calls_jobs_daily", with_(base(("funnel",)), (
-    f"SELECT {d('call_date')} AS call_date, total_jobs, completed_jobs, cancelled_jobs FROM jobs_agg")))
+    f"SELECT {d('call_date')} AS call_date, total_jobs, completed_jobs, cancelled_jobs FROM mart_call_funnel")))
 def q_calls_jobs_daily(spark, sf):
     stg = layers(spark, sf).staging
     return to_wire(joins.jobs_by_call_day(stg["calls"], stg["jobs"]))
@@ -97,18 +121,16 @@ def q_calls_jobs_daily(spark, sf):
 
 @register("call_funnel_counts", with_(base(("funnel",)), (
     f"SELECT {d('call_date')} AS call_date, total_calls, qualified, booked, escalated, missed, resolved, "
-    f"{dbl(hu('dur_sum', 'dur_n', 1), 1)} AS avg_duration_seconds, "
-    f"{dbl(hu('sent_sum', 'sent_n', 0), 2)} AS avg_sentiment FROM daily")))
+    f"{dbl('avg_duration_x10', 1)} AS avg_duration_seconds, "
+    f"{dbl('avg_sentiment_x100', 2)} AS avg_sentiment FROM mart_call_funnel")))
 def q_call_funnel_counts(spark, sf):
     return to_wire(marts.call_funnel_counts(layers(spark, sf).staging["calls"]))
 
 
 @register("funnel_with_jobs", with_(base(("funnel",)), (
-    f"SELECT {d('d.call_date')} AS call_date, total_calls, qualified, booked, escalated, missed, resolved, "
-    f"{dbl(hu('dur_sum', 'dur_n', 1), 1)} AS avg_duration_seconds, "
-    f"{dbl(hu('sent_sum', 'sent_n', 0), 2)} AS avg_sentiment, coalesce(j.total_jobs, 0) AS total_jobs, "
-    "coalesce(j.completed_jobs, 0) AS completed_jobs, coalesce(j.cancelled_jobs, 0) AS cancelled_jobs "
-    "FROM daily d LEFT JOIN jobs_agg j ON d.call_date = j.call_date")))
+    f"SELECT {d('call_date')} AS call_date, total_calls, qualified, booked, escalated, missed, resolved, "
+    f"{dbl('avg_duration_x10', 1)} AS avg_duration_seconds, {dbl('avg_sentiment_x100', 2)} AS avg_sentiment, "
+    "total_jobs, completed_jobs, cancelled_jobs FROM mart_call_funnel")))
 def q_funnel_with_jobs(spark, sf):
     stg = layers(spark, sf).staging
     daily = marts.call_funnel_counts(stg["calls"])
@@ -134,7 +156,7 @@ def q_mart_jobs(spark, sf):
     "SELECT 'calls' AS source, count(*) AS \"rows\" FROM raw_calls UNION ALL "
     "SELECT 'payments', count(*) FROM raw_payments UNION ALL SELECT 'jobs', count(*) FROM raw_jobs")))
 def q_pipeline_rows(spark, sf):
-    return marts.row_counts(layers(spark, sf).raw)
+    return marts.row_counts(_raw_written(spark, sf))
 
 
 @register("call_job_consistency", with_(base((), damaged=True), (
@@ -158,13 +180,13 @@ def q_call_job_consistency(spark, sf):
     f"SELECT {O.REVENUE_WIRE} FROM mart_revenue WHERE payment_date >= DATE '{REVENUE_FROM}' "
     f"AND payment_date <= DATE '{REVENUE_TO}'")))
 def q_date_range(spark, sf):
-    return to_wire(between_dates(_marts(spark, sf)["mart_revenue"], "payment_date", REVENUE_FROM, REVENUE_TO))
+    return to_wire(between_dates(_served(spark, sf, "mart_revenue"), "payment_date", REVENUE_FROM, REVENUE_TO))
 
 
 @register("category_eq", with_(base(("jobs",)), (
     f"SELECT {O.JOBS_WIRE} FROM mart_jobs WHERE service_category = '{CATEGORY}'")))
 def q_category_eq(spark, sf):
-    return to_wire(where_category(_marts(spark, sf)["mart_jobs"], "service_category", CATEGORY))
+    return to_wire(where_category(_served(spark, sf, "mart_jobs"), "service_category", CATEGORY))
 
 
 # ---------------------------------------------------------------------------
@@ -177,7 +199,7 @@ _N_SENT = "count(avg_sentiment_x100)"
 
 @register("call_funnel_daily", with_(base(("funnel",)), f"SELECT {O.FUNNEL_WIRE} FROM mart_call_funnel"))
 def q_call_funnel_daily(spark, sf):
-    return to_wire(serving.call_funnel_daily(_marts(spark, sf)["mart_call_funnel"]))
+    return to_wire(serving.call_funnel_daily(_served(spark, sf, "mart_call_funnel")))
 
 
 @register("call_funnel_summary", with_(base(("funnel",)), (
@@ -188,7 +210,7 @@ def q_call_funnel_daily(spark, sf):
     f"{dbl(hu('100 * sum(escalated)', 'sum(total_calls)', 1), 1)} AS escalation_rate_pct, "
     f"{dbl(hu(_SUM_SENT, _N_SENT, 2, 2), 2)} AS avg_sentiment FROM mart_call_funnel")))
 def q_call_funnel_summary(spark, sf):
-    return to_wire(serving.call_funnel_summary(_marts(spark, sf)["mart_call_funnel"]))
+    return to_wire(serving.call_funnel_summary(_served(spark, sf, "mart_call_funnel")))
 
 
 @register("revenue_daily", with_(base(("revenue",)), (
@@ -196,7 +218,7 @@ def q_call_funnel_summary(spark, sf):
     f"{dbl('sum(net_cents)', 2)} AS net_revenue, {b('sum(transaction_count)')} AS transactions "
     "FROM mart_revenue GROUP BY payment_date")))
 def q_revenue_daily(spark, sf):
-    return to_wire(serving.revenue_daily(_marts(spark, sf)["mart_revenue"]))
+    return to_wire(serving.revenue_daily(_served(spark, sf, "mart_revenue")))
 
 
 @register("jobs_summary", with_(base(("jobs",)), (
@@ -205,7 +227,7 @@ def q_revenue_daily(spark, sf):
     f"{dbl(hu('100 * sum(completed)', 'sum(total_jobs)', 1), 1)} AS completion_rate_pct, "
     f"{dbl('sum(total_completed_cents)', 2)} AS total_completed_value FROM mart_jobs")))
 def q_jobs_summary(spark, sf):
-    return to_wire(serving.jobs_summary(_marts(spark, sf)["mart_jobs"]))
+    return to_wire(serving.jobs_summary(_served(spark, sf, "mart_jobs")))
 
 
 _AVG_TICKET = dbl(hu("sum(avg_ticket_cents)", "count(avg_ticket_cents)", 2, 2), 2)
@@ -216,7 +238,7 @@ _AVG_TICKET = dbl(hu("sum(avg_ticket_cents)", "count(avg_ticket_cents)", 2, 2),
     f"{b('sum(transaction_count)')} AS transactions, {_AVG_TICKET} AS avg_ticket "
     "FROM mart_revenue GROUP BY service_description")))
 def q_revenue_by_service(spark, sf):
-    return to_wire(serving.revenue_by_service(_marts(spark, sf)["mart_revenue"]))
+    return to_wire(serving.revenue_by_service(_served(spark, sf, "mart_revenue")))
 
 
 _REV_WHERE = f"WHERE payment_date >= DATE '{REVENUE_FROM}' AND payment_date <= DATE '{REVENUE_TO}'"
@@ -228,7 +250,7 @@ _REV_WHERE = f"WHERE payment_date >= DATE '{REVENUE_FROM}' AND payment_date <= D
     f"{b('sum(refund_count)')} AS refund_count, {dbl('sum(refund_cents)', 2)} AS refund_dollars "
     f"FROM mart_revenue {_REV_WHERE}")))
 def q_revenue_summary_total(spark, sf):
-    return to_wire(serving.revenue_summary(_marts(spark, sf)["mart_revenue"], REVENUE_FROM, REVENUE_TO))
+    return to_wire(serving.revenue_summary(_served(spark, sf, "mart_revenue"), REVENUE_FROM, REVENUE_TO))
 
 
 @register("revenue_summary_by_service", with_(base(("revenue",)), (
@@ -237,7 +259,7 @@ def q_revenue_summary_total(spark, sf):
     f"{_AVG_TICKET} AS avg_ticket_dollars, {b('sum(refund_count)')} AS refund_count "
     f"FROM mart_revenue {_REV_WHERE} GROUP BY service_description")))
 def q_revenue_summary_by_service(spark, sf):
-    return to_wire(serving.revenue_summary(_marts(spark, sf)["mart_revenue"], REVENUE_FROM, REVENUE_TO,
+    return to_wire(serving.revenue_summary(_served(spark, sf, "mart_revenue"), REVENUE_FROM, REVENUE_TO,
                                            group_by="service"))
 
 
@@ -246,7 +268,7 @@ def q_revenue_summary_by_service(spark, sf):
     f"{dbl('sum(revenue_cents)', 2)} AS revenue_dollars, {dbl('sum(net_cents)', 2)} AS net_revenue_dollars, "
     f"{b('sum(refund_count)')} AS refund_count FROM mart_revenue {_REV_WHERE} GROUP BY payment_date")))
 def q_revenue_summary_by_date(spark, sf):
-    return to_wire(serving.revenue_summary(_marts(spark, sf)["mart_revenue"], REVENUE_FROM, REVENUE_TO,
+    return to_wire(serving.revenue_summary(_served(spark, sf, "mart_revenue"), REVENUE_FROM, REVENUE_TO,
                                            group_by="date"))
 
 
@@ -260,33 +282,33 @@ def q_revenue_summary_by_date(spark, sf):
     f"{b('sum(completed_jobs)')} AS completed_jobs, {b('sum(cancelled_jobs)')} AS cancelled_jobs "
     f"FROM mart_call_funnel WHERE call_date >= DATE '{FUNNEL_FROM}' AND call_date <= DATE '{FUNNEL_TO}'")))
 def q_call_funnel_range(spark, sf):
-    return to_wire(serving.call_funnel_range(_marts(spark, sf)["mart_call_funnel"], FUNNEL_FROM, FUNNEL_TO))
+    return to_wire(serving.call_funnel_range(_served(spark, sf, "mart_call_funnel"), FUNNEL_FROM, FUNNEL_TO))
 
 
 @register("job_completion", with_(base(("jobs",)), f"SELECT {O.JOBS_WIRE} FROM mart_jobs"))
 def q_job_completion(spark, sf):
-    return to_wire(serving.job_completion(_marts(spark, sf)["mart_jobs"]))
+    return to_wire(serving.job_completion(_served(spark, sf, "mart_jobs")))
 
 
 @register("bi_call_funnel", with_(base(("funnel",)), (
     f"SELECT {d('call_date')} AS call_date, total_calls, booked, qualified, escalated, missed, completed_jobs "
     "FROM mart_call_funnel")))
 def q_bi_call_funnel(spark, sf):
-    return to_wire(serving.bi_call_funnel(_marts(spark, sf)["mart_call_funnel"]))
+    return to_wire(serving.bi_call_funnel(_served(spark, sf, "mart_call_funnel")))
 
 
 @register("bi_revenue", with_(base(("revenue",)), (
     f"SELECT {d('payment_date')} AS payment_date, {dbl('sum(revenue_cents)', 2)} AS revenue, "
     f"{dbl('sum(net_cents)', 2)} AS net_revenue FROM mart_revenue GROUP BY payment_date")))
 def q_bi_revenue(spark, sf):
-    return to_wire(serving.bi_revenue(_marts(spark, sf)["mart_revenue"]))
+    return to_wire(serving.bi_revenue(_served(spark, sf, "mart_revenue")))
 
 
 @register("top_service", with_(base(("revenue",)), (
     f"SELECT service_description, {dbl('sum(revenue_cents)', 2)} AS revenue FROM mart_revenue "
     "GROUP BY service_description ORDER BY sum(revenue_cents) DESC, service_description LIMIT 1")))
 def q_top_service(spark, sf):
-    return to_wire(serving.top_service(_marts(spark, sf)["mart_revenue"], 1))
+    return to_wire(serving.top_service(_served(spark, sf, "mart_revenue"), 1))
 
 
 @register("hero_totals", with_(base(("funnel", "revenue")), (
@@ -295,7 +317,7 @@ def q_top_service(spark, sf):
     f"{b('coalesce(sum(completed_jobs), 0)')} AS total_completed, "
     f"{dbl(hu(_SUM_SENT, _N_SENT, 2, 2), 2)} AS avg_sentiment FROM mart_call_funnel")))
 def q_hero_totals(spark, sf):
-    m = _marts(spark, sf)
+    m = {n: _served(spark, sf, n) for n in ("mart_call_funnel", "mart_revenue")}
     return to_wire(serving.hero_totals(m["mart_call_funnel"], m["mart_revenue"]))
 
 
@@ -307,7 +329,7 @@ _BOOK = hu("100 * sum(booked)", "sum(total_calls)", 1)
     f"SELECT {dbl(f'coalesce({_MISS}, 0)', 1)} AS miss_rate_pct, "
     f"{dbl(f'least(coalesce({_BOOK}, 0), 1000)', 1)} AS booking_bar_pct FROM mart_call_funnel")))
 def q_miss_rate_overall(spark, sf):
-    return to_wire(serving.miss_rate_overall(_marts(spark, sf)["mart_call_funnel"]))
+    return to_wire(serving.miss_rate_overall(_served(spark, sf, "mart_call_funnel")))
 
 
 @register("service_revenue_share", with_(base(("revenue",)) + [
@@ -315,7 +337,7 @@ def q_miss_rate_overall(spark, sf):
     f"SELECT service_description, {dbl('rev', 2)} AS revenue, "
     f"{dbl(hu('100 * rev', '(SELECT max(rev) FROM bys)', 0), 0)} AS share_pct FROM bys")))
 def q_service_revenue_share(spark, sf):
-    return to_wire(serving.service_revenue_share(_marts(spark, sf)["mart_revenue"]))
+    return to_wire(serving.service_revenue_share(_served(spark, sf, "mart_revenue")))
 
 
 @register("funnel_chart_series", with_(base(("funnel",)), (
@@ -323,21 +345,21 @@ def q_service_revenue_share(spark, sf):
     f"SELECT {d('call_date')} AS call_date, strftime(call_date, '%m-%d') AS label, booked, qualified, escalated, missed "
     "FROM mart_call_funnel) UNPIVOT (value FOR series IN (booked, qualified, escalated, missed))")))
 def q_funnel_chart_series(spark, sf):
-    return to_wire(serving.funnel_chart_series(_marts(spark, sf)["mart_call_funnel"]))
+    return to_wire(serving.funnel_chart_series(_served(spark, sf, "mart_call_funnel")))
 
 
 @register("revenue_chart_series", with_(base(("revenue",)), (
     f"SELECT {d('payment_date')} AS payment_date, strftime(payment_date, '%m-%d') AS label, "
     f"{dbl('sum(revenue_cents)', 2)} AS revenue FROM mart_revenue GROUP BY payment_date")))
 def q_revenue_chart_series(spark, sf):
-    return to_wire(serving.revenue_chart_series(_marts(spark, sf)["mart_revenue"]))
+    return to_wire(serving.revenue_chart_series(_served(spark, sf, "mart_revenue")))
 
 
 @register("revenue_per_completed_job", with_(base(("jobs",)), (
     f"SELECT service_category, completed, {dbl('total_completed_cents', 2)} AS total_completed_value, "
     f"{dbl(hu('total_completed_cents', 'completed', 2, 2), 2)} AS revenue_per_completed_job FROM mart_jobs")))
 def q_revenue_per_completed_job(spark, sf):
-    return to_wire(serving.revenue_per_completed_job(_marts(spark, sf)["mart_jobs"]))
+    return to_wire(serving.revenue_per_completed_job(_served(spark, sf, "mart_jobs")))
 
 
 # ---------------------------------------------------------------------------
@@ -350,15 +372,26 @@ from ledgerline.plans.pipeline import AS_OF, AS_OF_WARN  # noqa: E402
 
 
 def _damaged_tables(spark, sf):
-    lay = layers(spark, sf, damaged=True)
-    return Q.layer_tables(lay.raw, lay.staging, lay.marts)
+    from ledgerline.operators.staging import staging
+
+    raw = _raw_written(spark, sf, damaged=True)
+    stg = staging(raw)
+    return Q.layer_tables(raw, stg, marts.build_marts(stg))
 
 
 def _suite(spark, sf):
+    """One row per declared test, computed once per session and input; gate, roll-up, alerts and metrics read it."""
     from ledgerline.operators.staging import inline_views
+    from ledgerline.session import scratch_path
 
-    # staging tests run inside the raw scans (one scan per source)
-    return Q.run_suite(_damaged_tables(spark, sf), Q.DEFAULT_SUITE, views=inline_views())
+    def build():
+        # staging tests run inside the raw scans (one scan per source)
+        results = Q.run_suite(_damaged_tables(spark, sf), Q.DEFAULT_SUITE, views=inline_views())
+        path = scratch_path(spark, "suite")
+        results.coalesce(1).write.parquet(path)
+        return spark.read.schema(results.schema).parquet(path)
+
+    return _written(spark, sf, "suite", build)
 
 
 def _artifact_counts(spark, sf):
@@ -478,13 +511,13 @@ def _freshness_ctes(as_of) -> list[str]:
     f"SELECT source, {tsf('last_loaded')} AS last_loaded, {dbl('age_x10', 1)} AS age_hours, status, message "
     "FROM fresh")))
 def q_freshness_status(spark, sf):
-    return to_wire(Q.freshness(layers(spark, sf).raw, AS_OF).drop("ord"))
+    return to_wire(Q.freshness(_raw_written(spark, sf), AS_OF).drop("ord"))
 
 
 @register("freshness_verdict", with_(O.raw_ctes() + _freshness_ctes(AS_OF),
                                      "SELECT fresh, warn, message FROM verdict"))
 def q_freshness_verdict(spark, sf):
-    return Q.verdict(Q.freshness(layers(spark, sf).raw, AS_OF))
+    return Q.verdict(Q.freshness(_raw_written(spark, sf), AS_OF))
 
 
 @register("gated_query", with_(base(("revenue",)) + _freshness_ctes(AS_OF_WARN), (
@@ -493,10 +526,9 @@ def q_freshness_verdict(spark, sf):
     f"{b('sum(refund_count)')} AS refund_count, {dbl('sum(refund_cents)', 2)} AS refund_dollars, "
     f"(SELECT message FROM verdict) AS caveat FROM mart_revenue {_REV_WHERE}")))
 def q_gated_query(spark, sf):
-    lay = layers(spark, sf)
-    v = Q.verdict(Q.freshness(lay.raw, AS_OF_WARN))
+    v = Q.verdict(Q.freshness(_raw_written(spark, sf), AS_OF_WARN))
     return Q.gated_frame(v, lambda: to_wire(serving.revenue_summary(
-        lay.marts["mart_revenue"], REVENUE_FROM, REVENUE_TO)))
+        _served(spark, sf, "mart_revenue"), REVENUE_FROM, REVENUE_TO)))
 
 
 # ---------------------------------------------------------------------------
@@ -515,8 +547,7 @@ RUN_SECONDS = 42.0
     f"SELECT {tsf(O.ts_lit(AS_OF))}, 'pipeline_rows_loaded', 'jobs', CAST(count(*) AS DOUBLE) FROM raw_jobs UNION ALL "
     f"SELECT {tsf(O.ts_lit(AS_OF))}, 'pipeline_test_results', status, CAST(n AS DOUBLE) FROM counts")))
 def q_pipeline_metrics(spark, sf):
-    lay = layers(spark, sf, damaged=True)
-    return to_wire(M.pipeline_metrics(marts.row_counts(lay.raw), _artifact_counts(spark, sf),
+    return to_wire(M.pipeline_metrics(marts.row_counts(_raw_written(spark, sf, damaged=True)), _artifact_counts(spark, sf),
                                       RUN_SECONDS, AS_OF))
 
 
@@ -540,7 +571,7 @@ def _log(spark, sf):
 
 
 _LOG = ("log AS (SELECT ts, '/api/' || event_type AS endpoint, CASE WHEN event_type = 'error' THEN 500 ELSE 200 END "
-        "AS status, value AS duration_ms FROM events)")
+        "AS status, CASE WHEN event_id % 40 <> 0 THEN value END AS duration_ms FROM events)")
 
 
 def _win(minutes: int) -> str:
@@ -568,7 +599,7 @@ def _quantile_sql() -> list[str]:
                    f"(CASE WHEN hi IS NULL THEN {bounds[-1]} ELSE {interp} END) END) AS p{int(round(q_ * 100))}")
     return [
         _LOG,
-        f"bk AS (SELECT {_win(5)} AS w, {bidx} AS b, count(*) AS n FROM log GROUP BY 1, 2)",
+        f"bk AS (SELECT {_win(5)} AS w, {bidx} AS b, count(*) AS n FROM log WHERE duration_ms IS NOT NULL GROUP BY 1, 2)",
         "cum AS (SELECT w, b, n, sum(n) OVER (PARTITION BY w ORDER BY b ROWS UNBOUNDED PRECEDING) AS cum FROM bk)",
         f"rows_ AS (SELECT w, n, cum, cum - n AS prev_cum, "
         f"CASE WHEN b = 0 THEN 0.0 ELSE CAST(({los})[b] AS DOUBLE) END AS lo, "
@@ -619,9 +650,11 @@ def _breach_sql(as_of) -> list[str]:
     asu = int(as_of.replace(tzinfo=__import__("datetime").timezone.utc).timestamp()) * 10**6
     g, thr, fs = 60 * 10**6, 172800 * 10**6, 300
     return [
-        "arr AS (SELECT DISTINCT 'calls' AS pipeline, epoch_us(call_timestamp) AS u FROM stg_calls UNION "
-        "SELECT DISTINCT 'payments', epoch_us(payment_timestamp) FROM stg_payments UNION "
-        "SELECT DISTINCT 'jobs', epoch_us(scheduled_at) FROM stg_jobs)",
+        "data_days AS (SELECT DISTINCT 'calls' AS pipeline, epoch(call_timestamp::DATE)::BIGINT // 86400 AS n FROM stg_calls UNION "
+        "SELECT DISTINCT 'payments', epoch(payment_timestamp::DATE)::BIGINT // 86400 FROM stg_payments UNION "
+        "SELECT DISTINCT 'jobs', epoch(scheduled_at::DATE)::BIGINT // 86400 FROM stg_jobs)",
+        "arr AS (SELECT pipeline, (n * 86400 + n % 7 * 60) * 1000000 AS u FROM data_days "
+        f"WHERE n % 2 = 0 AND n % 14 <> 0 AND (n * 86400 + n % 7 * 60) * 1000000 <= {asu})",
         "gaps AS (SELECT pipeline, u AS a, lead(u) OVER (PARTITION BY pipeline ORDER BY u) AS b FROM arr)",
         f"isl AS (SELECT pipeline, ((a + {thr}) // {g} + 1) * {g} AS t1, "
         f"CASE WHEN b IS NULL THEN {asu // g * g} ELSE ((b + {g - 1}) // {g} - 1) * {g} END AS t2 FROM gaps)",
@@ -634,11 +667,7 @@ def _breach_sql(as_of) -> list[str]:
     "CAST(held AS BIGINT) AS held_seconds, held >= 300 AS fired, "
     f"CASE WHEN held >= 300 THEN {tsf('make_timestamp(t1 + 300000000)')} END AS fired_at FROM br")))
 def q_alert_freshness(spark, sf):
-    stg = layers(spark, sf).staging
-    arrivals = (stg["calls"].select(F.lit("calls").alias("pipeline"), F.col("call_timestamp").alias("t"))
-                .unionByName(stg["payments"].select(F.lit("payments").alias("pipeline"),
-                                                    F.col("payment_timestamp").alias("t")))
-                .unionByName(stg["jobs"].select(F.lit("jobs").alias("pipeline"), F.col("scheduled_at").alias("t"))))
+    arrivals = M.success_samples(layers(spark, sf).staging)
     return to_wire(M.freshness_breaches(arrivals, "pipeline", "t", AS_OF))
 
 
@@ -672,18 +701,23 @@ def _re(p: str) -> str:
     return O.q(p)
 
 
-_STMT = ("stmt AS (SELECT event_id AS statement_id, ts, CASE event_type "
-         "WHEN 'purchase' THEN 'SELECT * FROM marts.mart_revenue LIMIT ' || "
+_STMT = ("stmt AS (SELECT event_id AS statement_id, ts, CASE "
+         "WHEN event_type = 'purchase' THEN 'SELECT * FROM marts.mart_revenue LIMIT ' || "
          "CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) * 5 AS VARCHAR) "
-         "WHEN 'signup' THEN 'SELECT count(*) FROM raw.calls' WHEN 'error' THEN 'DROP TABLE marts.mart_revenue' "
-         "WHEN 'click' THEN '/* c */ SELECT * FROM marts.mart_jobs' ELSE 'SELECT 1; SELECT 2' END AS sql FROM events)")
+         "WHEN event_type = 'signup' AND event_id % 4 = 0 THEN ' ' || chr(160) || chr(10) "
+         "WHEN event_type = 'signup' THEN 'SELECT count(*) FROM raw.calls' "
+         "WHEN event_type = 'error' AND event_id % 4 = 0 THEN 'SELECT * FROM marts.mart_jobs WHERE 1 = 1 OR delete' "
+         "WHEN event_type = 'error' THEN 'DROP TABLE marts.mart_revenue' "
+         "WHEN event_type = 'click' AND event_id % 4 = 0 THEN 'SELECT * FROM mart_revenue' || chr(233) "
+         "WHEN event_type = 'click' THEN '/* c */ SELECT * FROM marts.mart_jobs' ELSE 'SELECT 1; SELECT 2' END AS sql FROM events)")
 
 _ALLOWED = "[" + ", ".join(O.q(t) for t in G.ALLOWED_TABLES) + "]"
+_TRIM = _re(f"^{G.BLANK}+|{G.BLANK}+$")
 _VET = [
     _STMT,
-    "s1 AS (SELECT *, regexp_replace(coalesce(sql, ''), '^\\s+|\\s+$', '', 'g') AS stripped FROM stmt)",
+    f"s1 AS (SELECT *, regexp_replace(coalesce(sql, ''), {_TRIM}, '', 'g') AS stripped FROM stmt)",
     f"s2 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(stripped, {_re(G.RE_BLOCK_COMMENT)}, ' ', 'g'), "
-    f"{_re(G.RE_LINE_COMMENT)}, ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS nc FROM s1)",
+    f"{_re(G.RE_LINE_COMMENT)}, ' ', 'g'), {_TRIM}, '', 'g') AS nc FROM s1)",
     f"s3 AS (SELECT *, upper(regexp_extract(nc, {_re(G.RE_FORBIDDEN)}, 1)) AS kw, "
     f"list_filter(regexp_extract_all(nc, {_re(G.RE_TABLE_REF)}, 1), "
     f"lambda x: NOT list_contains({_ALLOWED}, lower(x)))[1] AS bad_ref FROM s2)",
@@ -714,10 +748,10 @@ def q_cap_limits(spark, sf):
     return G.cap(_statements(spark, sf), "sql").select("statement_id", "capped_sql")
 
 
-def _published(spark, sf, database="marts"):
+def _published(spark, sf, names=("mart_call_funnel", "mart_revenue", "mart_jobs"), database="marts"):
     from ledgerline.operators.marts import write_mart
 
-    return {name: write_mart(spark, df, name, database) for name, df in _marts(spark, sf).items()}
+    return {name: write_mart(spark, _marts(spark, sf)[name], name, database) for name in names}
 
 
 GUARDED_SQL = ("SELECT service_description, sum(revenue_dollars) AS revenue, sum(transaction_count) AS transactions "
@@ -729,8 +763,11 @@ GUARDED_SQL = ("SELECT service_description, sum(revenue_dollars) AS revenue, sum
     f"{b('sum(transaction_count)')} AS transactions FROM mart_revenue GROUP BY service_description "
     "ORDER BY sum(revenue_cents) DESC LIMIT 100")))
 def q_guarded_query(spark, sf):
-    _published(spark, sf)
-    r = G.guarded_query(spark, GUARDED_SQL)
+    from ledgerline.session import scratch_path
+
+    _published(spark, sf, ("mart_revenue",))
+    verdict = Q.verdict(Q.freshness(_raw_written(spark, sf), AS_OF_WARN))
+    r = G.guarded_query(spark, GUARDED_SQL, verdict, audit_path=scratch_path(spark, "audit"), seconds=60)
     if r.error:
         raise RuntimeError(f"{r.error}: {r.message}")
     return to_wire(r.data)
@@ -743,7 +780,7 @@ def q_describe_marts(spark, sf):
 
 # JSON lines as the writer emits them: keys in order, NULL members omitted
 _AUDIT_LINE = (
-    """'{"tool":"query_marts","input_sql":"' || sql || '",' || """
+    """'{"tool":"query_marts","input_sql":"' || replace(sql, chr(10), '\\n') || '",' || """
     """CASE WHEN reason = '' THEN '"executed_sql":"' || (""" + _CAP + """) || '",' """
     """ELSE '"rejected":true,"reason":"' || reason || '",' END || """
     """'"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '"}'"""
@@ -843,10 +880,6 @@ def q_jobs_documents(spark, sf):
     return to_wire(read_documents(spark, path))
 
 
-def _raw_path(spark, name):
-    return _lake_root(spark) + f"/warehouse/raw/{name}"
-
-
 @register("raw_load", with_(O.raw_ctes(), f"SELECT {_CALL_COLS}, {tsf('_loaded_at')} AS _loaded_at FROM raw_calls"))
 def q_raw_load(spark, sf):
     from ledgerline.operators.raw import load_raw, read_raw
@@ -864,11 +897,11 @@ def q_raw_load(spark, sf):
     f"SELECT {', '.join(f'{chr(34)}{c}{chr(34)}' for c in JOB_COLUMNS)}, {tsf('_loaded_at')} AS _loaded_at "
     "FROM raw_jobs")))
 def q_raw_schema(spark, sf):
-    from ledgerline.operators.raw import read_raw, to_raw
+    from ledgerline.operators.raw import load_raw, read_raw
     from ledgerline.plans.pipeline import LOADED_AT
 
     path = _lake_root(spark) + "/warehouse/raw/jobs"
-    to_raw(extracts(spark, sf)["jobs"], JOB_COLUMNS, LOADED_AT["jobs"]).write.mode("overwrite").parquet(path)
+    load_raw(extracts(spark, sf)["jobs"], JOB_COLUMNS, LOADED_AT["jobs"], path)
     return to_wire(read_raw(spark, JOB_COLUMNS, path))  # read with the all-text raw schema
 
 
@@ -882,7 +915,7 @@ def q_staging_views(spark, sf):
 
 @register("mart_tables", ORACLE["mart_jobs"])
 def q_mart_tables(spark, sf):
-    _published(spark, sf)
+    _published(spark, sf, ("mart_jobs",))
     return to_wire(spark.table("marts.mart_jobs"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,8 +62,8 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, lake round trips and stream state.
 
     Taken from ``spark.checkpoint.dir`` (the cluster's shared folder). Only when
-    the session has none (local tests) a fresh temporary folder is created and
-    registered as the checkpoint dir.
+    a session with a local master has none (tests) a fresh temporary folder is
+    created and registered as the checkpoint dir; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -73,6 +72,8 @@ def scratch_root(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder they share with the driver")
         current = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         sc.setCheckpointDir(current)
         spark.conf.set("spark.checkpoint.dir", current)
@@ -84,16 +85,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     import uuid
 
     return "/".join([scratch_root(spark), *parts, uuid.uuid4().hex])
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)

@@ -1,8 +1,10 @@
 """JSON lake of source extracts (SRC-1/2/4, SNK-1/2).
 
-Layout: ``{root}/raw/{source}/YYYY/MM/DD/{HHMMSS}/part-*.json``: one directory
-per run (Spark writes a set of part files per run instead of one file).
-Run directories sort chronologically, so the newest run is the max path.
+Layout: ``{root}/raw/{source}/YYYY/MM/DD/{HHMMSS}[-full-{stamp}]/part-*.json``: one
+directory per run (Spark writes a set of part files per run instead of one
+file). Run directories sort chronologically. Readers use committed runs only
+(``_SUCCESS``); a ``-full`` run replaces all runs before it from the moment it
+commits, so a run that fails leaves the extracts before it in place.
 """
 
 from __future__ import annotations
@@ -39,16 +41,25 @@ def write_lake(df: DataFrame, root: str, source: str, run_ts: dt.datetime,
     run-stamped directory. Returns the run directory."""
     spark = df.sparkSession
     out = run_dir(root, source, run_ts)
-    if not append:
-        fs, p = _fs(spark, source_root(root, source))
-        if fs.exists(p):
+    if append:
+        df.write.mode("errorifexists").json(out)
+        return out
+    before = run_dirs(spark, root, source)
+    out += f"{FULL}{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
+    df.write.mode("errorifexists").json(out)
+    for old in before:  # replaced already; this only frees the space
+        fs, p = _fs(spark, old)
+        if path_exists(spark, f"{old}/_SUCCESS"):
             fs.delete(p, True)
-    df.write.mode("overwrite" if not append else "errorifexists").json(out)
     return out
 
 
+#: Mark in the name of a run that replaces all earlier ones.
+FULL = "-full-"
+
+
 def run_dirs(spark: SparkSession, root: str, source: str) -> list[str]:
-    """Run directories of a source (listing metadata only, one per run)."""
+    """Run directories of a source, oldest first (listing metadata only, one per run)."""
     fs, p = _fs(spark, source_root(root, source) + "/*/*/*/*")
     statuses = fs.globStatus(p)
     if statuses is None:
@@ -56,6 +67,15 @@ def run_dirs(spark: SparkSession, root: str, source: str) -> list[str]:
     return sorted(str(s.getPath()) for s in statuses if s.isDirectory())
 
 
+def committed_runs(spark: SparkSession, root: str, source: str) -> list[str]:
+    """The runs a reader sees, oldest first: committed ones from the last one that replaced the others on."""
+    runs = [d for d in run_dirs(spark, root, source) if path_exists(spark, f"{d}/_SUCCESS")]
+    full = max((d for d in runs if FULL in d), key=lambda d: d.rsplit(FULL, 1)[-1], default=None)
+    if full is None:
+        return runs
+    return [full] + [d for d in runs if FULL not in d and d > full]
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """SRC-4: zero rows with the typed schema."""
     return spark.createDataFrame([], schema)
@@ -64,21 +84,15 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def read_lake(spark: SparkSession, root: str, source: str, schema: T.StructType,
               latest: bool = False, multiline: bool = False) -> DataFrame:
     """SRC-1: every extract of the source; SRC-2 (``latest=True``): only the
-    newest run. Missing or empty source -> zero rows (SRC-4).
+    newest committed run. Missing or empty source -> zero rows (SRC-4).
 
     The schema is always given (no inference pass). ``multiline`` reads
     files that hold one JSON array each instead of JSON lines.
     """
-    if latest:
-        dirs = run_dirs(spark, root, source)
-        if not dirs:
-            return empty_frame(spark, schema)
-        path = dirs[-1]
-    else:
-        path = source_root(root, source)
-        if not path_exists(spark, path):
-            return empty_frame(spark, schema)
+    runs = committed_runs(spark, root, source)
+    if not runs:
+        return empty_frame(spark, schema)
     reader = spark.read.schema(schema).option("recursiveFileLookup", True)
     if multiline:
         reader = reader.option("multiLine", True)
-    return reader.json(path)
+    return reader.json(runs[-1:] if latest else runs)

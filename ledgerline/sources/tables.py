@@ -12,18 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Service topic per user bucket (user_id % 10).
+# Service topic per bucket (calls: user_id % 10, jobs: o_custkey % 10).
 TOPICS = [
-    "plumbing repair",
-    "HVAC maintenance",
-    "electrical inspection",
-    "roof leak",
-    "water heater replacement",
-    "drain cleaning",
-    "emergency gas leak",
-    "thermostat installation",
-    "panel upgrade",
-    "bathroom remodel estimate",
+    "boiler service", "window repair", "floor sanding", "alarm check", "chimney sweep",
+    "tile work", "door fitting", "garden drainage", "kitchen refit", "paint job",
 ]
 
 # Event type -> call outcome.
@@ -52,14 +44,19 @@ def _lookup(c: Column, mapping: dict[str, str]) -> Column:
     return expr
 
 
+def topic_of(key: Column) -> Column:
+    """Topic of a key's bucket (a null key: the last topic)."""
+    bucket = key % len(TOPICS)
+    expr = F.when(bucket == 0, TOPICS[0])
+    for i, t in enumerate(TOPICS[1:-1], start=1):
+        expr = expr.when(bucket == i, t)
+    return expr.otherwise(TOPICS[-1])
+
+
 def call_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events + k (from the JSON props) + topic (from the user bucket)."""
     ev = read_table(spark, sf_dir, "events")
-    bucket = F.col("user_id") % 10
-    topic = F.when(bucket == 0, TOPICS[0])
-    for i, t in enumerate(TOPICS[1:-1], start=1):
-        topic = topic.when(bucket == i, t)
-    topic = topic.otherwise(TOPICS[-1])
+    topic = topic_of(F.col("user_id"))
     return ev.select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
@@ -100,14 +97,14 @@ def payments_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payments_from_lines(li, part)
 
 
-def _jobs_from(orders: DataFrame, ev: DataFrame) -> DataFrame:
-    j = orders.join(ev, orders.o_orderkey == ev.event_id, "inner")
+def _jobs_from(orders: DataFrame, suffix: str = "") -> DataFrame:
+    """Every order is a job of the call with its number, whether that call exists or not."""
     status = _lookup(F.col("o_orderstatus"), JOB_STATUS_BY_ORDERSTATUS)
-    return j.select(
-        F.concat(F.lit("job_"), F.col("o_orderkey").cast("string")).alias("job_id"),
-        F.col("event_id").cast("string").alias("related_call_id"),
+    return orders.select(
+        F.concat(F.lit("job_"), F.col("o_orderkey").cast("string"), F.lit(suffix)).alias("job_id"),
+        F.col("o_orderkey").cast("string").alias("related_call_id"),
         status.alias("status"),
-        F.col("topic").alias("service_category"),
+        topic_of(F.col("o_custkey")).alias("service_category"),
         F.col("o_totalprice").cast("decimal(10,2)").cast("string").alias("value"),
         F.concat(F.lit("tech-"), (F.col("o_custkey") % 8).cast("string")).alias("technician"),
         F.col("o_orderdate").cast("string").alias("scheduled_at"),
@@ -118,9 +115,7 @@ def _jobs_from(orders: DataFrame, ev: DataFrame) -> DataFrame:
 
 
 def jobs_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders")
-    ev = call_events(spark, sf_dir).where(F.col("event_type") == "purchase")
-    return _jobs_from(orders, ev)
+    return _jobs_from(read_table(spark, sf_dir, "orders"))
 
 
 EXTRACTS = {"calls": calls_extract, "payments": payments_extract, "jobs": jobs_extract}
@@ -150,13 +145,9 @@ def damaged_payments_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_jobs_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # booked calls lacking a job (event_id % 7 = 0) plus jobs of calls that
-    # were not booked
-    ev = call_events(spark, sf_dir)
+    # a second job for the call of every seventh order
     orders = read_table(spark, sf_dir, "orders")
-    booked = ev.where((F.col("event_type") == "purchase") & (F.col("event_id") % 7 != 0))
-    not_booked = ev.where((F.col("event_type") == "view") & (F.col("event_id") % 40 == 0))
-    return _jobs_from(orders, booked).unionByName(_jobs_from(orders, not_booked))
+    return _jobs_from(orders).unionByName(_jobs_from(orders.where(F.col("o_orderkey") % 7 == 0), "_b"))
 
 
 DAMAGED_EXTRACTS = {"calls": damaged_calls_extract, "payments": damaged_payments_extract,

@@ -50,6 +50,55 @@ ALLOWED += [
 ]
 
 
+# allowed by the text rules, or hidden from them; refused on the analysed plan
+PROBES = [
+    "SELECT * FROM `secret`.`t`",
+    "SELECT * FROM marts.mart_revenue, secret.t",
+    "SELECT `reflect`('java.lang.System', 'nanoTime') FROM marts.mart_jobs",
+    "SELECT reflect/**/('java.lang.System', 'nanoTime') FROM marts.mart_jobs",
+    "SELECT try_reflect('java.lang.System', 'nanoTime') FROM marts.mart_jobs",
+    "SELECT TRANSFORM(service_category) USING 'cat' AS (x) FROM marts.mart_jobs",
+    "SELECT count(*) FROM marts.mart_jobs, range(100000000000)",
+    "SELECT total_jobs FROM marts.mart_jobs WHERE total_jobs IN (SELECT id FROM `secret`.`t`)",
+    "SELECT input_file_name() FROM marts.mart_jobs",
+    "SELECT * FROM marts.mart_revenue\u00e9",
+]
+
+
+def test_refusals_and_answers_are_logged(spark):
+    import json
+
+    from ledgerline.plans.registry import _published
+    from ledgerline.session import scratch_path
+    from tests.conftest import SF_SMALL
+
+    _published(spark, SF_SMALL, ("mart_jobs",))
+    path = scratch_path(spark, "audit")
+    stale = spark.createDataFrame([(False, False, "stale")], "fresh boolean, warn boolean, message string")
+    warn = spark.createDataFrame([(True, True, "old")], "fresh boolean, warn boolean, message string")
+    assert G.guarded_query(spark, "SELECT * FROM marts.mart_jobs", stale, audit_path=path).error == "data_stale"
+    assert G.guarded_query(spark, "DROP TABLE x", warn, audit_path=path).error == "query_rejected"
+    r = G.guarded_query(spark, "SELECT * FROM marts.mart_jobs LIMIT 3", warn, audit_path=path)
+    assert r.caveat == "old" and r.data.count() == 3
+    lines = [json.loads(x.value) for x in spark.read.text(path).collect()]
+    assert len(lines) == 3 and all("duration_ms" in x for x in lines)
+    assert sorted(x.get("reason", "") for x in lines) == ["", G.MSG_SELECT_ONLY, "stale"]
+    assert [x["row_count"] for x in lines if "row_count" in x] == [3]
+
+
+def test_a_long_statement_is_cancelled(spark):
+    import time
+
+    from ledgerline.plans.registry import _published
+    from tests.conftest import SF_SMALL
+
+    _published(spark, SF_SMALL, ("mart_revenue",))
+    started = time.time()
+    many = " JOIN ".join(f"marts.mart_revenue t{i}" for i in range(4))
+    r = G.guarded_query(spark, f"SELECT count(*), max(t0.revenue_dollars + t3.revenue_dollars) FROM {many}", seconds=3)
+    assert r.error == "query_failed" and time.time() - started < 60
+
+
 def _vet(spark, stmts):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(stmts)], "i int, sql string")
     return {r.i: (r.ok, r.reason) for r in G.vet(df, "sql").collect()}
@@ -93,6 +142,15 @@ def test_guarded_query_end_to_end(spark):
     from ledgerline.plans.registry import _published
 
     _published(spark, SF_SMALL)
+    spark.sql("CREATE DATABASE IF NOT EXISTS secret")
+    spark.range(1).write.mode("overwrite").saveAsTable("secret.t")
+    for sql in PROBES:
+        r = G.guarded_query(spark, sql)
+        assert r.error == "query_rejected" and r.data is None, sql
+    r = G.guarded_query(spark, "SELECT service_category, total_jobs FROM mart_jobs")
+    assert r.error is None and r.row_count == spark.table("marts.mart_jobs").count()
+    r = G.guarded_query(spark, "SELECT CAST(service_category AS INT) FROM marts.mart_jobs")
+    assert (r.error, r.message, r.data) == ("query_failed", G.GENERIC_ERROR, None)
     r = G.guarded_query(spark, "SELECT * FROM marts.mart_revenue LIMIT 500")
     assert r.error is None and r.sql.endswith("LIMIT 100") and r.row_count == 100
     r = G.guarded_query(spark, "SELECT reflect('java.lang.System', 'exit', 0) FROM marts.mart_jobs")

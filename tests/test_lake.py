@@ -94,14 +94,14 @@ def test_mart_publish_swaps_versions_and_survives_a_failed_write(spark):
     from ledgerline.operators.marts import mart_versions, write_mart
 
     def jobs_mart(n):
-        return spark.range(n).select(F.lit("plumbing repair").alias("service_category"),
+        return spark.range(n).select(F.lit("boiler service").alias("service_category"),
                                      F.col("id").alias("total_jobs"))
 
     for n in (1, 2, 3):
         got = write_mart(spark, jobs_mart(n), "mart_jobs", "swap")
         assert got.count() == n
     table_dir = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/swap.db/mart_jobs"
-    assert len(mart_versions(spark, table_dir)) == 2  # current + previous
+    assert len(mart_versions(spark, table_dir)) == 3  # young versions stay
     comment = spark.table("swap.mart_jobs").schema["service_category"].metadata.get("comment")
     assert comment  # column documentation survives the swap
 
@@ -114,4 +114,75 @@ def test_mart_publish_swaps_versions_and_survives_a_failed_write(spark):
         write_mart(spark, bad, "mart_jobs", "swap")
     assert spark.table("swap.mart_jobs").count() == 3
     assert spark.newSession().table("swap.mart_jobs").count() == 3
-    assert len(mart_versions(spark, table_dir)) == 2
+    assert len(mart_versions(spark, table_dir)) == 3
+
+
+def test_long_readers_and_concurrent_writers_keep_their_versions(spark):
+    from ledgerline.operators.marts import RETENTION, mart_versions, remove_old_versions, write_mart
+
+    def mart(n):
+        return spark.range(n).select(F.lit("x").alias("service_category"), F.col("id").alias("total_jobs"))
+
+    reader = write_mart(spark, mart(1), "mart_jobs", "swap2")
+    table_dir = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/swap2.db/mart_jobs"
+    in_flight = f"{table_dir}/version-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-other"
+    mart(7).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(in_flight)
+    for n in (2, 3):
+        write_mart(spark, mart(n), "mart_jobs", "swap2")
+    assert reader.count() == 1  # a frame taken before two more publishes
+    assert any(v.endswith("-other") for v in mart_versions(spark, table_dir))
+    current = mart_versions(spark, table_dir)[-1]
+    remove_old_versions(spark, table_dir, current, now=dt.datetime.now(dt.timezone.utc) + 2 * RETENTION)
+    assert mart_versions(spark, table_dir) == [current]
+
+
+def test_newest_committed_run_and_failed_overwrite(spark):
+    import pytest
+
+    root = scratch_path(spark, "lake")
+    L.write_lake(_rows(spark, [("1", "10", "a")]), root, "widgets", dt.datetime(2024, 1, 1, 12))
+    crashed = L.run_dir(root, "widgets", dt.datetime(2024, 1, 2, 12))
+    _rows(spark, [("2", "20", "b")]).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").json(crashed)
+    assert [r.id for r in L.read_lake(spark, root, "widgets", SCHEMA, latest=True).collect()] == ["1"]
+    bad = spark.range(3).select(F.concat(F.lit("x"), F.col("id").cast("string")).cast("int").cast("string").alias("id"))
+    with pytest.raises(Exception):
+        L.write_lake(bad, root, "widgets", dt.datetime(2024, 1, 3, 12))
+    assert [r.id for r in L.read_lake(spark, root, "widgets", SCHEMA).collect()] == ["1"]
+    L.write_lake(_rows(spark, [("3", "30", "c")]), root, "widgets", dt.datetime(2024, 1, 1, 12))  # the same run again
+    assert [r.id for r in L.read_lake(spark, root, "widgets", SCHEMA).collect()] == ["3"]
+
+
+def test_failed_raw_load_keeps_the_table(spark):
+    import pytest
+
+    from ledgerline.operators.raw import load_raw, read_raw
+
+    path = scratch_path(spark, "raw") + "/w"
+    load_raw(_rows(spark, [("1", "10", "a")]), ["id"], dt.datetime(2024, 1, 1), path)
+    bad = spark.range(3).select(F.concat(F.lit("x"), F.col("id").cast("string")).cast("int").cast("string").alias("id"))
+    with pytest.raises(Exception):
+        load_raw(bad, ["id"], dt.datetime(2024, 1, 2), path, skip_empty=False)
+    assert [r.id for r in read_raw(spark, ["id"], path).collect()] == ["1"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from ledgerline.session import scratch_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        scratch_root(Session())

@@ -87,3 +87,23 @@ def test_band_steps(spark):
     df = spark.createDataFrame([(0.0,), (199.9,), (200.0,), (999.0,), (1000.0,), (None,)], "v double")
     got = [r.band for r in M.band(df, "v", M.BANDS["latency_ms"]).collect()]
     assert got == ["green", "green", "yellow", "yellow", "red", None]
+
+
+def test_breaches_with_a_threshold_below_a_day_and_late_arrivals(spark):
+    import random
+
+    rng = random.Random(2)
+    arrivals = sorted(T0 + dt.timedelta(minutes=rng.randrange(6000)) for _ in range(60))
+    as_of = T0 + dt.timedelta(minutes=6200)
+    late = [as_of + dt.timedelta(hours=1)]
+    df = spark.createDataFrame([("p", t) for t in arrivals + late], "pipeline string, t timestamp_ntz")
+    epoch = lambda t: int(t.replace(tzinfo=dt.timezone.utc).timestamp())
+    got = sorted((epoch(r.start), epoch(r.end), r.held_seconds, r.fired)
+                 for r in M.freshness_breaches(df, "pipeline", "t", as_of, threshold_seconds=7200).collect())
+    assert got == _brute(arrivals, as_of, thr=7200) and got
+
+
+def test_requests_without_duration_are_no_observations(spark):
+    log = spark.createDataFrame([(T0, None), (T0, 3.0)], "ts timestamp_ntz, duration_ms double")
+    row = M.latency_quantiles(log).first()
+    assert row.total == 1 and row.p95 <= 5

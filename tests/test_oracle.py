@@ -3,12 +3,11 @@
 
 import pytest
 
+from ledgerline.plans.registry import ORACLE, QUERIES
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.oracle_check import canon
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
 
 
 def test_every_key_has_a_callable():

@@ -6,10 +6,9 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
+from ledgerline.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
 FORBIDDEN_NODES = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                    "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"]
 
@@ -41,7 +40,7 @@ def test_funnel_pre_aggregates_jobs_before_the_join(spark):
     join_at = plan.index("LeftOuter")
     assert "HashAggregate" in plan[join_at:]
     scans = [ln for ln in plan.splitlines() if ln.startswith("(") and "Scan parquet" in ln]
-    assert len(scans) == 3  # events (calls), orders, events (purchases)
+    assert len(scans) == 2  # events (calls), orders (jobs)
 
 
 def test_request_log_scan_is_pruned(spark):
@@ -56,3 +55,37 @@ def test_consistency_is_one_join_of_reduced_sides(spark):
     joins = [ln for ln in plan.splitlines() if "Join" in ln]
     # the others are the inner joins that build the (damaged) jobs extract
     assert all("FullOuter" in ln or "Inner" in ln for ln in joins)
+
+
+def test_serving_reads_written_marts(spark):
+    for key in ("revenue_by_service", "hero_totals", "call_funnel_summary", "job_completion", "date_range", "call_funnel_range"):
+        plan = _plan(QUERIES[key](spark, SF_SMALL))
+        for table in ("lineitem", "events", "orders", "part.parquet"):
+            assert f"/{table}" not in plan, f"{key} reads {table}"
+    for key in ("date_range", "call_funnel_range", "revenue_summary_total"):
+        plan = _plan(QUERIES[key](spark, SF_SMALL))
+        assert "PartitionFilters: [isnotnull(_month" in plan, key
+
+
+def test_quality_family_reads_one_result_table(spark):
+    for key in ("dq_gate", "dq_status_counts", "alert_test_failure", "failed_test_total"):
+        plan = _plan(QUERIES[key](spark, SF_SMALL))
+        assert "lineitem" not in plan and "/raw/" not in plan, key
+
+
+def test_blank_call_ids_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import joins
+
+    calls = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, "").otherwise(F.col("id").cast("string")).alias("call_id"),
+        F.expr("timestampadd(MINUTE, id, TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("call_timestamp"))
+    jobs = spark.createDataFrame([("a", "", "completed"), ("b", "", "cancelled"), ("c", "1", "completed"), ("d", None, "completed")],
+                                 "job_id string, related_call_id string, job_status string")
+    got = joins.calls_with_jobs(calls, jobs)
+    assert got.count() == 900
+    assert got.agg(F.sum("n_jobs")).first()[0] == 300 * 2 + 1
+    keys = got.where("call_id = ''").select(F.pmod(F.xxhash64("call_id", "call_timestamp"), F.lit(joins.BLANK_PARTS))).distinct().count()
+    assert keys > 20
+    assert "_call_part" in _plan(got)

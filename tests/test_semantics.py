@@ -80,7 +80,7 @@ def test_fused_funnel_equals_reference_shape(spark):
         ("j1", "1", "completed"), ("j2", "1", "cancelled"), ("j3", "3", "completed"), ("j4", "9", "completed"),
     ], "job_id string, related_call_id string, job_status string")
     fused = marts.mart_call_funnel(calls, jobs).orderBy("call_date").collect()
-    ref = marts.funnel_from_parts(joins.with_jobs(
+    ref = marts._with_rates(joins.with_jobs(
         marts.call_funnel_counts(calls), joins.jobs_by_call_day(calls, jobs))).orderBy("call_date").collect()
     assert fused == ref
     d1, d2 = fused
