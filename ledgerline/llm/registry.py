@@ -104,4 +104,72 @@ QUERIES = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = "list_filter(regexp_split_to_array(coalesce({}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+ORACLE: dict[str, str] = {
+    # a word goes if a window of 50 that covers it starts in a smaller document too
+    "op3_substring_dedup": f"""
+        WITH docs AS (SELECT doc_id, {_WORDS.format('text')} AS ws FROM documents),
+        places AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM docs WHERE len(ws) >= 50),
+        wins AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS seq FROM places),
+        holders AS (SELECT seq, min(doc_id) AS holder FROM wins GROUP BY seq),
+        gone AS (SELECT DISTINCT doc_id, i + k AS i FROM wins JOIN holders USING (seq), range(50) AS t(k) WHERE holder < doc_id),
+        words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM docs),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+                 FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT d.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+    # a mark before and after the role, one after the text; each backslash, < and [ of a text takes one more character
+    "op6_chat_format": r"""
+        WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                      UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(12 + 10 + 11 + length(role || text) + length(regexp_replace(role || text, '[^\\<\[]', '', 'g'))) AS BIGINT) AS formatted_chars
+        FROM said GROUP BY conv_id""",
+    # links by counted common shingles, groups by following links
+    "op7_jaccard_join": f"""
+        WITH RECURSIVE docs AS (SELECT doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+        places AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM docs WHERE len(ws) > 0),
+        sets AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 4], ' ')) AS shingle FROM places),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT a, y FROM reach JOIN links ON x = b)
+        SELECT d.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(b) AS component_id
+        FROM docs d JOIN reach ON a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id""",
+    # aliases by following links between the pages that urls lead to
+    "op9_url_filter": r"""
+        WITH RECURSIVE tags AS (
+            SELECT url, unnest(list_concat(
+                list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<link\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b')),
+                               lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+                list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<meta\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+                               lambda t: regexp_extract(t, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)))) AS raw FROM pages),
+        hrefs AS (SELECT url, replace(raw, '&amp;', '&') AS link, 'http://' || regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) AS root,
+                         regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS place FROM tags WHERE raw <> ''),
+        links AS (SELECT url, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link WHEN starts_with(link, '//') THEN 'http:' || link
+                         WHEN starts_with(link, '/') THEN root || link WHEN starts_with(link, '?') THEN root || place || link WHEN starts_with(link, '#') THEN url
+                         ELSE root || regexp_extract(place, '^(.*/)?') || CASE WHEN contains(place, '/') THEN '' ELSE '/' END || link END AS target FROM hrefs),
+        urls AS (SELECT url FROM pages UNION SELECT target FROM links),
+        parts AS (SELECT url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+                         list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*[^?#]*\?([^#]*)', 1), '&'),
+                                               lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_[^=]*|fbclid|gclid|ref)(=|$)'))) AS query FROM urls),
+        rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+        fits AS (SELECT url, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+                 FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY url),
+        judged AS (SELECT a.url, host, path, rule, verdict,
+                          CASE WHEN regexp_replace(host, ':(80|443)?$', '') <> '' THEN regexp_replace(host, ':(80|443)?$', '') || rtrim(path, '/')
+                               || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END END AS node
+                   FROM parts a LEFT JOIN fits f ON f.url = a.url),
+        edges AS (SELECT DISTINCT a.node AS u, b.node AS v FROM links l JOIN judged a ON a.url = l.url JOIN judged b ON b.url = l.target WHERE a.node <> b.node),
+        both_ways AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges),
+        reach AS (SELECT DISTINCT node AS a, node AS b FROM judged WHERE node IS NOT NULL UNION SELECT a, v FROM reach JOIN both_ways ON u = b),
+        alias AS (SELECT a, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' WHEN bool_or(verdict = 'block') THEN 'block' END AS verdict
+                  FROM reach JOIN judged ON node = b GROUP BY a)
+        SELECT page_id, host, path, rule, coalesce(j.verdict, s.verdict, 'allow') AS verdict
+        FROM pages p JOIN judged j ON j.url IS NOT DISTINCT FROM p.url LEFT JOIN alias s ON s.a = j.node""",
+}

@@ -73,3 +73,21 @@ def test_components_against_brute_force(spark):
     got = connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {r["node"]: r["component"] for r in got} == {x: find(x) for x in root} and len(got) == len(root)
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_the_sql_statement_follows_links_alike(spark):
+    import duckdb
+
+    from ledgerline.llm.registry import ORACLE
+
+    link, go = '<link href="{}" rel="canonical">'.format, '<meta http-equiv="refresh" content="0; url={}">'.format
+    pages = [(1, "http://a.org/1", link("http://b.org/1")), (2, "http://b.org/1", go("https://x.net/es/5?utm_a=1")), (3, "https://X.net:443/es/5/", None),
+             (4, "http://c.org/d/1", link("2")), (5, "http://c.org/d/2", go("//www.example.com/en/1")), (6, "http://e.org", link("/q?b=1&amp;a=2")),
+             (7, "http://e.org/q?a=2&b=1#z", link("http://y.net/fr/2")), (8, None, None), (9, "x", link("http://y.net/fr/2"))]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+    want = sorted(con.execute(ORACLE["op9_url_filter"]).fetchall())
+    got = sorted(tuple(r) for r in judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect())
+    assert got == want
+    assert [r[4] for r in want] == ["block", "block", "block", "allow", "allow", "block", "block", "allow", "allow"]
