@@ -275,17 +275,19 @@ def _execute_mode(spark: SparkSession):
     return getattr(spark.sparkContext._jvm.org.apache.spark.sql.execution, "CommandExecutionMode$").__getattr__("MODULE$").SKIP()
 
 
-def describe_marts(spark: SparkSession, marts: dict[str, DataFrame]) -> DataFrame:
-    """SQL-4: (table, column, type, description) from the marts' schemas and
-    their column comments (driver-side metadata, one row per column)."""
+def describe_marts(marts: dict[str, DataFrame]) -> DataFrame:
+    """SQL-4: (table, table_description, column, type, description, row_count, null_count) of the marts'
+    columns: types and comments from the schema, counts from one pass over each mart."""
     from ledgerline.operators.marts import with_comments
     from ledgerline.schemas import MART_DESCRIPTIONS
 
-    rows = []
+    out = None
     for name, df in marts.items():
-        for f in with_comments(df, name).schema.fields:
-            rows.append((f"marts.{name}", MART_DESCRIPTIONS.get(name, ""), f.name,
-                         f.dataType.simpleString(), f.metadata.get("comment", "")))
-    return spark.createDataFrame(rows, "table string, table_description string, column string, "
-                                       "type string, description string")
-
+        fields = with_comments(df, name).schema.fields
+        counts = df.agg(F.count(F.lit(1)).alias("row_count"), *[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in fields])
+        rows = counts.unpivot("row_count", [f.name for f in fields], "column", "null_count")
+        kind, text = (F.create_map(*[F.lit(x) for f in fields for x in (f.name, v(f))]) for v in (lambda f: f.dataType.simpleString(), lambda f: f.metadata.get("comment", "")))
+        part = rows.select(F.lit(f"marts.{name}").alias("table"), F.lit(MART_DESCRIPTIONS.get(name, "")).alias("table_description"), "column",
+                           F.element_at(kind, F.col("column")).alias("type"), F.element_at(text, F.col("column")).alias("description"), "row_count", "null_count")
+        out = part if out is None else out.unionByName(part)
+    return out

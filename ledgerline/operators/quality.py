@@ -172,6 +172,38 @@ def run_suite(tables: dict[str, DataFrame], tests: list[DataTest],
     )
 
 
+def run_suite_isolated(tables: dict[str, DataFrame], tests: list[DataTest],
+                       views: dict[str, tuple[str, Column, dict[str, Column]]] | None = None) -> DataFrame:
+    """DQ-4 with results computed now, source by source: if a table cannot be
+    evaluated (a cast that fails, a file that is gone), its tests have status
+    ``error`` and no failure count, and all other tests still run.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    views = views or {}
+    by_scan: dict[str, list[DataTest]] = {}
+    for t in tests:
+        base = views.get(t.model)
+        by_scan.setdefault(base[0] if base is not None and base[0] in tables else t.model, []).append(t)
+    schema = "layer string, model string, column string, test string, failures bigint, status string"
+    rows = []
+    for own in by_scan.values():
+        try:
+            rows += [tuple(r) for r in run_suite(tables, own, views).collect()]  # a row per declared test
+        except Exception as e:
+            if not _from_spark(e):
+                raise
+            rows += [(t.layer, t.model, t.column, t.test, None, "error") for t in own]
+    return spark.createDataFrame(rows, schema)
+
+
+def _from_spark(e: Exception) -> bool:
+    """Whether an error came out of running a job or resolving a table, not out of our own code."""
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    return isinstance(e, (PySparkException, Py4JJavaError))
+
+
 def single_test(df: DataFrame, test: DataTest) -> DataFrame:
     """DQ-1..3: one row (column, test, failures), never empty."""
     r = run_suite({test.model: df}, [test])
@@ -194,15 +226,15 @@ def gate(results: DataFrame, edges: list[tuple[str, str]] | None = None,
          models: list[str] | None = None) -> DataFrame:
     """DQ-5: a failing test skips every downstream model (depth 2 lineage).
 
-    status: ``skip`` if any ancestor has a failing test, else ``fail`` if the
-    model's own tests fail, else ``pass``.
+    status: ``skip`` if any ancestor has a failing test (or one that could not
+    run), else ``fail`` if the model's own tests fail, else ``pass``.
     """
     spark = results.sparkSession
     edges = edges or LINEAGE
     models = models or MODELS
     e = spark.createDataFrame(edges, "parent string, child string")
     m = spark.createDataFrame([(x,) for x in models], "model string")
-    failed = results.groupBy("model").agg(F.max(F.col("failures") > 0).alias("failed"))
+    failed = results.groupBy("model").agg(F.max(F.col("status").isin("fail", "error")).alias("failed"))
     e2 = (e.alias("a").join(e.alias("b"), F.col("a.child") == F.col("b.parent"))
           .select(F.col("a.parent").alias("parent"), F.col("b.child").alias("child")))
     anc = e.unionByName(e2).distinct()
@@ -242,13 +274,14 @@ RUN_RESULTS_SCHEMA = T.StructType([
 def read_run_results(spark: SparkSession, path: str) -> DataFrame:
     """Statuses from run artifacts ``{results: [{status}], elapsed_time}``.
 
-    A missing or unreadable artifact yields no statuses (all counts zero)."""
-    empty = spark.createDataFrame([], "status string")
-    try:
-        df = spark.read.schema(RUN_RESULTS_SCHEMA).option("multiLine", True).json(path)
-        return df.select(F.explode_outer("results").alias("r")).select("r.status").where("status IS NOT NULL")
-    except Exception:  # absent path -> zeroes
-        return empty
+    A missing artifact, or one that is no such JSON, yields no statuses (all counts zero)."""
+    from ledgerline.sources.lake import path_exists
+
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "status string")
+    # permissive: text that is not JSON reads as a row of nulls
+    df = spark.read.schema(RUN_RESULTS_SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+    return df.select(F.explode_outer("results").alias("r")).select("r.status").where("status IS NOT NULL")
 
 
 # ---------------------------------------------------------------------------

@@ -87,7 +87,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_ts: dt.datetim
     recomputes the current stage. Returns row counts, test results, the
     written marts and the per-model status.
     """
-    from ledgerline.operators.quality import DEFAULT_SUITE, gate, layer_tables, run_suite
+    from ledgerline.operators.quality import DEFAULT_SUITE, gate, layer_tables, run_suite_isolated
     from ledgerline.schemas import extract_schema
     from ledgerline.sources.lake import read_lake, write_lake
 
@@ -108,8 +108,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_ts: dt.datetim
     upstream_tests = [t for t in DEFAULT_SUITE if t.layer != "marts"]
     mart_tests = [t for t in DEFAULT_SUITE if t.layer == "marts"]
     # one row per declared test: evaluated once, reused by the gate and the caller
-    upstream = run_suite(layer_tables(raw, stg, {}), upstream_tests,
-                         views=inline_views()).checkpoint(eager=True)
+    upstream = run_suite_isolated(layer_tables(raw, stg, {}), upstream_tests, views=inline_views())
     before = {r["model"]: r["status"] for r in gate(upstream).collect()}
     written = {}
     marts = build_marts(stg)
@@ -119,7 +118,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_ts: dt.datetim
     results = upstream
     tested = [t for t in mart_tests if t.model in written]
     if tested:
-        results = upstream.unionByName(run_suite(written, tested)).checkpoint(eager=True)
+        results = upstream.unionByName(run_suite_isolated(written, tested))
     status = {r["model"]: r["status"] for r in gate(results).collect()}
     return {"rows": rows, "results": results, "marts": written, "status": status}
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.wire import to_wire
+from ledgerline.functions.wire import MONTH, to_wire
 from ledgerline.operators import joins, marts, serving
 from ledgerline.operators.filters import between_dates, where_category
 from ledgerline.plans import oracle as O
@@ -395,8 +395,16 @@ def _suite(spark, sf):
 
 
 def _artifact_counts(spark, sf):
-    res = _suite(spark, sf)
-    return Q.status_counts(Q.artifact_statuses(res, Q.gate(res)))
+    """Counts read back from the run's result artifact, a JSON file written once."""
+    from ledgerline.session import scratch_path
+
+    def build():
+        res, path = _suite(spark, sf), scratch_path(spark, "artifact")
+        statuses = Q.artifact_statuses(res, Q.gate(res))
+        statuses.agg(F.collect_list(F.struct("status")).alias("results"), F.lit(RUN_SECONDS).alias("elapsed_time")).write.json(path)
+        return path
+
+    return Q.status_counts(Q.read_run_results(spark, _written(spark, sf, "artifact", build)))
 
 
 @register("dq_not_null", with_(base(()), (
@@ -773,9 +781,34 @@ def q_guarded_query(spark, sf):
     return to_wire(r.data)
 
 
-@register("describe_marts")
+# Types of the mart columns as documented: all others are bigint.
+_MART_TYPES = {
+    "call_date": "date", "payment_date": "date", "service_description": "string", "payment_method": "string", "service_category": "string",
+    "avg_duration_seconds": "decimal(38,1)", "avg_sentiment": "decimal(38,2)",
+    "booking_rate_pct": "decimal(38,1)", "escalation_rate_pct": "decimal(38,1)", "miss_rate_pct": "decimal(38,1)",
+    "revenue_dollars": "decimal(28,2)", "avg_ticket_dollars": "decimal(38,2)", "refund_dollars": "decimal(28,2)",
+    "net_revenue_dollars": "decimal(29,2)", "completion_rate_pct": "decimal(38,1)", "avg_completed_value": "decimal(38,2)",
+    "total_completed_value": "decimal(20,2)",
+}
+
+
+def _describe_sql() -> str:
+    from ledgerline.schemas import MART_COLUMN_COMMENTS, MART_DESCRIPTIONS
+
+    return " UNION ALL ".join(
+        f"SELECT 'marts.{m}' AS \"table\", {O.q(MART_DESCRIPTIONS[m])} AS table_description, '{c}' AS \"column\", "
+        f"'{_MART_TYPES.get(c, 'bigint')}' AS type, {O.q(text)} AS description, "
+        f"(SELECT count(*) FROM {m}_wire) AS row_count, (SELECT count(*) FROM {m}_wire WHERE \"{c}\" IS NULL) AS null_count"
+        for m, columns in MART_COLUMN_COMMENTS.items() for c, text in columns.items())
+
+
+@register("describe_marts", with_(base() + [
+    f"mart_call_funnel_wire AS (SELECT {O.FUNNEL_WIRE} FROM mart_call_funnel)",
+    f"mart_revenue_wire AS (SELECT {O.REVENUE_WIRE} FROM mart_revenue)",
+    f"mart_jobs_wire AS (SELECT {O.JOBS_WIRE} FROM mart_jobs)"], _describe_sql()))
 def q_describe_marts(spark, sf):
-    return G.describe_marts(spark, _marts(spark, sf))
+    names = ("mart_call_funnel", "mart_revenue", "mart_jobs")
+    return G.describe_marts({n: _served(spark, sf, n).drop(MONTH) for n in names})
 
 
 # JSON lines as the writer emits them: keys in order, NULL members omitted

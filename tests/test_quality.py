@@ -87,3 +87,32 @@ def test_gated_refuses_and_caveats(spark):
     r = Q.gated(warn, lambda: spark.range(3))
     assert r.data.count() == 3 and r.caveat.startswith("Note: ")
     assert Q.gated_frame(stale, lambda: spark.range(3)).count() == 0
+
+
+def test_a_table_that_cannot_be_read_is_an_error_of_its_tests_only(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import quality as Q
+
+    good = spark.range(3).select(F.col("id").cast("string").alias("a"))
+    bad = spark.range(3).select(F.concat(F.lit("x"), F.col("id").cast("string")).cast("int").alias("a"))
+    tests = [Q.DataTest("raw", "raw.calls", "a", "not_null"), Q.DataTest("raw", "raw.jobs", "a", "unique"), Q.DataTest("raw", "raw.jobs", "a", "not_null")]
+    res = Q.run_suite_isolated({"raw.calls": good, "raw.jobs": bad}, tests)
+    assert sorted((r.model, r.test, r.failures, r.status) for r in res.collect()) == [
+        ("raw.calls", "not_null", 0, "pass"), ("raw.jobs", "not_null", None, "error"), ("raw.jobs", "unique", None, "error")]
+    status = {r.model: r.status for r in Q.gate(res).collect()}
+    assert status["raw.jobs"] == "fail" and status["stg_jobs"] == "skip" and status["mart_jobs"] == "skip" and status["stg_calls"] == "pass"
+
+
+def test_artifacts_absent_unreadable_or_with_unknown_statuses(spark, tmp_path):
+    from ledgerline.operators import quality as Q
+
+    def counts(path):
+        return {r.status: r.n for r in Q.status_counts(Q.read_run_results(spark, str(path))).collect()}
+
+    zero = dict.fromkeys(Q.RESULT_STATUSES, 0)
+    assert counts(tmp_path / "none.json") == zero
+    (tmp_path / "bad.json").write_text("this is no JSON {")
+    assert counts(tmp_path / "bad.json") == zero
+    (tmp_path / "ok.json").write_text('{"results": [{"status": "pass"}, {"status": "odd"}, {"status": "error"}, {}], "elapsed_time": 1.5}')
+    assert counts(tmp_path / "ok.json") == zero | {"pass": 1, "error": 1}
