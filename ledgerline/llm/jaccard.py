@@ -19,10 +19,14 @@ SHINGLE = 5
 #: Documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Inverted lists up to this length are short: all their pairs are candidates at once.
-SHORT = 32
+SHORT = 8
 #: Hubs that members of a long list are held against first, and members of a block of it.
 HUBS = 3
 BLOCK = 1024
+#: Rows of one list that a task holds at once; what a list has beyond them counts as long.
+LONGEST = 1_000_000
+#: Smallest tokens of a set by which two sets are known to have met in an earlier list.
+HEADS = 4
 #: Members checked against one text together.
 CHUNK = 256
 #: Set hashes a worker remembers, so that copies within a task give their postings once.
@@ -93,8 +97,9 @@ def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
     return docs.select("doc", "text").mapInArrow(run, schema)
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that rows with equal ``keys`` stay together (input sorted by them)."""
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 0) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that rows with equal ``keys`` stay together (input sorted by them), but for
+    pieces of ``most`` rows or more with the same keys, if that is given."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -108,6 +113,9 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Rec
         at = np.flatnonzero(change)
         if not len(at):
             held.append(batch)
+            if most and sum(b.num_rows for b in held) >= most:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
             continue
         if held or at[0]:
             if at[0]:
@@ -124,21 +132,31 @@ def _grouped(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*[F.col(k) for k in keys[:1]]).sortWithinPartitions(*keys)
 
 
-def shared_lists(postings: DataFrame) -> DataFrame:
-    """(token, node, n, size) of the inverted lists that hold two different sets or more."""
+def shared_lists(postings: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(token, node, n, size) of the inverted lists that hold two different sets or more, of sizes that may link."""
     schema = "token long, node long, n long, size long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _runs(batches, ["token"]):
+        cut = None  # the token of the last piece of a list that came in several
+        for batch in _runs(batches, ["token"], LONGEST):
             token, node, n = (batch.column(c).to_numpy() for c in ("token", "node", "n"))
+            if len(token) >= LONGEST and token[0] == token[-1]:
+                cut = token[0]
             first = np.r_[True, (token[1:] != token[:-1]) | (node[1:] != node[:-1])]
             token, node, n = token[first], node[first], n[first]
-            start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-            size = np.diff(np.r_[start, len(token)])
-            size = np.repeat(size, size)
-            many = size > 1
-            if many.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (token, node, n, size)], names=["token", "node", "n", "size"])
+            # By size within a list: whoever has a partner at all has one next to it.
+            order = np.lexsort((n, token))
+            token, node, n = token[order], node[order], n[order]
+            close = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
+            kept = np.r_[False, close] | np.r_[close, False]
+            if cut is not None:
+                kept |= token == cut
+            token, node, n = token[kept], node[kept], n[kept]
+            if len(token):
+                start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+                size = np.diff(np.r_[start, len(token)])
+                size = np.where(token == cut, LONGEST, np.repeat(size, size)) if cut is not None else np.repeat(size, size)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, node, n, size)], names=["token", "node", "n", "size"])
 
     return _grouped(postings, "token", "node").mapInArrow(run, schema)
 
@@ -193,37 +211,54 @@ def _emit(node: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]], keep
             yield np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
 
 
+def _unmet(token: int, heads: np.ndarray):
+    """Whether pairs of places in the list of ``token`` have not met in the list of a smaller token that
+    is among the smallest ones (``heads``, a column each) of both."""
+    key = _U(int(token) & (1 << 64) - 1)
+
+    def check(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        met = np.zeros(len(x), bool)
+        for i in range(heads.shape[1]):
+            for j in range(max(0, i - 1), min(heads.shape[1], i + 2)):
+                met |= (heads[x, i] == heads[y, j]) & (heads[x, i] < key)
+        return ~met
+
+    return check
+
+
+def _heads(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column(f"t{i}").to_numpy().view(_U) for i in range(HEADS)], axis=1)
+
+
 def first_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(x, y) that may link, from lists (token, node, n, t0, t1, bits): all pairs of short lists, and
-    of long ones each member with a few hubs. A pair that two sets' smallest tokens show to
-    have met in an earlier list is left to that one."""
+    """(x, y) that may link, from lists (token, node, n, size, t0.., bits): all pairs of short lists, and
+    of long ones each member with a few hubs, much the same ones in all lists
+    (very long lists in parts, each with its hubs). A pair of a
+    short list that two sets' smallest tokens show to have met in an earlier list is left to that one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _runs(batches, ["token"]):
-            token, node, n, t0, t1 = (batch.column(c).to_numpy() for c in ("token", "node", "n", "t0", "t1"))
-            bits = batch.column("bits").to_pylist()
-            start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        for batch in _runs(batches, ["token", "part"]):
+            token, part, node, n = (batch.column(c).to_numpy() for c in ("token", "part", "node", "n"))
+            size, bits, heads = batch.column("size").to_numpy(), batch.column("bits").to_pylist(), _heads(batch)
+            start = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (part[1:] != part[:-1])])
             out = []
             for a, b in zip(start, np.r_[start[1:], len(token)], strict=True):
-                key, u, v = token[a], t0[a:b], t1[a:b]
-
-                def unmet(x, y, key=key, u=u, v=v):
-                    return ~(((u[x] == u[y]) & (u[x] != key)) | ((v[x] == v[y]) & (v[x] != key) & (u[x] != key) & (u[y] != key)))
-
-                found, hubs = Lists(n[a:b], bits[a:b], percent), None
-                if b - a > SHORT:
+                unmet, found, hubs = _unmet(token[a], heads[a:b]), Lists(n[a:b], bits[a:b], percent), None
+                if size[a] > SHORT:
                     hubs = np.zeros(b - a, bool)
-                    hubs[np.argsort(_mix(node[a:b].view(_U) ^ _U(int(key) & (1 << 64) - 1)))[:HUBS]] = True
+                    hubs[np.argsort(_mix(node[a:b].view(_U) + _U(token[a] & 1)))[:HUBS]] = True
                     unmet = None
                 out += _emit(node[a:b], found.pairs(hubs), unmet)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["x", "y"])
 
-    return _grouped(lists, "token", "node").mapInArrow(run, "x long, y long").distinct()
+    parts = F.ceil(F.col("size") / (8 * BLOCK))
+    dealt = lists.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    return dealt.repartition("token", "part").sortWithinPartitions("token", "part", "node").mapInArrow(run, "x long, y long").distinct()
 
 
 def late_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(x, y) of different components that may link, from long lists (token, node, n, bits, component).
+    """(x, y) of different components that may link, from long lists (token, node, n, t0.., bits, component).
 
     Lists are cut into blocks by a hash of the node, and each pair of blocks is a
     group of its own, so no group grows with a list.
@@ -232,12 +267,13 @@ def late_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     dealt = (lists.withColumn("blocks", blocks).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("token", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "node", "n", "bits", "component"))
+             .select("token", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "node", "n", "bits", "component",
+                     *[f"t{i}" for i in range(HEADS)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _runs(batches, ["token", "b1", "b2"]):
             token, b1, b2, own, node, n, comp = (batch.column(c).to_numpy() for c in ("token", "b1", "b2", "own", "node", "n", "component"))
-            bits = batch.column("bits").to_pylist()
+            bits, heads = batch.column("bits").to_pylist(), _heads(batch)
             start = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (b1[1:] != b1[:-1]) | (b2[1:] != b2[:-1])])
             out = []
             for a, b in zip(start, np.r_[start[1:], len(token)], strict=True):
@@ -246,7 +282,8 @@ def late_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
                 if (c == c[0]).all():
                     continue
                 found = Lists(n[a:b], bits[a:b], percent).pairs(None if one else left)
-                out += _emit(node[a:b], found, lambda x, y, c=c, left=left, one=one: (c[x] != c[y]) & (one | (left[x] != left[y])))
+                unmet = _unmet(token[a], heads[a:b])
+                out += _emit(node[a:b], found, lambda x, y, c=c, left=left, one=one, unmet=unmet: (c[x] != c[y]) & (one | (left[x] != left[y])) & unmet(x, y))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["x", "y"])
 
@@ -327,13 +364,13 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     """
     sets = materialise(signatures(docs, percent, shingle), "jaccard_sets")
     postings = sets.where("bits is not null").select(F.explode("prefix").alias("token"), "node", "n")
-    lists = materialise(shared_lists(postings), "jaccard_lists")
+    lists = materialise(shared_lists(postings, percent), "jaccard_lists")
     wanted = lists.groupBy("node").agg(F.count("*").alias("posts")).withColumnRenamed("node", "w")
-    rep = (sets.where("bits is not null").groupBy("node").agg(F.min(F.struct("doc", "bits", F.get("prefix", F.lit(0)).alias("t0"), F.get("prefix", F.lit(1)).alias("t1"))).alias("r"))
+    rep = (sets.where("bits is not null").groupBy("node").agg(F.min(F.struct("doc", "bits", *[F.coalesce(F.get("prefix", F.lit(i)), "node").alias(f"t{i}") for i in range(HEADS)])).alias("r"))
            .join(wanted, F.col("node") == F.col("w"), "left_semi").select("node", "r.*"))
-    rep = materialise(rep.withColumn("t1", F.coalesce("t1", "node")), "jaccard_nodes")
-    known = rep.select(F.col("node").alias("k"), "bits", "t0", "t1")
-    first = materialise(first_candidates(lists.join(known, F.col("node") == F.col("k")).drop("k", "size"), percent), "jaccard_first")
+    rep = materialise(rep, "jaccard_nodes")
+    known = rep.select(F.col("node").alias("k"), "bits", *[f"t{i}" for i in range(HEADS)])
+    first = materialise(first_candidates(lists.join(known, F.col("node") == F.col("k")).drop("k"), percent), "jaccard_first")
     long_ = lists.where(F.col("size") > SHORT)
 
     nodes = first.select(F.explode(F.array("x", "y")).alias("c")).unionByName(long_.select(F.col("node").alias("c"))).distinct()
@@ -348,7 +385,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     split = late.groupBy(F.col("token").alias("s")).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s")
     split = materialise(split, "jaccard_split")
     late = late.join(split, F.col("token") == F.col("s")).drop("s")
-    late = late.join(known.select("k", "bits"), F.col("node") == F.col("k")).drop("k")
+    late = late.join(known, F.col("node") == F.col("k")).drop("k")
     second = late_candidates(late, percent).join(first.select(F.col("x").alias("fx"), F.col("y").alias("fy")), (F.col("x") == F.col("fx")) & (F.col("y") == F.col("fy")), "left_anti")
     more = materialise(verify(second, texts, percent, shingle), "jaccard_more")
     if not more.isEmpty():

@@ -56,6 +56,16 @@ def test_components_against_brute_force(spark, docs_of, lorem):
     assert sorted(map(tuple, got), key=str) == by_hand(rows)
 
 
+def test_components_with_long_lists_in_pieces(spark, docs_of, lorem, monkeypatch):
+    from ledgerline.llm import jaccard
+
+    for name, value in (("LONGEST", 20), ("BLOCK", 2), ("SHORT", 3)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = make_rows(lorem)
+    got = jaccard_components(docs_of(rows).withColumnRenamed("doc_id", "doc").repartition(6)).select("doc", "n", "component").collect()
+    assert sorted(map(tuple, got), key=str) == by_hand(rows)
+
+
 def test_one_of_each_group(spark, docs_of, lorem):
     from pyspark.sql import functions as F
 
