@@ -253,8 +253,8 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: in
     seen[1] = Counter({t: min(c, len(beside.get(t, "1"))) for t, c in seen[1].items()})
     n = [max(1, (y == 0).sum()), max(1, (y == 1).sum())]
     clean = sorted(seen[0])
-    if not clean or not seen[1]:
-        return Model(np.zeros((_SYMBOLS**3, 1), np.float32), np.zeros(1), 0.0, 1.0, 0.0 if not clean and not len(texts) else float(np.log((n[1] - 0.5) / (n[0] - 0.5 + 1e-9)) if min(n) > 1 else 0.0))
+    if not clean or not seen[1]:  # nothing to tell apart: every text scores 0.5
+        return Model(np.zeros((_SYMBOLS**3, 1), np.float32), np.zeros(1), 0.0, 1.0, 0.0)
     odds = {t: np.log((c + 0.5) / n[1]) - np.log((seen[0][t] + 0.5) / n[0]) for t, c in seen[1].items()}
     excess = {t: _excess(c, seen[0][t], n[1], n[0]) for t, c in seen[1].items()}
     leading = sorted(excess, key=lambda t: (-excess[t], t))
