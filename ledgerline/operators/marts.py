@@ -14,7 +14,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.functions.numeric import avg_half_up, pct
 from ledgerline.operators.joins import calls_with_jobs
