@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,22 +27,24 @@ FLOOR = 0.35
 #: Letters of a token scored at once; longer tokens are read in overlapping windows.
 WINDOW = 24
 CACHE_WORDS = 400_000
+#: Strings whose similarities are computed at once.
+BATCH = 4_000
 
-_SYMBOLS = 29  # 0 nothing, 1..26 a-z, 27 another letter, 28 the edge of a token
+_SYMBOLS = 48  # 0 nothing, 1..26 a-z, 27 another letter, 28 the edge of a token, from 29 on Latin letters with marks
 _SENTENCE = re.compile(r"[.!?\n]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SPELLED = re.compile(r"(?<!\w)[^\W\d_](?:[\s.*_-]{1,3}[^\W\d_]){2,}(?!\w)")
 _GAPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN + 1 - a)]
 
 
-def _symbol(ch: str) -> int:
-    """Letter to symbol; accents are dropped."""
-    base = unicodedata.normalize("NFKD", ch)[0].lower()
-    return ord(base) - 96 if "a" <= base <= "z" else 27
+def _symbol(code: int) -> int:
+    """Letter to symbol; letters with marks keep apart from plain ones, as they make other words."""
+    ch = chr(code).lower()[0]
+    return ord(ch) - 96 if "a" <= ch <= "z" else 29 + ord(ch) % 19 if ch.isalpha() else 27
 
 
 #: Symbols of the code points with Latin letters; all later ones are other letters.
-_LATIN = np.array([_symbol(chr(i)) for i in range(0x250)] + [27], np.int32)
+_LATIN = np.array([_symbol(i) for i in range(0x250)] + [27], np.int32)
 
 
 def tokens(word: str) -> list[str]:
@@ -108,11 +109,12 @@ class Model:
     offset: float
 
     def __post_init__(self):
-        self.peak = self.landmarks.max(axis=1)
         sub, self.marks = np.nonzero(self.landmarks)
         self.values = self.landmarks[sub, self.marks]
+        self.peak = self.landmarks.max(axis=1)
         self.counts = np.bincount(sub, minlength=len(self.landmarks))
         self.starts = np.r_[0, np.cumsum(self.counts)[:-1]]
+        self.landmarks = self.landmarks[:0]  # held as lists from here on
 
     def similar(self, strings: list[str]) -> np.ndarray:
         """Squared normalised kernel of each string with each landmark; similarities below FLOOR count as none.
@@ -141,8 +143,8 @@ class Model:
     def margins(self, strings: list[str]) -> np.ndarray:
         order = sorted(range(len(strings)), key=lambda i: len(strings[i]))
         out = np.empty(len(strings))
-        for i in range(0, len(order), 10_000):
-            part = order[i : i + 10_000]
+        for i in range(0, len(order), BATCH):
+            part = order[i : i + BATCH]
             out[part] = self.similar([strings[k] for k in part]) @ self.weights + self.bias
         return out
 
@@ -205,7 +207,7 @@ def _supported(witness: Counter, leading: list[str], odds: dict[str, float]) ->
     """Witnesses among the leading tokens, or much like one and rarer in clean texts; all, if there are none."""
     names = sorted(witness, key=lambda t: (-witness[t], t))
     probe = Model(_landmark_table(leading), np.zeros(len(leading)), 0.0, 1.0, 0.0)
-    near = np.concatenate([probe.similar(names[i : i + 10_000]).max(axis=1) for i in range(0, len(names), 10_000)])
+    near = np.concatenate([probe.similar(names[i : i + BATCH]).max(axis=1) for i in range(0, len(names), BATCH)])
     own = set(leading)
     return Counter({t: witness[t] for t, x in zip(names, near, strict=True) if t in own or (x >= 0.36 and odds[t] > np.log(2.5))}) or witness
 
@@ -219,7 +221,7 @@ def _inserted(token: str, rng: np.random.Generator, n: int) -> list[str]:
     return out
 
 
-def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: int = 5, rounds: int = 3) -> Model:
+def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: int = 5, rounds: int = 3, threshold: float = THRESHOLD) -> Model:
     """Train on labelled texts, sentence by sentence.
 
     A toxic text is a bag of sentences of which one at least is toxic, a sentence
@@ -229,12 +231,13 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: in
     far a token's share of toxic texts exceeds its share of clean ones. Positive tokens are repeated
     with inserted letters. Labels may be wrong: a token has to stand
     in clearly more toxic texts than clean ones, or be like one that does, and texts whose label the supported
-    tokens contradict are left out of the calibration. Landmarks are the leading positive tokens and clean
+    tokens contradict are left out of the calibration, in which even odds of the classes give
+    ``threshold``. Landmarks are the leading positive tokens and clean
     tokens; weights are learnt in the Nyström feature space of the kernel.
     """
     rng = np.random.default_rng(seed)
     bags = []
-    beside: dict[str, set] = {}  # the words before and after each token of a toxic text
+    beside: dict[str, set[int]] = {}  # hashes of the words before and after each token of a toxic text
     for text, label in zip(texts, toxic, strict=True):
         text = (text or "").lower()
         if label:
@@ -242,7 +245,7 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: in
             for before, word, after in zip(words, words[1:], words[2:], strict=False):
                 for t in tokens(word):
                     for w in _windows(t):
-                        beside.setdefault(w, set()).add((before, after))
+                        beside.setdefault(w, set()).add(hash((before, after)))
         said = [sorted({w for word in s.split() for t in tokens(word) for w in _windows(t)}) for s in _SENTENCE.split(text)]
         bags.append([s for s in [*said, sorted(set(spelled_out(text)))] if s])
     y = np.asarray(toxic)
@@ -251,6 +254,7 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: in
         seen[label].update({t for s in bag for t in s})
     # Copies of one text say the same thing once: a token counts as often as it stands between other words.
     seen[1] = Counter({t: min(c, len(beside.get(t, "1"))) for t, c in seen[1].items()})
+    del beside
     n = [max(1, (y == 0).sum()), max(1, (y == 1).sum())]
     clean = sorted(seen[0])
     if not clean or not seen[1]:  # nothing to tell apart: every text scores 0.5
@@ -258,7 +262,7 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: in
     odds = {t: np.log((c + 0.5) / n[1]) - np.log((seen[0][t] + 0.5) / n[0]) for t, c in seen[1].items()}
     excess = {t: _excess(c, seen[0][t], n[1], n[0]) for t, c in seen[1].items()}
     leading = sorted(excess, key=lambda t: (-excess[t], t))
-    leading = [t for t in leading if excess[t] >= 5][:400] or leading[:20]
+    leading = [t for t in leading if excess[t] >= 5 and odds[t] >= np.log(20)][:400] or leading[:20]
     score = excess.__getitem__
     frequent = [t for t, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0]))]
     model = None
@@ -278,7 +282,7 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: in
         among = probe.similar(marks).astype(float)
         values, vectors = np.linalg.eigh((among + among.T) / 2)
         whiten = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
-        sims = np.concatenate([probe.similar(names[i : i + 10_000]) for i in range(0, len(names), 10_000)]).astype(float)
+        sims = np.concatenate([probe.similar(names[i : i + BATCH]) for i in range(0, len(names), BATCH)]).astype(float)
         share = np.array([c for _, c in positive], float)
         cost = np.r_[200 * share / share.sum() * len(positive) ** 0.5, np.full(len(negative), 1.0)]
         w = _fit_svm(sims @ whiten, np.r_[np.ones(len(positive)), -np.ones(len(negative))], cost)
@@ -291,6 +295,7 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, seed: in
     told = np.array([any(t in sure for s in bag for t in s) for bag in bags]) == (y == 1)
     fair = told if (told & (y == 1)).any() and (told & (y == 0)).any() else np.ones(len(y), bool)
     model.slope, model.offset = _fit_sigmoid(of_text[fair], y[fair])
+    model.offset += float(np.log(threshold / (1 - threshold)))
     return model
 
 
