@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm.toxicity import Scorer, _features, _matrix, fit, held_out, score_toxicity, spelled_out, tokens, train
+from ledgerline.llm.toxicity import _SYMBOLS, Scorer, _features, _matrix, fit, held_out, score_toxicity, spelled_out, tokens, train
 
 DECAY, SPAN = 0.6, 5
 
@@ -26,7 +26,7 @@ def kernel_by_hand(s, t):
 def test_kernel_against_brute_force():
     words = ["idiot", "idxiot", "idiotic", "banana", "aaaa", "ab", "abc", "scum"]
     row, sub, value = _features(_matrix(words))
-    dense = np.zeros((len(words), 29**3))
+    dense = np.zeros((len(words), _SYMBOLS**3))
     dense[row, sub] = value
     got = dense @ dense.T
     for i, s in enumerate(words):
