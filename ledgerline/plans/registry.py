@@ -379,15 +379,19 @@ def _damaged_tables(spark, sf):
     return Q.layer_tables(raw, stg, marts.build_marts(stg))
 
 
+def _run_suite(spark, sf):
+    from ledgerline.operators.staging import inline_views
+
+    # staging tests run inside the raw scans (one scan per source)
+    return Q.run_suite(_damaged_tables(spark, sf), Q.DEFAULT_SUITE, views=inline_views())
+
+
 def _suite(spark, sf):
     """One row per declared test, computed once per session and input; gate, roll-up, alerts and metrics read it."""
-    from ledgerline.operators.staging import inline_views
     from ledgerline.session import scratch_path
 
     def build():
-        # staging tests run inside the raw scans (one scan per source)
-        results = Q.run_suite(_damaged_tables(spark, sf), Q.DEFAULT_SUITE, views=inline_views())
-        path = scratch_path(spark, "suite")
+        results, path = _run_suite(spark, sf), scratch_path(spark, "suite")
         results.coalesce(1).write.parquet(path)
         return spark.read.schema(results.schema).parquet(path)
 
@@ -479,7 +483,7 @@ def _gate_ctes() -> list[str]:
     "SELECT layer, model, \"column\", test, CAST(failures AS BIGINT) AS failures, "
     "CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM suite")))
 def q_dq_suite(spark, sf):
-    return _suite(spark, sf)
+    return _run_suite(spark, sf)
 
 
 @register("dq_gate", with_(base(damaged=True) + _gate_ctes(), "SELECT model, status FROM gate"))
