@@ -7,7 +7,7 @@ rows and extra columns have the results that the stages' operators define.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import materialise, table
@@ -47,8 +47,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, the piece ids of the text and their number."""
-    encoded = encode_pieces(docs.select("doc_id", "lang", "source", "text"))
+    """doc_id, lang, source, the piece ids of the text and their number. Copies of a document are
+    numbered, so that each is cut on its own."""
+    copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("lang", "source")
+    numbered = docs.select("doc_id", "lang", "source", "text", F.row_number().over(copies).alias("copy"))
+    encoded = encode_pieces(numbered, copy="copy")
     return encoded.select("doc_id", "lang", "source", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"))
 
 

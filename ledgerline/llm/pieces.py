@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +19,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # stands for a space in pieces
 #: Units up to this many symbols are merged in arrays, longer ones with an agenda of their own.
 ARRAY_SYMBOLS = 32
-#: Characters of texts handled at once, and cached units of a worker.
+#: Characters of texts handled at once, and cuts that a worker keeps (a cut: a unit and the merges skipped in it).
 SLICE_CHARS = 1_000_000
-CACHE_UNITS = 800_000
+CACHE_UNITS = 300_000
 #: Stretches of a text that no piece crosses: always at spaces and line ends, and between letters
 #: and other characters if the vocabulary has no piece of both.
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
@@ -43,7 +44,11 @@ class PieceTable:
         plain = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         ids = {sp.id_to_piece(i): i for i in plain}
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.char_ids = {p: i for p, i in ids.items() if len(p) == 1}
+        self.of_code = np.zeros(0x110000, np.int32)  # id of each code point's piece, 0 for none
+        for p, i in ids.items():
+            if len(p) == 1:
+                self.of_code[ord(p)] = i
+        self.of_code[ord(" ")], self.of_code[ord(MARK)] = self.of_code[ord(MARK)], 0
         self.bytes_of = [b""] * n
         for p, i in ids.items():
             self.bytes_of[i] = p.replace(MARK, " ").encode()
@@ -62,17 +67,39 @@ class PieceTable:
         self.keys = np.array([-1, *keys], np.int64)
         self.ranks = np.array([_NEVER, *(pairs[k][0] for k in keys)], np.int32)
         self.merged = np.array([0, *(pairs[k][1] for k in keys)], np.int32)
+        self.slots = np.zeros(max(1 << 19, 1 << (4 * len(keys)).bit_length()), np.int32)  # open addressing
+        self.shift = np.uint64(65 - len(self.slots).bit_length())
+        for at, slot in enumerate(self._slot(self.keys[1:]).tolist(), 1):
+            while self.slots[slot]:
+                slot = slot + 1 & len(self.slots) - 1
+            self.slots[slot] = at
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(_K1) >> self.shift).astype(np.int64)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Index of each pair in ``ranks`` and ``merged``; 0 where the pair has no merge."""
         key = left.astype(np.int64) << 20 | right
-        at = np.searchsorted(self.keys, key)
-        at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == key, at, 0)
+        slot = self._slot(key)
+        at = self.slots[slot]
+        open_ = np.flatnonzero((at > 0) & (self.keys[at] != key))
+        while len(open_):
+            slot[open_] = slot[open_] + 1 & len(self.slots) - 1
+            at[open_] = self.slots[slot[open_]]
+            open_ = open_[(at[open_] > 0) & (self.keys[at[open_]] != key[open_])]
+        return at
+
 
+def _unit_key(text: str, seed: int, stream: int) -> int:
+    return (xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), seed & _M64) + stream * _K3) & _M64
 
-def _unit_key(unit: str, seed: int, stream: int) -> int:
-    return (xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), seed & _M64) + stream * _K3) & _M64
+
+def place_keys(key: int, places: np.ndarray) -> np.ndarray:
+    """Keys of the units at the given places of the text with ``key``."""
+    x = np.uint64(key) + places.astype(np.uint64) * np.uint64(_K1)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
 
 
 def _skips(key, a, b, c, limit: int):
@@ -86,9 +113,15 @@ def _skips(key, a, b, c, limit: int):
     return (x >> 33) < limit
 
 
-def _skips_array(key, a, b, c, limit: int):
+def _borders(a, b, c):
+    """The part of ``_skips`` that depends on the borders, for arrays; it also names a merge within its unit."""
+    u = np.uint64
+    return a.astype(u) * u(_K1) + b.astype(u) * u(_K2) + c.astype(u) * u(_K3)
+
+
+def _skips_array(key, borders, limit: int):
     u = np.uint64
-    x = key ^ (a.astype(u) * u(_K1) + b.astype(u) * u(_K2) + c.astype(u) * u(_K3))
+    x = key ^ borders
     for _ in range(2):
         x = (x ^ (x >> u(32))) * u(0xD6E8FEB86659FD93)
     return (x >> u(33)) < u(limit)
@@ -123,131 +156,239 @@ def merge_with_agenda(symbols: list[int], table: PieceTable, key: int, limit: in
     return [x for x in ids if x >= 0]
 
 
-def _merge_rows(ids: np.ndarray, lengths: np.ndarray, table: PieceTable, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def _merge_rows(ids: np.ndarray, lengths: np.ndarray, table: PieceTable, keys: np.ndarray, limit: int,
+                closed: np.ndarray | None = None, made: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The same merges for many short units at once, a row of symbols each: a round makes every
     unit's best merge. Returns the pieces in the rows and their numbers.
 
     A unit's best open candidate is what its agenda would pop next, and a skipped
     one is closed when it arises, so rounds and agenda give the same pieces.
+    ``closed`` has borders of merges that each row skips (0: none); ``made`` gets
+    the rows and borders of each round's merges.
     """
     n, width = ids.shape
-    cols = np.arange(width)
-    start = np.broadcast_to(np.arange(width + 1, dtype=np.uint8), (n, width + 1)).copy()  # start[:, k + 1] is where symbol k ends
-    out, sizes, which, lengths = ids.copy(), lengths.copy(), np.arange(n), lengths.copy()
-
-    def candidates(r, k):
-        at = table.find(ids[r, k], ids[r, k + 1])
-        if limit:
-            at[_skips_array(keys[which[r]], start[r, k], start[r, k + 1], start[r, k + 2], limit)] = 0
-        return at
-
-    open_ = np.zeros((n, width), np.int32)
-    r, k = np.nonzero(cols[1:] < lengths[:, None])
+    w = width + 1
+    # Symbols stay at the place of their first character, which is their left border; merged ones become -1.
+    ids = np.concatenate([ids.astype(np.int32), np.zeros((n, 1), np.int32)], axis=1)
+    rank, open_ = np.full((n, w), _NEVER, np.int32), np.zeros(n * w, np.int32)
+    after, before = np.tile(np.arange(1, w + 1), n), np.tile(np.arange(-1, width), n)
+    flat, ranks = ids.reshape(-1), rank.reshape(-1)
+
+    def add(r, i, j, c):
+        at = table.find(flat[r * w + i], flat[r * w + j])
+        if limit or closed is not None:
+            borders = _borders(i, j, c)
+            if limit:
+                at[_skips_array(keys[r], borders, limit)] = 0
+            if closed is not None:
+                at[(closed[r] == borders[:, None]).any(axis=1)] = 0
+        ranks[r * w + i], open_[r * w + i] = table.ranks[at], at
+
+    r, k = np.nonzero(np.arange(1, w) < lengths[:, None])
     if len(r):
-        open_[r, k] = candidates(r, k)
-    while len(which):
-        rank = table.ranks[open_]
-        best = rank.argmin(axis=1)
-        live = rank[np.arange(len(which)), best] != _NEVER
-        if not live.all():
-            done = which[~live]
-            out[done, : ids.shape[1]] = ids[~live]
-            sizes[done] = lengths[~live]
-            ids, start, open_, lengths, which, best = ids[live], start[live], open_[live], lengths[live], which[live], best[live]
-            if not len(which):
-                break
-        row = np.arange(len(which))
-        ids[row, best] = table.merged[open_[row, best]]
-        # Each unit loses the symbol after its best merge, its border and its candidate; the tables get a column narrower.
-        w = ids.shape[1]
-        c = np.arange(w + 1)
-        gone = c != best[:, None] + 1
-        ids, start = ids[gone[:, :w]].reshape(len(row), w - 1), start[gone].reshape(len(row), w)
-        open_ = open_[c[:w] != best[:, None]].reshape(len(row), w - 1)
-        lengths -= 1
-        for k in (best - 1, best):
-            inside = (k >= 0) & (k + 1 < lengths)
-            r = row[inside]
-            if len(r):
-                open_[r, k[inside]] = candidates(r, k[inside])
-        past = (best + 1 >= lengths) & (best < w - 1)
-        open_[row[past], best[past]] = 0
+        add(r, k, k + 1, k + 2)
+    row = np.arange(n)
+    while len(row):
+        open_rank = rank if len(row) == n else rank[row]
+        best = open_rank.argmin(axis=1)
+        live = open_rank[np.arange(len(row)), best] != _NEVER
+        row, i = row[live], best[live]
+        base = row * w
+        here = base + i
+        j = after[here]
+        c = after[base + j]
+        if made is not None:
+            made.append((row, _borders(i, j, c)))
+        flat[here], flat[base + j] = table.merged[open_[here]], -1
+        ranks[here], ranks[base + j] = _NEVER, _NEVER
+        after[here] = c
+        before[base[c < w] + c[c < w]] = i[c < w]
+        b = before[here]
+        left, right = np.flatnonzero(b >= 0), np.flatnonzero(c < lengths[row])
+        if len(left) + len(right):
+            b, more = b[left], c[right]
+            add(np.r_[row[left], row[right]], np.r_[b, i[right]], np.r_[i[left], more], np.r_[c[left], after[base[right] + more]])
+    kept = (ids >= 0) & (np.arange(w) < lengths[:, None])
+    sizes = kept.sum(axis=1)
+    out = np.zeros((n, width), np.int32)
+    out[np.arange(width) < sizes[:, None]] = ids[kept]
     return out, sizes
 
 
+class Cuts:
+    """Cuts of short units, kept by a worker: the plain one, and those with merges skipped.
+
+    A cut has the borders of the merges it makes, in order; ``child`` leads from
+    each of them to the cut that skips it as well (-1: not made yet). A cut
+    depends on the unit and the skipped merges only, so keeping it limits no choice.
+    """
+
+    def __init__(self, table: PieceTable):
+        self.table = table
+        self.plain: dict[str, int] = {}
+        self.ids: list[bytes] = []  # of each cut, 4 bytes to an id
+        self.unit: list[str] = []
+        self.first, self.count, self.parent = (np.zeros(1024, np.int32) for _ in range(3))
+        self.skipped = np.zeros(1024, np.uint64)  # what a cut skips besides what its parent skips
+        self.borders, self.child, self.used = np.zeros(4096, np.uint64), np.zeros(4096, np.int32), 0
+
+    def _room(self, cuts: int, merges: int) -> None:
+        def longer(x: np.ndarray, n: int) -> np.ndarray:
+            return x if n <= len(x) else np.r_[x, np.zeros(max(n, 3 * len(x) // 2) - len(x), x.dtype)]
+
+        for name, n in (("first", cuts), ("count", cuts), ("parent", cuts), ("skipped", cuts), ("borders", merges), ("child", merges)):
+            setattr(self, name, longer(getattr(self, name), n))
+
+    def add(self, units: list[str], symbols: np.ndarray, parent: np.ndarray, skipped: np.ndarray) -> None:
+        """Makes a cut of each unit that skips one merge more than its parent (parent -1: none), in blocks
+        of like sizes; ``symbols``: those of all units in a row, 0 for a character without a piece."""
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        at = np.cumsum(sizes) - sizes
+        for a in range(0, len(units), 20_000):
+            n = sizes[a : a + 20_000]
+            part, k, old = units[a : a + 20_000], len(n), len(self.ids)
+            ids = np.zeros((k, int(n.max())), np.int32)
+            ids[np.arange(ids.shape[1]) < n[:, None]] = symbols[at[a] : at[a] + n.sum()]
+            odd = ((ids == 0) & (np.arange(ids.shape[1]) < n[:, None])).any(axis=1)
+            ids[(ids == 0) & (np.arange(ids.shape[1]) < n[:, None])] = _ODD
+            up, closed = parent[a : a + 20_000], [skipped[a : a + 20_000]]
+            while (up >= 0).any():
+                closed.append(np.where(up >= 0, self.skipped[up], np.uint64(0)))
+                up = np.where(up >= 0, self.parent[up], -1)
+            made: list = []
+            none = len(closed) == 1 and not closed[0].any()
+            out, size = _merge_rows(ids, n, self.table, np.empty(0, np.uint64), 0, None if none else np.stack(closed, axis=1), made)
+            row = np.concatenate([m[0] for m in made]) if made else np.empty(0, np.int64)
+            borders = np.concatenate([m[1] for m in made]) if made else np.empty(0, np.uint64)
+            count = np.bincount(row, minlength=k)
+            self._room(old + k, self.used + len(row))
+            self.first[old : old + k] = self.used + np.cumsum(count) - count
+            self.count[old : old + k] = count
+            self.parent[old : old + k] = parent[a : a + 20_000]
+            self.skipped[old : old + k] = skipped[a : a + 20_000]
+            self.borders[self.used : self.used + len(row)] = borders[np.argsort(row, kind="stable")]
+            self.child[self.used : self.used + len(row)] = -1
+            self.used += len(row)
+            flat, step = out.tobytes(), 4 * out.shape[1]
+            got = [flat[i * step : i * step + 4 * m] for i, m in enumerate(size.tolist())]
+            for i in np.flatnonzero(odd):
+                got[i] = self.with_bytes(np.frombuffer(got[i], np.int32).tolist(), (ch for ch in part[i] if not self.table.of_code[ord(ch)]))
+            self.ids += got
+            self.unit += part
+
+    def with_bytes(self, ids: list[int], odd: Iterator[str]) -> bytes:
+        """Ids with the bytes of each character without a piece in the place of its stand-in."""
+        return np.asarray([x for i in ids for x in ((i,) if i < _ODD else (self.table.byte_ids[b] for b in next(odd).encode("utf-8", "surrogatepass")))], np.int32).tobytes()
+
+    def symbols(self, units: list[str]) -> np.ndarray:
+        return self.table.of_code[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+    def learn(self, units: list[str]) -> None:
+        """Plain cuts of new short units."""
+        units.sort(key=len)
+        old = len(self.ids)
+        self.add(units, self.symbols(units), np.full(len(units), -1, np.int32), np.zeros(len(units), np.uint64))
+        self.plain.update(zip(units, range(old, len(self.ids)), strict=True))
+
+    def choose(self, cut: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
+        """The cut that each unit gets, from its plain one and its own key."""
+        cut, done = cut.copy(), np.zeros(len(cut), np.int32)
+        alive = np.flatnonzero(self.count[cut] > 0)
+        while len(alive):
+            parked, merges = [], []
+            # The next skipped merge of each unit, merge by merge.
+            while len(alive):
+                at = self.first[cut[alive]] + done[alive]
+                skip = _skips_array(keys[alive], self.borders[at], limit)
+                parked.append(alive[skip])
+                merges.append(at[skip])
+                alive = alive[~skip]
+                done[alive] += 1
+                alive = alive[done[alive] < self.count[cut[alive]]]
+            alive, at = np.concatenate(parked), np.concatenate(merges)
+            new, where = np.unique(np.where(self.child[at] < 0, at, -1), return_index=True)
+            new, where = (new[1:], where[1:]) if len(new) and new[0] < 0 else (new, where)
+            if len(new):
+                parent = cut[alive[where]]
+                units = [self.unit[i] for i in parent.tolist()]
+                order = np.argsort(np.fromiter(map(len, units), np.int64, len(units)), kind="stable")
+                units, new, old = [units[i] for i in order], new[order], len(self.ids)
+                self.add(units, self.symbols(units), parent[order], self.borders[new])
+                self.child[new] = np.arange(old, old + len(new))
+            cut[alive] = self.child[at]
+            alive = alive[done[alive] < self.count[cut[alive]]]
+        return cut
+
+
 class Encoder:
-    """Encodes texts; holds the worker's cache of units already merged."""
+    """Encodes texts; each unit's skips are drawn by the document's key and the unit's place in the text."""
 
-    def __init__(self, table: PieceTable, dropout: float, seed: int, streams: int):
-        self.table, self.limit, self.seed, self.streams = table, round(dropout * (1 << 31)), seed, max(1, streams if dropout else 1)
-        self.cache: list[dict[str, bytes]] = [{} for _ in range(self.streams)]
-        self.of_code = np.zeros(0x110000, np.int32)  # id of each code point's piece, 0 for none
-        for ch, i in table.char_ids.items():
-            self.of_code[ord(ch)] = i
-        self.of_code[ord(" ")], self.of_code[ord(MARK)] = self.of_code[ord(MARK)], 0
+    def __init__(self, table: PieceTable, dropout: float, seed: int, streams: int = 0):
+        self.table, self.limit, self.seed, self.streams = table, round(dropout * (1 << 31)), seed, streams
+        self.cuts = Cuts(table)
 
     def stream(self, doc_key: str) -> int:
-        return xxhash.xxh3_64_intdigest(doc_key.encode("utf-8", "surrogatepass"), (self.seed + 1) & _M64) % self.streams
+        """The document's part of the key; with ``streams``, one of so many."""
+        x = xxhash.xxh3_64_intdigest(doc_key.encode("utf-8", "surrogatepass"), (self.seed + 1) & _M64)
+        return x % self.streams if self.streams else x
 
     def _symbols(self, unit: str) -> tuple[list[int], list[str]]:
         """Symbols of one unit; characters without a piece become stand-ins that never merge."""
-        odd, symbols = [], []
-        for ch in unit:
-            i = int(self.of_code[ord(ch)])
-            if not i:
-                odd.append(ch)
-                i = _ODD + len(odd)
-            symbols.append(i)
-        return symbols, odd
-
-    def _learn(self, stream: int, units: list[str]) -> None:
-        """Merges units and caches their ids (4 bytes each)."""
-        cache, table = self.cache[stream], self.table
-        units.sort(key=len)
-        for a in range(0, len(units), 20_000):
-            part = units[a : a + 20_000]
-            codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32)
-            symbols, size = self.of_code[codes], np.fromiter(map(len, part), np.int64, len(part))
-            known = np.minimum.reduceat(symbols, np.cumsum(size) - size) > 0
-            short = known & (size <= ARRAY_SYMBOLS)
-            if short.any():
-                ids = np.zeros((int(short.sum()), int(size[short].max())), np.int32)
-                ids[np.arange(ids.shape[1]) < size[short][:, None]] = symbols[np.repeat(short, size)]
-                names = [part[i] for i in np.flatnonzero(short)]
-                keys = np.fromiter((_unit_key(u, self.seed, stream) for u in names), np.uint64, len(names)) if self.limit else np.empty(0, np.uint64)
-                out, n = _merge_rows(ids, size[short], table, keys, self.limit)
-                flat, step = out.tobytes(), 4 * out.shape[1]
-                cache.update((u, flat[i * step : i * step + 4 * k]) for i, (u, k) in enumerate(zip(names, n.tolist(), strict=True)))
-            for i in np.flatnonzero(~short):
-                row, odd = self._symbols(part[i])
-                ids = merge_with_agenda(row, table, _unit_key(part[i], self.seed, stream), self.limit)
-                ids = [x for i in ids for x in ((i,) if i < _ODD else (table.byte_ids[b] for b in odd[i - _ODD - 1].encode("utf-8", "surrogatepass")))]
-                cache[part[i]] = np.asarray(ids, np.int32).tobytes()
+        symbols = [int(self.table.of_code[ord(ch)]) or _ODD for ch in unit]
+        return symbols, [ch for ch, i in zip(unit, symbols, strict=True) if i == _ODD]
+
+    def _long(self, unit: str, key: int) -> bytes:
+        symbols, odd = self._symbols(unit)
+        return self.cuts.with_bytes(merge_with_agenda(symbols, self.table, key, self.limit), iter(odd))
 
     def encode(self, texts: list[str | None], doc_keys: list[str]) -> list[bytes | None]:
         """Ids of whole texts as bytes, 4 to an id. Units of all texts are merged together; very long
         texts come in slices, several rounds long."""
         out: list[list[bytes] | None] = [None if t is None else [] for t in texts]
-        slices = ((i, self.stream(k), units) for i, (t, k) in enumerate(zip(texts, doc_keys, strict=True)) if t for units in _units(t, self.table.unit))
         held, size = [], 0
-        for item in slices:
-            held.append(item)
-            size += len(item[2])
-            if size >= SLICE_CHARS // 4:
-                self._flush(held, out)
-                held, size = [], 0
+        for i, (text, doc_key) in enumerate(zip(texts, doc_keys, strict=True)):
+            if not text:
+                continue
+            key, place = _unit_key(text, self.seed, self.stream(doc_key)) if self.limit else 0, 0
+            for units in _units(text, self.table.unit):
+                held.append((i, key, place, units))
+                place += len(units)
+                size += len(units)
+                if size >= SLICE_CHARS // 4:
+                    self._flush(held, out)
+                    held, size = [], 0
         self._flush(held, out)
         return [None if x is None else b"".join(x) for x in out]
 
-    def _flush(self, held: list[tuple[int, int, list[str]]], out: list) -> None:
-        if sum(map(len, self.cache)) > CACHE_UNITS:
-            for c in self.cache:
-                c.clear()
-        for stream, cache in enumerate(self.cache):
-            if new := set().union(*(u for _, s, u in held if s == stream)).difference(cache):
-                self._learn(stream, sorted(new))
-        for i, stream, units in held:
-            out[i].append(b"".join(map(self.cache[stream].__getitem__, units)))
+    def _flush(self, held: list[tuple[int, int, int, list[str]]], out: list) -> None:
+        if not held:
+            return
+        if len(self.cuts.ids) > CACHE_UNITS:
+            self.cuts = Cuts(self.table)
+        cuts = self.cuts
+        every = list(chain.from_iterable(units for *_, units in held))
+        cut = np.fromiter(map(cuts.plain.get, every, repeat(-1)), np.int32, len(every))
+        missing = np.flatnonzero(cut < 0)
+        units = [every[i] for i in missing.tolist()]
+        if new := {u for u in units if len(u) <= ARRAY_SYMBOLS}:
+            cuts.learn(sorted(new))
+            cut[missing] = np.fromiter(map(cuts.plain.get, units, repeat(-1)), np.int32, len(units))
+        long_, keys = np.flatnonzero(cut < 0), None
+        if self.limit:
+            keys = np.concatenate([place_keys(key, np.arange(place, place + len(units))) for _, key, place, units in held])
+            short = np.flatnonzero(cut >= 0)
+            cut[short] = cuts.choose(cut[short], keys[short], self.limit)
+        at, known = 0, {}
+        for i, _, _, units in held:
+            end = at + len(units)
+            ids = list(map(cuts.ids.__getitem__, cut[at:end].tolist()))
+            for k in long_[np.searchsorted(long_, at) : np.searchsorted(long_, end)].tolist():
+                key, unit = int(keys[k]) if self.limit else 0, units[k - at]
+                if (unit, key) not in known:
+                    known[unit, key] = self._long(unit, key)
+                ids[k - at] = known[unit, key]
+            out[i].append(b"".join(ids))
+            at = end
 
 
 def _units(text: str, unit: re.Pattern) -> Iterator[list[str]]:
@@ -274,19 +415,20 @@ def _table(spark: SparkSession, model: str):
     return shipped(spark, PieceTable(proto))
 
 
-def encode_pieces(docs: DataFrame, dropout: float = 0.1, seed: int = 7, streams: int = 4, model: str = MODEL) -> DataFrame:
+def encode_pieces(docs: DataFrame, dropout: float = 0.1, seed: int = 7, streams: int = 0, model: str = MODEL, copy: str | None = None) -> DataFrame:
     """``docs`` (doc_id, text and other columns) with ``piece_ids``, array of int.
 
     Merges follow the model's scores; each candidate merge is skipped when a hash
-    keyed by ``seed``, stream, unit and borders falls below ``dropout``. Every
-    document belongs to one of ``streams`` segmentation streams by a hash of its
-    doc_id, so the same word is cut differently across documents while a worker
-    can still reuse its cuts; a rerun gives the same ids. With dropout 0 the ids
-    are those of the model's own library.
+    keyed by ``seed``, document (doc_id and text, and its number in the column
+    ``copy`` if one is named), place of the unit in the text and borders falls
+    below ``dropout``. So every occurrence of a word is cut on its own, and a
+    rerun gives the same ids. With dropout 0 the ids are those of the model's own
+    library. ``streams`` > 0 leaves only so many segmentations of one text.
 
     Defined cases: null text has null ids, empty text no ids; a null doc_id is the
     key "None"; texts of any length are worked off in slices; repeated rows give
-    equal ids; an existing column ``piece_ids`` is replaced; others are kept.
+    equal ids unless ``copy`` tells them apart; an existing column ``piece_ids`` is
+    replaced; others are kept.
     """
     shared = _table(docs.sparkSession, model)
     schema = T.StructType([f for f in docs.schema if f.name != "piece_ids"]).add("piece_ids", T.ArrayType(T.IntegerType()))
@@ -298,7 +440,8 @@ def encode_pieces(docs: DataFrame, dropout: float = 0.1, seed: int = 7, streams:
         for whole in batches:
             for batch in _by_size(whole, "text"):
                 keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-                ids = encoder.encode(texts, list(map(str, keys)))
+                names = list(map(str, keys)) if copy is None else [f"{k} {n}" for k, n in zip(keys, batch.column(copy).to_pylist(), strict=True)]
+                ids = encoder.encode(texts, names)
                 ends = np.cumsum([0, *(len(x or b"") // 4 for x in ids)]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(x for x in ids if x), np.int32))
                 nulls = pa.array([x is None for x in ids], pa.bool_())

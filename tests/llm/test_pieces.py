@@ -58,3 +58,29 @@ def test_dropout_varies_the_cuts(table, lorem):
     assert 2 <= len(cuts) <= 8
     plain = Encoder(table, 0.0, 3, 8).encode([text], ["1"])[0]
     assert all(len(c) > len(plain) for c in cuts)
+
+
+def test_every_occurrence_is_cut_by_its_own_key(table, lorem):
+    from ledgerline.llm.pieces import ARRAY_SYMBOLS, _units, place_keys
+
+    texts = [*TEXTS, "international understanding " * 60, lorem(5, 300), "日本語 naïve 😀😀 unbelievable " * 20]
+    for dropout in (0.1, 0.6, 1.0):
+        enc = Encoder(table, dropout, 3)
+        for _ in range(2):  # anew, and from the cuts kept
+            for doc, (text, got) in enumerate(zip(texts, enc.encode(texts, list(map(str, range(len(texts))))), strict=True)):
+                units = [u for part in _units(text, table.unit) for u in part]
+                keys = place_keys(_unit_key(text, 3, enc.stream(str(doc))), np.arange(len(units)))
+                assert got == b"".join(enc._long(u, int(k)) for u, k in zip(units, keys, strict=True)), text
+    assert any(len(u) > ARRAY_SYMBOLS for t in texts for part in _units(t, table.unit) for u in part)
+
+
+def test_cuts_are_not_limited_to_a_few_streams(spark, docs_of, lorem):
+    from pyspark.sql import functions as F
+
+    text = "international understanding " * 80
+    got = encode_pieces(docs_of([(i, text) for i in range(40)]), dropout=0.2, seed=3)
+    assert got.select(F.count_distinct("piece_ids")).first()[0] == 40
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    ids = got.where("doc_id = 7").first()["piece_ids"]
+    cuts = {p for p in "".join(sp.id_to_piece(i) + "|" for i in ids).split(MARK) if p.replace("|", "") == "international"}
+    assert len(cuts) > 4  # within a document, too

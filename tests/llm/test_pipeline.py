@@ -27,3 +27,16 @@ def test_empty_table_and_nulls(spark, docs_of, lorem):
             docs = materialise(stage(spark, docs, SF_SMALL), f"test_{name}")
         ids = [r["doc_id"] for r in docs.collect()]
         assert 32 not in ids
+
+
+def test_copies_of_a_document_are_cut_apart(spark, docs_of, lorem):
+    import corpus_pipeline as P
+
+    docs = docs_of([(1, lorem(1, 300))] * 3 + [(2, lorem(2, 300)), (None, lorem(3, 300)), (None, lorem(3, 300))])
+
+    def cuts(docs):
+        return sorted((str(r["doc_id"]), tuple(r["piece_ids"])) for r in P.to_pieces(spark, docs, SF_SMALL).collect())
+
+    got = cuts(docs)
+    assert len(got) == len(set(got)) == 6
+    assert cuts(docs.repartition(3)) == got
