@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,16 +66,22 @@ def parity(tokens: np.ndarray) -> bytes:
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def _pick() -> Column:
+    """Names a row's text: a doc may be null or stand for several texts."""
+    return F.xxhash64("doc", "text")
+
+
 def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """(doc, node, n, prefix, bits): set hash and size of every document, and for the first with
-    that hash in its task the n - T + 1 smallest tokens, one of which any partner shares."""
-    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("node", T.LongType()), T.StructField("n", T.LongType()),
+    """(doc, pick, node, n, prefix, bits): set hash and size of every document, and for the first with
+    that hash in its task the n - T + 1 smallest tokens, one of which any partner shares. ``pick`` (a hash
+    of doc and text) finds the row's text again."""
+    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("pick", T.LongType()), T.StructField("node", T.LongType()), T.StructField("n", T.LongType()),
                            T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("bits", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            docs_, nodes, sizes, prefixes, bits = batch.column("doc"), [], [], [], []
+            docs_, picks, nodes, sizes, prefixes, bits = batch.column("doc"), batch.column("pick"), [], [], [], []
             for tokens in shingle_sets(batch.column("text").to_pylist(), shingle):
                 n = len(tokens)
                 node = xxhash.xxh3_64_intdigest(tokens.tobytes(), n)
@@ -90,11 +96,11 @@ def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
                 bits.append(parity(tokens) if new else None)
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([docs_.cast(pa.int64()), pa.array(np.array(nodes, _U).view(np.int64)), pa.array(sizes, pa.int64()),
+            yield pa.RecordBatch.from_arrays([docs_.cast(pa.int64()), picks, pa.array(np.array(nodes, _U).view(np.int64)), pa.array(sizes, pa.int64()),
                                               pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(bits, pa.binary())],
                                              names=[f.name for f in schema])
 
-    return docs.select("doc", "text").mapInArrow(run, schema)
+    return docs.select("doc", _pick().alias("pick"), "text").mapInArrow(run, schema)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 0) -> Iterator[pa.RecordBatch]:
@@ -366,7 +372,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     postings = sets.where("bits is not null").select(F.explode("prefix").alias("token"), "node", "n")
     lists = materialise(shared_lists(postings, percent), "jaccard_lists")
     wanted = lists.groupBy("node").agg(F.count("*").alias("posts")).withColumnRenamed("node", "w")
-    rep = (sets.where("bits is not null").groupBy("node").agg(F.min(F.struct("doc", "bits", *[F.coalesce(F.get("prefix", F.lit(i)), "node").alias(f"t{i}") for i in range(HEADS)])).alias("r"))
+    rep = (sets.where("bits is not null").groupBy("node").agg(F.min(F.struct("doc", "pick", "bits", *[F.coalesce(F.get("prefix", F.lit(i)), "node").alias(f"t{i}") for i in range(HEADS)])).alias("r"))
            .join(wanted, F.col("node") == F.col("w"), "left_semi").select("node", "r.*"))
     rep = materialise(rep, "jaccard_nodes")
     known = rep.select(F.col("node").alias("k"), "bits", *[f"t{i}" for i in range(HEADS)])
@@ -374,9 +380,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     long_ = lists.where(F.col("size") > SHORT)
 
     nodes = first.select(F.explode(F.array("x", "y")).alias("c")).unionByName(long_.select(F.col("node").alias("c"))).distinct()
-    held = rep.select("node", F.col("doc").alias("d")).join(nodes, F.col("node") == F.col("c"), "left_semi")
-    texts = docs.select("doc", "text").join(held.hint("merge"), F.col("doc") == F.col("d")).select("node", "doc", "text")
-    texts = materialise(texts.select("node", "text"), "jaccard_texts")
+    held = rep.select("node", F.col("pick").alias("p")).join(nodes, F.col("node") == F.col("c"), "left_semi")
+    texts = docs.select(_pick().alias("pick"), "text").join(held.hint("merge"), F.col("pick") == F.col("p"))
+    # Rows with the same doc and text have the same pick: one of them stands for the node.
+    texts = materialise(texts.dropDuplicates(["pick"]).select("node", "text"), "jaccard_texts")
     links = materialise(verify(first, texts, percent, shingle), "jaccard_links")
     groups = materialise(connected_components(links), "jaccard_groups")
 

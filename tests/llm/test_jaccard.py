@@ -101,3 +101,29 @@ def test_parity_bounds_the_difference():
             half = len(long_) // 2
             x, y = long_[:half] ^ long_[half:], short
         assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+def test_null_ids_and_ids_with_two_texts_keep_their_links(spark, docs_of, lorem):
+    base = [lorem(f"b{i}", 120) for i in range(6)]
+    near = [b + " end" for b in base]
+    # Alone in their partition, copies without an id; ids 2, 3 and 20 with two texts each.
+    lone = [(None, base[0]), (None, base[1]), (None, base[1])]
+    rest = [(1, base[0]), (10, near[0]), (11, near[1]), (2, base[2]), (2, base[3]), (12, near[2]), (13, near[3]),
+            (3, base[4]), (3, lorem("other", 120)), (20, near[4]), (20, base[5]), (21, near[5]), (30, lorem("clean", 120))]
+    parts = [docs_of(rows).coalesce(1).withColumnRenamed("doc_id", "doc") for rows in (lone, rest)]
+    for first, second in (parts, parts[::-1]):
+        docs = first.unionByName(second)
+        got = jaccard_components(docs).select("doc", "n", "component").collect()
+        assert sorted(map(tuple, got), key=str) == by_hand(lone + rest)
+
+
+def test_a_node_has_one_text(spark, docs_of, lorem, monkeypatch):
+    from ledgerline.llm import jaccard
+
+    kept, write = {}, jaccard.materialise
+    monkeypatch.setattr(jaccard, "materialise", lambda df, tag: kept.setdefault(tag, write(df, tag)))
+    base = lorem("one", 120)
+    rows = [(None, base)] * 5 + [(4, base)] * 3 + [(4, lorem("two", 120)), (5, base + " end")]
+    jaccard_components(docs_of(rows).withColumnRenamed("doc_id", "doc").repartition(2)).collect()
+    texts = [r["node"] for r in kept["jaccard_texts"].collect()]
+    assert len(texts) == len(set(texts)) == 2
