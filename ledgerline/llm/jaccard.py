@@ -367,6 +367,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     list first ties its members to hubs; what then still lies in different
     components is compared block by block, so no link is lost, and a group of
     near copies is not expanded into all its pairs.
+    So the result is components, not the join's pairs or their number: pairs already
+    in one component are not compared.
     """
     sets = materialise(signatures(docs, percent, shingle), "jaccard_sets")
     postings = sets.where("bits is not null").select(F.explode("prefix").alias("token"), "node", "n")
