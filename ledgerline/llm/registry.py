@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
@@ -91,6 +91,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fair_mix(docs, keep=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .importance import importance_resample
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance_resample(docs, table(spark, sf_dir, "benchmark").select("text"), keep=["doc_id"])
+
+
+def op12_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .personal import KINDS, find_personal_data, listed
+
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), masked=False)
+    spans = F.coalesce("spans", F.array().cast(found.schema["spans"].dataType))
+    base = F.filter(spans, lambda s: s["plain"])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[number(k) for k in KINDS], F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_nearest": op2_nearest,
@@ -102,10 +128,19 @@ QUERIES = {
     "op8_licence_scan": op8_licence_scan,
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
+    "op11_importance": op11_importance,
+    "op12_personal": op12_personal,
+    "op13_spelling": op13_spelling,
 }
 
 _WORDS = "list_filter(regexp_split_to_array(coalesce({}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: CRC-32 of a text's UTF-8 bytes: each byte goes in, then eight steps of one bit (-1).
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(length(hex({0})) // 2),
+            lambda i: [('0x' || substr(hex({0}), 2 * i + 1, 2))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END))"""
+
 ORACLE: dict[str, str] = {
     # a word goes if a window of 50 that covers it starts in a smaller document too
     "op3_substring_dedup": f"""
@@ -172,4 +207,37 @@ ORACLE: dict[str, str] = {
                   FROM reach JOIN judged ON node = b GROUP BY a)
         SELECT page_id, host, path, rule, coalesce(j.verdict, s.verdict, 'allow') AS verdict
         FROM pages p JOIN judged j ON j.url IS NOT DISTINCT FROM p.url LEFT JOIN alias s ON s.a = j.node""",
+    # counts by bucket, gains by bucket, sums by document, then one ordered draw
+    "op11_importance": f"""
+        WITH docs AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+        aims AS (SELECT unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark),
+        places AS (SELECT doc_id, unnest(ws) AS w FROM docs),
+        seen AS (SELECT w, sum(s) AS s, sum(t) AS t FROM (SELECT w, 1 AS s, 0 AS t FROM places UNION ALL SELECT w, 0, 1 FROM aims) GROUP BY w),
+        coded AS (SELECT w, s, t, {_CRC.format("w")} % 10000 AS bucket FROM seen),
+        counts AS (SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM coded GROUP BY bucket),
+        totals AS (SELECT sum(s) AS cs, sum(t) AS ct FROM counts),
+        gains AS (SELECT bucket, floor(1000 * ln(((t + 1) * (cs + 10000)) / ((s + 1) * (ct + 10000))))::BIGINT AS gain FROM counts, totals),
+        weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM places JOIN coded USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+        scores AS (SELECT d.doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+                          coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+                   FROM docs d LEFT JOIN weights g ON g.doc_id = d.doc_id),
+        fit AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scores WHERE n_features >= 20)
+        SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scores s LEFT JOIN fit f ON f.doc_id = s.doc_id""",
+    # near words share what is left when a letter is deleted from one or both at the same place
+    "op13_spelling": f"""
+        WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+        per_doc AS (SELECT doc_id, run, count(*) AS n, doc_id || ':' || run AS key FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+        coded AS (SELECT run, n, {_CRC.format("key")} AS h FROM per_doc),
+        said AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM coded),
+        words AS (SELECT word, sum(n)::BIGINT AS n FROM said WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+        pairs AS (SELECT a.word AS w, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+                  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+                  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+        best AS (SELECT w, count(*) AS n_near, min({{'less': -other_n, 'other': other}}) AS best FROM pairs GROUP BY w),
+        found AS (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -best.less >= 5 * n THEN best.other END AS form,
+                         CASE WHEN -best.less >= 5 * n THEN -best.less END::BIGINT AS form_n FROM words LEFT JOIN best ON w = word),
+        ways AS (SELECT word, word AS root FROM found UNION ALL SELECT y.word, f.form FROM ways y JOIN found f ON f.word = y.root WHERE f.form IS NOT NULL),
+        ends AS (SELECT y.word, y.root FROM ways y JOIN found f ON f.word = y.root WHERE f.form IS NULL)
+        SELECT found.word, form, root, n, n_near, form_n FROM found JOIN ends ON ends.word = found.word""",
 }
