@@ -142,7 +142,7 @@ _INNER_DOT, _INNER_AT = re.compile(_DOT_WORD, re.I), re.compile(_AT_WORD, re.I)
 #: Letters among digits that are read as digits.
 _MIXED = re.compile(r"(?<![A-Za-z0-9])(?=[OoIl|]{0,3}[0-9])[0-9OoIl|]{2,}+(?![A-Za-z0-9])")
 _AS_DIGIT = str.maketrans("OoIl|", "00111")
-_HAS_LETTER = re.compile(r"[0-9][OoIl|]|[OoIl|][0-9]")
+_HAS_LETTER = re.compile(r"[0-9][OoIiLl|]|[OoIiLl|][0-9]")
 
 
 def _characters(m: Mapped) -> Mapped:
@@ -179,7 +179,20 @@ def _signs(m: Mapped) -> Mapped:
     return m.rewrite((*x.span("at"), "@") for x in _AT_HOST.finditer(m.text))
 
 
-_HINTS = re.compile(rf"{_OPEN}(?:{_names(_AT_NAMES)}|{_names(_DOT_NAMES)}|[@.]){_CLOSE}|\s(?:{_names(_DOT_NAMES)})\s|[A-Za-z0-9]\s(?:{_names(_AT_NAMES)}|@)\s{{1,2}}[A-Za-z0-9-]+\.[A-Za-z]", re.I)
+# Quick looks at the lower-cased text that tell most texts without disguise.
+_ANY_BRACKET = re.compile(rf"[(\[{{<]\s{{0,2}}(?:{_names(_AT_NAMES)}|{_names(_DOT_NAMES)}|[@.]){_CLOSE}")
+_ANY_DOT = re.compile(rf"\s(?:{_names(_DOT_NAMES)})\s")
+_ANY_HOST = re.compile(rf"\.(?:{_names(_ENDS)})(?![\w-])")
+_TWO_NAMES = re.compile(rf"{_SAID}[ \t\n-]{{1,2}}{_SAID}")
+_ANY_DIGIT = re.compile("[0-9]")
+
+
+def _says_signs(low: str) -> bool:
+    return bool(_ANY_BRACKET.search(low) or (any(w in low for w in _DOT_NAMES) and _ANY_DOT.search(low)) or (_ANY_HOST.search(low) and _AT_HOST.search(low)))
+
+
+def _says_digits(low: str) -> bool:
+    return bool(_TWO_NAMES.search(low) or (_ANY_DIGIT.search(low) and (_HAS_LETTER.search(low) or any(w in low for w in _PLUS_NAMES))))
 
 
 def transduced(text: str) -> Mapped | None:
@@ -187,9 +200,9 @@ def transduced(text: str) -> Mapped | None:
     m = Mapped.of(text)
     if not text.isascii() and _ODD.search(text):
         m = _characters(m)
-    if _HINTS.search(m.text):
+    if _says_signs(m.text.lower()):
         m = _signs(m)
-    if _SPOKEN.search(m.text) or _HAS_LETTER.search(m.text) or _NAMED_PLUS.search(m.text):
+    if _says_digits(m.text.lower()):
         m = _digit_names(m)
     return m if m.text != text else None
 

@@ -101,7 +101,7 @@ def signatures(word: str) -> list[int]:
 def _halves(word: str, length: int) -> list[int]:
     """Hashes of the first and last half by which a near pair whose shorter word has ``length`` letters agrees in one."""
     m = length // 2
-    return [xxhash.xxh3_64_intdigest(half.encode(), 2 * length + i) for i, half in enumerate((word[:m], word[len(word) - (length - m) :]))]
+    return [xxhash.xxh3_64_intdigest(f"{length} {i} {half}".encode()) for i, half in enumerate((word[:m], word[len(word) - (length - m) :]))]
 
 
 def post_signatures(words: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     posted = materialise(post_signatures(words), "spelling_posted")
     left = posted.where("not longer").select(F.col("key").alias("k"), F.col("word").alias("a"), F.col("n").alias("a_n"))
     right = posted.select("key", F.col("word").alias("b"), F.col("n").alias("b_n"), "longer")
-    near = left.join(right.hint("merge"), (F.col("k") == F.col("key")) & F.when(F.col("longer"), F.char_length("a") < F.char_length("b")).otherwise(F.col("a") < F.col("b"))
+    near = left.join(right.hint("merge"), (F.col("k") == F.col("key")) & F.when(F.col("longer"), F.char_length("a") < F.char_length("b")).otherwise((F.char_length("a") == F.char_length("b")) & (F.col("a") < F.col("b")))
                      & (F.levenshtein("a", "b", 1) == 1))
     return near.select("a", "a_n", "b", "b_n").distinct()
 
