@@ -993,3 +993,103 @@ def q_lake_ingest_stream(spark, sf):
     L.write_lake(calls, root, "calls", RUN_2, append=True)
     ingest_stream(spark, root, "calls", CALL_COLUMNS, out, ck, LOADED_AT["calls"])
     return to_wire(spark.read.parquet(out))
+
+
+# ---------------------------------------------------------------------------
+# incremental marts and snapshots (AGG-2..4, SNK-6)
+# ---------------------------------------------------------------------------
+
+from ledgerline.operators import refresh as I  # noqa: E402
+from ledgerline.sources.snapshots import SnapshotStore  # noqa: E402
+
+#: What the second load brings: rows from these days on, and payments of an earlier month that come late.
+SECOND_PAYMENTS = "(timestamp >= '1998' OR (timestamp >= '1995-03' AND timestamp < '1995-04' AND payment_method = 'ach'))"
+SECOND_CALLS = "timestamp >= '2024-01-21'"
+SECOND_JOBS = "scheduled_at >= '1998'"
+
+
+def _two_loads(spark, sf):
+    """All raw rows dealt to two loads, the second one with late rows and with jobs for calls of the first."""
+    raw = _raw_written(spark, sf)
+    second = {"payments": SECOND_PAYMENTS, "calls": SECOND_CALLS, "jobs": SECOND_JOBS}
+    return [{s: raw[s].where(f"coalesce({c}, false) = {later}") for s, c in second.items()} for later in ("false", "true")]
+
+
+def _refreshed(spark, sf):
+    """A store that two loads were brought into, the second one twice."""
+
+    def build():
+        from ledgerline.session import scratch_path
+
+        store = SnapshotStore(spark, scratch_path(spark, "store"))
+        first, second = _two_loads(spark, sf)
+        for name, load in (("load-1", first), ("load-2", second), ("load-2", second)):
+            I.apply_load(store, name, load)
+        return store
+
+    return _written(spark, sf, "store", build)
+
+
+@register("mart_revenue_refreshed", ORACLE["mart_revenue"])
+def q_mart_revenue_refreshed(spark, sf):
+    return to_wire(I.read_mart(_refreshed(spark, sf), "mart_revenue"))
+
+
+@register("mart_call_funnel_refreshed", ORACLE["mart_call_funnel"])
+def q_mart_call_funnel_refreshed(spark, sf):
+    return to_wire(I.read_mart(_refreshed(spark, sf), "mart_call_funnel"))
+
+
+@register("mart_jobs_refreshed", ORACLE["mart_jobs"])
+def q_mart_jobs_refreshed(spark, sf):
+    return to_wire(I.read_mart(_refreshed(spark, sf), "mart_jobs"))
+
+
+def _load_ctes(load: int) -> list[str]:
+    """Raw and staging layers of one load."""
+    out = []
+    for cte in O.raw_ctes() + O.STG:
+        for table, later in (("payments", SECOND_PAYMENTS), ("calls", SECOND_CALLS), ("jobs", SECOND_JOBS)):
+            if cte.startswith(f"raw_{table} AS ("):
+                later = later.replace("timestamp", '"timestamp"')
+                cte = f"raw_{table} AS (SELECT * FROM ({cte[len(f'raw_{table} AS ('):-1]}) WHERE ({later}) = {str(load == 2).lower()})"
+        out.append(cte)
+    return out
+
+
+@register("mart_revenue_as_of", with_(_load_ctes(1) + O.MART_REVENUE, f"SELECT {O.REVENUE_WIRE} FROM mart_revenue"))
+def q_mart_revenue_as_of(spark, sf):
+    """The revenue mart of the first version, read after the second was committed."""
+    store = _refreshed(spark, sf)
+    with store.pinned(1) as first:
+        return to_wire(I.read_mart(store, "mart_revenue", first))
+
+
+def _months(column: str, table: str) -> str:
+    return f"SELECT DISTINCT strftime({column}, '%Y-%m') AS m FROM {table}"
+
+
+def _history_sql() -> str:
+    ctes = [O.EV]
+    for load in (1, 2):
+        for cte in _load_ctes(load)[1:]:
+            name, body = cte.split(" AS ", 1)
+            for table in ("payments", "calls", "jobs"):
+                body = body.replace(f"FROM raw_{table}", f"FROM raw_{table}_{load}")
+            ctes.append(f"{name}_{load} AS {body}")
+    ctes += [
+        f"pay_1 AS ({_months('payment_timestamp', 'stg_payments_1')})", f"pay_2 AS ({_months('payment_timestamp', 'stg_payments_2')})",
+        f"day_1 AS ({_months('call_timestamp', 'stg_calls_1')})",
+        f"day_2 AS ({_months('call_timestamp', 'stg_calls_2')} UNION {_months('call_timestamp', 'stg_calls_1 JOIN stg_jobs_2 ON related_call_id = call_id')})"]
+    rows = [f"SELECT {v} AS version, 'load load-{v}' AS operation, '{t}' AS \"table\", {p} AS parts, {n} AS rewritten, {k} AS kept"
+            for t, grows in (("call_days", 1), ("call_jobs", 1), ("loads", 1), ("mart_jobs", 0)) for v, p, n, k in ((1, 1, 1, 0), (2, 1 + grows, 1, grows))]
+    for table, m in (("mart_revenue", "pay"), ("mart_call_funnel", "day")):
+        rows.append(f"SELECT 1, 'load load-1', '{table}', (SELECT count(*) FROM {m}_1), (SELECT count(*) FROM {m}_1), 0")
+        rows.append(f"SELECT 2, 'load load-2', '{table}', (SELECT count(*) FROM (SELECT m FROM {m}_1 UNION SELECT m FROM {m}_2)), "
+                    f"(SELECT count(*) FROM {m}_2), (SELECT count(*) FROM {m}_1 WHERE m NOT IN (SELECT m FROM {m}_2))")
+    return with_(ctes, " UNION ALL ".join(rows))
+
+
+@register("refresh_history", _history_sql())
+def q_refresh_history(spark, sf):
+    return _refreshed(spark, sf).history()
