@@ -35,7 +35,16 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "llm", tag)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.written_at = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of ``materialise`` that no later step reads: all that used them is written itself."""
+    for df in written:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def rows_at_most(df: DataFrame, n: int) -> bool:

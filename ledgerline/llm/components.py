@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
-def _to_minimum(pairs: DataFrame) -> DataFrame:
-    """(u, v) with the smallest v of each u as ``m``; the grouped side is written, so that
-    the join has a plain exchange on both sides and AQE can split a node of high degree."""
+def _to_minimum(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(u, v) with the smallest v of each u as ``m``; the grouped side is written (and returned to be
+    discarded), so that the join has a plain exchange on both sides and AQE can split a node of high degree."""
     least = materialise(pairs.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")), "cc_min")
-    return pairs.join(least, F.col("u") == F.col("node")).select("u", "v", "m")
+    return pairs.join(least, F.col("u") == F.col("node")).select("u", "v", "m"), least
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -34,11 +34,13 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if not seen[0]:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _to_minimum(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        edges = materialise(large.distinct(), "cc_large")
-        small = _to_minimum(edges)
+        large, least = _to_minimum(both)
+        hung = materialise(large.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "cc_large")
+        discard(edges, least)
+        small, least = _to_minimum(hung)
         small = small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = materialise(small.distinct(), "cc_small")
+        discard(hung, least)
         now = state(edges)
         if now == seen:
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import discard, materialise
 from .components import connected_components
 from .repeats import Rolling, _gather, _mix
 
@@ -20,9 +21,12 @@ SHINGLE = 5
 PERCENT = 80
 #: Inverted lists up to this length are short: all their pairs are candidates at once.
 SHORT = 8
-#: Hubs that members of a long list are held against first, and members of a block of it.
+#: Hubs that members of a long list are held against first, and members of a part of it.
 HUBS = 3
 BLOCK = 1024
+#: Members of a long list in one range of sizes that are compared by their first common token alone;
+#: beyond that the second common token splits them.
+CROWD = 20_000
 #: Rows of one list that a task holds at once; what a list has beyond them counts as long.
 LONGEST = 1_000_000
 #: Smallest tokens of a set by which two sets are known to have met in an earlier list.
@@ -73,7 +77,8 @@ def _pick() -> Column:
 
 def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(doc, pick, node, n, prefix, bits): set hash and size of every document, and for the first with
-    that hash in its task the n - T + 1 smallest tokens, one of which any partner shares. ``pick`` (a hash
+    that hash in its task the n - T + 2 smallest tokens: any partner shares one of all but the last of them, and two of
+    them if it shares two tokens at all. ``pick`` (a hash
     of doc and text) finds the row's text again."""
     schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("pick", T.LongType()), T.StructField("node", T.LongType()), T.StructField("n", T.LongType()),
                            T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("bits", T.BinaryType())])
@@ -92,7 +97,7 @@ def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
                     seen.add(node)
                 nodes.append(node)
                 sizes.append(n)
-                prefixes.append(tokens[: n - least_overlap(n, percent) + 1] if new else tokens[:0])
+                prefixes.append(tokens[: n - least_overlap(n, percent) + 2] if new else tokens[:0])
                 bits.append(parity(tokens) if new else None)
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.empty(0, np.int64)
@@ -217,25 +222,69 @@ def _emit(node: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]], keep
             yield np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
 
 
-def _unmet(token: int, heads: np.ndarray):
-    """Whether pairs of places in the list of ``token`` have not met in the list of a smaller token that
-    is among the smallest ones (``heads``, a column each) of both."""
-    key = _U(int(token) & (1 << 64) - 1)
+def _met(token: np.ndarray, heads_x: np.ndarray, heads_y: np.ndarray) -> np.ndarray:
+    """Whether pairs in the lists of ``token`` have met in the list of a smaller token that is among the
+    smallest ones (a row of heads each) of both."""
+    met, key = np.zeros(len(heads_x), bool), token.view(_U)
+    for i in range(heads_x.shape[1]):
+        for j in range(max(0, i - 1), min(heads_x.shape[1], i + 2)):
+            met |= (heads_x[:, i] == heads_y[:, j]) & (heads_x[:, i] < key)
+    return met
 
-    def check(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        met = np.zeros(len(x), bool)
-        for i in range(heads.shape[1]):
-            for j in range(max(0, i - 1), min(heads.shape[1], i + 2)):
-                met |= (heads[x, i] == heads[y, j]) & (heads[x, i] < key)
-        return ~met
 
-    return check
+def _unmet(token: int, heads: np.ndarray):
+    """``_met`` for places in one list, negated."""
+    return lambda x, y: ~_met(np.full(len(x), token, np.int64), heads[x], heads[y])
 
 
 def _heads(batch: pa.RecordBatch) -> np.ndarray:
     return np.stack([batch.column(f"t{i}").to_numpy().view(_U) for i in range(HEADS)], axis=1)
 
 
+class Bitmaps:
+    """Bitmaps of the rows of a batch, read where they lie."""
+
+    def __init__(self, column: pa.Array):
+        column = column if isinstance(column, pa.BinaryArray) else column.cast(pa.binary())
+        at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        self.start, self.width = at[:-1], np.diff(at)
+        self.data = np.frombuffer(column.buffers()[2], np.uint8)
+
+    def _rows(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """Bitmaps of rows of ``width`` bytes, or of twice that folded to it."""
+        own = int(self.width[rows[0]])
+        maps = self.data[self.start[rows][:, None] + np.arange(own)].view(_U)
+        return maps if own == width else maps[:, : width // 8] ^ maps[:, width // 8 :]
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Differing bits of pairs of rows whose sizes are within the bound (widths equal or twice)."""
+        out = np.zeros(len(x), np.int64)
+        kinds = self.width[x] * (1 << 32) + self.width[y]
+        for kind in np.unique(kinds):
+            at = np.flatnonzero(kinds == kind)
+            width = int(min(kind >> 32, kind & 0xFFFFFFFF))
+            for part in np.array_split(at, max(1, len(at) * width // 16_000_000)):
+                out[part] = np.bitwise_count(self._rows(x[part], width) ^ self._rows(y[part], width)).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _short_pairs(batch: pa.RecordBatch, start: np.ndarray, length: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes that may link from short lists (places ``start``, ``length`` members each), all lists of a length at once."""
+    token, node, n = (batch.column(c).to_numpy() for c in ("token", "node", "n"))
+    heads, maps = _heads(batch), Bitmaps(batch.column("bits"))
+    for members in np.unique(length):
+        i, j = np.triu_indices(int(members), 1)
+        first = start[length == members][:, None]
+        x, y = (first + i).ravel(), (first + j).ravel()
+        lo, hi = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        ok = (100 * lo >= percent * hi) & (node[x] != node[y])
+        x, y = x[ok], y[ok]
+        ok = ~_met(token[x], heads[x], heads[y])
+        x, y = x[ok], y[ok]
+        ok = (100 + percent) * maps.apart(x, y) <= (100 - percent) * (n[x] + n[y])
+        yield np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])
+
+
 def first_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(x, y) that may link, from lists (token, node, n, size, t0.., bits): all pairs of short lists, and
     of long ones each member with a few hubs, much the same ones in all lists
@@ -245,16 +294,16 @@ def first_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _runs(batches, ["token", "part"]):
             token, part, node, n = (batch.column(c).to_numpy() for c in ("token", "part", "node", "n"))
-            size, bits, heads = batch.column("size").to_numpy(), batch.column("bits").to_pylist(), _heads(batch)
+            size, bits = batch.column("size").to_numpy(), None
             start = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (part[1:] != part[:-1])])
-            out = []
-            for a, b in zip(start, np.r_[start[1:], len(token)], strict=True):
-                unmet, found, hubs = _unmet(token[a], heads[a:b]), Lists(n[a:b], bits[a:b], percent), None
-                if size[a] > SHORT:
-                    hubs = np.zeros(b - a, bool)
-                    hubs[np.argsort(_mix(node[a:b].view(_U) + _U(token[a] & 1)))[:HUBS]] = True
-                    unmet = None
-                out += _emit(node[a:b], found.pairs(hubs), unmet)
+            length = np.diff(np.r_[start, len(token)])
+            few = (size[start] <= SHORT) & (length > 1)
+            out = list(_short_pairs(batch, start[few], length[few], percent)) if few.any() else []
+            for a, b in zip(start[size[start] > SHORT], (start + length)[size[start] > SHORT], strict=True):
+                bits = batch.column("bits").to_pylist() if bits is None else bits
+                hubs = np.zeros(b - a, bool)
+                hubs[np.argsort(_mix(node[a:b].view(_U) + _U(token[a] & 1)))[:HUBS]] = True
+                out += _emit(node[a:b], Lists(n[a:b], bits[a:b], percent).pairs(hubs))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["x", "y"])
 
@@ -263,38 +312,59 @@ def first_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
     return dealt.repartition("token", "part").sortWithinPartitions("token", "part", "node").mapInArrow(run, "x long, y long").distinct()
 
 
-def late_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
+def size_range(n: Column, percent: int = PERCENT) -> Column:
+    """Ranges of set sizes, a little wider than the bound on sizes that may link, so that only sets in
+    the same or in neighbouring ranges do."""
+    return F.floor(F.log(n.cast("double")) / math.log(1.01 * 100 / percent)).cast("int")
+
+
+def late_candidates(lists: DataFrame, tokens: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(x, y) of different components that may link, from long lists (token, node, n, t0.., bits, component).
 
-    Lists are cut into blocks by a hash of the node, and each pair of blocks is a
-    group of its own, so no group grows with a list.
+    A list is cut by size: a member stands in its own range and, to meet smaller ones,
+    in none but the next, so rows grow with the list and not with its square. Where a
+    range still holds a crowd, sets that link also share a second one of their first
+    n - T + 2 tokens (``tokens``: node, more), so each member is posted under its later
+    ones and meets only those that share one of them.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = (lists.withColumn("blocks", blocks).withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("token", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "node", "n", "bits", "component",
-                     *[f"t{i}" for i in range(HEADS)]))
+    heads = [f"t{i}" for i in range(HEADS)]
+    own = size_range(F.col("n"), percent)
+    dealt = lists.withColumn("own", own).withColumn("range", F.explode(F.array(own, own + 1)))
+    ranges = materialise(dealt.select("token", "range", (F.col("own") == F.col("range")).alias("native"), "node", "n", "bits", "component", *heads), "jaccard_ranges")
+    held = ranges.groupBy(F.col("token").alias("c"), F.col("range").alias("r")).agg(
+        F.count("*").alias("held"), F.max("native").alias("any"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    held = materialise(held.where("held > 1 and any and lo < hi").select("c", "r", (F.col("held") > CROWD).alias("crowd")), "jaccard_held")
+    dealt = ranges.join(held, (F.col("token") == F.col("c")) & (F.col("range") == F.col("r"))).drop("c", "r")
+    later = F.filter("more", lambda t: unsigned(t) > unsigned(F.col("token")))
+    crowds = (dealt.where("crowd").join(tokens.withColumnRenamed("node", "m"), F.col("node") == F.col("m"))
+              .withColumn("second", F.explode(later)).drop("m", "more"))
+    dealt = dealt.where("not crowd").withColumn("second", F.lit(0).cast("long")).unionByName(crowds).drop("crowd")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _runs(batches, ["token", "b1", "b2"]):
-            token, b1, b2, own, node, n, comp = (batch.column(c).to_numpy() for c in ("token", "b1", "b2", "own", "node", "n", "component"))
+        for batch in _runs(batches, ["token", "range", "second"]):
+            token, range_, second, node, n, comp = (batch.column(c).to_numpy() for c in ("token", "range", "second", "node", "n", "component"))
+            native = batch.column("native").to_numpy(zero_copy_only=False)
             bits, heads = batch.column("bits").to_pylist(), _heads(batch)
-            start = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (b1[1:] != b1[:-1]) | (b2[1:] != b2[:-1])])
+            start = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (range_[1:] != range_[:-1]) | (second[1:] != second[:-1])])
             out = []
             for a, b in zip(start, np.r_[start[1:], len(token)], strict=True):
-                left = own[a:b] == b1[a]
-                c, one = comp[a:b], b1[a] == b2[a]
-                if (c == c[0]).all():
+                c, left = comp[a:b], native[a:b]
+                if (c == c[0]).all() or not left.any():
                     continue
-                found = Lists(n[a:b], bits[a:b], percent).pairs(None if one else left)
                 unmet = _unmet(token[a], heads[a:b])
-                out += _emit(node[a:b], found, lambda x, y, c=c, left=left, one=one, unmet=unmet: (c[x] != c[y]) & (one | (left[x] != left[y])) & unmet(x, y))
+                out += _emit(node[a:b], Lists(n[a:b], bits[a:b], percent).pairs(left), lambda x, y, c=c, unmet=unmet: (c[x] != c[y]) & unmet(x, y))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["x", "y"])
 
-    keyed = dealt.repartition("token", "b1", "b2").sortWithinPartitions("token", "b1", "b2", "node")
-    return keyed.mapInArrow(run, "x long, y long").distinct()
+    keyed = dealt.repartition("token", "range", "second").sortWithinPartitions("token", "range", "second", "node")
+    found = materialise(keyed.mapInArrow(run, "x long, y long").distinct(), "jaccard_late")
+    discard(ranges, held)
+    return found
+
+
+def unsigned(token: Column) -> Column:
+    """Sorts a token as the unsigned number it is (Spark's longs are signed)."""
+    return token.bitwiseXOR(F.lit(-(1 << 63)))
 
 
 def t_occurrence(query: np.ndarray, members: list[np.ndarray], least: int) -> np.ndarray:
@@ -326,11 +396,12 @@ def t_occurrence(query: np.ndarray, members: list[np.ndarray], least: int) -> np
 
 
 def verify(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """(u, v) of the pairs (x, y) that link, by whole texts (node, text). Partners of a text are
+    """(u, v) of the pairs (x, y) that link, by whole texts (node, text), as a written table. Partners of a text are
     checked in chunks, so a text with many partners is spread."""
-    many = pairs.groupBy(F.col("x").alias("q")).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    dealt = pairs.join(many, F.col("x") == F.col("q")).select("x", F.pmod(F.xxhash64("y"), F.col("chunks")).cast("int").alias("chunk"), "y")
-    dealt = materialise(dealt, "jaccard_pairs")
+    written = materialise(pairs, "jaccard_pairs")
+    many = written.groupBy(F.col("x").alias("q")).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    dealt = written.join(many, F.col("x") == F.col("q")).select("x", F.pmod(F.xxhash64("y"), F.col("chunks")).cast("int").alias("chunk"), "y")
+    dealt = materialise(dealt, "jaccard_chunks")
     rows = dealt.select("x", "chunk", F.col("y").alias("m")).unionByName(dealt.select("x", "chunk", F.col("x").alias("m")).distinct())
     rows = rows.join(texts.hint("merge"), F.col("m") == F.col("node")).select("x", "chunk", (F.col("m") != F.col("x")).alias("member"), "node", "text")
 
@@ -352,7 +423,9 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle:
             if us:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
 
-    return rows.repartition("x", "chunk").sortWithinPartitions("x", "chunk", "member").mapInArrow(run, "u long, v long")
+    out = materialise(rows.repartition("x", "chunk").sortWithinPartitions("x", "chunk", "member").mapInArrow(run, "u long, v long"), "jaccard_links")
+    discard(written, dealt)
+    return out
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
@@ -371,13 +444,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     in one component are not compared.
     """
     sets = materialise(signatures(docs, percent, shingle), "jaccard_sets")
-    postings = sets.where("bits is not null").select(F.explode("prefix").alias("token"), "node", "n")
+    first_of = sets.where("bits is not null")
+    posted = F.slice("prefix", 1, (F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1).cast("int"))
+    postings = first_of.select(F.explode(posted).alias("token"), "node", "n")
     lists = materialise(shared_lists(postings, percent), "jaccard_lists")
     wanted = lists.groupBy("node").agg(F.count("*").alias("posts")).withColumnRenamed("node", "w")
-    rep = (sets.where("bits is not null").groupBy("node").agg(F.min(F.struct("doc", "pick", "bits", *[F.coalesce(F.get("prefix", F.lit(i)), "node").alias(f"t{i}") for i in range(HEADS)])).alias("r"))
+    heads = [f"t{i}" for i in range(HEADS)]
+    rep = (first_of.groupBy("node").agg(F.min(F.struct("doc", "pick", "bits", "prefix", *[F.coalesce(F.get(posted, F.lit(i)), "node").alias(t) for i, t in enumerate(heads)])).alias("r"))
            .join(wanted, F.col("node") == F.col("w"), "left_semi").select("node", "r.*"))
     rep = materialise(rep, "jaccard_nodes")
-    known = rep.select(F.col("node").alias("k"), "bits", *[f"t{i}" for i in range(HEADS)])
+    known = rep.select(F.col("node").alias("k"), "bits", *heads)
     first = materialise(first_candidates(lists.join(known, F.col("node") == F.col("k")).drop("k"), percent), "jaccard_first")
     long_ = lists.where(F.col("size") > SHORT)
 
@@ -386,22 +462,25 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     texts = docs.select(_pick().alias("pick"), "text").join(held.hint("merge"), F.col("pick") == F.col("p"))
     # Rows with the same doc and text have the same pick: one of them stands for the node.
     texts = materialise(texts.dropDuplicates(["pick"]).select("node", "text"), "jaccard_texts")
-    links = materialise(verify(first, texts, percent, shingle), "jaccard_links")
+    links = verify(first, texts, percent, shingle)
     groups = materialise(connected_components(links), "jaccard_groups")
 
-    late = long_.join(groups.withColumnRenamed("node", "g"), F.col("node") == F.col("g"), "left").select("token", "node", "n", "size", F.coalesce("component", "node").alias("component"))
+    late = long_.join(groups.withColumnRenamed("node", "g"), F.col("node") == F.col("g"), "left").select("token", "node", "n", F.coalesce("component", "node").alias("component"))
     late = materialise(late, "jaccard_long")
+    discard(lists)
     split = late.groupBy(F.col("token").alias("s")).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s")
-    split = materialise(split, "jaccard_split")
-    late = late.join(split, F.col("token") == F.col("s")).drop("s")
+    late = late.join(materialise(split, "jaccard_split"), F.col("token") == F.col("s")).drop("s")
     late = late.join(known, F.col("node") == F.col("k")).drop("k")
-    second = late_candidates(late, percent).join(first.select(F.col("x").alias("fx"), F.col("y").alias("fy")), (F.col("x") == F.col("fx")) & (F.col("y") == F.col("fy")), "left_anti")
-    more = materialise(verify(second, texts, percent, shingle), "jaccard_more")
+    tokens = rep.select("node", F.col("prefix").alias("more"))
+    second = late_candidates(late, tokens, percent).join(first.select(F.col("x").alias("fx"), F.col("y").alias("fy")), (F.col("x") == F.col("fx")) & (F.col("y") == F.col("fy")), "left_anti")
+    more = verify(second, texts, percent, shingle)
     if not more.isEmpty():
         groups = materialise(connected_components(links.unionByName(more)), "jaccard_groups")
+    discard(rep, first, texts, links, more)
 
     members = sets.select("doc", "node", "n").join(groups.withColumnRenamed("node", "g"), F.col("node") == F.col("g"), "left")
     members = materialise(members.select("doc", "node", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("group")), "jaccard_members")
+    discard(sets, groups)
     least = materialise(members.where("group is not null and doc is not null").groupBy(F.col("group").alias("l")).agg(F.min("doc").alias("least")), "jaccard_least")
     return (members.join(least, F.col("group") == F.col("l"), "left")
             .select("doc", "node", "n", F.when(F.col("doc").isNotNull(), F.coalesce("least", "doc")).alias("component")))

@@ -65,7 +65,7 @@ class Mapped:
     """A text that transducers rewrote, with the way back to the characters of the source.
 
     It is a row of stretches: each has its place in the new text and in the source, and
-    was either copied character by character or stands for its source as a whole.
+    goes with it character by character if it is as long, else as a whole.
     """
 
     def __init__(self, text: str, at: list[int], start: list[int], stop: list[int]):
@@ -134,9 +134,9 @@ _NAME = r"[A-Za-z0-9_%+-]{1,64}"
 _DOT_WORD = rf"\s{{1,2}}(?:{_names(_DOT_NAMES)})\s{{1,2}}"
 _AT_WORD = rf"\s{{1,2}}(?:{_names(_AT_NAMES)}|@)\s{{1,2}}"
 #: Bare words: names joined by "dot", "at", and names joined by "dot".
-_WORDED = re.compile(rf"(?<![\w.%+-])[A-Za-z0-9._%+-]{{1,64}}(?:{_DOT_WORD}{_NAME}){{0,4}}(?:{_AT_WORD}|@)[A-Za-z0-9-]{{1,64}}(?:{_DOT_WORD}[A-Za-z0-9-]{{1,64}})+(?![\w-])", re.I)
+_WORDED = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:{_DOT_WORD}{_NAME}){{0,4}}(?:{_AT_WORD}|@)[A-Za-z0-9-]{{1,64}}(?:{_DOT_WORD}[A-Za-z0-9-]{{1,64}}){{0,6}}{_DOT_WORD}(?!{_SAID}\b)[A-Za-z]{{2,24}}(?![\w-])", re.I)
 #: A bare "at" before a host name with real dots, behind a name with a digit or sign in it.
-_AT_HOST = re.compile(rf"(?<![\w.%+-])(?=[A-Za-z]{{0,64}}[0-9._%+-])[A-Za-z0-9._%+-]{{2,64}}(?P<at>{_AT_WORD})(?:[A-Za-z0-9-]{{1,64}}\.){{1,6}}(?:{_names(_ENDS)})(?![\w-])", re.I)
+_AT_HOST = re.compile(rf"(?<![A-Za-z0-9._%+-])(?=[A-Za-z]{{0,64}}[0-9._%+-])[A-Za-z0-9._%+-]{{2,64}}(?P<at>{_AT_WORD})(?:[A-Za-z0-9-]{{1,64}}\.){{1,6}}(?:{_names(_ENDS)})(?![\w-])", re.I)
 _SPOKEN_DOTS = re.compile(rf"(?<=[0-9])\s{{1,2}}(?:{_names(_DOT_NAMES)})\s{{1,2}}(?=[0-9])", re.I)
 _INNER_DOT, _INNER_AT = re.compile(_DOT_WORD, re.I), re.compile(_AT_WORD, re.I)
 #: Letters among digits that are read as digits.
@@ -200,9 +200,11 @@ def transduced(text: str) -> Mapped | None:
     m = Mapped.of(text)
     if not text.isascii() and _ODD.search(text):
         m = _characters(m)
-    if _says_signs(m.text.lower()):
+    low = m.text.lower()
+    signs = _says_signs(low)
+    if signs:
         m = _signs(m)
-    if _says_digits(m.text.lower()):
+    if signs or _says_digits(low):
         m = _digit_names(m)
     return m if m.text != text else None
 

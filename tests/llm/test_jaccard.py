@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from ledgerline.llm.jaccard import jaccard_components, one_of_each_group, parity, t_occurrence
 
@@ -56,10 +57,11 @@ def test_components_against_brute_force(spark, docs_of, lorem):
     assert sorted(map(tuple, got), key=str) == by_hand(rows)
 
 
-def test_components_with_long_lists_in_pieces(spark, docs_of, lorem, monkeypatch):
+@pytest.mark.parametrize("crowd, hubs", [(20_000, 3), (1, 0)])
+def test_components_with_long_lists_in_pieces(spark, docs_of, lorem, monkeypatch, crowd, hubs):
     from ledgerline.llm import jaccard
 
-    for name, value in (("LONGEST", 20), ("BLOCK", 2), ("SHORT", 3)):
+    for name, value in (("LONGEST", 20), ("BLOCK", 2), ("SHORT", 3), ("CROWD", crowd), ("HUBS", hubs)):
         monkeypatch.setattr(jaccard, name, value)
     rows = make_rows(lorem)
     got = jaccard_components(docs_of(rows).withColumnRenamed("doc_id", "doc").repartition(6)).select("doc", "n", "component").collect()
@@ -121,9 +123,39 @@ def test_a_node_has_one_text(spark, docs_of, lorem, monkeypatch):
     from ledgerline.llm import jaccard
 
     kept, write = {}, jaccard.materialise
-    monkeypatch.setattr(jaccard, "materialise", lambda df, tag: kept.setdefault(tag, write(df, tag)))
+    monkeypatch.setattr(jaccard, "materialise", lambda df, tag: kept.setdefault(tag, []).append(write(df, tag)) or kept[tag][-1])
+    monkeypatch.setattr(jaccard, "discard", lambda *tables: None)
     base = lorem("one", 120)
     rows = [(None, base)] * 5 + [(4, base)] * 3 + [(4, lorem("two", 120)), (5, base + " end")]
     jaccard_components(docs_of(rows).withColumnRenamed("doc_id", "doc").repartition(2)).collect()
-    texts = [r["node"] for r in kept["jaccard_texts"].collect()]
+    texts = [r["node"] for r in kept["jaccard_texts"][0].collect()]
     assert len(texts) == len(set(texts)) == 2
+
+
+def test_only_neighbouring_size_ranges_can_link(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.llm.jaccard import size_range
+
+    ranges = [r["r"] for r in spark.range(1, 40_001).select(size_range(F.col("id")).alias("r")).collect()]
+    for a in range(1, 32_001):
+        assert 0 <= ranges[a * 5 // 4 - 1] - ranges[a - 1] <= 1
+
+
+def test_short_lists_give_the_pairs_of_long_ones(lorem):
+    import pyarrow as pa
+
+    from ledgerline.llm.jaccard import HEADS, Lists, _short_pairs, shingle_sets
+
+    sets = list(shingle_sets([edited(lorem("b", 20 + 10 * (i // 6)), i % 6 / 40, i) for i in range(60)]))
+    bits = [parity(s) for s in sets]
+    n = np.array([len(s) for s in sets])
+    node = np.arange(100, 160)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(10), 6)), pa.array(node), pa.array(n), pa.array(bits, pa.binary()),
+                                        *[pa.array(np.full(60, -1 - i)) for i in range(HEADS)]], names=["token", "node", "n", "bits", *[f"t{i}" for i in range(HEADS)]])
+    got = {tuple(p) for x, y in _short_pairs(batch.slice(6), np.arange(0, 54, 6), np.full(9, 6), 80) for p in zip(x.tolist(), y.tolist())}
+    want = set()
+    for a in range(6, 60, 6):
+        for x, y in Lists(n[a : a + 6], bits[a : a + 6], 80).pairs():
+            want |= {tuple(sorted(p)) for p in zip((node[a + x]).tolist(), (node[a + y]).tolist())}
+    assert got == want and want
