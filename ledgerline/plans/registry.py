@@ -760,6 +760,38 @@ def q_cap_limits(spark, sf):
     return G.cap(_statements(spark, sf), "sql").select("statement_id", "capped_sql")
 
 
+_OUTSIDE = ["default", "marts", "spark_catalog"]
+_KNOWN = ", ".join(O.q(w) for w in [*G.BRACKET_WORDS, *G.FUNCTIONS])
+_PROBES = [
+    "probe AS (SELECT event_id AS statement_id, json_extract_string(props, '$.k') AS k, event_type AS et, event_id % 4 = 0 AS turn FROM events)",
+    "said AS (SELECT statement_id, CASE WHEN et = 'purchase' THEN 'SELECT sum(revenue_dollars) FROM marts.mart_revenue WHERE transaction_count > ' || k "
+    "WHEN et = 'signup' AND turn THEN 'SELECT aggregate(sequence(1, ' || k || '), 0, (a, x) -> a + x) FROM mart_jobs' "
+    "WHEN et = 'signup' THEN 'SELECT ''reflect('' || service_category, \"default.b(\" FROM mart_jobs -- range(' || k || ')' "
+    "WHEN et = 'error' AND turn THEN 'SELECT * FROM mart_jobs, `default` . t' || k "
+    "WHEN et = 'error' THEN 'SELECT r''\\'', reflect(''x'') FROM mart_jobs' "
+    "WHEN et = 'click' AND turn THEN 'SELECT `reflect` /* ( */ (''java.lang.System'', ''nanoTime'') FROM mart_jobs' "
+    "WHEN et = 'click' THEN 'SELECT a.total_jobs FROM marts.mart_jobs a CROSS JOIN marts.mart_revenue' "
+    "ELSE 'SELECT current_user, ' || k || ' FROM mart_jobs' END AS sql FROM probe)",
+    # in these statements the schema stands before a mart wherever it stands
+    f"shown AS (SELECT *, regexp_replace(replace(sql, 'marts.mart_', 'mart_'), {_re(G.RE_QUOTED)}, '\\1\\2\\3 ', 'g') AS t FROM said)",
+    f"calls AS (SELECT *, list_filter(list_transform(regexp_extract_all(t, {_re(G.RE_CALL)}, 1), lambda c: lower(replace(c, '`', ''))), "
+    f"lambda c: NOT list_contains([{_KNOWN}], c))[1] AS call FROM shown)",
+]
+
+
+@register("refuse_statements", with_(_PROBES, (
+    "SELECT statement_id, sql, CASE WHEN regexp_matches(sql, '(?i)(^|[^a-z0-9_])r[''\"]') THEN 'Raw texts are not allowed' "
+    "WHEN call IS NOT NULL THEN 'Function not allowed: ' || call "
+    "WHEN regexp_matches(t, '(?i)\\bcurrent_user\\b') THEN 'Function not allowed: current_user' "
+    "WHEN contains(t, '->') THEN 'Function not allowed: ->' WHEN regexp_matches(t, '(?i)\\bcross\\b') THEN 'Cross joins are not allowed' "
+    "WHEN regexp_matches(t, '(?i)`?\\b(default|marts|spark_catalog)`?\\s*\\.') THEN 'Only marts tables are accessible.' ELSE '' END AS refusal FROM calls")))
+def q_refuse_statements(spark, sf):
+    from ledgerline.sources.tables import read_table
+
+    probes = G.probes_from_events(read_table(spark, sf, "events"))
+    return probes.select("statement_id", "sql", G.refusal(F.col("sql"), _OUTSIDE).alias("refusal"))
+
+
 def _published(spark, sf, names=("mart_call_funnel", "mart_revenue", "mart_jobs"), database="marts"):
     from ledgerline.operators.marts import write_mart
 

@@ -2,6 +2,7 @@
 the isolation of the guarded session."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators import guard as G
 
@@ -50,7 +51,7 @@ ALLOWED += [
 ]
 
 
-# allowed by the text rules, or hidden from them; refused on the analysed plan
+# allowed by the text rules, or hidden from them; refused all the same
 PROBES = [
     "SELECT * FROM `secret`.`t`",
     "SELECT * FROM marts.mart_revenue, secret.t",
@@ -93,10 +94,66 @@ def test_a_long_statement_is_cancelled(spark):
     from tests.conftest import SF_SMALL
 
     _published(spark, SF_SMALL, ("mart_revenue",))
+    G.guarded_query(spark, "SELECT count(*) FROM mart_revenue", seconds=60)
+    many = "marts.mart_revenue t0" + "".join(f" JOIN marts.mart_revenue t{i} ON t0.payment_method >= t{i}.payment_method" for i in range(1, 4))
+    for sql, error in ((f"SELECT count(*), max(t0.revenue_dollars + t3.revenue_dollars) FROM {many}", "query_failed"),
+                       ("SELECT aggregate(sequence(1,60000000),0L,(a,x)->a+x) FROM marts.mart_revenue", "query_rejected"),
+                       ("SELECT count(*) FROM marts.mart_revenue a JOIN marts.mart_revenue b ON true JOIN marts.mart_revenue c ON true", "query_failed")):
+        started = time.time()
+        assert G.guarded_query(spark, sql, seconds=5).error == error
+        assert time.time() - started < 5 + 10, sql  # the rules and a busy machine take some seconds more
+
+
+def test_the_limit_covers_work_on_the_driver(spark):
+    import time
+
     started = time.time()
-    many = " JOIN ".join(f"marts.mart_revenue t{i}" for i in range(4))
-    r = G.guarded_query(spark, f"SELECT count(*), max(t0.revenue_dollars + t3.revenue_dollars) FROM {many}", seconds=3)
-    assert r.error == "query_failed" and time.time() - started < 60
+    with pytest.raises(TimeoutError):
+        G.within(1, spark, lambda: time.sleep(30))
+    assert time.time() - started < 3
+    with pytest.raises(ZeroDivisionError):
+        G.within(5, spark, lambda: 1 / 0)
+    assert G.within(5, spark, lambda: 7) == 7
+
+
+REFUSED = {
+    "SELECT `REFLECT` ('a', 'b')": "Function not allowed: reflect",
+    "SELECT '/*', reflect('a', 'b'), '*/'": "Function not allowed: reflect",
+    "SELECT 1 -- x\rUNION SELECT java_method('a', 'b')": "Function not allowed: java_method",
+    "SELECT 'a\\'', reflect('b') || '": "Function not allowed: reflect",
+    "SELECT `a'b`, reflect('x')": "Function not allowed: reflect",
+    "SELECT r'\\', reflect(x), '": "Raw texts are not allowed",
+    "SELECT R\"\\\", reflect(x), '": "Raw texts are not allowed",
+    "SELECT * FROM IDENTIFIER('sec' || 'ret.t')": "Function not allowed: identifier",
+    "SELECT * FROM mart_jobs, secret . t": G.MSG_ONLY_MARTS,
+    "SELECT * FROM mart_jobs, `Secret`/**/.`t`": G.MSG_ONLY_MARTS,
+    "SELECT * FROM mart_jobs, spark_catalog.other.t": G.MSG_ONLY_MARTS,
+    "SELECT * FROM mart_jobs, marts.other": G.MSG_ONLY_MARTS,
+    "SELECT * FROM (FROM mart_jobs MAP total_jobs USING 'cat' AS (x))": "Function not allowed: using",
+    "SELECT current_user FROM mart_jobs": "Function not allowed: current_user",
+    "SELECT repeat('x', 2000000000) FROM mart_jobs": "Function not allowed: repeat",
+    "SELECT a FROM mart_jobs cross\njoin mart_revenue": "Cross joins are not allowed",
+}
+MAY_RUN = [
+    "SELECT service_category, round(100.0 * completed / nullif(total_jobs, 0), 1) FROM marts.mart_jobs WHERE (total_jobs > 1) AND service_category IN ('reflect(', \"secret.t\")",
+    "SELECT marts.mart_jobs.total_jobs FROM marts.mart_jobs -- reflect(",
+    "SELECT sum(x) OVER (PARTITION BY (y)) FROM (SELECT cast(total_jobs AS decimal(10, 2)) AS x, service_category AS y FROM MARTS . mart_jobs) /* range(9) */",
+    "SELECT CASE WHEN (1 = 1) THEN (2) ELSE (3) END, CAST(1 AS decimal(3,1))",
+]
+
+
+def test_refusals(spark):
+    df = spark.createDataFrame([(s,) for s in [*REFUSED, *MAY_RUN]], "sql string")
+    names = ["secret", "marts", "spark_catalog", "default"]
+    got = {r.sql: r.refusal for r in df.select("sql", G.refusal(F.col("sql"), names).alias("refusal")).collect()}
+    assert got == REFUSED | dict.fromkeys(MAY_RUN, "")
+
+
+def test_marts_go_by_their_names(spark):
+    cases = {"SELECT marts.mart_jobs.a, 'marts.mart_jobs' FROM Marts . mart_jobs JOIN marts.mart_revenue": "SELECT mart_jobs.a, 'marts.mart_jobs' FROM mart_jobs JOIN mart_revenue",
+             "SELECT smarts.mart_jobs FROM marts.other": "SELECT smarts.mart_jobs FROM marts.other"}
+    df = spark.createDataFrame([(s,) for s in cases], "sql string")
+    assert {r.sql: r.u for r in df.select("sql", G.unqualified(F.col("sql")).alias("u")).collect()} == cases
 
 
 def _vet(spark, stmts):
@@ -134,6 +191,11 @@ def test_guarded_session_isolation(spark):
         gs.sql("SELECT * FROM secret_view").collect()
     with pytest.raises(Exception):
         gs.sql("SELECT * FROM parquet.`/root/testdata/sf0.001/region.parquet`").collect()
+    assert {t.name for t in gs.catalog.listTables()} <= {"mart_call_funnel", "mart_revenue", "mart_jobs"}
+    spark.range(1).write.mode("overwrite").saveAsTable(f"{G.EMPTY_DATABASE}.t")
+    with pytest.raises(RuntimeError):
+        G.guarded_session(spark)
+    spark.sql(f"DROP TABLE {G.EMPTY_DATABASE}.t")
 
 
 def test_guarded_query_end_to_end(spark):
