@@ -41,10 +41,18 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 
 
 def discard(*written: DataFrame) -> None:
-    """Delete tables of ``materialise`` that no later step reads: all that used them is written itself."""
+    """Delete tables of ``materialise`` that no later step reads: all that used them is written itself.
+
+    The driver's collector runs too, because Spark removes the shuffle files of finished
+    steps only once their plans are collected.
+    """
+    import gc
+
     for df in written:
         path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_at)
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    written[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def rows_at_most(df: DataFrame, n: int) -> bool:

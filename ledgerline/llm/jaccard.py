@@ -318,8 +318,9 @@ def size_range(n: Column, percent: int = PERCENT) -> Column:
     return F.floor(F.log(n.cast("double")) / math.log(1.01 * 100 / percent)).cast("int")
 
 
-def late_candidates(lists: DataFrame, tokens: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(x, y) of different components that may link, from long lists (token, node, n, t0.., bits, component).
+def late_candidates(lists: DataFrame, known: DataFrame, tokens: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(x, y) of different components that may link, from long lists (token, node, n, component) and what is
+    ``known`` of the nodes (k, t0.., bits), which only rows that have someone to meet carry along.
 
     A list is cut by size: a member stands in its own range and, to meet smaller ones,
     in none but the next, so rows grow with the list and not with its square. Where a
@@ -327,10 +328,9 @@ def late_candidates(lists: DataFrame, tokens: DataFrame, percent: int = PERCENT)
     n - T + 2 tokens (``tokens``: node, more), so each member is posted under its later
     ones and meets only those that share one of them.
     """
-    heads = [f"t{i}" for i in range(HEADS)]
     own = size_range(F.col("n"), percent)
     dealt = lists.withColumn("own", own).withColumn("range", F.explode(F.array(own, own + 1)))
-    ranges = materialise(dealt.select("token", "range", (F.col("own") == F.col("range")).alias("native"), "node", "n", "bits", "component", *heads), "jaccard_ranges")
+    ranges = materialise(dealt.select("token", "range", (F.col("own") == F.col("range")).alias("native"), "node", "n", "component"), "jaccard_ranges")
     held = ranges.groupBy(F.col("token").alias("c"), F.col("range").alias("r")).agg(
         F.count("*").alias("held"), F.max("native").alias("any"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     held = materialise(held.where("held > 1 and any and lo < hi").select("c", "r", (F.col("held") > CROWD).alias("crowd")), "jaccard_held")
@@ -339,6 +339,7 @@ def late_candidates(lists: DataFrame, tokens: DataFrame, percent: int = PERCENT)
     crowds = (dealt.where("crowd").join(tokens.withColumnRenamed("node", "m"), F.col("node") == F.col("m"))
               .withColumn("second", F.explode(later)).drop("m", "more"))
     dealt = dealt.where("not crowd").withColumn("second", F.lit(0).cast("long")).unionByName(crowds).drop("crowd")
+    dealt = dealt.join(known, F.col("node") == F.col("k")).drop("k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _runs(batches, ["token", "range", "second"]):
@@ -469,14 +470,13 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     late = materialise(late, "jaccard_long")
     discard(lists)
     split = late.groupBy(F.col("token").alias("s")).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s")
-    late = late.join(materialise(split, "jaccard_split"), F.col("token") == F.col("s")).drop("s")
-    late = late.join(known, F.col("node") == F.col("k")).drop("k")
+    apart = late.join(split, F.col("token") == F.col("s")).drop("s")
     tokens = rep.select("node", F.col("prefix").alias("more"))
-    second = late_candidates(late, tokens, percent).join(first.select(F.col("x").alias("fx"), F.col("y").alias("fy")), (F.col("x") == F.col("fx")) & (F.col("y") == F.col("fy")), "left_anti")
+    second = late_candidates(apart, known, tokens, percent).join(first.select(F.col("x").alias("fx"), F.col("y").alias("fy")), (F.col("x") == F.col("fx")) & (F.col("y") == F.col("fy")), "left_anti")
     more = verify(second, texts, percent, shingle)
     if not more.isEmpty():
         groups = materialise(connected_components(links.unionByName(more)), "jaccard_groups")
-    discard(rep, first, texts, links, more)
+    discard(rep, first, texts, links, more, late)
 
     members = sets.select("doc", "node", "n").join(groups.withColumnRenamed("node", "g"), F.col("node") == F.col("g"), "left")
     members = materialise(members.select("doc", "node", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("group")), "jaccard_members")
