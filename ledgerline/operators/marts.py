@@ -174,7 +174,7 @@ def write_served(df: DataFrame, name: str) -> DataFrame:
 
 def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "marts") -> DataFrame:
     """SNK-6: full replace of ``database.name`` as a catalog table (parquet),
-    published by build-then-swap.
+    published by build-then-swap; dated marts lie in month folders, which date filters prune.
 
     Each run writes a new version folder under the table's folder; the
     catalog entry is pointed at it only after that write job has committed.
@@ -185,14 +185,22 @@ def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "m
     """
     import uuid
 
+    from ledgerline.functions.wire import MONTH
+    from ledgerline.session import shared_warehouse
+
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    root = shared_warehouse(spark)
     table_dir = f"{root}/{database}.db/{name}"
     stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     version = f"{table_dir}/{VERSION_PREFIX}{stamp}-{uuid.uuid4().hex[:8]}"
     out = with_comments(df, name)
+    if name in MART_DATES and MART_DATES[name] in out.columns:
+        out = out.withColumn(MONTH, F.date_format(MART_DATES[name], "yyyy-MM"))
+        writer = out.repartition(MONTH).write.partitionBy(MONTH)
+    else:
+        writer = out.write
     try:
-        out.write.mode("errorifexists").parquet(version)
+        writer.mode("errorifexists").parquet(version)
     except Exception:
         _delete(spark, version)  # the table still points at the previous version
         raise

@@ -40,7 +40,7 @@ def layers(spark, sf, damaged=False):
     every query still reads and computes everything from the tables.
     """
     per = _DEFINITIONS.setdefault(spark, {})
-    key = (sf.rstrip("/"), damaged)
+    key = (_input(spark, sf), damaged)
     if key not in per:
         per[key] = build_layers(spark, sf, damaged=damaged)
     return per[key]
@@ -53,10 +53,24 @@ def _marts(spark, sf):
 _WRITTEN: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
 
 
+def _input(spark, sf) -> str:
+    """The input as it is now: its path with names, sizes and times of the source files, so that tables
+    written from an older state of it are not taken for this one."""
+    from ledgerline.sources.lake import _fs
+
+    parts = []
+    for table in ("events", "lineitem", "orders", "part"):
+        fs, path = _fs(spark, f"{sf.rstrip('/')}/{table}.parquet")
+        if fs.exists(path):
+            files = fs.listStatus(path)  # a file lists itself
+            parts += [f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in files]
+    return "|".join([sf.rstrip("/"), *parts])
+
+
 def _written(spark, sf, what, build):
-    """A table written once per session and input below the shared folder, for queries that read it."""
+    """A table written once per session and state of the input below the shared folder, for queries that read it."""
     per = _WRITTEN.setdefault(spark, {})
-    key = (sf.rstrip("/"), what)
+    key = (_input(spark, sf), what)
     if key not in per:
         per[key] = build()
     return per[key]
@@ -792,10 +806,17 @@ def q_refuse_statements(spark, sf):
     return probes.select("statement_id", "sql", G.refusal(F.col("sql"), _OUTSIDE).alias("refusal"))
 
 
-def _published(spark, sf, names=("mart_call_funnel", "mart_revenue", "mart_jobs"), database="marts"):
+def _database(spark, sf) -> str:
+    """The database that the marts of one input are published in: a session's other inputs have their own."""
+    import zlib
+
+    return f"marts_{zlib.crc32(_input(spark, sf).encode()):08x}"
+
+
+def _published(spark, sf, names=("mart_call_funnel", "mart_revenue", "mart_jobs"), database=None):
     from ledgerline.operators.marts import write_mart
 
-    return {name: write_mart(spark, _marts(spark, sf)[name], name, database) for name in names}
+    return {name: write_mart(spark, _marts(spark, sf)[name], name, database or _database(spark, sf)) for name in names}
 
 
 GUARDED_SQL = ("SELECT service_description, sum(revenue_dollars) AS revenue, sum(transaction_count) AS transactions "
@@ -811,7 +832,7 @@ def q_guarded_query(spark, sf):
 
     _published(spark, sf, ("mart_revenue",))
     verdict = Q.verdict(Q.freshness(_raw_written(spark, sf), AS_OF_WARN))
-    r = G.guarded_query(spark, GUARDED_SQL, verdict, audit_path=scratch_path(spark, "audit"), seconds=60)
+    r = G.guarded_query(spark, GUARDED_SQL, verdict, audit_path=scratch_path(spark, "audit"), seconds=60, database=_database(spark, sf))
     if r.error:
         raise RuntimeError(f"{r.error}: {r.message}")
     return to_wire(r.data)
@@ -985,7 +1006,7 @@ def q_staging_views(spark, sf):
 @register("mart_tables", ORACLE["mart_jobs"])
 def q_mart_tables(spark, sf):
     _published(spark, sf, ("mart_jobs",))
-    return to_wire(spark.table("marts.mart_jobs"))
+    return to_wire(spark.table(f"{_database(spark, sf)}.mart_jobs"))
 
 
 # ---------------------------------------------------------------------------
@@ -1125,3 +1146,34 @@ def _history_sql() -> str:
 @register("refresh_history", _history_sql())
 def q_refresh_history(spark, sf):
     return _refreshed(spark, sf).history()
+
+
+# ---------------------------------------------------------------------------
+# joins on bucketed tables (JON-1, JON-3)
+# ---------------------------------------------------------------------------
+
+def _bucketed(spark, sf, damaged=False):
+    """Database with the calls and jobs of an input in buckets of the call id, written once."""
+    from ledgerline.operators.bucketed import write_bucketed
+
+    def build():
+        database = _database(spark, sf) + ("_damaged" if damaged else "")
+        stg = layers(spark, sf, damaged).staging
+        write_bucketed(stg["calls"], stg["jobs"], database)
+        return database
+
+    return _written(spark, sf, ("bucketed", damaged), build)
+
+
+@register("calls_jobs_daily_bucketed", ORACLE["calls_jobs_daily"])
+def q_calls_jobs_daily_bucketed(spark, sf):
+    from ledgerline.operators import bucketed
+
+    return to_wire(bucketed.jobs_by_call_day(spark, _bucketed(spark, sf)))
+
+
+@register("call_job_consistency_bucketed", ORACLE["call_job_consistency"])
+def q_call_job_consistency_bucketed(spark, sf):
+    from ledgerline.operators import bucketed
+
+    return bucketed.call_job_mismatches(spark, _bucketed(spark, sf, damaged=True))

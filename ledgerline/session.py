@@ -85,3 +85,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     import uuid
 
     return "/".join([scratch_root(spark), *parts, uuid.uuid4().hex])
+
+
+def shared_warehouse(spark: SparkSession) -> str:
+    """The warehouse folder of the session, which all executors must reach: on a cluster a folder of the
+    driver's machine (the default) is an error."""
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = root.startswith("file:") or "://" not in root and root.startswith("/")
+    if local and spark.sparkContext.master.split("[")[0] not in ("local", "local-cluster") and not spark.conf.get("spark.checkpoint.dir", "").startswith(("file:", "/")):
+        raise RuntimeError("spark.sql.warehouse.dir is a local folder: executors need one they share with the driver")
+    return root

@@ -47,15 +47,26 @@ def write_lake(df: DataFrame, root: str, source: str, run_ts: dt.datetime,
     before = run_dirs(spark, root, source)
     out += f"{FULL}{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
     df.write.mode("errorifexists").json(out)
-    for old in before:  # replaced already; this only frees the space
-        fs, p = _fs(spark, old)
-        if path_exists(spark, f"{old}/_SUCCESS"):
-            fs.delete(p, True)
+    remove_replaced(spark, before)
     return out
 
 
 #: Mark in the name of a run that replaces all earlier ones.
 FULL = "-full-"
+#: Age of its commit from which a replaced run is removed; longer than any read or run, as for marts.
+RETENTION = dt.timedelta(hours=24)
+
+
+def remove_replaced(spark: SparkSession, runs: list[str], now: dt.datetime | None = None) -> list[str]:
+    """Free the space of replaced runs that were committed more than ``RETENTION`` ago; readers in flight keep theirs."""
+    limit = ((now or dt.datetime.now(dt.timezone.utc)) - RETENTION).timestamp() * 1000
+    removed = []
+    for run in runs:
+        fs, done = _fs(spark, f"{run}/_SUCCESS")
+        if fs.exists(done) and fs.getFileStatus(done).getModificationTime() < limit:
+            fs.delete(_fs(spark, run)[1], True)
+            removed.append(run)
+    return removed
 
 
 def run_dirs(spark: SparkSession, root: str, source: str) -> list[str]:

@@ -73,7 +73,7 @@ def test_refusals_and_answers_are_logged(spark):
     from ledgerline.session import scratch_path
     from tests.conftest import SF_SMALL
 
-    _published(spark, SF_SMALL, ("mart_jobs",))
+    _published(spark, SF_SMALL, ("mart_jobs",), "marts")
     path = scratch_path(spark, "audit")
     stale = spark.createDataFrame([(False, False, "stale")], "fresh boolean, warn boolean, message string")
     warn = spark.createDataFrame([(True, True, "old")], "fresh boolean, warn boolean, message string")
@@ -93,7 +93,7 @@ def test_a_long_statement_is_cancelled(spark):
     from ledgerline.plans.registry import _published
     from tests.conftest import SF_SMALL
 
-    _published(spark, SF_SMALL, ("mart_revenue",))
+    _published(spark, SF_SMALL, ("mart_revenue",), "marts")
     G.guarded_query(spark, "SELECT count(*) FROM mart_revenue", seconds=60)
     many = "marts.mart_revenue t0" + "".join(f" JOIN marts.mart_revenue t{i} ON t0.payment_method >= t{i}.payment_method" for i in range(1, 4))
     for sql, error in ((f"SELECT count(*), max(t0.revenue_dollars + t3.revenue_dollars) FROM {many}", "query_failed"),
@@ -203,7 +203,7 @@ def test_guarded_query_end_to_end(spark):
     import __spark_entry__ as E
     from ledgerline.plans.registry import _published
 
-    _published(spark, SF_SMALL)
+    _published(spark, SF_SMALL, database="marts")
     spark.sql("CREATE DATABASE IF NOT EXISTS secret")
     spark.range(1).write.mode("overwrite").saveAsTable("secret.t")
     for sql in PROBES:

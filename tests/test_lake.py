@@ -186,3 +186,54 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         scratch_root(Session())
+
+
+def test_replaced_runs_stay_for_readers_in_flight(spark):
+    root = scratch_path(spark, "lake")
+    L.write_lake(_rows(spark, [("1", "10", "a")]), root, "widgets", dt.datetime(2024, 1, 1, 12))
+    reader = L.read_lake(spark, root, "widgets", SCHEMA)
+    L.write_lake(_rows(spark, [("2", "20", "b")]), root, "widgets", dt.datetime(2024, 1, 2, 12))
+    assert [r.id for r in reader.collect()] == ["1"]  # planned before the run was replaced
+    assert [r.id for r in L.read_lake(spark, root, "widgets", SCHEMA).collect()] == ["2"]
+    runs = L.run_dirs(spark, root, "widgets")
+    later = dt.datetime.now(dt.timezone.utc) + 2 * L.RETENTION
+    assert L.remove_replaced(spark, runs[:1]) == [] and L.remove_replaced(spark, runs[:1], later) == runs[:1]
+    assert [r.id for r in L.read_lake(spark, root, "widgets", SCHEMA).collect()] == ["2"]
+
+
+def test_dated_marts_are_published_by_month(spark):
+    from ledgerline.functions.wire import MONTH
+    from ledgerline.operators.marts import write_mart
+
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-15', DATE '2024-03-02')) AS call_date").withColumn("total_calls", F.lit(1))
+    for n in (1, 2):
+        table = write_mart(spark, days.withColumn("total_calls", F.lit(n)), "mart_call_funnel", "bymonth")
+    assert table.count() == 48 and table.agg(F.sum("total_calls")).first()[0] == 96
+    february = table.where(f"{MONTH} = '2024-02'")
+    assert february.count() == 29 and {f.split("/")[-2] for f in february.inputFiles()} <= {f"{MONTH}=2024-01", f"{MONTH}=2024-02", f"{MONTH}=2024-03"}
+    assert "PartitionFilters: [isnotnull" in february._jdf.queryExecution().toString()
+
+
+def test_warehouse_must_be_shared_on_a_cluster():
+    import pytest
+
+    from ledgerline.session import shared_warehouse
+
+    def session(master, warehouse, checkpoints=""):
+        class Session:
+            class sparkContext:
+                pass
+
+            class conf:
+                @staticmethod
+                def get(key, default=None):
+                    return warehouse if key == "spark.sql.warehouse.dir" else checkpoints
+
+        Session.sparkContext.master = master
+        return Session()
+
+    assert shared_warehouse(session("local[4]", "/tmp/w/")) == "/tmp/w"
+    assert shared_warehouse(session("yarn", "hdfs://n/w")) == "hdfs://n/w"
+    assert shared_warehouse(session("yarn", "file:/mnt/shared/w", "file:///mnt/shared/c")) == "file:/mnt/shared/w"
+    with pytest.raises(RuntimeError):
+        shared_warehouse(session("yarn", "file:/home/driver/w", "hdfs://n/c"))
