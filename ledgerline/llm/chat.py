@@ -37,9 +37,11 @@ def _runs(messages: DataFrame) -> DataFrame:
 
     A message that is its parent's only child continues the parent's run. Heads
     are found by pointer doubling: a self-join of the messages not yet there per
-    doubling of the run length.
+    doubling of the run length. A run is no longer than its tree, so what has no head
+    after as many doublings goes round in a cycle and is left out.
     """
     nodes = messages.select("tree", "node", "parent")
+    longest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     counted = nodes.groupBy("tree", "parent").agg(F.count("*").alias("n"))
     alone = counted.where("n = 1 and parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p"), F.lit(True).alias("only"))
     known = nodes.select(F.col("tree").alias("kt"), F.col("node").alias("kn"))
@@ -49,12 +51,14 @@ def _runs(messages: DataFrame) -> DataFrame:
           .select("tree", "node", F.col("kn").alias("parent"), F.when(follows, F.col("parent")).otherwise(F.col("node")).alias("head"),
                   F.when(follows, 1).otherwise(0).cast("long").alias("offset"), (~F.coalesce(follows, F.lit(False))).alias("settled")))
     at = materialise(at, "chat_runs")
-    while not (moving := at.where("not settled")).isEmpty():
+    for _ in range(longest.bit_length() + 1):
+        if (moving := at.where("not settled")).isEmpty():
+            break
         ahead = at.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("head").alias("h"), F.col("offset").alias("o"), F.col("settled").alias("s"))
         moved = (moving.join(ahead, (F.col("tree") == F.col("t")) & (F.col("head") == F.col("n")))
                  .select("tree", "node", "parent", F.col("h").alias("head"), (F.col("offset") + F.col("o")).alias("offset"), F.col("s").alias("settled")))
         at = at.where("settled").unionByName(materialise(moved, "chat_moved"))
-    return at.drop("settled")
+    return at.where("settled").drop("settled")
 
 
 def best_branches(messages: DataFrame, branches: int | None = 1) -> DataFrame:
@@ -121,8 +125,9 @@ def format_reply_trees(messages: DataFrame, branches: int | None = 1) -> DataFra
 
     Defined cases: null text or role is empty; null conv_id is one tree;
     a parent that is not in the tree makes its message a root, and each root
-    starts branches of the same tree; repeated message ids and cycles are not
-    trees and their messages are left out; an empty table gives no rows; extra
+    starts branches of the same tree; messages without an id, with an id that another of
+    the tree has, in a cycle, or below one are left out (answers to a repeated id are roots, as
+    their parent is not there); an empty table gives no rows; extra
     columns are not carried. A branch is one row of output, so its text must fit
     a row; everything before that is spread by message.
     """
@@ -130,6 +135,8 @@ def format_reply_trees(messages: DataFrame, branches: int | None = 1) -> DataFra
     tree = F.coalesce(F.concat(F.lit("v"), F.col("conv_id").cast("string")), F.lit("null"))
     rows = materialise(messages.select("conv_id", tree.alias("tree"), F.col("message_id").alias("node"), F.col("parent_id").alias("parent"),
                                        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), score.alias("score")), "chat_rows")
+    twice = rows.groupBy(F.col("tree").alias("t"), F.col("node").alias("n")).count().where("count > 1")
+    rows = rows.where("node is not null").join(twice, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
     chosen = best_branches(rows.select("tree", "node", "parent", "score"), branches)
     said = rows.select("conv_id", "tree", "node", (F.col("role") == "assistant").alias("learn"),
                        F.concat(F.lit(START), escape(F.col("role")), F.lit(SEP)).alias("before"), escape(F.col("text")).alias("body"))

@@ -63,6 +63,18 @@ def test_branches_against_brute_force(spark):
         assert set(got) == branches_by_hand(rows, k or 10**6)
 
 
+def test_cycles_and_repeated_ids_are_left_out(spark):
+    """Trees: 1 only a cycle; 2 a cycle beside a good tree and an answer below it; 3 a message that answers itself;
+    4 an id twice; 5 a missing id; 6 a long run, so that the doublings do go on."""
+    rows = [(1, 1, 2), (1, 2, 1), (2, 1, 3), (2, 2, 1), (2, 3, 2), (2, 4, 2), (2, 10, None), (2, 11, 10), (2, 12, 11), (3, 1, 1), (3, 2, None),
+            (4, 1, None), (4, 2, 1), (4, 2, 1), (4, 3, 2), (4, 5, 3), (5, None, None), (5, 1, None), (5, 2, 1)]
+    rows += [(6, i, i - 1 if i else None) for i in range(100)]
+    df = spark.createDataFrame([(t, m, p, "user", str(m)) for t, m, p in rows], "conv_id long, message_id long, parent_id long, role string, text string")
+    out = format_reply_trees(df, branches=None).select("conv_id", read_turns(F.col("formatted")).alias("turns")).collect()
+    got = sorted((r["conv_id"], [t["text"] for t in r["turns"]]) for r in out)
+    assert got == [(2, ["10", "11", "12"]), (3, ["2"]), (4, ["1"]), (4, ["3", "5"]), (5, ["1", "2"]), (6, [str(i) for i in range(100)])]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert format_reply_trees(linear_replies(empty)).count() == 0
