@@ -228,7 +228,7 @@ class Cuts:
         self.plain: dict[str, int] = {}
         self.ids: list[bytes] = []  # of each cut, 4 bytes to an id
         self.unit: list[str] = []
-        self.first, self.count, self.parent = (np.zeros(1024, np.int32) for _ in range(3))
+        self.first, self.count, self.parent, self.root, self.hits = (np.zeros(1024, np.int32) for _ in range(5))
         self.skipped = np.zeros(1024, np.uint64)  # what a cut skips besides what its parent skips
         self.borders, self.child, self.used = np.zeros(4096, np.uint64), np.zeros(4096, np.int32), 0
 
@@ -236,7 +236,7 @@ class Cuts:
         def longer(x: np.ndarray, n: int) -> np.ndarray:
             return x if n <= len(x) else np.r_[x, np.zeros(max(n, 3 * len(x) // 2) - len(x), x.dtype)]
 
-        for name, n in (("first", cuts), ("count", cuts), ("parent", cuts), ("skipped", cuts), ("borders", merges), ("child", merges)):
+        for name, n in (("first", cuts), ("count", cuts), ("parent", cuts), ("root", cuts), ("hits", cuts), ("skipped", cuts), ("borders", merges), ("child", merges)):
             setattr(self, name, longer(getattr(self, name), n))
 
     def add(self, units: list[str], symbols: np.ndarray, parent: np.ndarray, skipped: np.ndarray) -> None:
@@ -266,6 +266,8 @@ class Cuts:
             self.count[old : old + k] = count
             self.parent[old : old + k] = parent[a : a + 20_000]
             self.skipped[old : old + k] = skipped[a : a + 20_000]
+            self.root[old : old + k] = np.where(parent[a : a + 20_000] >= 0, self.root[parent[a : a + 20_000]], np.arange(old, old + k))
+            self.hits[old : old + k] = 0
             self.borders[self.used : self.used + len(row)] = borders[np.argsort(row, kind="stable")]
             self.child[self.used : self.used + len(row)] = -1
             self.used += len(row)
@@ -290,6 +292,27 @@ class Cuts:
         self.add(units, self.symbols(units), np.full(len(units), -1, np.int32), np.zeros(len(units), np.uint64))
         self.plain.update(zip(units, range(old, len(self.ids)), strict=True))
 
+    def trim(self, most: int) -> None:
+        """Keep the cuts of the units met most often lately, ``most`` cuts at most; the others are made again when met."""
+        n = len(self.ids)
+        root, hits = self.root[:n], self.hits[:n]
+        plain = np.flatnonzero(root == np.arange(n))
+        order = plain[np.argsort(-hits[plain], kind="stable")]
+        order = order[np.cumsum(np.bincount(root, minlength=n)[order]) <= most]
+        hot = np.zeros(n, bool)
+        hot[order] = True
+        kept = np.flatnonzero(hot[root])
+        new = np.full(n + 1, -1, np.int32)  # the last place stands for no cut
+        new[kept] = np.arange(len(kept))
+        count = self.count[kept]
+        at = np.repeat(self.first[kept] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        self.borders, self.child = self.borders[at], new[self.child[at]]
+        self.first, self.count, self.used = (np.cumsum(count) - count).astype(np.int32), count, len(at)
+        self.parent, self.root, self.hits, self.skipped = new[self.parent[kept]], new[root[kept]], hits[kept] // 2, self.skipped[kept]
+        kept = kept.tolist()
+        self.ids, self.unit = [self.ids[i] for i in kept], [self.unit[i] for i in kept]
+        self.plain = {u: i for i, (u, r) in enumerate(zip(self.unit, self.root.tolist(), strict=True)) if i == r}
+
     def choose(self, cut: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
         """The cut that each unit gets, from its plain one and its own key."""
         cut, done = cut.copy(), np.zeros(len(cut), np.int32)
@@ -363,9 +386,9 @@ class Encoder:
     def _flush(self, held: list[tuple[int, int, int, list[str]]], out: list) -> None:
         if not held:
             return
-        if len(self.cuts.ids) > CACHE_UNITS:
-            self.cuts = Cuts(self.table)
         cuts = self.cuts
+        if len(cuts.ids) > CACHE_UNITS:
+            cuts.trim(CACHE_UNITS // 2)
         every = list(chain.from_iterable(units for *_, units in held))
         cut = np.fromiter(map(cuts.plain.get, every, repeat(-1)), np.int32, len(every))
         missing = np.flatnonzero(cut < 0)
@@ -374,6 +397,7 @@ class Encoder:
             cuts.learn(sorted(new))
             cut[missing] = np.fromiter(map(cuts.plain.get, units, repeat(-1)), np.int32, len(units))
         long_, keys = np.flatnonzero(cut < 0), None
+        cuts.hits[: len(cuts.ids)] += np.bincount(cut[cut >= 0], minlength=len(cuts.ids)).astype(np.int32)
         if self.limit:
             keys = np.concatenate([place_keys(key, np.arange(place, place + len(units))) for _, key, place, units in held])
             short = np.flatnonzero(cut >= 0)

@@ -84,3 +84,26 @@ def test_cuts_are_not_limited_to_a_few_streams(spark, docs_of, lorem):
     ids = got.where("doc_id = 7").first()["piece_ids"]
     cuts = {p for p in "".join(sp.id_to_piece(i) + "|" for i in ids).split(MARK) if p.replace("|", "") == "international"}
     assert len(cuts) > 4  # within a document, too
+
+
+def test_trimmed_cuts_give_the_same_pieces(monkeypatch):
+    import pyarrow.parquet as pq
+
+    from ledgerline.llm import pieces as P
+    from tests.conftest import SF_SMALL
+
+    table = P.PieceTable(open(P.MODEL, "rb").read())
+    texts = pq.read_table(f"{SF_SMALL}/documents.parquet").column("text").to_pylist()[:60]
+    keys = [str(i) for i in range(len(texts))]
+    whole = P.Encoder(table, 0.3, 7).encode(texts, keys)
+    monkeypatch.setattr(P, "CACHE_UNITS", 400)
+    small, out = P.Encoder(table, 0.3, 7), []
+    for t, k in zip(texts, keys):
+        out += small.encode([t], [k])
+    assert out == whole
+    small.cuts.trim(300)
+    cuts = small.cuts
+    assert 0 < len(cuts.ids) <= 300 and all(cuts.unit[i] == u for u, i in cuts.plain.items())
+    n = len(cuts.ids)
+    assert all(cuts.unit[c] == cuts.unit[i] for i in range(n) for c in cuts.child[cuts.first[i] : cuts.first[i] + cuts.count[i]].tolist() if c >= 0)
+    assert [x for t, k in zip(texts, keys) for x in small.encode([t], [k])] == whole
