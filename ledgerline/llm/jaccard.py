@@ -349,11 +349,15 @@ def late_candidates(lists: DataFrame, known: DataFrame, tokens: DataFrame, perce
             start = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (range_[1:] != range_[:-1]) | (second[1:] != second[:-1])])
             out = []
             for a, b in zip(start, np.r_[start[1:], len(token)], strict=True):
-                c, left = comp[a:b], native[a:b]
-                if (c == c[0]).all() or not left.any():
+                c, own = comp[a:b], native[a:b]
+                kinds, at, members = np.unique(c, return_inverse=True, return_counts=True)
+                if len(kinds) == 1 or not own.any():
                     continue
+                # Whoever meets another component is outside of the largest one, or meets one who is.
+                outside = at != members.argmax()
                 unmet = _unmet(token[a], heads[a:b])
-                out += _emit(node[a:b], Lists(n[a:b], bits[a:b], percent).pairs(left), lambda x, y, c=c, unmet=unmet: (c[x] != c[y]) & unmet(x, y))
+                out += _emit(node[a:b], Lists(n[a:b], bits[a:b], percent).pairs(outside),
+                             lambda x, y, c=c, own=own, unmet=unmet: (c[x] != c[y]) & (own[x] | own[y]) & unmet(x, y))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["x", "y"])
 
