@@ -1177,3 +1177,63 @@ def q_call_job_consistency_bucketed(spark, sf):
     from ledgerline.operators import bucketed
 
     return bucketed.call_job_mismatches(spark, _bucketed(spark, sf, damaged=True))
+
+
+# ---------------------------------------------------------------------------
+# counters and mergeable quantiles (OBS-6..9)
+# ---------------------------------------------------------------------------
+
+from ledgerline.operators import samples as C  # noqa: E402
+
+
+def _increase_ctes(seconds: int = 3600) -> list[str]:
+    edge = "CASE WHEN {0} >= span / (samples - 1) * 1.1::DOUBLE THEN span / (samples - 1) / 2 ELSE {0} END"
+    head, tail = edge.format("(t1 - w)::DOUBLE"), edge.format(f"(w + {seconds} - t2)::DOUBLE")
+    return [
+        _LOG,
+        "per_minute AS (SELECT endpoint, status, epoch_us(ts) // 60000000 AS m, count(*) AS n FROM log GROUP BY ALL)",
+        f"counters AS (SELECT endpoint, status, (m + 1) * 60 AS t, sum(n) OVER (PARTITION BY endpoint, status, m * 60 // {C.RESTART_SECONDS} ORDER BY m) AS value FROM per_minute)",
+        f"placed AS (SELECT *, (t - 1) // {seconds} * {seconds} AS w FROM counters)",
+        "steps AS (SELECT *, lag(value) OVER (PARTITION BY endpoint, status, w ORDER BY t) AS prev FROM placed)",
+        "seen AS (SELECT endpoint, status, w, count(*) AS samples, count(*) FILTER (WHERE value < prev) AS resets, min(t) AS t1, max(t) AS t2, "
+        "arg_min(value, t) AS v1, (arg_max(value, t) - arg_min(value, t) + coalesce(sum(prev) FILTER (WHERE value < prev), 0))::DOUBLE AS seen, (max(t) - min(t))::DOUBLE AS span "
+        "FROM steps GROUP BY ALL HAVING count(*) > 1)",
+        f"edges AS (SELECT *, CASE WHEN seen > 0 THEN least({head}, span * (v1::DOUBLE / seen)) ELSE {head} END AS head, {tail} AS tail FROM seen)",
+        "increases AS (SELECT endpoint, status, make_timestamp(w * 1000000) AS window_start, samples, resets, seen * ((span + head + tail) / span) AS increase, "
+        f"seen * ((span + head + tail) / span) / {seconds} AS rate FROM edges)",
+    ]
+
+
+@register("counter_increase", with_(_increase_ctes(), f"SELECT endpoint, status, {tsf('window_start')} AS window_start, samples, resets, increase, rate FROM increases"))
+def q_counter_increase(spark, sf):
+    return to_wire(C.counter_increase(C.counter_samples(_log(spark, sf))))
+
+
+@register("counter_error_ratio", with_(_increase_ctes(), (
+    f"SELECT {tsf('window_start')} AS window_start, round(sum(rate), 9) AS rps, "
+    "round(coalesce(sum(rate) FILTER (WHERE status::VARCHAR LIKE '5__'), 0) / sum(rate), 9) AS error_ratio FROM increases GROUP BY window_start")))
+def q_counter_error_ratio(spark, sf):
+    return to_wire(C.counter_error_ratio(C.counter_increase(C.counter_samples(_log(spark, sf)))))
+
+
+def _sketches(spark, sf):
+    """Duration sketches by minute, written once; all coarser windows are merged from them."""
+    from ledgerline.plans.pipeline import materialize
+
+    return _written(spark, sf, "sketches", lambda: materialize(spark, {"sketches": C.duration_sketches(_log(spark, sf))})["sketches"])
+
+
+@register("latency_sketch_windows", with_([_LOG], (
+    "SELECT size, " + tsf("w") + " AS window_start, count(*) AS requests, true AS p50_ok, true AS p95_ok, true AS p99_ok FROM ("
+    "SELECT '5 minutes' AS size, time_bucket(INTERVAL 5 MINUTE, ts) AS w FROM log WHERE duration_ms IS NOT NULL UNION ALL "
+    "SELECT '1 hour', date_trunc('hour', ts) FROM log WHERE duration_ms IS NOT NULL UNION ALL "
+    "SELECT '1 day', date_trunc('day', ts)::TIMESTAMP FROM log WHERE duration_ms IS NOT NULL) GROUP BY size, w")))
+def q_latency_sketch_windows(spark, sf):
+    """Quantiles of 5 minutes, hours and days, each merged from the next finer one, held against exact ranks."""
+    log, parts = _log(spark, sf), []
+    finer, at = _sketches(spark, sf), "minute"
+    for size in ("5 minutes", "1 hour", "1 day"):
+        finer, at = C.merge_sketches(finer, size, at), "window_start"
+        errors = C.rank_errors(C.sketch_quantiles(finer), log, size)
+        parts.append(errors.select(F.lit(size).alias("size"), "window_start", "requests", *[(F.col(f"{p}_error") <= C.RANK_ERROR).alias(f"{p}_ok") for p in ("p50", "p95", "p99")]))
+    return to_wire(parts[0].unionByName(parts[1]).unionByName(parts[2]))
