@@ -1,16 +1,18 @@
 """Data-quality tests, gate and freshness (DQ-1..9).
 
-A test returns failing rows; we report their count. All tests declared on one
-table run in a single scan and a single shuffle: each row is exploded into one
-(test id, value) pair per test, reduced map-side to distinct pairs with counts,
-and the per-test failure count is derived from those pairs. A hot value (one
-id holding a third of the rows) is collapsed by the partial aggregate.
+A test returns failing rows; we report their count. Null and value tests of a table
+and of the staging view over it are one grouped pass (rows fall together by their
+values outside the lists, which nearly all rows have none of); unique tests are one
+grouping by the column for both. A hot value (one id holding a third of the rows) is
+collapsed by the partial aggregate.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,81 +97,95 @@ def layer_tables(raw, stg, marts):
     return LazyMap(where, lambda m: where[m][0][where[m][1]])
 
 
-def _pair(tid: int, t: DataTest, cols: dict[str, Column] | None = None,
-          keep: Column | None = None) -> Column:
-    """(test id, value) for one row; NULL value = nothing to report.
+#: View model -> (base model, row condition, column expressions).
+Views = Mapping[str, tuple[str, Column, dict[str, Column]]]
+
+
+def tests_by_base(tests: list[DataTest], views: Views) -> dict[str, list[tuple[int, DataTest]]]:
+    """Base table -> the numbered tests on it and on views over it."""
+    out: dict[str, list[tuple[int, DataTest]]] = {}
+    for i, t in enumerate(tests):
+        out.setdefault(views[t.model][0] if t.model in views else t.model, []).append((i, t))
+    return out
+
+
+def _column(t: DataTest, views: Views) -> tuple[Column, Column]:
+    """The tested value of a base row, and whether the row belongs to the tested model."""
+    if t.model in views:
+        _, keep, columns = views[t.model]
+        return columns[t.column], F.coalesce(keep, F.lit(False))
+    return F.col(f"`{t.column}`"), F.lit(True)
+
+
+def odd_values(rows: DataFrame, tests: list[tuple[int, DataTest]], views: Views) -> DataFrame:
+    """(tid, value, n) of a base table: nulls of each not_null test (value ''), and rows with each value
+    outside the list of an accepted_values test. One pass: rows are grouped by their
+    odd values (none for nearly all rows), with the null counts beside them."""
+    odd = []
+    for i, t in tests:
+        value, keep = _column(t, views)
+        if t.test == "accepted_values":
+            odd.append(F.when(keep & ~value.cast("string").isin(list(t.values)), value.cast("string")).alias(f"v{i}"))
+    nulls = [(i, *_column(t, views)) for i, t in tests if t.test == "not_null"]
+    groups = rows.groupBy(*odd).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(keep & value.isNull()).alias(f"n{i}") for i, value, keep in nulls])
+    pairs = [F.struct(F.lit(i).alias("tid"), F.col(f"v{i}").alias("value"), F.col("n")) for i, t in tests if t.test == "accepted_values"]
+    pairs += [F.struct(F.lit(i).alias("tid"), F.lit("").alias("value"), F.col(f"n{i}").alias("n")) for i, *_ in nulls]
+    flat = groups.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("value is not null and n > 0")
+    return flat.groupBy("tid", "value").agg(F.sum("n").alias("n"))
+
+
+def key_tests(tests: list[DataTest], views: Views) -> dict[str, list[tuple[int, DataTest]]]:
+    """Name of a key -> the unique tests on it (of the base table and of views that take the column over)."""
+    out: dict[str, list[tuple[int, DataTest]]] = {}
+    for i, t in enumerate(tests):
+        if t.test == "unique":
+            base = views[t.model][0] if t.model in views else t.model
+            out.setdefault(f"{base}_{t.column}".replace(".", "_"), []).append((i, t))
+    return out
+
+
+def unique_base(own: list[tuple[int, DataTest]], views: Views) -> str:
+    model = own[0][1].model
+    return views[model][0] if model in views else model
 
-    ``cols``/``keep`` evaluate a view inline: the tested column is the view's
-    expression and rows outside the view's condition report nothing.
-    """
-    c = cols[t.column] if cols is not None else F.col(f"`{t.column}`")
-    if t.test == "not_null":
-        v = F.when(c.isNull(), F.lit(""))
-    elif t.test == "unique":
-        v = c.cast("string")
-    elif t.test == "accepted_values":
-        s = c.cast("string")
-        v = F.when(~s.isin(list(t.values)), s)
-    else:
-        raise ValueError(f"unknown test {t.test}")
-    if keep is not None:
-        v = F.when(keep, v)
-    return F.struct(F.lit(tid).alias("tid"), v.alias("v"))
-
-
-def _value_counts(df: DataFrame, pairs: list[Column]) -> DataFrame:
-    exploded = df.select(F.explode(F.array(*pairs)).alias("p"))
-    return (exploded.select("p.tid", "p.v").where(F.col("v").isNotNull())
-            .groupBy("tid", "v").agg(F.count(F.lit(1)).alias("n")))
-
-
-def _tests_frame(spark: SparkSession, tests: list[DataTest]) -> DataFrame:
-    schema = "tid int, layer string, model string, column string, test string"
-    return spark.createDataFrame(
-        [(i, t.layer, t.model, t.column, t.test) for i, t in enumerate(tests)], schema)
 
+def key_counts(rows: DataFrame, tests: list[tuple[int, DataTest]], views: Views) -> DataFrame:
+    """(key, n0, n1, ...): rows of each key, for each of the tests on it; one grouping for all of them."""
+    value, _ = _column(tests[0][1], views)
+    counts = [F.count_if(_column(t, views)[1] & _column(t, views)[0].isNotNull()).alias(f"n{i}") for i, t in tests]
+    return rows.groupBy(value.cast("string").alias("key")).agg(*counts).where("key is not null")
 
-def run_suite(tables: dict[str, DataFrame], tests: list[DataTest],
-              views: dict[str, tuple[str, Column, dict[str, Column]]] | None = None) -> DataFrame:
+
+def suite_frame(spark: SparkSession, tests: list[DataTest], views: Views, values: list[DataFrame], keys: Mapping[str, DataFrame]) -> DataFrame:
+    """(layer, model, column, test, failures, status) from odd values and key counts; what is absent passes."""
+    schema = "tid int, layer string, model string, column string, test string"
+    meta = spark.createDataFrame([(i, t.layer, t.model, t.column, t.test) for i, t in enumerate(tests)], schema)
+    found = []
+    if values:
+        per_test = reduce(DataFrame.unionByName, values).groupBy("tid").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"))
+        found.append(per_test.join(meta.select("tid", "test"), "tid").select("tid", F.when(F.col("test") == "not_null", F.col("rows")).otherwise(F.col("values")).alias("failures")))
+    for name, own in key_tests(tests, views).items():
+        if name in keys:
+            twice = keys[name].agg(*[F.count_if(F.col(f"n{i}") > 1).alias(str(i)) for i, _ in own])
+            found.append(twice.unpivot([], [str(i) for i, _ in own], "tid", "failures").select(F.col("tid").cast("int").alias("tid"), "failures"))
+    failures = F.coalesce(F.col("failures"), F.lit(0)).cast("bigint")
+    rows = meta.join(reduce(DataFrame.unionByName, found), "tid", "left") if found else meta.withColumn("failures", F.lit(0))
+    return rows.select("layer", "model", "column", "test", failures.alias("failures"), F.when(failures > 0, "fail").otherwise("pass").alias("status"))
+
+
+def run_suite(tables: dict[str, DataFrame], tests: list[DataTest], views: Views | None = None) -> DataFrame:
     """DQ-4: rows (layer, model, column, test, failures, status).
 
     ``views`` (model -> (base model, condition, columns)) lets tests on a view
-    run inside the scan of its base table: with staging defined over raw, the
-    source and staging tests of one source share a single scan and shuffle.
+    run inside the scan of its base table: with staging defined over raw, null and
+    value tests of both are one pass over the source, and the unique tests on a
+    column of both one grouping by it.
     """
     spark = next(iter(tables.values())).sparkSession
-    views = views or {}
-    by_scan: dict[str, list[Column]] = {}
-    for i, t in enumerate(tests):
-        base = views.get(t.model)
-        if base is not None and base[0] in tables:
-            by_scan.setdefault(base[0], []).append(_pair(i, t, base[2], base[1]))
-        else:
-            by_scan.setdefault(t.model, []).append(_pair(i, t))
-    counts = None
-    for model, pairs in by_scan.items():
-        vc = _value_counts(tables[model], pairs)
-        counts = vc if counts is None else counts.unionByName(vc)
-    meta = _tests_frame(spark, tests)
-    kind = meta.select("tid", "test")
-    per_test = counts.join(kind, "tid").groupBy("tid", "test").agg(
-        F.sum("n").alias("rows"),
-        F.count(F.when(F.col("n") > 1, 1)).alias("dup_values"),
-        F.count(F.lit(1)).alias("values"),
-    ).select(
-        "tid",
-        F.when(F.col("test") == "not_null", F.col("rows"))
-         .when(F.col("test") == "unique", F.col("dup_values"))
-         .otherwise(F.col("values")).alias("failures"),
-    )
-    res = meta.join(per_test, "tid", "left").select(
-        "tid", "layer", "model", "column", "test",
-        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"),
-    )
-    return res.select(
-        "layer", "model", "column", "test", "failures",
-        F.when(F.col("failures") > 0, "fail").otherwise("pass").alias("status"),
-    )
+    views = {m: v for m, v in (views or {}).items() if v[0] in tables}
+    values = [odd_values(tables[base], own, views) for base, own in tests_by_base(tests, views).items() if any(t.test != "unique" for _, t in own)]
+    keys = {name: key_counts(tables[unique_base(own, views)], own, views) for name, own in key_tests(tests, views).items()}
+    return suite_frame(spark, tests, views, values, keys)
 
 
 def run_suite_isolated(tables: dict[str, DataFrame], tests: list[DataTest],
