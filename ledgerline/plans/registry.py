@@ -1286,3 +1286,75 @@ def q_dq_suite_isolated(spark, sf):
     raw = dict(_raw_written(spark, sf, damaged=True))
     raw["jobs"] = raw["jobs"].withColumn("value", F.when(F.expr(_BROKEN_JOBS), "n/a").otherwise(F.col("value")))
     return Q.run_suite_isolated(Q.layer_tables(raw, staging(raw), {}), LOADED_TESTS, views=inline_views())
+
+
+# ---------------------------------------------------------------------------
+# all tools under the gate, with their audit lines (DQ-9, SQL-5)
+# ---------------------------------------------------------------------------
+
+ASKED_SQL = "SELECT service_category, total_jobs FROM marts.mart_jobs"
+
+
+def _conversations(spark, sf):
+    """Every tool asked once while sources age and once while one is stale; the audit folder and the answers' envelopes."""
+    from ledgerline.operators.tools import Tools
+    from ledgerline.session import scratch_path
+
+    def build():
+        path, rows = scratch_path(spark, "audit"), []
+        names = ("mart_call_funnel", "mart_revenue", "mart_jobs")
+        _published(spark, sf, ("mart_jobs",))
+        for state, as_of in (("warn", AS_OF_WARN), ("stale", AS_OF)):
+            verdict = Q.verdict(Q.freshness(_raw_written(spark, sf), as_of))
+            tools = Tools(spark, {n: _served(spark, sf, n) for n in names}, verdict, path, _database(spark, sf))
+            asked = {"revenue total": tools.revenue_summary(REVENUE_FROM, REVENUE_TO), "revenue by service": tools.revenue_summary(group_by="service"),
+                     "revenue by date": tools.revenue_summary(REVENUE_FROM, REVENUE_TO, "date"), "funnel": tools.call_funnel(FUNNEL_FROM, FUNNEL_TO),
+                     "jobs": tools.job_completion(), "jobs of a category": tools.job_completion(CATEGORY), "ad hoc": tools.query_marts(ASKED_SQL, seconds=60)}
+            rows += [(state, name, r.error, r.message, r.caveat, r.row_count) for name, r in asked.items()]
+        return path, spark.createDataFrame(rows, "state string, question string, error string, message string, caveat string, row_count long")
+
+    return _written(spark, sf, "conversations", build)
+
+
+def _tool_counts() -> list[str]:
+    return [
+        "counts(question, tool, input, n) AS (SELECT 'revenue total', 'revenue_summary', "
+        f"'date_from={REVENUE_FROM}, date_to={REVENUE_TO}', 1 UNION ALL "
+        "SELECT 'revenue by service', 'revenue_summary', 'group_by=service', (SELECT count(DISTINCT service_description) FROM mart_revenue) UNION ALL "
+        f"SELECT 'revenue by date', 'revenue_summary', 'date_from={REVENUE_FROM}, date_to={REVENUE_TO}, group_by=date', "
+        f"(SELECT count(DISTINCT payment_date) FROM mart_revenue {_REV_WHERE}) UNION ALL "
+        f"SELECT 'funnel', 'call_funnel', 'date_from={FUNNEL_FROM}, date_to={FUNNEL_TO}', 1 UNION ALL "
+        "SELECT 'jobs', 'job_completion', '', (SELECT count(*) FROM mart_jobs) UNION ALL "
+        f"SELECT 'jobs of a category', 'job_completion', 'category={CATEGORY}', (SELECT count(*) FROM mart_jobs WHERE service_category = '{CATEGORY}') UNION ALL "
+        f"SELECT 'ad hoc', 'query_marts', 'sql={ASKED_SQL}', (SELECT least(100, count(*)) FROM mart_jobs))",
+    ]
+
+
+def _both_verdicts() -> list[str]:
+    """The verdict of each of the two clocks."""
+    out = []
+    for state, as_of in (("warn", AS_OF_WARN), ("stale", AS_OF)):
+        for cte in _freshness_ctes(as_of):
+            for name in ("last", "fresh", "verdict"):
+                cte = cte.replace(f"{name} AS (", f"{name}_{state} AS (") if cte.startswith(f"{name} AS (") else cte
+            out.append(cte.replace("FROM last)", f"FROM last_{state})").replace("FROM fresh)", f"FROM fresh_{state})"))
+    return out
+
+
+_TOOLS = base() + _both_verdicts() + _tool_counts()
+
+
+@register("tool_answers", with_(_TOOLS, (
+    "SELECT 'warn' AS state, question, NULL AS error, NULL AS message, (SELECT message FROM verdict_warn) AS caveat, CAST(n AS BIGINT) AS row_count FROM counts UNION ALL "
+    "SELECT 'stale', question, 'data_stale', (SELECT message FROM verdict_stale), NULL, NULL FROM counts")))
+def q_tool_answers(spark, sf):
+    return _conversations(spark, sf)[1]
+
+
+@register("tool_audit", with_(_TOOLS, (
+    "SELECT tool, input, CAST(n AS BIGINT) AS row_count, false AS rejected, NULL AS reason, true AS timed FROM counts UNION ALL "
+    "SELECT tool, input, NULL, true, (SELECT message FROM verdict_stale), true FROM counts")))
+def q_tool_audit(spark, sf):
+    from ledgerline.operators.tools import read_audit
+
+    return read_audit(spark, _conversations(spark, sf)[0])
