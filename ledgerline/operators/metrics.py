@@ -104,6 +104,18 @@ def band(df: DataFrame, col: str, steps: list[tuple[float, str]], base: str = "g
     return df.withColumn(out, F.when(c.isNull(), F.lit(None)).otherwise(expr))
 
 
+def band_all(values: DataFrame) -> DataFrame:
+    """OBS-3 for all panels: ``values`` (metric, label, value) with the colour that each metric's own steps give
+    (no value, or a metric without steps: null)."""
+    colour = F.lit(None).cast("string")
+    for metric, steps in BANDS.items():
+        own = F.lit("green")
+        for threshold, name in steps:
+            own = F.when(F.col("value") >= F.lit(threshold), F.lit(name)).otherwise(own)
+        colour = F.when(F.col("metric") == metric, own).otherwise(colour)
+    return values.withColumn("band", F.when(F.col("value").isNotNull(), colour))
+
+
 def alert_islands(evals: DataFrame, key: str, ts: str, cond: str,
                   for_seconds: int = ALERT_FOR_SECONDS) -> DataFrame:
     """Gaps-and-islands over an evaluation series: maximal runs of consecutive

@@ -1358,3 +1358,57 @@ def q_tool_audit(spark, sf):
     from ledgerline.operators.tools import read_audit
 
     return read_audit(spark, _conversations(spark, sf)[0])
+
+
+# ---------------------------------------------------------------------------
+# all band sets (OBS-3); records that are no JSON (STR-2)
+# ---------------------------------------------------------------------------
+
+def _all_bands_sql() -> str:
+    chain = "CASE metric " + " ".join(
+        f"WHEN '{m}' THEN " + ("CASE " + " ".join(f"WHEN value >= {x} THEN '{c}'" for x, c in reversed(steps)) + " ELSE 'green' END") for m, steps in M.BANDS.items()) + " END"
+    return f"SELECT metric, label, value, CASE WHEN value IS NOT NULL THEN {chain} END AS band FROM panel"
+
+
+@register("metric_bands", with_(base(damaged=True) + _gate_ctes() + _quantile_sql() + [
+    "panel AS (SELECT 'run_seconds' AS metric, '' AS label, " + f"{RUN_SECONDS}::DOUBLE AS value UNION ALL "
+    + " UNION ALL ".join(f"SELECT 'age_seconds', '{s}', (SELECT epoch({O.ts_lit(AS_OF)} - max(_loaded_at))::DOUBLE FROM raw_{s})" for s in ("calls", "payments", "jobs"))
+    + f" UNION ALL SELECT 'latency_ms', {tsf('w')}, p95 FROM quant UNION ALL "
+    f"SELECT 'error_ratio', {tsf(_win(5))}, count(*) FILTER (WHERE status = 500) / count(*) FROM log GROUP BY {_win(5)} UNION ALL "
+    "SELECT 'failed_tests', '', (SELECT coalesce(sum(n) FILTER (WHERE status IN ('fail', 'error')), 0)::DOUBLE FROM counts))"], _all_bands_sql()))
+def q_metric_bands(spark, sf):
+    """Every panel with thresholds: run time, ages of the sources, latency and error ratio by window, failed tests."""
+    ages = Q.freshness(_raw_written(spark, sf), AS_OF).select(
+        F.lit("age_seconds").alias("metric"), F.col("source").alias("label"),
+        F.expr(f"timestampdiff(SECOND, last_loaded, TIMESTAMP_NTZ '{AS_OF.isoformat(sep=' ')}')").cast("double").alias("value"))
+    at = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("label")
+    log = _log(spark, sf)
+    parts = [spark.createDataFrame([("run_seconds", "", float(RUN_SECONDS))], "metric string, label string, value double"), ages,
+             M.latency_quantiles(log).select(F.lit("latency_ms").alias("metric"), at, F.col("p95").alias("value")),
+             M.error_ratio(log).select(F.lit("error_ratio").alias("metric"), at, F.col("error_ratio").alias("value")),
+             M.failed_tests(_artifact_counts(spark, sf)).select(F.lit("failed_tests").alias("metric"), F.lit("").alias("label"), F.col("failed_tests").cast("double").alias("value"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return M.band_all(out)
+
+
+@register("ingest_quarantine", with_(O.raw_ctes(), (
+    "SELECT 'loaded' AS kind, count(*) AS records, count(DISTINCT call_id) AS calls FROM raw_calls WHERE CAST(call_id AS BIGINT) % 50 <> 0 UNION ALL "
+    "SELECT 'quarantined', count(*), count(DISTINCT call_id) FROM raw_calls WHERE CAST(call_id AS BIGINT) % 50 = 0")))
+def q_ingest_quarantine(spark, sf):
+    """Two runs of call extracts, each with some cut-off lines, taken in by streams one after the other."""
+    from ledgerline.plans.pipeline import LOADED_AT
+    from ledgerline.streaming.ingest import ingest_stream_checked
+
+    root = _lake_root(spark)
+    out, bad, ck = root + "/warehouse/raw/calls", root + "/warehouse/quarantine/calls", root + "/checkpoints/calls"
+    whole = extracts(spark, sf)["calls"].withColumn("line", F.to_json(F.struct(*CALL_COLUMNS)))
+    cut = F.expr("substring(line, 1, length(line) - 9)")
+    lines = whole.select("timestamp", F.when(F.col("call_id").cast("long") % 50 == 0, cut).otherwise(F.col("line")).alias("value"))
+    for run_ts, rows in ((RUN_1, lines.where(f"not ({SECOND_CALLS})")), (RUN_2, lines.where(SECOND_CALLS))):
+        rows.select("value").write.text(L.run_dir(root, "calls", run_ts))
+        ingest_stream_checked(spark, root, "calls", CALL_COLUMNS, out, bad, ck, LOADED_AT["calls"])
+    loaded = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("records"), F.count_distinct("call_id").alias("calls"))
+    kept = spark.read.parquet(bad).agg(F.count(F.lit(1)).alias("records"), F.count_distinct(F.regexp_extract("record", '"call_id":"([0-9]+)"', 1)).alias("calls"))
+    return loaded.select(F.lit("loaded").alias("kind"), "records", "calls").unionByName(kept.select(F.lit("quarantined").alias("kind"), "records", "calls"))

@@ -29,3 +29,34 @@ def ingest_stream(spark: SparkSession, root: str, source: str, columns: list[str
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
     q.awaitTermination()
     return q
+
+
+CORRUPT = "_corrupt_record"
+
+
+def ingest_stream_checked(spark: SparkSession, root: str, source: str, columns: list[str], out: str, quarantine: str,
+                          checkpoint: str, loaded_at=None) -> None:
+    """As ``ingest_stream``, with the records that are no JSON kept apart instead of loaded as blank rows.
+
+    Two streams read the extracts, each with a checkpoint of its own: good records go to
+    ``out`` as raw rows, the others to ``quarantine`` as (record, file, _loaded_at). Each
+    record ends up in exactly one of the two, once.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*extract_schema(columns), T.StructField(CORRUPT, T.StringType())])
+    when = loaded_at if loaded_at is not None else F.current_timestamp()
+
+    def records():
+        lines = spark.readStream.text(source_root(root, source) + "/*/*/*/*").select("value", F.col("_metadata.file_name").alias("file"))
+        read = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+        return lines.where(F.trim("value") != "").withColumn("read", read)
+
+    broken = F.col("read").isNull() | F.col(f"read.{CORRUPT}").isNotNull()
+    good = to_raw(records().where(~broken).select("read.*"), columns, when)
+    bad = to_raw(records().where(broken).select(F.col("value").alias("record"), "file"), ["record", "file"], when)
+    queries = [df.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start(path)
+               for df, name, path in ((good, "good", out), (bad, "bad", quarantine))]
+    for q in queries:
+        q.awaitTermination()

@@ -107,3 +107,13 @@ def test_requests_without_duration_are_no_observations(spark):
     log = spark.createDataFrame([(T0, None), (T0, 3.0)], "ts timestamp_ntz, duration_ms double")
     row = M.latency_quantiles(log).first()
     assert row.total == 1 and row.p95 <= 5
+
+
+def test_every_metric_has_its_own_bands(spark):
+    from ledgerline.operators import metrics as M
+
+    cases = [("run_seconds", 29.9, "green"), ("run_seconds", 30.0, "yellow"), ("run_seconds", 120.0, "red"), ("age_seconds", 86399.0, "green"), ("age_seconds", 172800.0, "red"),
+             ("latency_ms", 200.0, "yellow"), ("latency_ms", 1000.0, "red"), ("error_ratio", 0.049, "green"), ("error_ratio", 0.05, "red"), ("failed_tests", 0.0, "green"),
+             ("failed_tests", 1.0, "red"), ("failed_tests", None, None), ("unknown", 5.0, None)]
+    df = spark.createDataFrame([(m, str(i), v) for i, (m, v, _) in enumerate(cases)], "metric string, label string, value double")
+    assert {r.label: r.band for r in M.band_all(df).collect()} == {str(i): b for i, (*_, b) in enumerate(cases)}

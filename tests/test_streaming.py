@@ -44,3 +44,21 @@ def test_ingest_stream_is_exactly_once(spark):
     L.write_lake(df.withColumn("id", F.lit("3")), root, "w", dt.datetime(2024, 1, 1, 2), append=True)
     ingest_stream(spark, root, "w", cols, root + "/out", root + "/ck", dt.datetime(2024, 1, 2))
     assert sorted(r.id for r in spark.read.parquet(root + "/out").collect()) == ["1", "2", "3", "3"]
+
+
+def test_records_that_are_no_json_are_kept_apart(spark):
+    import datetime as dt
+
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import lake as L
+    from ledgerline.streaming.ingest import ingest_stream_checked
+
+    root = scratch_path(spark, "lake")
+    out, bad, ck = root + "/out", root + "/bad", root + "/ck"
+    runs = [['{"id":"1","note":"a"}', '{"id":"2","no', "no json", '{"id":"3"}'], ['{"id":"4","note":null}', "[1", "", '{"id":5,"other":1}']]
+    for day, lines in enumerate(runs, 1):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(L.run_dir(root, "w", dt.datetime(2024, 1, day)))
+        ingest_stream_checked(spark, root, "w", ["id", "note"], out, bad, ck, dt.datetime(2024, 1, 9))
+    assert sorted((r.id, r.note) for r in spark.read.parquet(out).collect()) == [("1", "a"), ("3", ""), ("4", ""), ("5", "")]
+    kept = spark.read.parquet(bad).collect()
+    assert sorted(r.record for r in kept) == ["[1", "no json", '{"id":"2","no'] and all(r.file.startswith("part-") for r in kept)
