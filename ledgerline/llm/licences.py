@@ -15,17 +15,25 @@ from pyspark.sql import types as T
 from .common import materialise, shipped
 
 #: Notices that the licences ask for or that are in common use.
-TEMPLATES = (
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
                    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "This project is licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+                "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
                 "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -36,13 +44,48 @@ TEMPLATES = (
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
     ("proprietary", "All rights reserved."),
 )
-#: Least cosine of a header (a line or a paragraph), and of a whole text that is a licence file.
+#: The form in which source files name their licence by its identifier.
+SPDX = tuple((name, f"SPDX-License-Identifier: {name}") for name in dict.fromkeys(n for n, _ in NOTICES) if name != "proprietary")
+#: Whole licence texts.
+BODIES = (
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal "
+            "in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+            "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice "
+            "and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF "
+            "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT "
+            "SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+            "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+            "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary "
+            "form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with "
+            "the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+            "software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+            "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright "
+            "notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+            "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+)
+TEMPLATES = NOTICES + SPDX + BODIES
+#: Words that make another licence of the same family.
+QUALIFIERS = frozenset("lesser affero sharealike noncommercial sa nc".split())
+#: Terms from which a template counts as a licence text that a whole file can be.
+BODY_TERMS = 40
+#: Least cosine of a header (a sentence, a line or a paragraph), and of a whole text that is a licence text.
 HEADER = 0.75
 WHOLE = 0.5
 LICENCE_NAME = re.compile(r"(?i)^(licen[cs]e|copying|copyright|notice|unlicense)([._-].*)?$")
 #: Terms that ordinary prose is full of.
 COMMON = frozenset("a all and any are at be by can in is it may not of on or person that the this to under use with work you your".split())
 _TERM = re.compile(r"[^\W_]+(?:\.\d+)*")
+_NUMBER = re.compile(r"\d+(?:\.\d+)*$")
+_VERSION = re.compile(r"(?<![^\W_])(?:v|ver)\.?\s?(?=\d)")
+_SENTENCE_END = re.compile(r"[.!?;]\s")
+
+
+def terms_of(text: str) -> Counter:
+    """The terms of a lower-cased text; "v2" counts as "version 2", and "3.0" as "3"."""
+    found = _TERM.findall(_VERSION.sub("version ", text))
+    return Counter(t.removesuffix(".0") if _NUMBER.match(t) else t for t in found)
 
 
 class Templates:
@@ -50,7 +93,10 @@ class Templates:
 
     def __init__(self, templates: Sequence[tuple[str, str]], header: float = HEADER, whole: float = WHOLE):
         self.names, self.header, self.whole = [n for n, _ in templates], header, whole
-        counts = [Counter(_TERM.findall(t.lower())) for _, t in templates]
+        counts = [terms_of(t.lower()) for _, t in templates]
+        self.body = [sum(c.values()) >= BODY_TERMS for c in counts]
+        # Numbers of the licence's name and qualifiers must stand in a unit too: another version is another licence.
+        self.required = [[] if body else [n.removesuffix(".0") for n in re.findall(r"\d+(?:\.\d+)*", name) if n.removesuffix(".0") in c] + sorted(QUALIFIERS & set(c)) for (name, _), c, body in zip(templates, counts, self.body, strict=True)]
         in_templates = Counter(t for c in counts for t in c)
         n = len(counts)
         self.unknown = math.log(1 + n) + 1
@@ -63,14 +109,16 @@ class Templates:
         for i, v in enumerate(self.vectors):
             for t in v:
                 self.holders.setdefault(t, []).append(i)
-        self.triggers = sorted(self._triggers(header))
+        self.triggers = sorted(self._triggers())
         self.trigger = re.compile("(?<![^\\W_])(?:" + "|".join(map(re.escape, self.triggers)) + ")(?![^\\W_])")
 
-    def _triggers(self, least: float) -> set[str]:
-        """Terms of which any line or paragraph with a cosine of ``least`` has one: without its triggers, a
-        template's remaining terms cannot reach that cosine. Terms rare in prose come first."""
+    def _triggers(self) -> set[str]:
+        """Terms of which any text that may match has one: without its triggers, a template's remaining terms
+        cannot reach the cosine asked of it (as a header, or as a whole text where the
+        template is one). Terms rare in prose come first."""
         out: set[str] = set()
-        for v in self.vectors:
+        for v, body in zip(self.vectors, self.body, strict=True):
+            least = min(self.header, self.whole) if body else self.header
             left = sum(x * x for t, x in v.items() if t not in out)
             for t, x in sorted(v.items(), key=lambda p: (p[0] in COMMON, -p[1], p[0])):
                 if left < least * least - 1e-9:
@@ -80,9 +128,9 @@ class Templates:
                     left -= x * x
         return out
 
-    def best(self, text: str) -> tuple[float, int]:
-        """Highest cosine with a template, and which one (the first of equals)."""
-        terms = Counter(_TERM.findall(text))
+    def best(self, text: str, bodies: bool = False) -> tuple[float, int]:
+        """Highest cosine with a template (of ``bodies``: with a licence text), and which one (the first of equals)."""
+        terms = terms_of(text)
         dots: dict[int, float] = {}
         norm = 0.0
         for t, k in terms.items():
@@ -90,39 +138,45 @@ class Templates:
             norm += (k * idf) ** 2
             for i in self.holders.get(t, ()):
                 dots[i] = dots.get(i, 0.0) + k * idf * self.vectors[i][t]
+        dots = {i: d for i, d in dots.items() if (self.body[i] or not bodies) and all(n in terms for n in self.required[i])}
         if not dots:
             return 0.0, -1
         score, which = max((d, -i) for i, d in dots.items())
         return score / math.sqrt(norm), -which
 
     def scan(self, text: str | None, path: str | None) -> tuple[str | None, float, bool]:
-        """(licence, cosine, licence file?) of a whole text: its best line or paragraph, or itself."""
+        """(licence, cosine, licence file?) of a whole text: its best sentence, line or paragraph, or itself."""
         text = (text or "").lower()
         hits = [m.start() for m in self.trigger.finditer(text)] if any(t in text for t in self.triggers) else []
         if not hits:
             return None, 0.0, False
-        found, units, seen = (0.0, -1), set(), -1
+        found, units, seen, said = (0.0, -1), set(), -1, -1
         for at in hits:
-            if at < seen:
-                continue
-            start, seen = text.rfind("\n", 0, at) + 1, text.find("\n", at)
-            seen = len(text) if seen < 0 else seen
-            units.add(text[start:seen])
+            if at >= seen:
+                start, seen = text.rfind("\n", 0, at) + 1, text.find("\n", at)
+                seen = len(text) if seen < 0 else seen
+                units.add(text[start:seen])
+            if at >= said:  # the sentence around it, within the line
+                begin = max(start, said)
+                for m in _SENTENCE_END.finditer(text, begin, at):
+                    begin = m.end()
+                after = _SENTENCE_END.search(text, at, seen)
+                said = after.end() if after else seen
+                units.add(text[begin:said])
         for at in hits[:1] + [b for a, b in zip(hits, hits[1:], strict=False) if "\n\n" in text[a:b]]:
-            start, end = text.rfind("\n\n", 0, at) + 1, text.find("\n\n", at)
-            units.add(text[start : len(text) if end < 0 else end])
+            first, end = text.rfind("\n\n", 0, at) + 1, text.find("\n\n", at)
+            units.add(text[first : len(text) if end < 0 else end])
         for u in units:
             got = self.best(u)
             if got[0] > found[0] or (got[0] == found[0] and got[1] < found[1]):
                 found = got
-        whole = self.best(text)
-        name = (path or "").rsplit("/", 1)[-1]
-        is_file = whole[0] >= self.whole or (LICENCE_NAME.match(name) is not None and found[0] >= self.header)
+        whole = self.best(text, bodies=True)
+        named = LICENCE_NAME.match((path or "").rsplit("/", 1)[-1]) is not None
         if whole[0] >= self.whole and (whole[0] >= found[0] or found[0] < self.header):
             found = whole
         elif found[0] < self.header:
             return None, found[0], False
-        return self.names[found[1]], found[0], is_file
+        return self.names[found[1]], found[0], named or whole[0] >= self.whole
 
 
 def scan_texts(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, header: float = HEADER, whole: float = WHOLE) -> DataFrame:
@@ -161,9 +215,10 @@ def licence_files(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPL
     licence and inherited_from.
 
     A text's own licence is the template nearest, by cosine of TF-IDF vectors, to
-    one of its lines or paragraphs (from ``header`` on) or, where any of a
-    template's leading terms stands, to the whole text (from ``whole`` on). A licence file is a text that is a licence as a whole, or one
-    with a licence and a name like LICENSE or COPYING; its licence holds for its
+    one of its sentences, lines or paragraphs (from ``header`` on) or, if it is a licence text,
+    to the whole (from ``whole`` on); numbers in a licence's name must stand in the notice. A
+    licence file is a licence text, or a file named like LICENSE or COPYING with a
+    notice in it (a notice in a source file is for that file alone); its licence holds for its
     directory (the highest cosine, then the smaller path). A file without a licence
     of its own takes that of its nearest ancestor directory, found by joining the
     paths of all its ancestors.
