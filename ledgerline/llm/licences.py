@@ -72,10 +72,13 @@ QUALIFIERS = frozenset("lesser affero sharealike noncommercial sa nc".split())
 BODY_TERMS = 40
 #: Least cosine of a header (a sentence, a line or a paragraph), and of a whole text that is a licence text.
 HEADER = 0.75
-WHOLE = 0.5
+WHOLE = 0.75
 LICENCE_NAME = re.compile(r"(?i)^(licen[cs]e|copying|copyright|notice|unlicense)([._-].*)?$")
-#: Terms that ordinary prose is full of.
-COMMON = frozenset("a all and any are at be by can in is it may not of on or person that the this to under use with work you your".split())
+#: Terms that ordinary prose is full of, and what they weigh beside others: templates are too few to tell them by their idf.
+COMMON_WEIGHT = 0.2
+COMMON = frozenset("so is a above action all an and any are as at be but by can claim copy deal do either event following for form free from general if in it its kind later "
+                   "limited list may met must name names neither no nor not of on or other out own person persons project public purpose that the these this to use whether with "
+                   "without work you your".split())
 _TERM = re.compile(r"[^\W_]+(?:\.\d+)*")
 _NUMBER = re.compile(r"\d+(?:\.\d+)*$")
 _VERSION = re.compile(r"(?<![^\W_])(?:v|ver)\.?\s?(?=\d)")
@@ -84,8 +87,10 @@ _SENTENCE_END = re.compile(r"[.!?;]\s")
 
 def terms_of(text: str) -> Counter:
     """The terms of a lower-cased text; "v2" counts as "version 2", and "3.0" as "3"."""
-    found = _TERM.findall(_VERSION.sub("version ", text))
-    return Counter(t.removesuffix(".0") if _NUMBER.match(t) else t for t in found)
+    counts = Counter(_TERM.findall(_VERSION.sub("version ", text)))
+    for t in [t for t in counts if t.endswith(".0") and _NUMBER.match(t)]:
+        counts[t[:-2]] += counts.pop(t)
+    return counts
 
 
 class Templates:
@@ -100,7 +105,7 @@ class Templates:
         in_templates = Counter(t for c in counts for t in c)
         n = len(counts)
         self.unknown = math.log(1 + n) + 1
-        self.idf = {t: math.log((1 + n) / (1 + k)) + 1 for t, k in in_templates.items()}
+        self.idf = {t: (math.log((1 + n) / (1 + k)) + 1) * (COMMON_WEIGHT if t in COMMON else 1) for t, k in in_templates.items()}
         self.vectors = []
         for c in counts:
             norm = math.sqrt(sum((k * self.idf[t]) ** 2 for t, k in c.items()))
@@ -120,7 +125,7 @@ class Templates:
         for v, body in zip(self.vectors, self.body, strict=True):
             least = min(self.header, self.whole) if body else self.header
             left = sum(x * x for t, x in v.items() if t not in out)
-            for t, x in sorted(v.items(), key=lambda p: (p[0] in COMMON, -p[1], p[0])):
+            for t, x in sorted(v.items(), key=lambda p: (p[0] in COMMON or p[0][0].isdigit(), -p[1], p[0])):
                 if left < least * least - 1e-9:
                     break
                 if t not in out:

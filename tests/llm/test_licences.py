@@ -6,13 +6,14 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm.licences import BODIES, HEADER, QUALIFIERS, TEMPLATES, WHOLE, Templates, licence_files
+from ledgerline.llm.licences import BODIES, COMMON, COMMON_WEIGHT, HEADER, QUALIFIERS, TEMPLATES, WHOLE, Templates, licence_files
 
 
 def cosine_by_hand(text, template):
     find = lambda t: Counter(re.sub(r"^(\d+)\.0$", r"\1", w) for w in re.findall(r"[^\W_]+(?:\.\d+)*", re.sub(r"\bv(er)?\.? ?(?=\d)", "version ", t.lower())))
     docs = [find(t) for _, t in TEMPLATES]
-    idf = lambda t: math.log((1 + len(docs)) / (1 + sum(t in d for d in docs))) + 1
+    known = lambda t: any(t in d for d in docs)
+    idf = lambda t: (math.log((1 + len(docs)) / (1 + sum(t in d for d in docs))) + 1) * (COMMON_WEIGHT if t in COMMON and known(t) else 1)
     a, b = ({t: k * idf(t) for t, k in find(x).items()} for x in (text, template))
     dot = sum(x * b.get(t, 0) for t, x in a.items())
     return dot / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values())) if dot else 0.0
@@ -61,7 +62,7 @@ def test_notices_among_other_words_and_versions_apart():
              "This project is licensed under the MIT License": "MIT", "Licensed under the GNU General Public License v2": "GPL-2.0",
              "Licensed under the GNU General Public License v3.0": "GPL-3.0", "Licensed under the GNU Lesser General Public License, version 3.0": "LGPL-3.0",
              "Licensed under the Apache License, Version 1.1.": None, "Licensed under CC BY 2.5.": None, "we met under the old general licence of 1920": None,
-             "all the rights of the public are reserved for version 3 of the work": None}
+             "the rights of the public in version 3 of the work are not met": None}
     for text, name in cases.items():
         assert model.scan(text, "a/x.py")[0] == name, text
         assert model.scan("Lorem ipsum dolor.\n\n" + text + "\n\ncode = 1", "a/x.py")[0] == name, text
