@@ -1,4 +1,4 @@
-"""Substring deduplication by relative Lempel-Ziv factors over indexed reference blocks."""
+"""Substring deduplication over indexed blocks: windows keyed by their smallest gram, in place of a greedy relative Lempel-Ziv parse."""
 
 from __future__ import annotations
 
@@ -128,8 +128,8 @@ def duplicate_factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc, text_hash, start, stop): word spans of ``docs`` (doc, text_hash, text) in which every
     ``window`` successive words also stand in a document with a smaller id.
 
-    Every document is factored against the blocks of all others. Windows with the
-    same words have the same anchor, so only blocks that share an anchor can hold
+    Every document is held against the blocks of all others; no longest match is extended, as
+    equal windows alone decide which words go. Windows with the same words have the same anchor, so only blocks that share an anchor can hold
     a common window. A block found whole in a smaller document is a factor; at
     factor boundaries, where blocks share the anchor but not all words, single
     windows are compared, once for each different block.
