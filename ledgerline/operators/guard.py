@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -256,7 +257,13 @@ def within(seconds: float, spark: SparkSession, work: Callable):
     thread.start()
     thread.join(seconds)
     if thread.is_alive():
-        sc.cancelJobGroup(group)
+        # A job may start just after its group was cancelled, so that goes on until the statement has ended.
+        def stop() -> None:
+            while thread.is_alive():
+                sc.cancelJobGroup(group)
+                thread.join(0.5)
+
+        threading.Thread(target=stop, daemon=True).start()
         raise TimeoutError(f"no answer within {seconds} s")
     if "error" in out:
         raise out["error"]
