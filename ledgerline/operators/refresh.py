@@ -84,10 +84,11 @@ def jobs_of_days(days: DataFrame, jobs: DataFrame) -> DataFrame:
     """Job counts per call day, in the columns of ``call_sums``: ``days`` (call_id, call_date, calls) met by
     ``jobs`` (related_call_id, n_jobs, n_completed, n_cancelled). Both have a row per id and load, so
     what a load adds is a sum over pairs of rows. The blank id, which many calls may carry, is a row a day
-    and load by then; its days are spread over parts."""
+    and load by then; its days are spread over parts. Both sides grow with the calls, so neither is sent to
+    the driver: files of ids compress so well that by their size they would pass for small tables."""
     parts = F.when(F.col("related_call_id") == "", F.sequence(F.lit(0), F.lit(BLANK_PARTS - 1))).otherwise(F.array(F.lit(0)))
     at = F.when(F.col("call_id") == "", F.pmod(F.hash("call_date"), F.lit(BLANK_PARTS))).otherwise(F.lit(0))
-    met = days.withColumn("_at", at).join(jobs.withColumn("_part", F.explode(parts)), (F.col("call_id") == F.col("related_call_id")) & (F.col("_at") == F.col("_part")))
+    met = days.withColumn("_at", at).join(jobs.withColumn("_part", F.explode(parts)).hint("merge"), (F.col("call_id") == F.col("related_call_id")) & (F.col("_at") == F.col("_part")))
     counts = met.groupBy("call_date").agg(*[F.sum(F.col(c) * F.col("calls")).alias(n) for c, n in
                                             (("n_jobs", "total_jobs"), ("n_completed", "completed_jobs"), ("n_cancelled", "cancelled_jobs"))])
     return counts.select(*[F.col(f.name) if f.name in counts.columns else F.lit(None if f.name in ("duration_sum", "sentiment_sum") else 0).cast(f.dataType).alias(f.name)

@@ -213,3 +213,14 @@ def test_months_without_a_date_and_empty_loads(spark):
     I.apply_load(store, "all", raw)
     same_as_full_build(store, raw)
     assert rows(I.read_mart(store, "mart_revenue", months=["1995-03"])) == rows(build_marts(staging(raw))["mart_revenue"].where("date_format(payment_date, 'yyyy-MM') = '1995-03'"))
+
+
+def test_days_and_jobs_meet_without_a_broadcast(spark):
+    """Both sides grow with the calls; small files of ids must not make one of them a broadcast."""
+    days = spark.range(20).select(F.col("id").cast("string").alias("call_id"), F.lit("2024-01-01").cast("date").alias("call_date"), F.lit(1).cast("long").alias("calls"))
+    one = F.lit(1).cast("long")
+    jobs = spark.range(10).select(F.col("id").cast("string").alias("related_call_id"), one.alias("n_jobs"), one.alias("n_completed"), one.alias("n_cancelled"))
+    met = I.jobs_of_days(days, jobs)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [(str(r.call_date), r.total_jobs) for r in met.collect()] == [("2024-01-01", 10)]
