@@ -76,3 +76,22 @@ def test_a_second_load_reads_no_earlier_rows_and_looks_up_suspects_only(spark, m
     assert sorted(r["key"] for r in dict(looked_up)["raw_t_id"]) == ["k498", "k499"]
     assert not any(t.startswith("raw") or t == S.VALUES for t in reads)  # state tables of keys only
     assert dict(((r.model, r.column, r.test), r.failures) for r in S.suite_results(store, TESTS, views()).collect())["raw.t", "id", "unique"] == 2
+
+
+def test_keys_meet_without_a_broadcast(spark, monkeypatch):
+    """Only the bitmaps, which are of a fixed size, go through the driver; a key of three loads keeps its largest count."""
+    store, plans, repeated = SnapshotStore(spark, scratch_path(spark, "tests")), [], S._repeated
+
+    def spy(*a):
+        out = repeated(*a)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(S, "_repeated", spy)
+    for load, ids in (("one", range(20)), ("two", range(15, 40)), ("three", [*range(15, 18), 50, 50])):
+        S.apply_tests(store, load, {"raw.u": frame(spark, [(f"k{i}", "x") for i in ids])}, TESTS, views())
+    joins = [line for line in plans[-1].splitlines() if "Join" in line]
+    assert any("SortMergeJoin" in j and "LeftSemi" in j for j in joins)
+    assert joins and all("bucket" in j for j in joins if "BroadcastHashJoin" in j)
+    twice = store.frame(store.snapshot(), "dq_twice_raw_u_id").collect()
+    assert sorted((r["key"], r[1]) for r in twice) == [("k15", 3), ("k16", 3), ("k17", 3), ("k18", 2), ("k19", 2), ("k50", 2)]
