@@ -89,3 +89,19 @@ def test_blank_call_ids_are_spread(spark):
     keys = got.where("call_id = ''").select(F.pmod(F.xxhash64("call_id", "call_timestamp"), F.lit(joins.BLANK_PARTS))).distinct().count()
     assert keys > 20
     assert "_call_part" in _plan(got)
+
+
+def test_damaged_payments_read_the_line_items_once(spark, tmp_path):
+    """A second copy of each first line item (none where the number is null), from one scan and one join."""
+    from ledgerline.sources.tables import damaged_payments_extract, payments_extract
+
+    spark.sql("SELECT id AS l_orderkey, CAST(7 AS BIGINT) AS l_partkey, CAST(3 AS BIGINT) AS l_suppkey, CAST(IF(id = 5, null, id % 3) AS INT) AS l_linenumber, "
+              "12.345D AS l_extendedprice, 'A' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP_NTZ'1995-01-01 00:00:00' AS l_shipdate "
+              "FROM range(9)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT CAST(7 AS BIGINT) AS p_partkey, 'tin' AS p_type").write.parquet(f"{tmp_path}/part.parquet")
+    clean, damaged = payments_extract(spark, str(tmp_path)), damaged_payments_extract(spark, str(tmp_path))
+    assert damaged.schema == clean.schema
+    second = clean.where("payment_id in ('pi_1_1_7_3', 'pi_4_1_7_3', 'pi_7_1_7_3')")
+    assert sorted(map(tuple, damaged.collect())) == sorted(map(tuple, clean.unionByName(second).collect()))
+    scans = [ln for ln in _plan(damaged).splitlines() if ln.startswith("(") and "Scan parquet" in ln]
+    assert len(scans) == 2  # lineitem, part
